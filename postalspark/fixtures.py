@@ -173,7 +173,10 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.table(name)
 
 
-def with_views(body: str, *names: str) -> str:
-    """DuckDB text: the needed views as CTEs in front of ``body``."""
-    ctes = ",\n".join(f"{n} AS ({_sql(n, 'duckdb').strip()})" for n in _closure(names))
-    return f"WITH {ctes}\n{body}"
+def with_views(body: str, *names: str, ctes: str = "", recursive: bool = False) -> str:
+    """DuckDB text: the needed views as CTEs (plus ``ctes``) in front of ``body``."""
+    parts = [f"{n} AS ({_sql(n, 'duckdb').strip()})" for n in _closure(names)]
+    if ctes.strip():
+        parts.append(ctes.strip().rstrip(","))
+    head = "WITH RECURSIVE" if recursive else "WITH"
+    return f"{head} " + ",\n".join(parts) + f"\n{body}"
