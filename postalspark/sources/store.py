@@ -24,11 +24,14 @@ def scan_addresses(addresses: DataFrame, limit: int | None = None, offset: int =
 
 
 def read_error_log(spark: SparkSession, path: str) -> DataFrame:
-    """The error CSV with its fixed header; a missing file reads as empty."""
+    """The error CSV with its fixed header; a missing file reads as empty.
+
+    Fields are text as in the file: an empty field reads as '' (never NULL).
+    """
     if not path_exists(spark, path):
         return spark.createDataFrame([], ERROR_LOG)
     return (spark.read.schema(ERROR_LOG).option("header", True).option("multiLine", True)
-            .option("escape", '"').csv(path))
+            .option("escape", '"').csv(path).na.fill(""))
 
 
 def filter_errors(errors: DataFrame, cep: str | None = None, error_type: str | None = None) -> DataFrame:
