@@ -122,7 +122,7 @@ def write_parquet(addresses: DataFrame, path: str) -> str:
     return path
 
 
-def append_errors(errors: DataFrame, path: str | None, recorded_at=None) -> str:
+def append_errors(errors: DataFrame, path: str | None, recorded_at=None, mode: str = "append") -> str:
     """Append typed error rows (header on every part file, as one CSV table).
 
     ``errors`` has cep, error_type, error_message and optionally timestamp/context;
@@ -134,7 +134,7 @@ def append_errors(errors: DataFrame, path: str | None, recorded_at=None) -> str:
     ctx = F.col("context") if "context" in cols else F.lit("")
     rows = errors.select("cep", "error_type", "error_message", ts.alias("timestamp"), ctx.alias("context"))
     path = path or scratch_dir(_spark(errors), "errors_csv")
-    rows.select(*ERROR_LOG_FIELDS).write.mode("append").option("header", True).option("escape", '"').csv(path)
+    rows.select(*ERROR_LOG_FIELDS).write.mode(mode).option("header", True).option("escape", '"').csv(path)
     return path
 
 
