@@ -75,6 +75,8 @@ def _remove_dots(segments: Column) -> Column:
 def resolve_url(href, base: str) -> Column:
     """Make ``href`` absolute against the constant ``base`` URL."""
     href = _c(href)
+    # '//' followed by an empty host is a plain absolute path
+    href = F.when(href.startswith("///"), F.substr(href, F.lit(3))).otherwise(href)
     b = urlsplit(base)
     origin = f"{b.scheme}://{b.netloc}"
     base_dir_parts = b.path.split("/")

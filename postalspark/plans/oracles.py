@@ -123,6 +123,7 @@ def area_link(h):
 
 
 def resolve(h, base):
+    h = f"(CASE WHEN starts_with({h}, '///') THEN substr({h}, 3) ELSE {h} END)"
     b = urlsplit(base)
     origin = f"{b.scheme}://{b.netloc}"
     parts = b.path.split("/")

@@ -1,0 +1,62 @@
+import datetime as dt
+import json
+
+from postalspark.schemas import ADDRESS
+from postalspark.session import scratch_dir
+from postalspark.sinks import documents as sd
+from postalspark.sinks import files as sf
+
+T0 = dt.datetime(2024, 1, 1, 12, 30, 0, 250000)
+
+
+def table(spark):
+    rows = [("01310100", "Avenida Paulista", None, "Bela Vista", "São Paulo", "SP", "3550308", "1004", "11", "7107", T0, T0),
+            ("01001900", "Praça da Sé", None, "Sé", "São Paulo", "SP", None, None, "11", None, T0, T0)]
+    return spark.createDataFrame(rows, ADDRESS)
+
+
+def test_json_export_keeps_nulls_and_text(spark):
+    path = scratch_dir(spark, "json")
+    assert sf.export_json(table(spark), path, "2024-01-01T00:00:00+00:00", limit=10)
+    lines = [json.loads(r.value) for r in spark.read.text(f"{path}/ceps").collect()]
+    by = {d["cep"]: d for d in lines}
+    assert by["01001900"]["logradouro"] == "Praça da Sé" and by["01001900"]["complemento"] is None
+    assert list(by["01310100"].keys())[:3] == ["cep", "logradouro", "complemento"]
+    assert by["01310100"]["created_at"] == T0.isoformat()
+    md = json.loads(spark.read.text(f"{path}/metadata").first().value)
+    assert md == {"export_date": "2024-01-01T00:00:00+00:00", "total_ceps": 2, "limit": 10, "offset": 0}
+
+
+def test_empty_export_is_refused(spark):
+    empty = spark.createDataFrame([], ADDRESS)
+    assert not sf.export_json(empty, scratch_dir(spark, "e"), "x")
+    assert not sf.export_xml(empty, scratch_dir(spark, "e"), "x")
+
+
+def test_xml_export_root_and_nulls(spark):
+    path = scratch_dir(spark, "xml")
+    assert sf.export_xml(table(spark), path, "2024-01-01T00:00:00+00:00", root_element_name="enderecos")
+    text = "".join(r.value for r in spark.read.text(f"{path}/ceps").collect())
+    assert "<enderecos>" in text and "<complemento>" not in text
+    back = {r.cep: r for r in sf.read_xml_export(spark, path).collect()}
+    assert back["01310100"].siafi == "7107" and back["01001900"].ibge is None
+    meta = "".join(r.value for r in spark.read.text(f"{path}/metadata").collect())
+    assert "<limit>" not in meta and "<offset>" not in meta and "<total_ceps>2</total_ceps>" in meta
+
+
+def test_documents(spark):
+    rows = sf.export_rows(table(spark))
+    j = json.loads(rows.where("cep = '01001900'").select(sd.json_document(rows)).first()[0])
+    assert j["complemento"] is None and j["logradouro"] == "Praça da Sé"
+    x = rows.where("cep = '01001900'").select(sd.xml_document(rows)).first()[0]
+    assert x.startswith("<cep><cep>01001900</cep>") and "<complemento>" not in x
+    p = rows.where("cep = '01001900'").select(sd.xml_document(rows, pretty=True)).first()[0]
+    assert p.startswith('<?xml version="1.0" ?>')
+
+
+def test_group_files_and_parquet(spark):
+    path = sd.write_json_by_group(sf.export_rows(table(spark)), scratch_dir(spark, "groups"))
+    assert spark.read.json(path).where("uf = 'SP'").count() == 2
+    out = sf.write_parquet(table(spark), scratch_dir(spark, "pq"))
+    assert spark.read.parquet(out).columns == ["cep", "logradouro", "complemento", "bairro", "localidade", "uf",
+                                               "ibge", "ddd"]
