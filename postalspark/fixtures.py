@@ -154,10 +154,25 @@ def _closure(names) -> list[str]:
     return ordered
 
 
+# Driver tables each view reads.
+TABLES_OF: dict[str, list[str]] = {
+    "raw_codes": ["orders"], "directory": ["customer", "nation"], "messages": ["events"],
+    "failures": ["events"], "code_pages": ["customer"], "area_pages": ["customer", "nation"],
+    "links": ["region", "nation", "supplier"], "db_urls": ["pages"],
+}
+
+_registered: dict[tuple[int, str], str] = {}
+
+
 def register_tables(spark: SparkSession, sf_dir: str, names=None) -> None:
     """Register the parquet tables of ``sf_dir`` as temp views of the same name."""
+    sf_dir = sf_dir.rstrip("/")
     for t in names or BASE_TABLES:
-        spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet").createOrReplaceTempView(t)
+        key = (id(spark), t)
+        if _registered.get(key) == sf_dir and spark.catalog.tableExists(t):
+            continue
+        spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
+        _registered[key] = sf_dir
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -167,7 +182,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A derived view as a DataFrame (plans resolve at call time)."""
-    register_tables(spark, sf_dir)
+    needed = sorted({t for n in _closure([name]) for t in TABLES_OF.get(n, [])})
+    register_tables(spark, sf_dir, needed)
     for n in _closure([name]):
         spark.sql(_sql(n, "spark")).createOrReplaceTempView(n)
     return spark.table(name)

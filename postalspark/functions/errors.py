@@ -30,7 +30,7 @@ def error_context(**entries) -> Column:
     for k, v in entries.items():
         kv += [F.lit(k), _c(v).cast("string")]
     m = F.map_filter(F.create_map(*kv), lambda k, v: v.isNotNull() & (v != "") & (v != "0"))
-    return F.when(F.size(m) == 0, F.lit("")).otherwise(F.to_json(m))
+    return F.regexp_replace(F.to_json(m), r"^\{\}$", "")
 
 
 def is_connection_error(message) -> Column:

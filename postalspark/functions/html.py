@@ -85,7 +85,12 @@ def text_codes(html) -> Column:
     return F.filter(extract_codes(visible_text(html)), lambda x: is_valid_regional(x))
 
 
+def primary_codes(html) -> Column:
+    """Table and link codes of a page, distinct (array)."""
+    return F.array_distinct(F.concat(table_codes(html), link_codes(html)))
+
+
 def page_codes(html) -> Column:
     """Table and link codes; if there are none, text codes; distinct (array)."""
-    primary = F.array_distinct(F.concat(table_codes(html), link_codes(html)))
+    primary = primary_codes(html)
     return F.when(F.size(primary) > 0, primary).otherwise(F.array_distinct(text_codes(html)))

@@ -24,7 +24,7 @@ def _c(c) -> Column:
 
 
 def _parts(path: Column) -> Column:
-    return F.filter(F.split(path, "/"), lambda p: p != "")
+    return F.array_remove(F.split(path, "/"), "")
 
 
 def link_path(href) -> Column:
@@ -60,16 +60,25 @@ def is_area_link(href) -> Column:
 
 
 def _remove_dots(segments: Column) -> Column:
-    """RFC 3986 dot-segment removal over an array of path segments."""
-    resolved = F.aggregate(
-        segments, F.array().cast("array<string>"),
-        lambda acc, s: (F.when(s == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))))
-                        .when(s == ".", acc)
-                        .otherwise(F.concat(acc, F.array(s)))))
-    last = F.element_at(segments, -1)
-    resolved = F.when(last.isin(".", ".."), F.concat(resolved, F.array(F.lit("")))).otherwise(resolved)
-    joined = F.array_join(resolved, "/")
-    return F.when(joined == "", F.lit("/")).otherwise(joined)
+    """RFC 3986 dot-segment removal over an array of path segments.
+
+    One fold over the segments; the state carries the kept segments and the last
+    segment seen, so the fold is evaluated once per row.
+    """
+    start = F.struct(F.array().cast("array<string>").alias("kept"), F.lit("").alias("last"))
+
+    def step(st, s):
+        kept = st["kept"]
+        nxt = (F.when(s == "..", F.slice(kept, 1, F.greatest(F.size(kept) - 1, F.lit(0))))
+               .when(s == ".", kept)
+               .otherwise(F.concat(kept, F.array(s))))
+        return F.struct(nxt.alias("kept"), s.alias("last"))
+
+    def finish(st):
+        kept = F.when(st["last"].isin(".", ".."), F.concat(st["kept"], F.array(F.lit("")))).otherwise(st["kept"])
+        return F.array_join(kept, "/")
+
+    return F.aggregate(segments, start, step, finish)
 
 
 def resolve_url(href, base: str) -> Column:
@@ -89,13 +98,14 @@ def resolve_url(href, base: str) -> Column:
     tail = F.substr(href, F.length(path) + F.lit(1))
     segs = F.split(path, "/")
     absolute = _remove_dots(segs)
-    middle = F.filter(F.concat(F.array(*[F.lit(p) for p in base_dir_parts[1:]]).cast("array<string>"),
-                               F.slice(segs, 1, F.size(segs) - 1)), lambda s: s != "")
+    middle = F.array_remove(F.concat(F.array(*[F.lit(p) for p in base_dir_parts[1:]]).cast("array<string>"),
+                                     F.slice(segs, 1, F.size(segs) - 1)), "")
     relative_segs = F.concat(F.array(F.lit(base_dir_parts[0])), middle, F.array(F.element_at(segs, -1)))
     relative = _remove_dots(relative_segs)
 
     def with_origin(p: Column) -> Column:
-        return F.concat(F.lit(origin), F.when(p.startswith("/"), p).otherwise(F.concat(F.lit("/"), p)), tail)
+        # an empty path is '/', and a path always starts with '/' after the host
+        return F.concat(F.lit(origin + "/"), F.regexp_replace(p, "^/", ""), tail)
 
     return (F.when(href.isNull(), F.lit(None).cast("string"))
             .when(href == "", F.lit(base))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postalspark.functions.responses import is_json
-from postalspark.operators.scan import running_total
+from postalspark.operators.scan import key_range, running_total
 from postalspark.schemas import (FAILURE_PAUSE_FACTOR, MAX_BACKOFF_MULTIPLIER, MAX_CONSECUTIVE_ERRORS,
                                  RATE_LIMIT_PER_SECOND)
 
@@ -52,15 +52,17 @@ def process_limit(kept: DataFrame, limit: int | None, seq: str = "seq") -> DataF
     return kept.orderBy(seq).limit(int(limit)) if limit else kept
 
 
-def failure_streaks(kept: DataFrame, seq: str = "seq", consumer: str = "consumer", ok: str = "ok") -> DataFrame:
+def failure_streaks(kept: DataFrame, seq: str = "seq", consumer: str = "consumer", ok: str = "ok",
+                    bounds=None) -> DataFrame:
     """Failures in a row since the last success, per consumer, reset after 3.
 
     Adds ``k`` (failures in the current run, 0 on success), ``streak`` (the counter
     after this message: 1, 2, 3, 1, ...) and ``paused`` (this failure completed a
     run of three). Runs are cut by a running count of successes.
     """
-    s = running_total(kept, seq, F.col(ok).cast("long"), "_run", partition_by=[consumer])
-    k = running_total(s, seq, (~F.col(ok)).cast("long"), "k", partition_by=[consumer, "_run"])
+    bounds = bounds or key_range(kept, seq)
+    s = running_total(kept, seq, F.col(ok).cast("long"), "_run", partition_by=[consumer], bounds=bounds)
+    k = running_total(s, seq, (~F.col(ok)).cast("long"), "k", partition_by=[consumer, "_run"], bounds=bounds)
     n = MAX_CONSECUTIVE_ERRORS
     streak = F.when(F.col(ok), F.lit(0)).otherwise(((F.col("k") - 1) % n) + 1)
     paused = ~F.col(ok) & (F.col("k") % n == 0)
@@ -81,12 +83,13 @@ def pacing_schedule(kept: DataFrame, rate_per_second: float = RATE_LIMIT_PER_SEC
     gate before the next request, so a plain failure waits the larger of the two).
     """
     d = base_delay(rate_per_second)
-    st = failure_streaks(kept, seq, consumer, ok)
+    bounds = key_range(kept, seq)
+    st = failure_streaks(kept, seq, consumer, ok, bounds)
     mult = F.least(F.pow(F.lit(2.0), F.floor(F.col("k") / MAX_CONSECUTIVE_ERRORS).cast("double")),
                    F.lit(MAX_BACKOFF_MULTIPLIER))
     pause = F.when(F.col(ok), F.lit(d)).otherwise(F.greatest(F.lit(FAILURE_PAUSE_FACTOR), mult) * F.lit(d))
     paced = st.withColumn("pause", pause.cast("double"))
-    started = running_total(paced, seq, F.col("pause"), "_until", partition_by=[consumer])
+    started = running_total(paced, seq, F.col("pause"), "_until", partition_by=[consumer], bounds=bounds)
     return started.withColumn("start", F.col("_until") - F.col("pause")).drop("_until")
 
 

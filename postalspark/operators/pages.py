@@ -39,8 +39,14 @@ def text_codes(pages: DataFrame) -> DataFrame:
 
 
 def page_codes(pages: DataFrame) -> DataFrame:
-    """Per page, table and link codes; text codes only when those are empty."""
-    return _explode_codes(pages, H.page_codes("html"), distinct=False)
+    """Per page, table and link codes; text codes only when those are empty.
+
+    The primary codes are projected first and read twice from that column, so the
+    regex stages run once per page.
+    """
+    primary = pages.select("page_id", "html", H.primary_codes("html").alias("_p"))
+    chosen = F.when(F.size("_p") > 0, F.col("_p")).otherwise(F.array_distinct(H.text_codes("html")))
+    return primary.select("page_id", F.explode(chosen).alias("cep"))
 
 
 def page_links(pages: DataFrame) -> DataFrame:

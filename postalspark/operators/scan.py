@@ -18,8 +18,14 @@ from pyspark.sql import functions as F
 DEFAULT_TARGET_BUCKETS = 1 << 14
 
 
-def _bucket_width(df: DataFrame, key: str, target_buckets: int) -> tuple[int, int]:
+def key_range(df: DataFrame, key: str) -> tuple[int | None, int | None]:
+    """(min, max) of an integral key: one small aggregate, two numbers to the driver."""
     lo, hi = df.agg(F.min(key), F.max(key)).first()
+    return lo, hi
+
+
+def _bucket_width(df: DataFrame, key: str, target_buckets: int, bounds=None) -> tuple[int, int]:
+    lo, hi = bounds if bounds is not None else key_range(df, key)
     if lo is None:
         return 0, 1
     return int(lo), max(1, math.ceil((int(hi) - int(lo) + 1) / target_buckets))
@@ -27,14 +33,15 @@ def _bucket_width(df: DataFrame, key: str, target_buckets: int) -> tuple[int, in
 
 def running_total(df: DataFrame, key: str, value: Column, out: str, lead: list[str] | None = None,
                   partition_by: list[str] | None = None,
-                  target_buckets: int = DEFAULT_TARGET_BUCKETS) -> DataFrame:
+                  target_buckets: int = DEFAULT_TARGET_BUCKETS, bounds=None) -> DataFrame:
     """Inclusive running sum of ``value`` over rows ordered by (*lead, key) within ``partition_by``.
 
     ``key`` must be an integral column; ties in (*lead, key) are summed in no particular order.
+    ``bounds`` (min, max of ``key``) can be passed when already known, to skip the range pass.
     """
     lead = list(lead or [])
     part = list(partition_by or [])
-    lo, width = _bucket_width(df, key, target_buckets)
+    lo, width = _bucket_width(df, key, target_buckets, bounds)
     d = (df.withColumn("_v", value)
            .withColumn("_b", F.floor((F.col(key) - F.lit(lo)) / F.lit(width)).cast("long")))
     grp = part + lead + ["_b"]
@@ -53,6 +60,6 @@ def running_total(df: DataFrame, key: str, value: Column, out: str, lead: list[s
 
 def global_row_number(df: DataFrame, key: str, out: str = "rn", lead: list[str] | None = None,
                       partition_by: list[str] | None = None,
-                      target_buckets: int = DEFAULT_TARGET_BUCKETS) -> DataFrame:
+                      target_buckets: int = DEFAULT_TARGET_BUCKETS, bounds=None) -> DataFrame:
     """1-based row number by (*lead, key) within ``partition_by`` (unique keys give a dense 1..n)."""
-    return running_total(df, key, F.lit(1).cast("long"), out, lead, partition_by, target_buckets)
+    return running_total(df, key, F.lit(1).cast("long"), out, lead, partition_by, target_buckets, bounds)
