@@ -36,12 +36,13 @@ def erro_flag(body) -> Column:
 
 
 def response_status(body) -> Column:
-    """S4 tag: ok / not_found (``erro``) / not_object / malformed."""
+    """S4 tag: ok / not_found (``erro``) / not_object / malformed.
+
+    The object test is evaluated once; its result selects the branch.
+    """
     body = _c(body)
-    return (F.when(is_json_object(body) & erro_flag(body), F.lit(NOT_FOUND))
-            .when(is_json_object(body), F.lit(OK))
-            .when(is_json(body), F.lit(NOT_OBJECT))
-            .otherwise(F.lit(MALFORMED)))
+    obj = F.when(is_json_object(body), F.when(erro_flag(body), F.lit(NOT_FOUND)).otherwise(F.lit(OK)))
+    return F.coalesce(obj, F.when(is_json(body), F.lit(NOT_OBJECT)).otherwise(F.lit(MALFORMED)))
 
 
 def parsed_fields(body) -> Column:

@@ -23,9 +23,14 @@ from postalspark.sources import codes as sc
 
 
 def codes_by_state(codes: DataFrame, responses: DataFrame) -> DataFrame:
-    """Flagship: valid codes enriched by the directory, counted per state."""
-    valid = oc.valid_codes(codes)
-    found = ol.enrich_codes(valid, responses).where("found").select("cep", "uf")
+    """Flagship: valid codes enriched by the directory, counted per state.
+
+    One equi-join of every valid code row with the found answers (the answer side
+    is the small one; AQE broadcasts it when its measured size allows), then a
+    two-phase aggregate per state.
+    """
+    valid = oc.valid_codes(codes).select("cep")
+    found = ol.lookup_table(responses).where(F.col("status") == "ok").select(F.col("code").alias("cep"), "uf")
     return (valid.join(found, "cep")
             .groupBy("uf").agg(F.count(F.lit(1)).alias("codes"), F.count_distinct("cep").alias("distinct_codes")))
 
