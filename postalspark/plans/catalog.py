@@ -314,10 +314,9 @@ def j5(spark, sf):
 def j6(spark, sf):
     a = addresses(spark, sf)
     d = V(spark, sf, "directory").select(F.col("code").alias("cep"), "c_custkey")
-    tagged = a.join(d, "cep")
-    target = tagged.where(F.col("c_custkey") % 2 == 0).drop("c_custkey")
-    incoming = tagged.where(F.col("c_custkey") % 3 == 0).select("cep")
-    return os_.split_insert_update(target, incoming)
+    # the table holds the even customers' codes; every stored code comes in again
+    target = a.join(d, "cep").where(F.col("c_custkey") % 2 == 0).drop("c_custkey")
+    return os_.split_insert_update(target, a.select("cep"))
 
 
 # ---------------------------------------------------------------- aggregations
@@ -492,11 +491,10 @@ def k14(spark, sf):
 def k9(spark, sf):
     a = addresses(spark, sf)
     d = V(spark, sf, "directory").select(F.col("code").alias("cep"), "c_custkey")
-    tagged = a.join(d, "cep")
-    target = tagged.where(F.col("c_custkey") % 2 == 0).drop("c_custkey")
-    source = (tagged.where(F.col("c_custkey") % 3 == 0)
-              .select(*[F.concat(F.lit("Updated "), F.col(f)).alias(f) if f == "logradouro" else F.col(f)
-                        for f in ADDRESS_FIELDS]))
+    target = a.join(d, "cep").where(F.col("c_custkey") % 2 == 0).drop("c_custkey")
+    # every stored code arrives again with a changed street: updates and inserts
+    source = a.select(*[F.concat(F.lit("Updated "), F.col(f)).alias(f) if f == "logradouro" else F.col(f)
+                        for f in ADDRESS_FIELDS])
     merged = os_.merge_addresses(target, source, "2024-02-01 00:00:00")
     return merged.select(*ADDRESS_FIELDS, iso_timestamp("created_at").alias("created_at"),
                          iso_timestamp("updated_at").alias("updated_at"))

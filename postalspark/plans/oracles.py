@@ -333,7 +333,7 @@ def oracles() -> dict[str, str]:
                                ctes="visited AS (SELECT dst AS node FROM links WHERE src = 'base' UNION SELECT 'base')")
     tagged = "tagged AS (SELECT a.*, d.c_custkey FROM addresses a JOIN directory d ON a.cep = d.code)"
     o["J6_split_insert_update"] = W("""SELECT i.cep, CASE WHEN t.cep IS NOT NULL THEN 'update' ELSE 'insert' END AS action
-  FROM (SELECT cep FROM tagged WHERE c_custkey % 3 = 0) i LEFT JOIN (SELECT cep FROM tagged WHERE c_custkey % 2 = 0) t
+  FROM (SELECT cep FROM addresses) i LEFT JOIN (SELECT cep FROM tagged WHERE c_custkey % 2 = 0) t
   ON i.cep = t.cep""", "responses", "directory", ctes=",\n".join([ADDRESSES, tagged]))
     # ---- aggregations
     o["A1_code_stats"] = W(f"""SELECT count(*) AS total, count(*) FILTER (WHERE {valid('cep')}) AS valid,
@@ -410,7 +410,7 @@ r AS (SELECT cep, final_attempt, max(outcome) FILTER (WHERE attempt = final_atte
     upd = "TIMESTAMP '2024-02-01 00:00:00'"
     src_cols = ", ".join("'Updated ' || logradouro AS logradouro" if f == "logradouro" else f for f in ADDRESS_FIELDS)
     o["K9_upsert_addresses"] = W(_merge("(SELECT * FROM tagged WHERE c_custkey % 2 = 0)",
-                                        f"(SELECT {src_cols} FROM tagged WHERE c_custkey % 3 = 0)", upd),
+                                        f"(SELECT {src_cols} FROM addresses)", upd),
                                  "responses", "directory", ctes=",\n".join([ADDRESSES, tagged]))
     versions = f"""ver AS (SELECT seq, {', '.join(c14_cols('body'))} FROM responses_versions WHERE {status('body')} = 'ok'),
 latest AS (SELECT cep, {', '.join(f'arg_max({f}, seq) AS {f}' for f in ADDRESS_FIELDS[1:])} FROM ver GROUP BY cep)"""
