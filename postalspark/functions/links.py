@@ -6,6 +6,7 @@ on the driver; the per-row work is built-in string/array expressions.
 
 from __future__ import annotations
 
+import re
 from urllib.parse import urlsplit
 
 from pyspark.sql import Column
@@ -17,6 +18,12 @@ from postalspark.schemas import SKIPPED_LINK_PARTS
 SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:"
 NETLOC = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)"
 PATH_PART = r"^([^?#]*)"
+# Area-link path test on a '/'-delimited path with empty segments collapsed: some
+# segment is pt-br or brasil, and the first sao-paulo segment is followed by a
+# segment other than sp (segment matching is case-sensitive).
+AREA_PATH = r"^(?=.*/(?:pt-br|brasil)/)(?:/(?!sao-paulo/)[^/]+)*?/sao-paulo/(?!sp/)[^/]+/"
+# Lower-cased link text that disqualifies a link outright.
+REJECTED = "|".join(re.escape(p) for p in ["/cep/", "/logradouro/"] + SKIPPED_LINK_PARTS) + "|/sao-paulo/*$"
 
 
 def _c(c) -> Column:
@@ -42,23 +49,31 @@ def is_area_link(href) -> Column:
 
     Rejects empty links, code pages, street pages, blog/about/contact pages and the
     city page itself; needs a part after ``sao-paulo`` other than ``sp`` and a
-    ``pt-br`` or ``brasil`` part (part matching is case-sensitive).
+    ``pt-br`` or ``brasil`` part (part matching is case-sensitive). Two regex tests
+    on values computed once, so a filter on it stays cheap.
     """
     href = _c(href)
     low = F.lower(href)
-    rejected = low.contains("/cep/") | low.contains("/logradouro/")
-    for part in SKIPPED_LINK_PARTS:
-        rejected = rejected | low.contains(part)
-    rejected = rejected | low.rlike("/sao-paulo/*$") | ~low.contains("/sao-paulo/")
-    parts = _parts(link_path(href))
-    idx = F.array_position(parts, "sao-paulo")
-    nxt = F.when(idx > 0, F.try_element_at(parts, (idx + F.lit(1)).cast("int")))
-    has_area = (idx > 0) & nxt.isNotNull() & ~nxt.isin("", "sp")
-    has_country = F.array_contains(parts, "pt-br") | F.array_contains(parts, "brasil")
-    ok = (F.length(href) > 0) & ~rejected & has_area & has_country
+    segments = F.regexp_replace(F.concat(F.lit("/"), link_path(href), F.lit("/")), "/+", "/")
+    ok = ((F.length(href) > 0) & ~low.rlike(REJECTED) & low.contains("/sao-paulo/")
+          & segments.rlike(AREA_PATH))
     return F.coalesce(ok, F.lit(False))
 
 
+def _normalize(href: Column, base_scheme: str) -> Column:
+    """Rewrite forms that resolve like a plainer link.
+
+    ``///path`` (empty host) is the absolute path ``/path``; ``scheme:rest`` with the
+    base's own scheme and no host is the relative reference ``rest``.
+    """
+    own = f"{base_scheme.lower()}:"
+    same_scheme = F.lower(F.substr(href, F.lit(1), F.lit(len(own)))) == F.lit(own)
+    rest = F.substr(href, F.lit(len(own) + 1))
+    no_host = ~rest.startswith("//") | rest.startswith("///")
+    href = F.when(same_scheme & no_host, rest).otherwise(href)
+    return F.when(href.startswith("///"), F.substr(href, F.lit(3))).otherwise(href)
+
+
 def _remove_dots(segments: Column) -> Column:
     """RFC 3986 dot-segment removal over an array of path segments.
 
@@ -83,10 +98,8 @@ def _remove_dots(segments: Column) -> Column:
 
 def resolve_url(href, base: str) -> Column:
     """Make ``href`` absolute against the constant ``base`` URL."""
-    href = _c(href)
-    # '//' followed by an empty host is a plain absolute path
-    href = F.when(href.startswith("///"), F.substr(href, F.lit(3))).otherwise(href)
     b = urlsplit(base)
+    href = _normalize(_c(href), b.scheme)
     origin = f"{b.scheme}://{b.netloc}"
     base_dir_parts = b.path.split("/")
     if base_dir_parts[-1] != "":
@@ -125,3 +138,19 @@ def netloc(url) -> Column:
 def same_host(url, base: str) -> Column:
     """The URL's host (with port) equals the base URL's; never NULL."""
     return F.coalesce(netloc(url) == F.lit(urlsplit(base).netloc), F.lit(False))
+
+
+def resolves_to_host(href, base: str) -> Column:
+    """``same_host(resolve_url(href, base), base)`` computed from the link itself.
+
+    Only a link with its own authority (``scheme://host`` or ``//host``) can leave
+    the base host; a scheme without one resolves to itself and has no host; every
+    other link resolves under the base host. Lets a crawl filter links before the
+    (costlier) resolution.
+    """
+    href = _normalize(_c(href), urlsplit(base).scheme)
+    own_authority = href.rlike(r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//") & ~href.startswith("///")
+    return (F.when(href.isNull(), F.lit(False))
+            .when(own_authority, same_host(href, base))
+            .when(href.rlike(SCHEME), F.lit(urlsplit(base).netloc == ""))
+            .otherwise(F.lit(True)))

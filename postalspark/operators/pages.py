@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postalspark.functions import html as H
-from postalspark.functions.links import is_area_link, resolve_url, same_host
+from postalspark.functions.links import is_area_link, resolve_url, resolves_to_host
 from postalspark.schemas import DEFAULT_BASE_URL
 
 
@@ -60,9 +60,9 @@ def area_links(pages: DataFrame, base_url: str = DEFAULT_BASE_URL) -> DataFrame:
     Links of the ``ul#ul_list`` list are a subset of all links, so one pass over
     all links gives the union.
     """
-    links = page_links(pages).where(is_area_link("href"))
+    links = page_links(pages).where(is_area_link("href") & resolves_to_host("href", base_url))
     resolved = links.select("page_id", resolve_url("href", base_url).alias("url"))
-    return resolved.where(same_host("url", base_url)).dropDuplicates(["page_id", "url"])
+    return resolved.dropDuplicates(["page_id", "url"])
 
 
 def merge_collections(*collections: DataFrame, col: str = "cep") -> DataFrame:

@@ -123,8 +123,12 @@ def area_link(h):
 
 
 def resolve(h, base):
-    h = f"(CASE WHEN starts_with({h}, '///') THEN substr({h}, 3) ELSE {h} END)"
     b = urlsplit(base)
+    own = f"{b.scheme.lower()}:"
+    rest = f"substr({h}, {len(own) + 1})"
+    h = (f"(CASE WHEN lower(substr({h}, 1, {len(own)})) = '{own}' AND (NOT starts_with({rest}, '//') "
+         f"OR starts_with({rest}, '///')) THEN {rest} ELSE {h} END)")
+    h = f"(CASE WHEN starts_with({h}, '///') THEN substr({h}, 3) ELSE {h} END)"
     origin = f"{b.scheme}://{b.netloc}"
     parts = b.path.split("/")
     if parts[-1] != "":

@@ -4,7 +4,7 @@ from urllib.parse import urljoin, urlparse
 import pytest
 
 from postalspark.functions import html as H
-from postalspark.functions.links import is_area_link, resolve_url, same_host
+from postalspark.functions.links import is_area_link, resolve_url, resolves_to_host, same_host
 from postalspark.operators import graph as og
 from postalspark.operators import pages as op
 from postalspark.sinks.files import write_codes_csv
@@ -88,7 +88,8 @@ def test_resolve_url_matches_urljoin(spark):
     rnd = random.Random(7)
     parts = ["a", "b", "..", ".", "", "sao-paulo", "x y", "q?x=1", "f#top"]
     hrefs = ["", "/", "//other.host/p", "?q=1", "#frag", "http://h/x", "https://codigo-postal.org/a/../b",
-             "../up", "./here", "a/b/../../c", "/abs/./x/../y", "..", ".", "../../../../z", "/a//b/../c/"]
+             "../up", "./here", "a/b/../../c", "/abs/./x/../y", "..", ".", "../../../../z", "/a//b/../c/",
+             "https:x", "HTTPS:../y", "https:", "https:?q=1", "http:x", "https:///z"]
     for _ in range(300):
         n = rnd.randint(1, 5)
         h = "/".join(rnd.choice(parts) for _ in range(n))
@@ -141,3 +142,12 @@ def test_link_extraction_decodes_entities(spark):
     df = pages(spark, '<a class="x" href="/p?a=1&amp;b=2">t</a><A HREF="/Q">u</A>')
     assert [r.href for r in op.page_links(df).collect()] == ["/p?a=1&b=2", "/Q"]
     assert H is not None
+
+
+def test_host_check_before_resolution(spark):
+    hrefs = ["", "/a", "//codigo-postal.org/x", "//other/x", "///x", "https://codigo-postal.org/y",
+             "http://codigo-postal.org/y", "https://evil.org/y", "mailto:a@b", "rel/x", "?q", "#f", "https:x",
+             "HTTPS:/a", "https:", "http:x"]
+    df = spark.createDataFrame([(h,) for h in hrefs], "h string")
+    got = [tuple(r) for r in df.select(resolves_to_host("h", BASE), same_host(resolve_url("h", BASE), BASE)).collect()]
+    assert all(a == b for a, b in got), list(zip(hrefs, got))
