@@ -97,18 +97,28 @@ def _remove_dots(segments: Column) -> Column:
 
 
 def resolve_url(href, base: str) -> Column:
-    """Make ``href`` absolute against the constant ``base`` URL."""
+    """Make ``href`` absolute against the constant ``base`` URL (``urljoin`` rules).
+
+    Dot segments are removed from merged paths; an empty query or fragment marker
+    is dropped; a reference with no path keeps the base path (and the base query
+    when it has none of its own).
+    """
     b = urlsplit(base)
-    href = _normalize(_c(href), b.scheme)
     origin = f"{b.scheme}://{b.netloc}"
     base_dir_parts = b.path.split("/")
     if base_dir_parts[-1] != "":
         base_dir_parts = base_dir_parts[:-1]
-    base_no_frag = base.split("#", 1)[0]
-    base_no_query = base_no_frag.split("?", 1)[0]
+    original = _c(href)
+    h = _normalize(original, b.scheme)
+
+    path = F.regexp_extract(h, PATH_PART, 1)
+    query = F.regexp_extract(h, r"^[^?#]*\?([^#]*)", 1)
+    frag = F.regexp_extract(h, r"^[^#]*#(.*)$", 1)
+
+    def tail(q: Column) -> Column:
+        return F.concat(F.when(q != "", F.concat(F.lit("?"), q)).otherwise(F.lit("")),
+                        F.when(frag != "", F.concat(F.lit("#"), frag)).otherwise(F.lit("")))
 
-    path = F.regexp_extract(href, PATH_PART, 1)
-    tail = F.substr(href, F.length(path) + F.lit(1))
     segs = F.split(path, "/")
     absolute = _remove_dots(segs)
     middle = F.array_remove(F.concat(F.array(*[F.lit(p) for p in base_dir_parts[1:]]).cast("array<string>"),
@@ -117,16 +127,20 @@ def resolve_url(href, base: str) -> Column:
     relative = _remove_dots(relative_segs)
 
     def with_origin(p: Column) -> Column:
-        # an empty path is '/', and a path always starts with '/' after the host
-        return F.concat(F.lit(origin + "/"), F.regexp_replace(p, "^/", ""), tail)
-
-    return (F.when(href.isNull(), F.lit(None).cast("string"))
-            .when(href == "", F.lit(base))
-            .when(href.rlike(SCHEME), href)
-            .when(href.startswith("//"), F.concat(F.lit(b.scheme + ":"), href))
-            .when(href.startswith("?"), F.concat(F.lit(base_no_query), href))
-            .when(href.startswith("#"), F.concat(F.lit(base_no_frag), href))
-            .when(href.startswith("/"), with_origin(absolute))
+        # a path always starts with '/' after the host
+        return F.concat(F.lit(origin + "/"), F.regexp_replace(p, "^/", ""), tail(query))
+
+    scheme_of = F.lower(F.regexp_extract(h, r"^([A-Za-z][A-Za-z0-9+.-]*):", 1))
+    after_scheme = F.regexp_extract(h, r"^[A-Za-z][A-Za-z0-9+.-]*:([^?#]*)", 1)
+    no_path_query = F.when(query != "", query).otherwise(F.lit(b.query))
+    return (F.when(original.isNull(), F.lit(None).cast("string"))
+            .when(original == "", F.lit(base))
+            .when(h.rlike(SCHEME) & (scheme_of == b.scheme.lower()),
+                  F.concat(F.lit(b.scheme + ":"), after_scheme, tail(query)))
+            .when(h.rlike(SCHEME), h)
+            .when(h.startswith("//"), F.concat(F.lit(b.scheme + ":"), path, tail(query)))
+            .when(path == "", F.concat(F.lit(origin + b.path), tail(no_path_query)))
+            .when(h.startswith("/"), with_origin(absolute))
             .otherwise(with_origin(relative)))
 
 

@@ -125,6 +125,7 @@ def area_link(h):
 def resolve(h, base):
     b = urlsplit(base)
     own = f"{b.scheme.lower()}:"
+    orig = h
     rest = f"substr({h}, {len(own) + 1})"
     h = (f"(CASE WHEN lower(substr({h}, 1, {len(own)})) = '{own}' AND (NOT starts_with({rest}, '//') "
          f"OR starts_with({rest}, '///')) THEN {rest} ELSE {h} END)")
@@ -133,31 +134,38 @@ def resolve(h, base):
     parts = b.path.split("/")
     if parts[-1] != "":
         parts = parts[:-1]
-    no_frag = base.split("#", 1)[0]
-    no_query = no_frag.split("?", 1)[0]
     path = f"regexp_extract({h}, '^([^?#]*)', 1)"
-    tail = f"substr({h}, length({path}) + 1)"
+    query = f"regexp_extract({h}, '^[^?#]*[?]([^#]*)', 1)"
+    frag = f"regexp_extract({h}, '^[^#]*#(.*)$', 1)"
+
+    def tail(q):
+        return (f"(CASE WHEN {q} <> '' THEN '?' || {q} ELSE '' END || "
+                f"CASE WHEN {frag} <> '' THEN '#' || {frag} ELSE '' END)")
+
     segs = f"string_split({path}, '/')"
 
     def dots(seglist):
         red = (f"list_reduce({seglist}, lambda acc, s: CASE WHEN s = '..' THEN acc[1:len(acc) - 1] "
                f"WHEN s = '.' THEN acc ELSE list_append(acc, s) END, []::VARCHAR[])")
         res = f"(CASE WHEN {seglist}[-1] IN ('.', '..') THEN list_append({red}, '') ELSE {red} END)"
-        j = f"array_to_string({res}, '/')"
-        return f"(CASE WHEN {j} = '' THEN '/' ELSE {j} END)"
+        return f"array_to_string({res}, '/')"
 
     base_list = "[" + ", ".join(f"'{p}'" for p in parts[1:]) + "]::VARCHAR[]"
     middle = f"list_filter(list_concat({base_list}, {segs}[1:len({segs}) - 1]), lambda s: s <> '')"
     rel = f"list_concat(['{parts[0]}']::VARCHAR[], {middle}, [{segs}[-1]])"
 
     def with_origin(p):
-        return f"('{origin}' || (CASE WHEN starts_with({p}, '/') THEN {p} ELSE '/' || {p} END) || {tail})"
-
-    return (f"(CASE WHEN {h} IS NULL THEN NULL WHEN {h} = '' THEN '{base}' "
-            f"WHEN regexp_matches({h}, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN {h} "
-            f"WHEN starts_with({h}, '//') THEN '{b.scheme}:' || {h} "
-            f"WHEN starts_with({h}, '?') THEN '{no_query}' || {h} "
-            f"WHEN starts_with({h}, '#') THEN '{no_frag}' || {h} "
+        return f"('{origin}/' || regexp_replace({p}, '^/', '') || {tail(query)})"
+
+    scheme_of = f"lower(regexp_extract({h}, '^([A-Za-z][A-Za-z0-9+.-]*):', 1))"
+    after_scheme = f"regexp_extract({h}, '^[A-Za-z][A-Za-z0-9+.-]*:([^?#]*)', 1)"
+    no_path_query = f"(CASE WHEN {query} <> '' THEN {query} ELSE '{b.query}' END)"
+    is_scheme = f"regexp_matches({h}, '^[A-Za-z][A-Za-z0-9+.-]*:')"
+    return (f"(CASE WHEN {orig} IS NULL THEN NULL WHEN {orig} = '' THEN '{base}' "
+            f"WHEN {is_scheme} AND {scheme_of} = '{b.scheme.lower()}' THEN '{b.scheme}:' || {after_scheme} || {tail(query)} "
+            f"WHEN {is_scheme} THEN {h} "
+            f"WHEN starts_with({h}, '//') THEN '{b.scheme}:' || {path} || {tail(query)} "
+            f"WHEN {path} = '' THEN '{origin}{b.path}' || {tail(no_path_query)} "
             f"WHEN starts_with({h}, '/') THEN {with_origin(dots(segs))} "
             f"ELSE {with_origin(dots(rel))} END)")
 

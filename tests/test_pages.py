@@ -89,7 +89,8 @@ def test_resolve_url_matches_urljoin(spark):
     parts = ["a", "b", "..", ".", "", "sao-paulo", "x y", "q?x=1", "f#top"]
     hrefs = ["", "/", "//other.host/p", "?q=1", "#frag", "http://h/x", "https://codigo-postal.org/a/../b",
              "../up", "./here", "a/b/../../c", "/abs/./x/../y", "..", ".", "../../../../z", "/a//b/../c/",
-             "https:x", "HTTPS:../y", "https:", "https:?q=1", "http:x", "https:///z"]
+             "https:x", "HTTPS:../y", "https:", "https:?q=1", "http:x", "https:///z", "x?", "x#", "?", "#",
+             "?#a", "?q#", "https://h/x?", "HTTPS://H/x", "//h/x?", "/a?", "https:#z", "x?y#z", "https:?"]
     for _ in range(300):
         n = rnd.randint(1, 5)
         h = "/".join(rnd.choice(parts) for _ in range(n))
