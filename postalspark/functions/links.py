@@ -9,7 +9,7 @@ from __future__ import annotations
 import re
 from urllib.parse import urlsplit
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postalspark.schemas import SKIPPED_LINK_PARTS
@@ -96,54 +96,79 @@ def _remove_dots(segments: Column) -> Column:
     return F.aggregate(segments, start, step, finish)
 
 
-def resolve_url(href, base: str) -> Column:
-    """Make ``href`` absolute against the constant ``base`` URL (``urljoin`` rules).
+def _url_parts(h: Column) -> dict[str, Column]:
+    return {"path": F.regexp_extract(h, PATH_PART, 1),
+            "query": F.regexp_extract(h, r"^[^?#]*\?([^#]*)", 1),
+            "frag": F.regexp_extract(h, r"^[^#]*#(.*)$", 1),
+            "scheme": F.lower(F.regexp_extract(h, r"^([A-Za-z][A-Za-z0-9+.-]*):", 1)),
+            "after_scheme": F.regexp_extract(h, r"^[A-Za-z][A-Za-z0-9+.-]*:([^?#]*)", 1)}
 
-    Dot segments are removed from merged paths; an empty query or fragment marker
-    is dropped; a reference with no path keeps the base path (and the base query
-    when it has none of its own).
-    """
+
+def _resolve_from(original: Column, h: Column, parts: dict[str, Column], base: str) -> Column:
     b = urlsplit(base)
     origin = f"{b.scheme}://{b.netloc}"
     base_dir_parts = b.path.split("/")
     if base_dir_parts[-1] != "":
         base_dir_parts = base_dir_parts[:-1]
-    original = _c(href)
-    h = _normalize(original, b.scheme)
-
-    path = F.regexp_extract(h, PATH_PART, 1)
-    query = F.regexp_extract(h, r"^[^?#]*\?([^#]*)", 1)
-    frag = F.regexp_extract(h, r"^[^#]*#(.*)$", 1)
+    path, query, frag = parts["path"], parts["query"], parts["frag"]
 
     def tail(q: Column) -> Column:
         return F.concat(F.when(q != "", F.concat(F.lit("?"), q)).otherwise(F.lit("")),
                         F.when(frag != "", F.concat(F.lit("#"), frag)).otherwise(F.lit("")))
 
     segs = F.split(path, "/")
-    absolute = _remove_dots(segs)
     middle = F.array_remove(F.concat(F.array(*[F.lit(p) for p in base_dir_parts[1:]]).cast("array<string>"),
                                      F.slice(segs, 1, F.size(segs) - 1)), "")
     relative_segs = F.concat(F.array(F.lit(base_dir_parts[0])), middle, F.array(F.element_at(segs, -1)))
-    relative = _remove_dots(relative_segs)
+    # Only a path with '.' or '..' segments needs the fold; any other path joins as is
+    # (relative ones under the base folder, with empty inner segments dropped).
+    dotted = path.rlike(r"(^|/)\.\.?(/|$)")
+    base_dir = "/" + "".join(p + "/" for p in base_dir_parts[1:] if p)
+    absolute = F.when(dotted, _remove_dots(segs)).otherwise(path)
+    relative = F.when(dotted, _remove_dots(relative_segs)).otherwise(
+        F.concat(F.lit(base_dir), F.regexp_replace(path, "/+", "/")))
 
     def with_origin(p: Column) -> Column:
         # a path always starts with '/' after the host
         return F.concat(F.lit(origin + "/"), F.regexp_replace(p, "^/", ""), tail(query))
 
-    scheme_of = F.lower(F.regexp_extract(h, r"^([A-Za-z][A-Za-z0-9+.-]*):", 1))
-    after_scheme = F.regexp_extract(h, r"^[A-Za-z][A-Za-z0-9+.-]*:([^?#]*)", 1)
     no_path_query = F.when(query != "", query).otherwise(F.lit(b.query))
+    has_scheme = parts["scheme"] != ""
     return (F.when(original.isNull(), F.lit(None).cast("string"))
             .when(original == "", F.lit(base))
-            .when(h.rlike(SCHEME) & (scheme_of == b.scheme.lower()),
-                  F.concat(F.lit(b.scheme + ":"), after_scheme, tail(query)))
-            .when(h.rlike(SCHEME), h)
+            .when(has_scheme & (parts["scheme"] == b.scheme.lower()),
+                  F.concat(F.lit(b.scheme + ":"), parts["after_scheme"], tail(query)))
+            .when(has_scheme, h)
             .when(h.startswith("//"), F.concat(F.lit(b.scheme + ":"), path, tail(query)))
             .when(path == "", F.concat(F.lit(origin + b.path), tail(no_path_query)))
             .when(h.startswith("/"), with_origin(absolute))
             .otherwise(with_origin(relative)))
 
 
+def resolve_url(href, base: str) -> Column:
+    """Make ``href`` absolute against the constant ``base`` URL (``urljoin`` rules).
+
+    Dot segments are removed from merged paths; an empty query or fragment marker
+    is dropped; a reference with no path keeps the base path (and the base query
+    when it has none of its own). ``resolve_links`` is the same rule on a frame,
+    with each part projected once.
+    """
+    original = _c(href)
+    h = _normalize(original, urlsplit(base).scheme)
+    return _resolve_from(original, h, _url_parts(h), base)
+
+
+def resolve_links(df: DataFrame, href: str, base: str, out: str) -> DataFrame:
+    """C12 on a frame: the link is split into parts in one projection and resolved in
+    the next, so every part is computed once per row."""
+    keep = [c for c in df.columns]
+    staged = df.select(*keep, _normalize(F.col(href), urlsplit(base).scheme).alias("_h"))
+    parts = _url_parts(F.col("_h"))
+    staged = staged.select(*keep, "_h", *[v.alias(f"_{k}") for k, v in parts.items()])
+    refs = {k: F.col(f"_{k}") for k in parts}
+    return staged.select(*keep, _resolve_from(F.col(href), F.col("_h"), refs, base).alias(out))
+
+
 def netloc(url) -> Column:
     """Host part with user info and port, '' when the URL has none."""
     return F.regexp_extract(_c(url), NETLOC, 1)

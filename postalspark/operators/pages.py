@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postalspark.functions import html as H
-from postalspark.functions.links import is_area_link, resolve_url, resolves_to_host
+from postalspark.functions.links import is_area_link, resolve_links, resolves_to_host
 from postalspark.schemas import DEFAULT_BASE_URL
 
 
@@ -61,7 +61,7 @@ def area_links(pages: DataFrame, base_url: str = DEFAULT_BASE_URL) -> DataFrame:
     all links gives the union.
     """
     links = page_links(pages).where(is_area_link("href") & resolves_to_host("href", base_url))
-    resolved = links.select("page_id", resolve_url("href", base_url).alias("url"))
+    resolved = resolve_links(links, "href", base_url, "url").select("page_id", "url")
     return resolved.dropDuplicates(["page_id", "url"])
 
 

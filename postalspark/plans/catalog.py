@@ -25,7 +25,7 @@ from postalspark.operators import lookup as ol
 from postalspark.operators import messages as om
 from postalspark.operators import pages as op
 from postalspark.operators import store as os_
-from postalspark.schemas import ADDRESS_FIELDS, EXPORT_FIELDS
+from postalspark.schemas import ADDRESS_FIELDS
 from postalspark.sources import codes as sc
 from postalspark.sources import envelopes as se
 from postalspark.sources import pages as sp
@@ -173,12 +173,12 @@ def c11(spark, sf):
 
 @query("C12_resolve_url")
 def c12(spark, sf):
-    return op.page_links(V(spark, sf, "area_pages")).select("page_id", "href", L.resolve_url("href", SITE).alias("url"))
+    return L.resolve_links(op.page_links(V(spark, sf, "area_pages")), "href", SITE, "url")
 
 
 @query("C13_same_host")
 def c13(spark, sf):
-    links = op.page_links(V(spark, sf, "area_pages")).select("page_id", L.resolve_url("href", SITE).alias("url"))
+    links = L.resolve_links(op.page_links(V(spark, sf, "area_pages")), "href", SITE, "url").select("page_id", "url")
     return links.select("page_id", "url", L.same_host("url", SITE).alias("same_host"))
 
 
@@ -522,5 +522,3 @@ def registered() -> dict[str, Query]:
                 raise
     return dict(QUERIES)
 
-
-_ = EXPORT_FIELDS

@@ -11,7 +11,7 @@ from postalspark.fixtures import with_views as W
 from postalspark.operators import messages as om
 from postalspark.operators import pages as op
 from postalspark.operators.lookup import not_found_codes
-from postalspark.plans.catalog import NOW, V, _valid, addresses, query
+from postalspark.plans.catalog import V, _valid, addresses, query
 from postalspark.schemas import ADDRESS_FIELDS, ERROR_LOG, EXPORT_FIELDS, PARQUET_FIELDS
 from postalspark.session import scratch_dir
 from postalspark.sinks import documents as sd
@@ -149,5 +149,3 @@ def sink_oracles(o: dict[str, str]) -> dict[str, str]:
                                 f"UNION ALL SELECT cep, error_type, error_message, {stamp} AS timestamp, context FROM ({j3})")
     return out
 
-
-_ = (NOW, EXPORT_DATE)
