@@ -9,6 +9,7 @@ the view carries one text per engine. Every view grows with its base tables.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 BASE_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
                "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -180,12 +181,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _attempts(spark: SparkSession) -> DataFrame:
+    """Spark form of ``attempts``: the per-code attempt number comes from a bucketed
+    running count, so a code holding a third of all failures is not one task."""
+    from postalspark.operators.scan import global_row_number
+    failures = spark.table("failures")
+    numbered = global_row_number(failures, "seq", "attempt", partition_by=["cep"])
+    return numbered.select("seq", "cep", "ts", "error_message", "status_code", F.col("attempt").cast("int").alias("attempt"))
+
+
+# Views built with DataFrame operators on the Spark side (same rows as the SQL text).
+SPARK_BUILDERS = {"attempts": _attempts}
+
+
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A derived view as a DataFrame (plans resolve at call time)."""
     needed = sorted({t for n in _closure([name]) for t in TABLES_OF.get(n, [])})
     register_tables(spark, sf_dir, needed)
     for n in _closure([name]):
-        spark.sql(_sql(n, "spark")).createOrReplaceTempView(n)
+        df = SPARK_BUILDERS[n](spark) if n in SPARK_BUILDERS else spark.sql(_sql(n, "spark"))
+        df.createOrReplaceTempView(n)
     return spark.table(name)
 
 

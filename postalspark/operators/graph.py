@@ -2,9 +2,11 @@
 
 The breadth-first search is iterated on the driver one level per step (the
 number of steps is the graph depth, not the number of rows). Each level is a
-join of the frontier with the edge table, which is hash-partitioned by
-``src`` and checkpointed once so every step shuffles only the frontier.
-Lineage is cut with reliable checkpoints in ``spark.checkpoint.dir``.
+join of the frontier with the edge table. The edge table is spread evenly over
+partitions (not hashed by ``src``: a hub page may own a third of all links) and
+checkpointed once; per level AQE broadcasts the frontier when it is measured
+small, or shuffles both sides and splits skewed partitions. Lineage is cut with
+reliable checkpoints in ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ def reach_pages(links: DataFrame, start: str = "base", max_depth: int | None = N
     ensure_checkpoint_dir(spark)
     n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     edges = (links.select("src", "dst").where(F.col("src").isNotNull() & F.col("dst").isNotNull())
-             .dropDuplicates().repartition(n_parts, "src").checkpoint())
+             .dropDuplicates().repartition(n_parts).checkpoint())
     # the start node is reached at depth 0 even when it has no edges at all
     visited = spark.range(1).select(F.lit(start).alias("node"), F.lit(0).alias("depth")).checkpoint()
     frontier = visited

@@ -116,6 +116,13 @@ def read_xml_export(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("xml").option("rowTag", "cep").schema(schema).load(f"{path}/ceps")
 
 
+def write_messages(published: DataFrame, path: str) -> str:
+    """K13 batch publish: one message body per line (a file queue; ``format("kafka")``
+    with a ``value`` column publishes the same frame to a topic)."""
+    published.select("value").write.mode("append").text(path)
+    return path
+
+
 def write_parquet(addresses: DataFrame, path: str) -> str:
     """K8: overwrite the result set as Parquet with the eight job columns."""
     addresses.select(*PARQUET_FIELDS).write.mode("overwrite").parquet(path)

@@ -82,3 +82,10 @@ def test_request_status(spark):
     got = {r.row_id: r.status_code for r in ol.request_status(req, resp).collect()}
     assert got == {1: 200, 2: 404, 3: 400, 4: 404}
     assert F is not None
+
+
+def test_attempt_numbers_match_row_number(spark, sf_small):
+    from postalspark import fixtures as fx
+    built = {r.seq: r.attempt for r in fx.view(spark, sf_small, "attempts").collect()}
+    sql = spark.sql("SELECT seq, row_number() OVER (PARTITION BY cep ORDER BY seq) AS attempt FROM failures")
+    assert built == {r.seq: r.attempt for r in sql.collect()}

@@ -152,3 +152,10 @@ def test_host_check_before_resolution(spark):
     df = spark.createDataFrame([(h,) for h in hrefs], "h string")
     got = [tuple(r) for r in df.select(resolves_to_host("h", BASE), same_host(resolve_url("h", BASE), BASE)).collect()]
     assert all(a == b for a, b in got), list(zip(hrefs, got))
+
+
+def test_reach_pages_with_a_hub(spark):
+    edges = [("base", "hub")] + [("hub", f"p{i}") for i in range(500)] + [(f"p{i}", f"q{i % 7}") for i in range(500)]
+    links = spark.createDataFrame(edges, "src string, dst string")
+    got = {r.node: r.depth for r in og.reach_pages(links).collect()}
+    assert got["hub"] == 1 and got["p499"] == 2 and got["q6"] == 3 and len(got) == 1 + 1 + 500 + 7
