@@ -37,6 +37,7 @@ def xml_document(rows: DataFrame, pretty: bool = False) -> Column:
 
 def write_json_by_group(rows: DataFrame, path: str, group: str = "uf") -> str:
     """K4 per group: one folder per group value, JSON Lines inside, NULL fields kept."""
-    (rows.repartition(group).write.mode("overwrite").partitionBy(group)
+    # range partitions on (group, cep): a dominant group is written by many tasks
+    (rows.repartitionByRange(group, "cep").write.mode("overwrite").partitionBy(group)
      .option("ignoreNullFields", False).json(path))
     return path

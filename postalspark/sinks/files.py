@@ -8,7 +8,7 @@ job (per row or per group value).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from postalspark.functions.codes import dehyphenate
@@ -50,8 +50,14 @@ def export_rows(addresses: DataFrame) -> DataFrame:
                             iso_timestamp("updated_at").alias("updated_at"))
 
 
-def _metadata(spark: SparkSession, total: DataFrame, export_date: str, limit, offset, with_paging: bool) -> DataFrame:
-    md = total.select(F.lit(export_date).alias("export_date"), F.col("n").alias("total_ceps"))
+def _observed(rows: DataFrame) -> tuple[DataFrame, Observation]:
+    """Count rows while they are written (no second pass over the data)."""
+    obs = Observation()
+    return rows.observe(obs, F.count(F.lit(1)).alias("n")), obs
+
+
+def _metadata(spark: SparkSession, total: int, export_date: str, limit, offset, with_paging: bool) -> DataFrame:
+    md = spark.range(1).select(F.lit(export_date).alias("export_date"), F.lit(total).cast("long").alias("total_ceps"))
     if with_paging:
         md = md.withColumn("limit", F.lit(limit).cast("int")).withColumn("offset", F.lit(int(offset)).cast("int"))
     return md
@@ -66,11 +72,11 @@ def export_json(addresses: DataFrame, path: str, export_date: str, limit: int |
     rows = export_rows(scan_addresses(addresses, limit, offset))
     if rows.isEmpty():
         return False
-    rows.write.mode("overwrite").option("ignoreNullFields", False).json(f"{path}/ceps")
+    counted, obs = _observed(rows)
+    counted.write.mode("overwrite").option("ignoreNullFields", False).json(f"{path}/ceps")
     if include_metadata:
-        total = rows.agg(F.count(F.lit(1)).alias("n"))
-        (_metadata(_spark(rows), total, export_date, limit, offset, with_paging)
-         .coalesce(1).write.mode("overwrite").option("ignoreNullFields", False).json(f"{path}/metadata"))
+        (_metadata(_spark(rows), obs.get["n"], export_date, limit, offset, with_paging)
+         .write.mode("overwrite").option("ignoreNullFields", False).json(f"{path}/metadata"))
     return True
 
 
@@ -89,16 +95,17 @@ def export_xml(addresses: DataFrame, path: str, export_date: str, limit: int | N
     rows = export_rows(scan_addresses(addresses, limit, offset))
     if rows.isEmpty():
         return False
-    (rows.write.mode("overwrite").format("xml").option("rootTag", root_element_name)
+    counted, obs = _observed(rows)
+    (counted.write.mode("overwrite").format("xml").option("rootTag", root_element_name)
      .option("rowTag", "cep").save(f"{path}/ceps"))
     if include_metadata:
-        total = rows.agg(F.count(F.lit(1)).alias("n"))
-        md = total.select(F.lit(export_date).alias("export_date"), F.col("n").alias("total_ceps"))
+        md = _spark(rows).range(1).select(F.lit(export_date).alias("export_date"),
+                                          F.lit(obs.get["n"]).cast("long").alias("total_ceps"))
         if with_paging and limit is not None:
             md = md.withColumn("limit", F.lit(int(limit)))
         if with_paging and offset > 0:
             md = md.withColumn("offset", F.lit(int(offset)))
-        (md.coalesce(1).write.mode("overwrite").format("xml").option("rootTag", root_element_name)
+        (md.write.mode("overwrite").format("xml").option("rootTag", root_element_name)
          .option("rowTag", "metadata").save(f"{path}/metadata"))
     return True
 

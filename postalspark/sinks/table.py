@@ -70,7 +70,9 @@ class AddressTable:
 
     def commit(self, rows: DataFrame, batch_id: int | None = None) -> str:
         version = f"v-{uuid.uuid4().hex}"
-        (rows.select(*ADDRESS.fieldNames()).repartition("uf").sortWithinPartitions("localidade", "created_at")
+        # range partitions on (uf, localidade): a dominant state is split over many tasks
+        (rows.select(*ADDRESS.fieldNames()).repartitionByRange("uf", "localidade")
+         .sortWithinPartitions("uf", "localidade", "created_at")
          .write.mode("errorifexists").parquet(f"{self.root}/{version}"))
         self._write_pointer(version, self.last_batch() if batch_id is None else batch_id)
         return version
@@ -109,5 +111,5 @@ def load_table(rows: DataFrame, name: str) -> None:
     """Insert rows into a declared table; the uf/localidade/created_at indexes become
     partition pruning on uf and min/max statistics from sorting inside files."""
     cols = [f.name for f in rows.sparkSession.table(name).schema.fields]
-    (rows.select(*cols).repartition("uf").sortWithinPartitions("localidade", "created_at")
+    (rows.select(*cols).repartitionByRange("uf", "localidade").sortWithinPartitions("uf", "localidade", "created_at")
      .write.insertInto(name))

@@ -60,3 +60,11 @@ def test_group_files_and_parquet(spark):
     out = sf.write_parquet(table(spark), scratch_dir(spark, "pq"))
     assert spark.read.parquet(out).columns == ["cep", "logradouro", "complemento", "bairro", "localidade", "uf",
                                                "ibge", "ddd"]
+
+
+def test_bare_export_has_no_metadata(spark):
+    from postalspark.sources.codes import path_exists
+    path = scratch_dir(spark, "bare")
+    assert sf.export_json_rows(table(spark), path, "x", include_metadata=False)
+    assert spark.read.json(f"{path}/ceps").count() == 2
+    assert not path_exists(spark, f"{path}/metadata")
