@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from postalspark.functions.responses import is_json
 from postalspark.operators.scan import key_range, running_total
+from postalspark.session import ensure_checkpoint_dir
 from postalspark.schemas import (FAILURE_PAUSE_FACTOR, MAX_BACKOFF_MULTIPLIER, MAX_CONSECUTIVE_ERRORS,
                                  RATE_LIMIT_PER_SECOND)
 
@@ -61,7 +62,10 @@ def failure_streaks(kept: DataFrame, seq: str = "seq", consumer: str = "consumer
     run of three). Runs are cut by a running count of successes.
     """
     bounds = bounds or key_range(kept, seq)
-    s = running_total(kept, seq, F.col(ok).cast("long"), "_run", partition_by=[consumer], bounds=bounds)
+    ensure_checkpoint_dir(kept.sparkSession)
+    # each scan reads its input twice; a reliable checkpoint between the two levels
+    # keeps the second level from recomputing the first one twice over
+    s = running_total(kept, seq, F.col(ok).cast("long"), "_run", partition_by=[consumer], bounds=bounds).checkpoint()
     k = running_total(s, seq, (~F.col(ok)).cast("long"), "k", partition_by=[consumer, "_run"], bounds=bounds)
     n = MAX_CONSECUTIVE_ERRORS
     streak = F.when(F.col(ok), F.lit(0)).otherwise(((F.col("k") - 1) % n) + 1)
@@ -88,7 +92,7 @@ def pacing_schedule(kept: DataFrame, rate_per_second: float = RATE_LIMIT_PER_SEC
     mult = F.least(F.pow(F.lit(2.0), F.floor(F.col("k") / MAX_CONSECUTIVE_ERRORS).cast("double")),
                    F.lit(MAX_BACKOFF_MULTIPLIER))
     pause = F.when(F.col(ok), F.lit(d)).otherwise(F.greatest(F.lit(FAILURE_PAUSE_FACTOR), mult) * F.lit(d))
-    paced = st.withColumn("pause", pause.cast("double"))
+    paced = st.withColumn("pause", pause.cast("double")).checkpoint()
     started = running_total(paced, seq, F.col("pause"), "_until", partition_by=[consumer], bounds=bounds)
     return started.withColumn("start", F.col("_until") - F.col("pause")).drop("_until")
 

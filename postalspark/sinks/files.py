@@ -143,8 +143,9 @@ def append_errors(errors: DataFrame, path: str | None, recorded_at=None, mode: s
     a missing timestamp is the UTC time of the write.
     """
     cols = errors.columns
+    utc_now = F.to_utc_timestamp(F.current_timestamp(), _spark(errors).conf.get("spark.sql.session.timeZone"))
     ts = F.col("timestamp") if "timestamp" in cols else iso_timestamp(
-        recorded_at if recorded_at is not None else F.current_timestamp())
+        recorded_at if recorded_at is not None else utc_now)
     ctx = F.col("context") if "context" in cols else F.lit("")
     rows = errors.select("cep", "error_type", "error_message", ts.alias("timestamp"), ctx.alias("context"))
     path = path or scratch_dir(_spark(errors), "errors_csv")

@@ -23,6 +23,19 @@ def scan_addresses(addresses: DataFrame, limit: int | None = None, offset: int =
     return out
 
 
+def read_address_table_jdbc(spark: SparkSession, url: str, table: str = "ceps", properties: dict | None = None,
+                            num_partitions: int = 8) -> DataFrame:
+    """S5 from an existing relational table: a parallel JDBC read split on the code
+    (eight-digit text, so the split bounds are numeric casts of it)."""
+    query = f"(SELECT *, CAST(cep AS BIGINT) AS cep_num FROM {table}) t"
+    reader = (spark.read.format("jdbc").option("url", url).option("dbtable", query)
+              .option("partitionColumn", "cep_num").option("lowerBound", 0).option("upperBound", 99999999)
+              .option("numPartitions", num_partitions))
+    for k, v in (properties or {}).items():
+        reader = reader.option(k, v)
+    return reader.load().drop("cep_num")
+
+
 def read_error_log(spark: SparkSession, path: str) -> DataFrame:
     """The error CSV with its fixed header; a missing file reads as empty.
 

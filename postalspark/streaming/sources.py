@@ -34,6 +34,19 @@ def stream_messages(spark: SparkSession, path: str, max_files_per_trigger: int |
     return r.json(path)
 
 
+def stream_messages_kafka(spark: SparkSession, bootstrap_servers: str, topic: str,
+                          max_offsets_per_trigger: int | None = None) -> DataFrame:
+    """S7 on a Kafka topic: one row per record with its offset as ``seq`` and the
+    message text as ``body`` (the Kafka connector must be on the classpath)."""
+    r = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", bootstrap_servers)
+         .option("subscribe", topic).option("startingOffsets", "earliest"))
+    if max_offsets_per_trigger:
+        r = r.option("maxOffsetsPerTrigger", int(max_offsets_per_trigger))
+    return r.load().select(F.col("offset").alias("seq"), F.col("timestamp").alias("ts"),
+                           F.col("partition").cast("long").alias("consumer"),
+                           F.col("value").cast("string").alias("body"))
+
+
 def stream_uploaded_csv(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Each newly arrived code CSV, validated (C4); other columns kept as text."""
     r = spark.readStream.schema("row_id string, cep string").option("header", True)
