@@ -162,18 +162,14 @@ TABLES_OF: dict[str, list[str]] = {
     "links": ["region", "nation", "supplier"], "db_urls": ["pages"],
 }
 
-_registered: dict[tuple[int, str], str] = {}
-
-
 def register_tables(spark: SparkSession, sf_dir: str, names=None) -> None:
-    """Register the parquet tables of ``sf_dir`` as temp views of the same name."""
+    """Register the parquet tables of ``sf_dir`` as temp views of the same name.
+
+    Always re-registered: another caller may have bound the same names elsewhere.
+    """
     sf_dir = sf_dir.rstrip("/")
     for t in names or BASE_TABLES:
-        key = (id(spark), t)
-        if _registered.get(key) == sf_dir and spark.catalog.tableExists(t):
-            continue
         spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
-        _registered[key] = sf_dir
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
