@@ -42,3 +42,18 @@ def error_summary(log: DataFrame) -> DataFrame:
     level = (F.when((F.col("_gt") == 0), F.lit("by_type"))
              .when(F.col("_gc") == 0, F.lit("by_cep")).otherwise(F.lit("total")))
     return g.select(level.alias("level"), "error_type", "cep", "errors", "distinct_ceps")
+
+
+def error_summary_maps(log: DataFrame) -> DataFrame:
+    """A4 as one row: total, errors by type as a map, and the distinct code count.
+
+    The type map is built from at most seven aggregated rows; the per-code counts
+    stay in long form (``error_summary``), since a map over every code is unbounded.
+    """
+    by_type = log.groupBy("error_type").agg(F.count(F.lit(1)).alias("n"))
+    type_map = by_type.agg(F.map_from_entries(F.collect_list(F.struct("error_type", "n"))).alias("by_type"),
+                           F.sum("n").alias("total_errors"))
+    codes = log.agg(F.count_distinct("cep").alias("unique_ceps_with_errors")).withColumn("_k", F.lit(1))
+    # both sides are one-row aggregates; the constant key joins them (size 1 by construction)
+    return (type_map.select("total_errors", "by_type").withColumn("_k", F.lit(1))
+            .join(F.broadcast(codes), "_k").drop("_k"))

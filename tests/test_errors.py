@@ -59,3 +59,9 @@ def test_write_filter_count_clear(spark):
     clear_errors(spark, path)
     assert read_error_log(spark, path).count() == 0
     assert spark.read.text(path).first().value == "cep,error_type,error_message,timestamp,context"
+
+
+def test_summary_as_maps(spark):
+    r = oe.error_summary_maps(log(spark)).first()
+    assert r.total_errors == 4 and r.unique_ceps_with_errors == 3
+    assert r.by_type == {"api_timeout": 1, "api_error": 2, "cep_not_found": 1}
