@@ -343,8 +343,9 @@ def a4(spark, sf):
 def _batched_results(spark, sf):
     codes = sc.scan_codes_unvalidated(V(spark, sf, "raw_codes"))
     batched = oc.number_batches(codes, oc.batch_size_for(GLUE_RATE))
-    # one lookup per distinct code; per-row results keep their batch via a join on the code
-    answers = ol.enrich_codes(batched, V(spark, sf, "responses")).select("cep", "found")
+    # one lookup per distinct code (read before numbering); per-row results keep their
+    # batch via a join on the code
+    answers = ol.enrich_codes(codes, V(spark, sf, "responses")).select("cep", "found")
     return batched.join(answers, "cep", "left").withColumn("found", F.coalesce("found", F.lit(False)))
 
 

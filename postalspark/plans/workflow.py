@@ -93,9 +93,10 @@ def batch_job(spark: SparkSession, codes: DataFrame, responses: DataFrame, out_p
     """Codes -> lookups in batches -> stored rows -> Parquet -> per-batch and job totals."""
     cleaned = sc.scan_codes_unvalidated(codes)
     batched = oc.number_batches(cleaned, oc.batch_size_for(rate_per_second))
-    answers = ol.enrich_codes(batched, responses).select("cep", "found")
+    # lookups read the codes before numbering, so the numbering plan runs once
+    answers = ol.enrich_codes(cleaned, responses).select("cep", "found")
     results = batched.join(answers, "cep", "left").withColumn("found", F.coalesce("found", F.lit(False)))
-    sf_.write_parquet(ol.process_codes(batched, responses, now), out_path)
+    sf_.write_parquet(ol.process_codes(cleaned, responses, now), out_path)
     return om.batch_stats(results)
 
 
