@@ -13,11 +13,17 @@ from pyspark.sql import functions as F
 
 from postalspark.functions.errors import classify_error, error_context, is_connection_error, retry_backoff
 from postalspark.functions.responses import MALFORMED, NOT_FOUND, NOT_OBJECT, OK, address_columns
-from postalspark.schemas import ADDRESS_FIELDS, RETRY_ATTEMPTS
+from postalspark.schemas import (ADDRESS_FIELDS, DEFAULT_SERVICE_URL, MSG_HTTP_404, MSG_MALFORMED, MSG_NOT_FOUND,
+                                 MSG_NOT_OBJECT, RETRY_ATTEMPTS)
 from postalspark.sources.responses import parse_responses
 
 ABSENT = "absent"
-DEFAULT_SERVICE_URL = "https://viacep.com.br/ws"
+
+
+def _message(template: str, cep, **fixed) -> F.Column:
+    """A fixed message text with the code put in place of ``{cep}``."""
+    head, tail = template.format(cep="\0", **fixed).split("\0")
+    return F.concat(F.lit(head), cep, F.lit(tail))
 
 
 def lookup_table(responses: DataFrame) -> DataFrame:
@@ -64,11 +70,10 @@ def not_found_codes(codes: DataFrame, responses: DataFrame,
     """
     enriched = enrich_codes(codes, responses).where(~F.col("found"))
     s, cep = F.col("status"), F.col("cep")
-    message = (F.when(s == NOT_FOUND, F.concat(F.lit("CEP "), cep, F.lit(" not found in ViaCEP")))
-               .when(s == NOT_OBJECT, F.concat(F.lit("Invalid response format for CEP "), cep))
-               .when(s == MALFORMED, F.concat(F.lit("Invalid JSON in response for CEP "), cep))
-               .otherwise(F.concat(F.lit("404 Client Error: Not Found for url: " + service_url.rstrip("/") + "/"),
-                                   cep, F.lit("/json/"))))
+    message = (F.when(s == NOT_FOUND, _message(MSG_NOT_FOUND, cep))
+               .when(s == NOT_OBJECT, _message(MSG_NOT_OBJECT, cep))
+               .when(s == MALFORMED, _message(MSG_MALFORMED, cep))
+               .otherwise(_message(MSG_HTTP_404, cep, url=service_url.rstrip("/"))))
     status_code = F.when(s == NOT_FOUND, F.lit(200)).when(s == ABSENT, F.lit(404))
     retry = F.when(s.isin(MALFORMED, ABSENT), F.lit(attempts))
     return enriched.select("cep", classify_error(message).alias("error_type"), message.alias("error_message"),

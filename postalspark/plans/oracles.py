@@ -15,7 +15,8 @@ from postalspark.functions.html import (A_HREF, A_HREF_TEXT, ANY_TAG, CODE_IN_HR
 from postalspark.functions.links import NETLOC
 from postalspark.plans.catalog import (CITY, ERROR_TYPE, MAX_CODES, NOW, PAGE_LIMIT, PAGE_OFFSET, POINT_CODE,
                                        PROCESS_LIMIT, SITE, STATE)
-from postalspark.schemas import ADDRESS_FIELDS, CONNECTION_ERROR_PHRASES, PY_WHITESPACE_CLASS, SKIPPED_LINK_PARTS
+from postalspark.schemas import (ADDRESS_FIELDS, CONNECTION_ERROR_PHRASES, DEFAULT_SERVICE_URL, MSG_HTTP_404,
+                                 MSG_MALFORMED, MSG_NOT_FOUND, MSG_NOT_OBJECT, PY_WHITESPACE_CLASS, SKIPPED_LINK_PARTS)
 
 WS = PY_WHITESPACE_CLASS
 CODE_IN_TEXT = r"\b[0-9]{5}-?[0-9]{3}\b"
@@ -328,11 +329,13 @@ def oracles() -> dict[str, str]:
     o["J1_enrich_codes"] = W("SELECT * FROM j1", "raw_codes", "responses", ctes=",\n".join([F1, PARSED, ENRICH]))
     o["J2_process_codes"] = W(f"""SELECT {', '.join(c14_cols('body'))}, {TS_NOW} AS created_at, {TS_NOW} AS updated_at
   FROM responses WHERE {status('body')} = 'ok' AND code IN (SELECT cep FROM f1)""", "raw_codes", "responses", ctes=F1)
-    svc = "404 Client Error: Not Found for url: https://viacep.com.br/ws/"
-    msg = (f"(CASE WHEN status = 'not_found' THEN 'CEP ' || cep || ' not found in ViaCEP' "
-           f"WHEN status = 'not_object' THEN 'Invalid response format for CEP ' || cep "
-           f"WHEN status = 'malformed' THEN 'Invalid JSON in response for CEP ' || cep "
-           f"ELSE '{svc}' || cep || '/json/' END)")
+    def text(template, **fixed):
+        head, tail = template.format(cep="\0", **fixed).split("\0")
+        return f"'{head}' || cep || '{tail}'"
+    msg = (f"(CASE WHEN status = 'not_found' THEN {text(MSG_NOT_FOUND)} "
+           f"WHEN status = 'not_object' THEN {text(MSG_NOT_OBJECT)} "
+           f"WHEN status = 'malformed' THEN {text(MSG_MALFORMED)} "
+           f"ELSE {text(MSG_HTTP_404, url=DEFAULT_SERVICE_URL)} END)")
     sc_ = "(CASE WHEN status = 'not_found' THEN 200 WHEN status = 'absent' THEN 404 END)"
     ra = "(CASE WHEN status IN ('malformed', 'absent') THEN 3 END)"
     o["J3_not_found_codes"] = W(f"""SELECT cep, {classify(msg)} AS error_type, {msg} AS error_message,

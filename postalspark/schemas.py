@@ -34,6 +34,12 @@ SKIPPED_LINK_PARTS = ["/blog/", "/sobre/", "/contato/", "/meu-cep/"]
 DEFAULT_BASE_URL = "https://codigo-postal.org/pt-br/brasil/sp/sao-paulo/"
 DEFAULT_MAX_CODES = 10000
 REGIONAL_PREFIX = "0"
+# Lookup service address and the texts logged for failed lookups ({cep} is the code).
+DEFAULT_SERVICE_URL = "https://viacep.com.br/ws"
+MSG_NOT_FOUND = "CEP {cep} not found in ViaCEP"
+MSG_NOT_OBJECT = "Invalid response format for CEP {cep}"
+MSG_MALFORMED = "Invalid JSON in response for CEP {cep}"
+MSG_HTTP_404 = "404 Client Error: Not Found for url: {url}/{cep}/json/"
 # Lookup retries, base retry delay (s), consumer rate (msg/s) and streak length.
 RETRY_ATTEMPTS = 3
 RETRY_DELAY = 1.0
