@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from postalspark.functions.errors import classify_error, error_context, is_connection_error, retry_backoff
 from postalspark.functions.responses import MALFORMED, NOT_FOUND, NOT_OBJECT, OK, address_columns
+from postalspark.operators.joins import broadcast_if_small
 from postalspark.schemas import (ADDRESS_FIELDS, DEFAULT_SERVICE_URL, MSG_HTTP_404, MSG_MALFORMED, MSG_NOT_FOUND,
                                  MSG_NOT_OBJECT, RETRY_ATTEMPTS)
 from postalspark.sources.responses import parse_responses
@@ -39,7 +40,7 @@ def enrich_codes(codes: DataFrame, responses: DataFrame, distinct: bool = True)
     c = codes.select("cep").where(F.col("cep").isNotNull())
     if distinct:
         c = c.dropDuplicates(["cep"])
-    answers = lookup_table(responses).withColumnRenamed("cep", "resp_cep")
+    answers = broadcast_if_small(lookup_table(responses).withColumnRenamed("cep", "resp_cep"))
     j = c.join(answers, c["cep"] == answers["code"], "left")
     status = F.coalesce(F.col("status"), F.lit(ABSENT))
     return j.select("cep", (status == OK).alias("found"), status.alias("status"),
@@ -133,7 +134,7 @@ def request_status(requests: DataFrame, responses: DataFrame) -> DataFrame:
     """Request rows -> 400 bad code / 404 not found / 200 with the answer body."""
     from postalspark.functions.codes import is_code_length, request_code
     from postalspark.functions.responses import response_status
-    answers = responses.select("code", "body", response_status("body").alias("status"))
+    answers = broadcast_if_small(responses.select("code", "body", response_status("body").alias("status")))
     r = requests.withColumn("code", request_code("cep"))
     j = r.join(answers, "code", "left")
     bad = ~is_code_length(F.col("cep"))

@@ -15,6 +15,7 @@ from postalspark.operators import codes as oc
 from postalspark.operators import graph as og
 from postalspark.operators import lookup as ol
 from postalspark.operators import messages as om
+from postalspark.operators.joins import broadcast_if_small
 from postalspark.plans.catalog import NOW, V, addresses, node_pages, query
 from postalspark.session import scratch_dir
 from postalspark.sinks import files as sf_
@@ -25,13 +26,13 @@ from postalspark.sources import codes as sc
 def codes_by_state(codes: DataFrame, responses: DataFrame) -> DataFrame:
     """Flagship: valid codes enriched by the directory, counted per state.
 
-    One equi-join of every valid code row with the found answers (the answer side
-    is the small one; AQE broadcasts it when its measured size allows), then a
-    two-phase aggregate per state.
+    One equi-join of every valid code row with the found answers (broadcast when
+    their estimated size is within the bound, else sort-merge with AQE's skew
+    split), then a two-phase aggregate per state.
     """
     valid = oc.valid_codes(codes).select("cep")
     found = ol.lookup_table(responses).where(F.col("status") == "ok").select(F.col("code").alias("cep"), "uf")
-    return (valid.join(found, "cep")
+    return (valid.join(broadcast_if_small(found), "cep")
             .groupBy("uf").agg(F.count(F.lit(1)).alias("codes"), F.count_distinct("cep").alias("distinct_codes")))
 
 

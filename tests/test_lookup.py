@@ -89,3 +89,12 @@ def test_attempt_numbers_match_row_number(spark, sf_small):
     built = {r.seq: r.attempt for r in fx.view(spark, sf_small, "attempts").collect()}
     sql = spark.sql("SELECT seq, row_number() OVER (PARTITION BY cep ORDER BY seq) AS attempt FROM failures")
     assert built == {r.seq: r.attempt for r in sql.collect()}
+
+
+def test_broadcast_only_under_the_bound(spark):
+    from postalspark.operators.joins import broadcast_if_small, estimated_bytes
+    small = spark.range(10)
+    assert estimated_bytes(small) > 0
+    plan_small = spark.range(1000).join(broadcast_if_small(small, 10**9), "id")._jdf.queryExecution().optimizedPlan().toString()
+    plan_big = spark.range(1000).join(broadcast_if_small(small, 1), "id")._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" in plan_small.lower() and "broadcast" not in plan_big.lower()
