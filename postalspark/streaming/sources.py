@@ -34,6 +34,15 @@ def stream_messages(spark: SparkSession, path: str, max_files_per_trigger: int |
     return r.json(path)
 
 
+def stream_message_lines(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """S7 on plain text: one message body per line (what ``sinks.files.write_messages``
+    publishes); the body column is ``body``."""
+    r = spark.readStream
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    return r.text(path).select(F.col("value").alias("body"))
+
+
 def stream_messages_kafka(spark: SparkSession, bootstrap_servers: str, topic: str,
                           max_offsets_per_trigger: int | None = None) -> DataFrame:
     """S7 on a Kafka topic: one row per record with its offset as ``seq`` and the

@@ -55,3 +55,15 @@ def test_rate_cap_one_file_per_batch(spark, sf_small):
     sizes = se.batch_sizes(spark, ss.stream_messages(spark, src, 1), scratch_dir(spark, "cap_out"),
                            scratch_dir(spark, "cap_ckpt")).collect()
     assert len(sizes) == 3 and sum(r.rows for r in sizes) == m.count()
+
+
+def test_published_lines_stream_back(spark, sf_small):
+    from postalspark.operators.codes import valid_codes
+    from postalspark.sinks.files import write_messages
+    valid = valid_codes(fx.view(spark, sf_small, "raw_codes"))
+    queue = write_messages(om.publish_messages(valid), scratch_dir(spark, "queue"))
+    out = scratch_dir(spark, "lines_out")
+    stream = ss.stream_message_lines(spark, queue)
+    se.run_available(stream, lambda b, i: se.write_batch(om.drop_bad_messages(b), out, i), scratch_dir(spark, "lines_ckpt"))
+    got = sorted(r.cep for r in spark.read.parquet(out).collect())
+    assert got == sorted(r.cep for r in valid.collect())
