@@ -4,9 +4,11 @@ The breadth-first search is iterated on the driver one level per step (the
 number of steps is the graph depth, not the number of rows). Each level is a
 join of the frontier with the edge table. The edge table is spread evenly over
 partitions (not hashed by ``src``: a hub page may own a third of all links) and
-checkpointed once; per level AQE broadcasts the frontier when it is measured
-small, or shuffles both sides and splits skewed partitions. Lineage is cut with
-reliable checkpoints in ``spark.checkpoint.dir``.
+checkpointed once. Each level's frontier is counted exactly (the count also
+ends the loop); a frontier of at most ``FRONTIER_BROADCAST_ROWS`` nodes is
+broadcast, so the edges are streamed where they lie with no shuffle; a larger
+one is joined by sort-merge with AQE's skew split. Lineage is cut with reliable
+checkpoints in ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
@@ -19,6 +21,9 @@ from postalspark.operators.pages import page_codes
 from postalspark.operators.scan import running_total
 from postalspark.session import ensure_checkpoint_dir
 
+# Largest frontier (node count, exact) that is broadcast to the edge partitions.
+FRONTIER_BROADCAST_ROWS = 2_000_000
+
 
 def reach_pages(links: DataFrame, start: str = "base", max_depth: int | None = None) -> DataFrame:
     """G1: every node reachable from ``start`` with its breadth-first depth (start = 0)."""
@@ -29,16 +34,20 @@ def reach_pages(links: DataFrame, start: str = "base", max_depth: int | None = N
              .dropDuplicates().repartition(n_parts).checkpoint())
     # the start node is reached at depth 0 even when it has no edges at all
     visited = spark.range(1).select(F.lit(start).alias("node"), F.lit(0).alias("depth")).checkpoint()
-    frontier = visited
+    frontier, frontier_rows = visited, 1
     depth = 0
     while max_depth is None or depth < max_depth:
         depth += 1
-        nxt = (frontier.select(F.col("node").alias("src")).join(edges, "src")
+        sources = frontier.select(F.col("node").alias("src"))
+        if frontier_rows <= FRONTIER_BROADCAST_ROWS:
+            sources = F.broadcast(sources)
+        nxt = (edges.join(sources, "src")
                .select(F.col("dst").alias("node")).dropDuplicates()
                .join(visited.select("node"), "node", "left_anti")
                .withColumn("depth", F.lit(depth))
                .checkpoint())
-        if nxt.isEmpty():
+        frontier_rows = nxt.count()
+        if frontier_rows == 0:
             break
         visited = visited.unionByName(nxt).checkpoint()
         frontier = nxt
@@ -77,7 +86,9 @@ def collect_codes(links: DataFrame, pages: DataFrame, max_codes: int, start: str
     """
     reached = reach_pages(links, start)
     visited_pages = pages.join(reached, "node").select("page_id", "depth", "html")
-    codes = page_codes(visited_pages)
+    # the (page, code) pairs feed two branches; materialise them once instead of
+    # running the regex stages over every page's HTML twice
+    codes = page_codes(visited_pages).checkpoint()
     kept = collection_progress(codes, visited_pages.select("page_id", "depth"), max_codes)
     collected = codes.join(kept.select("page_id"), "page_id", "left_semi")
     return cap_codes(collected, max_codes)
