@@ -67,6 +67,10 @@ SELECT c_custkey AS page_id, 'https://codes.example/pt-br/brasil/sp/sao-paulo/p'
   WHEN 3 THEN '<p>' || c8 || '</p>' ELSE '<p>none</p>' END AS html
  FROM (SELECT c_custkey, c_nationkey, c8, substr(c8,1,5) || '-' || substr(c8,6,3) AS h FROM
   (SELECT c_custkey, c_nationkey, """ + _CODE_OF.format(k="c_custkey") + """ AS c8 FROM customer) a) b""",
+    # everything crawled: the code pages and the raw web pages (ids kept apart)
+    "crawl_pages": """
+SELECT page_id, url, html FROM code_pages
+UNION ALL SELECT -page_id - 1 AS page_id, url, html FROM pages""",
     # pages with area links of every kind the crawl filter must judge
     "area_pages": """
 SELECT c_custkey AS page_id, 'https://codes.example/pt-br/brasil/sp/sao-paulo/p' || CAST(c_nationkey AS STRING) || '/' AS url,
@@ -128,6 +132,7 @@ DEPENDS: dict[str, list[str]] = {
     "responses": ["directory"],
     "responses_versions": ["responses"],
     "attempts": ["failures"],
+    "crawl_pages": ["code_pages"],
     "handler_events": ["messages"],
     "envelopes": ["messages"],
 }
@@ -158,7 +163,7 @@ def _closure(names) -> list[str]:
 # Driver tables each view reads.
 TABLES_OF: dict[str, list[str]] = {
     "raw_codes": ["orders"], "directory": ["customer", "nation"], "messages": ["events"],
-    "failures": ["events"], "code_pages": ["customer"], "area_pages": ["customer", "nation"],
+    "failures": ["events"], "code_pages": ["customer"], "crawl_pages": ["pages"], "area_pages": ["customer", "nation"],
     "links": ["region", "nation", "supplier"], "db_urls": ["pages"],
 }
 

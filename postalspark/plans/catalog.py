@@ -450,7 +450,7 @@ def l5(spark, sf):
 # ---------------------------------------------------------------- set operations
 @query("U1_page_codes")
 def u1(spark, sf):
-    return op.page_codes(V(spark, sf, "code_pages"))
+    return op.page_codes(V(spark, sf, "crawl_pages"))
 
 
 @query("U2_area_links")

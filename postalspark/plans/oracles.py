@@ -409,7 +409,7 @@ r AS (SELECT cep, final_attempt, max(outcome) FILTER (WHERE attempt = final_atte
     o["L5_sample_invalid"] = W("""SELECT row_id, cep, (SELECT count(*) FROM inv) AS invalid_count FROM inv ORDER BY row_id LIMIT 5""",
                                "raw_codes", ctes=inv)
     # ---- set operations
-    o["U1_page_codes"] = W("SELECT page_id, cep FROM u1_codes", "code_pages", ctes=U1)
+    o["U1_page_codes"] = W("SELECT page_id, cep FROM c_codes", "crawl_pages", ctes=page_code_ctes("crawl_pages", "c"))
     o["U2_area_links"] = W(f"""SELECT DISTINCT page_id, url FROM (SELECT page_id, {resolve('href', SITE)} AS url FROM hrefs
   WHERE {area_link('href')}) WHERE {same_host('url', SITE)}""", "area_pages", ctes=HREFS)
     o["U3_merge_collections"] = W("SELECT DISTINCT cep FROM u1_codes", "code_pages", ctes=U1)
