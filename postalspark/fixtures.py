@@ -188,7 +188,7 @@ def _attempts(spark: SparkSession) -> DataFrame:
     from postalspark.operators.scan import global_row_number
     failures = spark.table("failures")
     numbered = global_row_number(failures, "seq", "attempt", partition_by=["cep"])
-    return numbered.select("seq", "cep", "ts", "error_message", "status_code", F.col("attempt").cast("int").alias("attempt"))
+    return numbered.select("seq", "cep", "ts", "error_message", "status_code", "attempt")
 
 
 # Views built with DataFrame operators on the Spark side (same rows as the SQL text).

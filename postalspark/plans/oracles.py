@@ -195,8 +195,8 @@ KEPT = f"""kept AS (SELECT seq, ts, consumer, ok, {jfield('body', 'cep')} AS cep
 
 STREAKS = """runs AS (SELECT seq, consumer, ok, sum(CASE WHEN ok THEN 1 ELSE 0 END) OVER (PARTITION BY consumer ORDER BY seq
   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run FROM kept),
-streaks AS (SELECT seq, consumer, ok, sum(CASE WHEN ok THEN 0 ELSE 1 END) OVER (PARTITION BY consumer, run ORDER BY seq
-  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS k FROM runs)"""
+streaks AS (SELECT seq, consumer, ok, CAST(sum(CASE WHEN ok THEN 0 ELSE 1 END) OVER (PARTITION BY consumer, run ORDER BY seq
+  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS k FROM runs)"""
 
 
 def page_code_ctes(src, p):
@@ -235,8 +235,8 @@ PROGRESS = f"""g_first AS (SELECT cep, min({{'d': g.depth, 'p': g.page_id}}) AS
 g_new AS (SELECT f.d AS depth, f.p AS page_id, count(*) AS new_codes FROM g_first GROUP BY f.d, f.p),
 g_pp AS (SELECT g.page_id, g.depth, CAST(coalesce(n.new_codes, 0) AS BIGINT) AS new_codes FROM gpages g
    LEFT JOIN g_new n ON n.page_id = g.page_id AND n.depth = g.depth),
-g_tot AS (SELECT page_id, depth, new_codes, sum(new_codes) OVER (ORDER BY depth, page_id
-   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running_total FROM g_pp),
+g_tot AS (SELECT page_id, depth, new_codes, CAST(sum(new_codes) OVER (ORDER BY depth, page_id
+   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS running_total FROM g_pp),
 g_kept AS (SELECT * FROM g_tot WHERE running_total - new_codes < {MAX_CODES})"""
 
 ENRICH = f"""c AS (SELECT DISTINCT cep FROM f1 WHERE cep IS NOT NULL),

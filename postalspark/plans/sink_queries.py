@@ -136,7 +136,8 @@ def sink_oracles(o: dict[str, str]) -> dict[str, str]:
                                 "responses", ctes=q.ADDRESSES),
     }
     struct = ", ".join(f"'{f}': {f}" for f in EXPORT_FIELDS)
-    out["K4_json_document"] = W(f"SELECT cep, to_json({{{struct}}}) AS document FROM ({export})", "responses", ctes=q.ADDRESSES)
+    out["K4_json_document"] = W(f"SELECT cep, CAST(to_json({{{struct}}}) AS VARCHAR) AS document FROM ({export})",
+                                "responses", ctes=q.ADDRESSES)
 
     def esc(x):
         return f"replace(replace(replace({x}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"

@@ -86,7 +86,7 @@ def full_workflow(spark: SparkSession, links: DataFrame, pages: DataFrame, respo
         sf_.export_xml(stored, f"{work}/export_xml", cfg.now)
     summary = om.workflow_summary(per_message.withColumn("found", F.coalesce("found", F.lit(False))))
     # codes in the table after the run (the table may hold earlier runs too)
-    return summary.withColumn("total_stored", F.lit(stored.count()))
+    return summary.withColumn("total_stored", F.lit(stored.count()).cast("long"))
 
 
 def batch_job(spark: SparkSession, codes: DataFrame, responses: DataFrame, out_path: str,

@@ -62,8 +62,8 @@ RESPONSE = T.StructType([T.StructField(f, T.StringType(), True) for f in ADDRESS
 ADDRESS = T.StructType(
     [T.StructField("cep", T.StringType(), False)]
     + [T.StructField(f, T.StringType(), True) for f in ADDRESS_FIELDS[1:]]
-    + [T.StructField("created_at", T.TimestampType(), False),
-       T.StructField("updated_at", T.TimestampType(), False)]
+    + [T.StructField("created_at", T.TimestampNTZType(), False),
+       T.StructField("updated_at", T.TimestampNTZType(), False)]
 )
 
 ERROR_LOG = T.StructType([T.StructField(f, T.StringType(), True) for f in ERROR_LOG_FIELDS])
@@ -81,6 +81,6 @@ ENVELOPE = T.StructType([
 ADDRESS_DDL = (
     "cep VARCHAR(8) NOT NULL, logradouro VARCHAR(255), complemento VARCHAR(255), "
     "bairro VARCHAR(255), localidade VARCHAR(255), ibge VARCHAR(10), gia VARCHAR(10), "
-    "ddd VARCHAR(2), siafi VARCHAR(10), created_at TIMESTAMP NOT NULL, "
-    "updated_at TIMESTAMP NOT NULL, uf VARCHAR(2)"
+    "ddd VARCHAR(2), siafi VARCHAR(10), created_at TIMESTAMP_NTZ NOT NULL, "
+    "updated_at TIMESTAMP_NTZ NOT NULL, uf VARCHAR(2)"
 )
