@@ -39,6 +39,10 @@ def con(sf_small):
 
 NAMES = [n for n in entry.oracle_sql() if n.split("_")[0] not in SKIP_SLOW]
 
+# DuckDB result types and the Spark types they correspond to.
+TYPES = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "BOOLEAN": "boolean", "DOUBLE": "double",
+         "TIMESTAMP": "timestamp_ntz"}
+
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, sf_small, con, name):
@@ -46,6 +50,7 @@ def test_query_matches_oracle(spark, sf_small, con, name):
     res = con.execute(entry.oracle_sql()[name])
     d_cols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(d_cols)
+    assert dict(df.dtypes) == {d[0]: TYPES.get(str(d[1]), str(d[1])) for d in res.description}
     assert canon(df.columns, [tuple(r) for r in df.collect()]) == canon(d_cols, res.fetchall())
 
 
