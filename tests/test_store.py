@@ -105,3 +105,14 @@ def test_mask_url(spark):
             "amqp://guest:guest@q:5672/", "a@b", "x://u:p@h@i"]
     df = spark.createDataFrame([(u,) for u in urls], "u string")
     assert [r[0] for r in df.select(mask_url("u")).collect()] == [py_mask(u) for u in urls]
+
+
+def test_bucketed_declared_table(spark):
+    name = "ceps_bucketed_test"
+    drop_tables(spark, name)
+    declare_tables(spark, name, scratch_dir(spark, "ddl_b"), buckets=4)
+    load_table(addr(spark, [("01310100", "Avenida Paulista"), ("01001900", "Praça da Sé")]), name)
+    info = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect()}
+    assert info.get("Num Buckets") == "4" and "cep" in info.get("Bucket Columns", "")
+    assert spark.table(name).count() == 2
+    drop_tables(spark, name)
