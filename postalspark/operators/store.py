@@ -5,13 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postalspark.operators.lookup import latest_per_code, process_codes
+from postalspark.functions.responses import OK, address_columns
+from postalspark.operators.lookup import latest_per_code, lookup_table
 from postalspark.schemas import ADDRESS_FIELDS, EXPORT_FIELDS
 
 
 def stored_addresses(responses: DataFrame, now: str) -> DataFrame:
-    """The address table as the lookups build it: every found answer, one row per code."""
-    return process_codes(responses.select(F.col("code").alias("cep")), responses, now)
+    """The address table as the lookups build it: every found answer, one row per code.
+
+    Every answer's own code is looked up, so no join is needed: the found answers
+    map straight to stored rows (C14).
+    """
+    found = lookup_table(responses).where(F.col("status") == OK)
+    ts = F.lit(now).cast("timestamp_ntz")
+    return (found.select(*address_columns(F.struct(*[F.col(f) for f in ADDRESS_FIELDS])))
+            .dropDuplicates(["cep"]).withColumn("created_at", ts).withColumn("updated_at", ts))
 
 
 def address_by_code(addresses: DataFrame, code: str) -> DataFrame:
