@@ -86,3 +86,15 @@ def test_publish_and_backlog(spark):
     r = om.publish_reconcile(pub).first()
     assert (r.valid, r.published, r.complete) == (2, 2, True)
     assert om.backlog(pub, pub.where("seq = 1")).first().backlog == 1
+
+
+def test_consumer_stop_point_and_backlog(spark):
+    bodies = ['{"cep": "01310100"}', "{bad", '{"cep": "01001900"}', '{"x": 1}', '{"cep": "20040020"}',
+              '{"cep": "30130100"}', "{bad", '{"cep": "40020100"}']
+    m = spark.createDataFrame([(i + 1, b) for i, b in enumerate(bodies)], "seq long, body string")
+    kept = om.drop_bad_messages(m)
+    taken = sorted(r.seq for r in om.consumed_until(m, kept, 3).collect())
+    assert taken == [1, 2, 3, 4, 5]          # stops after the third usable message (seq 5)
+    assert om.backlog(m, om.consumed_until(m, kept, 3)).first().backlog == 3
+    assert om.backlog(m, m.select("seq")).first().backlog == 0   # after a purge
+    assert sorted(r.seq for r in om.consumed_until(m, kept, None).collect()) == list(range(1, 9))
