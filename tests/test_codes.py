@@ -133,3 +133,23 @@ def test_validation_matches_python_model_on_random_strings(spark):
                                                    C.clean_code("cep").alias("c")).collect()}
     bad = [(values[i], got[i]) for i in range(len(values)) if got[i] != (model(values[i]), model_clean(values[i]))]
     assert not bad, bad[:5]
+
+
+def test_extraction_matches_python_findall_on_random_text(spark):
+    import random
+    import re
+    rnd = random.Random(9)
+    alphabet = list("0123456789") * 5 + list("-- ,.:ab_X/\n")
+    texts = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 60))) for _ in range(2000)]
+
+    def model(t):
+        out = []
+        for m in re.findall(r"\b[0-9]{5}-?[0-9]{3}\b", t):
+            d = m.replace("-", "")
+            out.append(f"{d[:5]}-{d[5:]}")
+        return out
+
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i long, t string")
+    got = {r.i: r.c for r in df.select("i", C.extract_codes("t").alias("c")).collect()}
+    bad = [(texts[i], got[i]) for i in range(len(texts)) if got[i] != model(texts[i])]
+    assert not bad, bad[:5]
