@@ -159,3 +159,42 @@ def test_reach_pages_with_a_hub(spark):
     links = spark.createDataFrame(edges, "src string, dst string")
     got = {r.node: r.depth for r in og.reach_pages(links).collect()}
     assert got["hub"] == 1 and got["p499"] == 2 and got["q6"] == 3 and len(got) == 1 + 1 + 500 + 7
+
+
+def test_area_link_matches_rule_model_on_random_links(spark):
+    rnd = random.Random(21)
+    parts = ["pt-br", "brasil", "sp", "sao-paulo", "Sao-Paulo", "cep", "logradouro", "blog", "sobre", "meu-cep",
+             "centro", "x", "", "PT-BR"]
+    hosts = ["", "https://codigo-postal.org", "http://other.org", "//h"]
+    hrefs = []
+    for _ in range(3000):
+        path = "/".join(rnd.choice(parts) for _ in range(rnd.randint(0, 6)))
+        lead = rnd.choice(["/", "", "/"])
+        tail = rnd.choice(["", "/", "//"])
+        hrefs.append(rnd.choice(hosts) + lead + path + tail)
+
+    def model(h):
+        if not h:
+            return False
+        low = h.lower()
+        if any(p in low for p in ["/cep/", "/logradouro/", "/blog/", "/sobre/", "/contato/", "/meu-cep/"]):
+            return False
+        if low.rstrip("/").endswith("/sao-paulo"):
+            return False
+        if "://" in h:
+            rest = h.split("://", 1)[1]
+            path = "/" + rest.split("/", 1)[1] if "/" in rest else "/"
+        else:
+            path = h if h.startswith("/") else "/" + h
+        segs = [p for p in path.split("/") if p]
+        if "/sao-paulo/" not in low or "sao-paulo" not in segs:
+            return False
+        i = segs.index("sao-paulo")
+        if i + 1 >= len(segs) or segs[i + 1] in ("", "sp"):
+            return False
+        return "pt-br" in segs or "brasil" in segs
+
+    df = spark.createDataFrame([(i, h) for i, h in enumerate(hrefs)], "i long, h string")
+    got = {r.i: r.ok for r in df.select("i", is_area_link("h").alias("ok")).collect()}
+    bad = [(hrefs[i], got[i]) for i in range(len(hrefs)) if got[i] != model(hrefs[i])]
+    assert not bad, bad[:5]
