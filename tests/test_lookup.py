@@ -98,3 +98,54 @@ def test_broadcast_only_under_the_bound(spark):
     plan_small = spark.range(1000).join(broadcast_if_small(small, 10**9), "id")._jdf.queryExecution().optimizedPlan().toString()
     plan_big = spark.range(1000).join(broadcast_if_small(small, 1), "id")._jdf.queryExecution().optimizedPlan().toString()
     assert "broadcast" in plan_small.lower() and "broadcast" not in plan_big.lower()
+
+
+def test_resolve_attempts_matches_retry_loop_model(spark):
+    import random
+    rnd = random.Random(13)
+    msgs = [None, "Request timeout", "CEP x not found in ViaCEP", "Invalid response format for CEP x",
+            "Connection reset by peer", "HTTP 500"]
+    rows = []
+    for c in range(300):
+        for a in range(1, rnd.randint(1, 5) + 1):
+            rows.append((f"{c:08d}", a, rnd.choice(msgs)))
+
+    def kind(m):
+        if m is None:
+            return "success"
+        low = m.lower()
+        if "timeout" in low:
+            return "timeout"
+        if m.startswith("CEP ") and "not found" in low:
+            return "not_found"
+        if m.startswith("Invalid response format"):
+            return "not_object"
+        return "retry"
+
+    def backoff(a, m):
+        base = 2.0 ** a
+        conn = any(p in (m or "").lower() for p in ["connection refused", "connection aborted", "connection reset",
+                                                    "remote end closed", "failed to establish"])
+        return min(max(base * 2, 2.0), 60.0) if conn else min(max(base, 1.0), 30.0)
+
+    def model(attempts, n=3):
+        waited = 0.0
+        last = None
+        for a, m in sorted(attempts):
+            if a > n:
+                break
+            last = (a, m)
+            if kind(m) in ("success", "not_found", "not_object"):
+                return a, kind(m), waited
+            if a < n:
+                waited += backoff(a, m)
+        a, m = last
+        return a, "failed", waited - (backoff(a, m) if a < n else 0.0)
+
+    by_cep = {}
+    for c, a, m in rows:
+        by_cep.setdefault(c, []).append((a, m))
+    df = spark.createDataFrame(rows, "cep string, attempt int, error_message string")
+    got = {r.cep: (r.attempts, r.outcome, r.waited) for r in ol.resolve_attempts(df, 3).collect()}
+    want = {c: model(v) for c, v in by_cep.items()}
+    assert got == want
