@@ -1 +1,10 @@
-"""Training-data operators; nothing outside this subpackage imports them."""
+"""Training-data operators; nothing outside this subpackage imports them.
+
+Functions that run in Python workers travel by value, so executors need no copy of this package.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

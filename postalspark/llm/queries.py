@@ -10,12 +10,55 @@ from pyspark.sql import functions as F
 from .common import table
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .repeats import remove_repeats
+    got = remove_repeats(table(spark, sf_dir, "documents"))
+    return got.select("doc_id", "n_bytes", (F.col("n_bytes") - F.length("kept")).cast("long").alias("n_removed"),
+                      F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import KINDS, find
+    d = find(table(spark, sf_dir, "documents"))
+    place = F.array(*map(F.lit, KINDS))
+
+    def joined(spans):
+        rows = F.transform(spans, lambda s: F.struct(s["start"].alias("a"), F.array_position(place, s["kind"]).alias("k"),
+                                                     s["end"].alias("b"), s["kind"].alias("kind")))
+        return F.array_join(F.transform(F.array_sort(rows), lambda s: F.concat_ws(":", s["kind"], s["a"], s["b"])), ",")
+
+    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS]
+    return d.select("doc_id", *counts, F.sha2(joined(F.col("base")), 256).alias("base_sha256"),
+                    joined(F.array_distinct(F.concat("base", "added"))).alias("spans"),
+                    F.size("added").cast("long").alias("n_added"))
+
+
+def held_out(doc_id):
+    """Rows that are only scored, never learned from: crc32 of the id's text leaves 2 by 4."""
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import labelled, learn, score
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    sample = labelled(docs, labels.where(~held_out(F.col("doc_id"))))
+    rest = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
+    grammar = learn(sample, F.when(rest == 3, 2).otherwise(rest).cast("int"))
+    return score(docs, grammar).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack
     pieces = pack(table(spark, sf_dir, "documents"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "source")
 
 
+def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .simhash import near_duplicates
+    got = near_duplicates(table(spark, sf_dir, "documents"))
+    return got.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .fingerprints import compare_with_next
     return compare_with_next(table(spark, sf_dir, "documents"))
