@@ -24,6 +24,7 @@ import re
 import unicodedata
 from bisect import bisect_right
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
@@ -239,8 +240,6 @@ SPAN = StructType([StructField("kind", StringType()), StructField("start", LongT
 
 
 def _spans_of(docs: DataFrame, text: str = "text"):
-    import pandas as pd
-
     @F.pandas_udf(StructType([StructField("base", ArrayType(SPAN)), StructField("added", ArrayType(SPAN))]))
     def spans(texts: pd.Series) -> pd.DataFrame:
         got = [find_spans(t) for t in texts]
@@ -281,8 +280,6 @@ def mask_text(text: str | None) -> str | None:
 
 def mask(docs: DataFrame) -> DataFrame:
     """``docs`` with the spans in ``text`` replaced; ``n_chars``, where there is one, follows the new text."""
-    import pandas as pd
-
     @F.pandas_udf("string")
     def masked(texts: pd.Series) -> pd.Series:
         return pd.Series([mask_text(t) for t in texts], dtype=object)

@@ -10,6 +10,12 @@ from pyspark.sql import functions as F
 from .common import table
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import COUNTS, judge
+    got = judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return got.select("doc_id", *COUNTS, "base_failed", "kept")
+
+
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .repeats import remove_repeats
     got = remove_repeats(table(spark, sf_dir, "documents"))
@@ -27,8 +33,10 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                      s["end"].alias("b"), s["kind"].alias("kind")))
         return F.array_join(F.transform(F.array_sort(rows), lambda s: F.concat_ws(":", s["kind"], s["a"], s["b"])), ",")
 
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS]
-    return d.select("doc_id", *counts, F.sha2(joined(F.col("base")), 256).alias("base_sha256"),
+    def count(kind):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return d.select("doc_id", *map(count, KINDS), F.sha2(joined(F.col("base")), 256).alias("base_sha256"),
                     joined(F.array_distinct(F.concat("base", "added"))).alias("spans"),
                     F.size("added").cast("long").alias("n_added"))
 

@@ -37,7 +37,7 @@ THRESHOLD = 0.3
 MAX_LABELLED = 20_000
 LEAST_G2 = 18.0
 MAX_ENTRIES = 20_000
-PREFIX_LETTERS = (4, 5, 6)
+PREFIX_LETTERS = (4, 5, 6, 7, 8)
 
 #: seeds of each class; the grammar's closed-class words
 INSULTS = ("idiot", "idiots", "moron", "morons", "stupid", "trash", "scum", "loser", "losers", "pathetic", "worthless",
@@ -193,21 +193,24 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 50)
     return (float(b[0]), *(max(0.0, float(v)) for v in b[1:]))
 
 
-def _reader_udf(grammar: Grammar, what: str, schema: str):
-    @F.pandas_udf(schema)
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame | pd.Series]:
+def features(docs: DataFrame, grammar: Grammar) -> DataFrame:
+    """``docs`` with ``f``: strongest clause, log sum over clauses, share of matched clauses."""
+    @F.pandas_udf("strongest double, sum double, share double")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         reader = Reader(grammar)
         for texts in batches:
-            got = [getattr(reader, what)(t) for t in texts]
-            yield pd.Series(got, dtype=float) if what == "score" else pd.DataFrame(got, columns=["strongest", "sum", "share"])
-    return run
-
+            yield pd.DataFrame([reader.features(t) for t in texts], columns=["strongest", "sum", "share"])
 
-def features(docs: DataFrame, grammar: Grammar) -> DataFrame:
-    return docs.withColumn("f", _reader_udf(grammar, "features", "strongest double, sum double, share double")("text"))
+    return docs.withColumn("f", run("text"))
 
 
 def score(docs: DataFrame, grammar: Grammar, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id, score, predicted`` for every row."""
-    d = docs.select("doc_id", "text").withColumn("score", _reader_udf(grammar, "score", "double")("text"))
+    @F.pandas_udf("double")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        reader = Reader(grammar)
+        for texts in batches:
+            yield pd.Series([reader.score(t) for t in texts], dtype=float)
+
+    d = docs.select("doc_id", "text").withColumn("score", run("text"))
     return d.select("doc_id", "score", F.when(F.col("score") >= threshold, 1).otherwise(0).alias("predicted"))
