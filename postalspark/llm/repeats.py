@@ -15,7 +15,7 @@ Equal groups of full windows after the last pass are exactly the repeated window
 document, then start) are removed, judged on the input. Repeats inside a document are settled while it
 is read, so a document sends each digit-1 group once. The sorted groups are streamed: a group of any size takes constant
 memory. Hashes have 64 bits per digit from unrelated multipliers; digits 0 and 1 are compared together
-(128 bits), so a false repeat is out of reach in practice.
+(128 bits), digit 2 with 24 bits of another hash (88), so a false repeat is out of reach in practice.
 
 Texts travel twice, zstd-compressed: to the runs of digit 2, and to the spans.
 
@@ -37,6 +37,8 @@ from pyspark.sql import functions as F
 from .common import has_repeats, ranked, stash
 
 LENGTH, GRAM = 100, 32
+#: bits of a second hash that go along with digit 2 (88 bits together)
+EXTRA = 24
 _M = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93 | 1, 0xA0761D6478BD642F | 1))
 _MIX = np.uint64(0xFF51AFD7ED558CCD)
 _S = np.uint64(32)
@@ -166,7 +168,7 @@ def _records(docs: DataFrame, length: int) -> DataFrame:
     return docs.select("key", "text").mapInArrow(run, "digit0 long, digit1 long, key long, place long")
 
 
-def _dealt(rows: DataFrame, group: str, place: str, order: list[str]) -> DataFrame:
+def _dealt(rows: DataFrame, group: str, place: str, order: list) -> DataFrame:
     """Groups whole and sorted in their partitions; rows that are repeats already (negative place) anywhere, before them."""
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     settled = F.col(place) < 0
@@ -225,9 +227,9 @@ def _packed(docs: DataFrame) -> DataFrame:
 
 
 def _windows(packed: DataFrame, look: DataFrame, length: int) -> DataFrame:
-    """Digit 2: ``digit2, digit3, key, start`` of every window of the runs to be looked at; ``start`` negative (~start)
-    where the batch holds the same window earlier."""
-    schema = pa.schema([("digit2", pa.int64()), ("digit3", pa.int64()), ("key", pa.int64()), ("start", pa.int64())])
+    """Digit 2: ``digit2, key, at`` of every window of the runs to be looked at; ``at`` is its start with `EXTRA` more bits
+    of its digit, negative (~at) where the batch holds the same window earlier."""
+    schema = pa.schema([("digit2", pa.int64()), ("key", pa.int64()), ("at", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
@@ -238,16 +240,18 @@ def _windows(packed: DataFrame, look: DataFrame, length: int) -> DataFrame:
                 data, at = np.frombuffer(z.decompress(text), np.uint8), np.unique(np.array(places, np.int64))
                 lo, n = at >> 16, ((at >> 8) & 255) + 1
                 starts = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
-                found.append((Prefix(data, 1).of(starts, starts + length), Prefix(data, 2).of(starts, starts + length), np.full(len(starts), key, np.int64), starts))
+                more = Prefix(data, 2).of(starts, starts + length) >> np.uint64(64 - EXTRA)
+                found.append((Prefix(data, 1).of(starts, starts + length), more.astype(np.int64), np.full(len(starts), key, np.int64), starts))
                 size += len(starts)
                 if size >= 1 << 20 or i == b.num_rows - 1:
                     one, two, key_, start = (np.concatenate(x) for x in zip(*found, strict=True))
-                    start = np.where(_later(one, two, key_, start, same=2), ~start, start)
-                    yield pa.RecordBatch.from_arrays([pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array(key_), pa.array(start)], schema=schema)
+                    at = (start << EXTRA) | two
+                    at = np.where(_later(one, two, key_, start, same=2), ~at, at)
+                    yield pa.RecordBatch.from_arrays([pa.array(one.view(np.int64)), pa.array(key_), pa.array(at)], schema=schema)
                     found, size = [], 0
 
     each = look.groupBy("key").agg(F.collect_list("place").alias("places"))  # at most one entry per byte of the document
-    return packed.join(each, "key").select("key", "packed", "places").mapInArrow(run, "digit2 long, digit3 long, key long, start long")
+    return packed.join(each, "key").select("key", "packed", "places").mapInArrow(run, "digit2 long, key long, at long")
 
 
 def _repeated_windows(windows: DataFrame) -> DataFrame:
@@ -257,17 +261,20 @@ def _repeated_windows(windows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None
         for b in batches:
-            one, two, key, start = (b.column(i).to_numpy() for i in range(4))
-            settled = start < 0
+            one, key, at = (b.column(i).to_numpy() for i in range(3))
+            settled = at < 0
+            at = np.where(settled, ~at, at)
+            two = at & ((1 << EXTRA) - 1)
             again = np.zeros(len(one), bool)
             again[1:] = (one[1:] == one[:-1]) & (two[1:] == two[:-1]) & ~settled[:-1]
             if len(one):
                 again[0] = last is not None and (one[0], two[0]) == last
                 last = None if settled[-1] else (one[-1], two[-1])
             out = settled | again
-            yield pa.RecordBatch.from_arrays([pa.array(key[out]), pa.array(np.where(settled, ~start, start)[out])], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array(key[out]), pa.array(at[out] >> EXTRA)], schema=schema)
 
-    return _dealt(windows, "digit2", "start", ["digit2", "digit3", "key", "start"]).mapInArrow(run, "key long, start long")
+    order = ["digit2", F.col("at").bitwiseAND(F.lit((1 << EXTRA) - 1).cast("long")), "key", "at"]
+    return _dealt(windows, "digit2", "at", order).mapInArrow(run, "key long, start long")
 
 
 def repeated_spans(packed: DataFrame, docs: DataFrame, length: int = LENGTH) -> DataFrame:
