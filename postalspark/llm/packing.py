@@ -202,7 +202,8 @@ def cut(tokens: DataFrame, size: int = SIZE, targets: dict[str | None, float] |
     # tokens of the source in the splits before: a window over counts per split, not over documents
     from pyspark.sql import Window
     before = Window.partitionBy("source").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = per_split.select("source", "split", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("shift"))
+    # stored, so that its size is known when the join is planned: broadcast below Spark's threshold, shuffled beyond
+    shifts = stash(per_split.select("source", "split", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("shift")), "shifts")
     placed = tokens.join(shifts, ["source", "split"]).select("doc_id", "source", (F.col("shift") + F.col("start")).alias("at"), "n_tokens", "ids")
     schema = pa.schema([("doc_id", pa.int64()), ("source", pa.string()), ("start", pa.int64()), ("length", pa.int64()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()), ("ids", pa.binary())])
 
