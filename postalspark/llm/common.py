@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postalspark.session import scratch_dir
@@ -41,6 +41,11 @@ def arrow_map(df: DataFrame, rows: Callable[[dict[str, list]], dict[str, list]],
     return df.mapInArrow(run, schema)
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, however often ``use`` refers to it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def has_repeats(df: DataFrame, key: str) -> bool:
     """Whether ``key`` is null or repeated in any row (one column read, partial counts before the shuffle)."""
     return bool(df.groupBy(key).count().where((F.col("count") > 1) | F.col(key).isNull()).take(1))

@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 from .common import table
 
 
+def op1_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .licenses import scan
+    return scan(table(spark, sf_dir, "documents"))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality import COUNTS, judge
     got = judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -55,6 +60,11 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(docs, grammar).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mixing import rates
+    return rates(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack
     pieces = pack(table(spark, sf_dir, "documents"))
