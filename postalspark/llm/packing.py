@@ -166,7 +166,7 @@ class Schedule:
                 rows = np.flatnonzero(short < 0)
                 if len(rows):
                     last = np.where(got[rows] > 0, (got[rows] - 0.5) / rates, -np.inf)
-                    got[rows, last.argmax(1)] -= 1
+                    got[rows, len(rates) - 1 - last[:, ::-1].argmax(1)] -= 1  # of equal times the last queue, as it came last
 
     def served(self, n: np.ndarray) -> np.ndarray:
         n = np.asarray(n, np.int64)

@@ -94,6 +94,9 @@ LOOKALIKES = {
 _NUMBER = {"zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6",
            "seven": "7", "eight": "8", "nine": "9"}
 _NUMBER_WORD = "(?:" + "|".join(_NUMBER) + ")"
+#: fixed values: last labels that make bare "at" and "dot" an address
+TOP_DOMAINS = frozenset("com org net edu gov mil int info biz io ai dev app co eu uk de fr es it nl be ch at pl pt se no dk fi ie "
+                        "us ca au nz jp cn in br mx ru ua example test".split())
 _GAP = r"[ \t,.\-]{1,3}"
 _SPELLED = re.compile(rf"\b(?:plus{_GAP})?(?:{_NUMBER_WORD}{_GAP}){{2,}}{_NUMBER_WORD}\b", re.I)
 _WORD = re.compile(r"[a-z]+", re.I)
@@ -182,6 +185,8 @@ def _disguises(text: str) -> list[tuple[int, int, str]]:
         hidden_dot = _BRACKET_DOT.search(inside) or _BARE_DOT.search(text, m.end("at") - 1, end)
         if bare and not hidden_dot:
             continue  # "meet at example.com" is no address
+        if bare and not _BRACKET_DOT.search(inside) and re.split(r"[ \t.]", inside)[-1].lower() not in TOP_DOMAINS:
+            continue  # nor is "look at a dot on paper"
         found = [(x.start(), x.end(), "@") for x in [re.compile(re.escape(m["at"])).search(text, m.start("at"))]]
         for pattern in (_BRACKET_DOT, _BARE_DOT):
             found += [(x.start(), x.end(), ".") for x in pattern.finditer(text, begin, end)]
