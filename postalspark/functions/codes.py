@@ -14,9 +14,9 @@ from postalspark.schemas import PY_WHITESPACE_CLASS, REGIONAL_PREFIX
 
 # Fixed patterns.
 CODE_IN_TEXT = r"\b[0-9]{5}-?[0-9]{3}\b"
-EIGHT_DIGITS = r"^[0-9]{8}$"
-HYPHEN_FORM = r"^[0-9]{5}-[0-9]{3}$"
-_STRIP = f"^{PY_WHITESPACE_CLASS}+|{PY_WHITESPACE_CLASS}+$"
+EIGHT_DIGITS = r"\A[0-9]{8}\z"
+HYPHEN_FORM = r"\A[0-9]{5}-[0-9]{3}\z"
+_STRIP = rf"\A{PY_WHITESPACE_CLASS}+|{PY_WHITESPACE_CLASS}+\z"
 
 
 def _c(c) -> Column:

@@ -18,10 +18,6 @@ from postalspark.schemas import SKIPPED_LINK_PARTS
 SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:"
 NETLOC = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)"
 PATH_PART = r"^([^?#]*)"
-# Area-link path test on a '/'-delimited path with empty segments collapsed: some
-# segment is pt-br or brasil, and the first sao-paulo segment is followed by a
-# segment other than sp (segment matching is case-sensitive).
-AREA_PATH = r"^(?=.*/(?:pt-br|brasil)/)(?:/(?!sao-paulo/)[^/]+)*?/sao-paulo/(?!sp/)[^/]+/"
 # Lower-cased link text that disqualifies a link outright.
 REJECTED = "|".join(re.escape(p) for p in ["/cep/", "/logradouro/"] + SKIPPED_LINK_PARTS) + "|/sao-paulo/*$"
 
@@ -48,15 +44,21 @@ def is_area_link(href) -> Column:
     """C11: True for a link to an area page below ``sao-paulo``; never NULL.
 
     Rejects empty links, code pages, street pages, blog/about/contact pages and the
-    city page itself; needs a part after ``sao-paulo`` other than ``sp`` and a
-    ``pt-br`` or ``brasil`` part (part matching is case-sensitive). Two regex tests
-    on values computed once, so a filter on it stays cheap.
+    city page itself; needs a part after the first ``sao-paulo`` other than ``sp`` and a
+    ``pt-br`` or ``brasil`` part (part matching is case-sensitive). The path is cut into
+    parts once; no pattern recurses, however many parts a link has.
     """
     href = _c(href)
     low = F.lower(href)
-    segments = F.regexp_replace(F.concat(F.lit("/"), link_path(href), F.lit("/")), "/+", "/")
+
+    def below_city(parts: Column) -> Column:
+        city = F.array_position(parts, "sao-paulo")  # 1-based, so it is the 0-based place of the next part
+        follower = F.get(parts, city.cast("int"))
+        return ((city > 0) & follower.isNotNull() & (follower != "sp")
+                & (F.array_contains(parts, "pt-br") | F.array_contains(parts, "brasil")))
+
     ok = ((F.length(href) > 0) & ~low.rlike(REJECTED) & low.contains("/sao-paulo/")
-          & segments.rlike(AREA_PATH))
+          & F.get(F.transform(F.array(_parts(link_path(href))), below_city), F.lit(0)))
     return F.coalesce(ok, F.lit(False))
 
 

@@ -18,21 +18,37 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def is_one_value(body) -> Column:
+    """One complete JSON value with nothing after it.
+
+    Spark's JSON functions stop at the end of the first value. Put between brackets the text
+    must hold exactly one element, and put into an object it must end where the object does;
+    no text with something after its value passes both.
+    """
+    body = _c(body)
+    alone = F.json_array_length(F.concat(F.lit("["), body, F.lit("]"))) == 1
+    member = F.json_object_keys(F.concat(F.lit('{"v":'), body, F.lit("}")))
+    return F.coalesce(alone & (member == F.array(F.lit("v"))), F.lit(False))
+
+
 def is_json_object(body) -> Column:
-    return F.json_object_keys(_c(body)).isNotNull()
+    """The text is exactly one JSON object; never NULL."""
+    body = _c(body)
+    return F.coalesce(F.json_object_keys(body).isNotNull() & is_one_value(body), F.lit(False))
 
 
 def is_json(body) -> Column:
     """Valid JSON text of any kind (object, array or scalar)."""
-    body = _c(body)
-    return (F.json_object_keys(body).isNotNull() | F.json_array_length(body).isNotNull()
-            | F.get_json_object(body, "$").isNotNull() | (F.trim(body) == "null"))
+    return is_one_value(body)
 
 
 def erro_flag(body) -> Column:
-    """Truthiness of the ``erro`` member (true, a non-empty string, a non-zero number)."""
-    raw = F.get_json_object(_c(body), "$.erro")
-    return F.coalesce(~raw.isin(*_FALSY_TEXT) & ~raw.rlike(_ZERO_NUMBER), F.lit(False))
+    """Truthiness of the ``erro`` member: true, any non-empty string, a non-zero number, a non-empty list or object."""
+    body = _c(body)
+    raw = F.get_json_object(body, "$.erro")
+    kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json(body), "$.erro", "variant"))
+    truthy = F.when(kind == "STRING", raw != "").otherwise(~raw.isin(*_FALSY_TEXT) & ~raw.rlike(_ZERO_NUMBER))
+    return F.coalesce(F.when(raw.isNotNull(), truthy), F.lit(False))
 
 
 def response_status(body) -> Column:
@@ -54,7 +70,7 @@ def parsed_fields(body) -> Column:
 def is_valid_response(body) -> Column:
     """An object, ``erro`` not truthy, and keys cep, localidade and uf present."""
     body = _c(body)
-    keys = F.json_object_keys(body)
+    keys = F.when(is_json_object(body), F.json_object_keys(body))
     has_keys = F.lit(True)
     for k in REQUIRED_RESPONSE_KEYS:
         has_keys = has_keys & F.array_contains(keys, k)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postalspark.functions.responses import is_json
+from postalspark.functions.responses import is_json, is_json_object
 from postalspark.operators.scan import key_range, running_total
 from postalspark.session import ensure_checkpoint_dir
 from postalspark.schemas import (FAILURE_PAUSE_FACTOR, MAX_BACKOFF_MULTIPLIER, MAX_CONSECUTIVE_ERRORS,
@@ -30,7 +30,7 @@ def drop_bad_messages(messages: DataFrame, body: str = "body") -> DataFrame:
     """F8: messages with a code; malformed ones and ones without a code are left out."""
     cep = message_code(body)
     keep = [c for c in messages.columns if c != body]
-    ok = F.json_object_keys(F.col(body)).isNotNull() & cep.isNotNull() & ~cep.isin(*_EMPTY_CODE)
+    ok = is_json_object(body) & cep.isNotNull() & ~cep.isin(*_EMPTY_CODE)
     return messages.where(ok).select(*keep, cep.alias("cep"))
 
 
@@ -38,14 +38,14 @@ def dead_letters(messages: DataFrame, body: str = "body") -> DataFrame:
     """T5/F8 second branch: messages that are not JSON objects, with the reason."""
     b = F.col(body)
     reason = F.when(~is_json(b), F.lit("malformed")).otherwise(F.lit("not_an_object"))
-    return messages.where(F.json_object_keys(b).isNull()).withColumn("reason", reason)
+    return messages.where(~is_json_object(b)).withColumn("reason", reason)
 
 
 def dropped_messages(messages: DataFrame, body: str = "body") -> DataFrame:
     """Messages acknowledged without work: JSON objects without a usable code."""
     cep = message_code(body)
     no_code = cep.isNull() | cep.isin(*_EMPTY_CODE)
-    return messages.where(F.json_object_keys(F.col(body)).isNotNull() & no_code)
+    return messages.where(is_json_object(body) & no_code)
 
 
 def process_limit(kept: DataFrame, limit: int | None, seq: str = "seq") -> DataFrame:

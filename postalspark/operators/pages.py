@@ -8,13 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postalspark.functions import html as H
-from postalspark.functions.links import is_area_link, resolve_links, resolves_to_host
+from postalspark.functions.links import is_area_link, resolve_url, resolves_to_host
 from postalspark.schemas import DEFAULT_BASE_URL
 
 
 def _explode_codes(pages: DataFrame, codes_col, distinct: bool) -> DataFrame:
-    out = pages.select("page_id", F.explode(codes_col).alias("cep"))
-    return out.dropDuplicates(["page_id", "cep"]) if distinct else out
+    return pages.select("page_id", F.explode(F.array_distinct(codes_col) if distinct else codes_col).alias("cep"))
 
 
 def extracted_codes(pages: DataFrame) -> DataFrame:
@@ -58,11 +57,11 @@ def area_links(pages: DataFrame, base_url: str = DEFAULT_BASE_URL) -> DataFrame:
     """Per page, distinct absolute links that pass C11 and C13.
 
     Links of the ``ul#ul_list`` list are a subset of all links, so one pass over
-    all links gives the union.
+    all links gives the union. Repeats within a page go before the links become rows, so nothing is shuffled.
     """
-    links = page_links(pages).where(is_area_link("href") & resolves_to_host("href", base_url))
-    resolved = resolve_links(links, "href", base_url, "url").select("page_id", "url")
-    return resolved.dropDuplicates(["page_id", "url"])
+    kept = F.filter("_links", lambda h: is_area_link(h) & resolves_to_host(h, base_url))
+    urls = F.array_distinct(F.transform(kept, lambda h: resolve_url(h, base_url)))
+    return pages.select("page_id", H.page_links("html").alias("_links")).select("page_id", F.explode(urls).alias("url"))
 
 
 def merge_collections(*collections: DataFrame, col: str = "cep") -> DataFrame:

@@ -10,16 +10,26 @@ from __future__ import annotations
 from urllib.parse import urlsplit
 
 from postalspark.fixtures import with_views as W
-from postalspark.functions.html import (A_HREF, A_HREF_TEXT, ANY_TAG, CODE_IN_HREF, CODE_TABLE, CODE_TBODY,
-                                        ENTITIES, FIRST_CELL, NON_TEXT_BLOCKS, TABLE_ROW)
-from postalspark.functions.links import NETLOC
 from postalspark.plans.catalog import (CITY, ERROR_TYPE, MAX_CODES, NOW, PAGE_LIMIT, PAGE_OFFSET, POINT_CODE,
                                        PROCESS_LIMIT, SITE, STATE)
 from postalspark.schemas import (ADDRESS_FIELDS, CONNECTION_ERROR_PHRASES, DEFAULT_SERVICE_URL, MSG_HTTP_404,
-                                 MSG_MALFORMED, MSG_NOT_FOUND, MSG_NOT_OBJECT, PY_WHITESPACE_CLASS, SKIPPED_LINK_PARTS)
+                                 MSG_MALFORMED, MSG_NOT_FOUND, MSG_NOT_OBJECT, SKIPPED_LINK_PARTS)
 
-WS = PY_WHITESPACE_CLASS
+# Pattern texts of the statements, for DuckDB's engine; the Spark side has its own.
+WS = r"[\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 CODE_IN_TEXT = r"\b[0-9]{5}-?[0-9]{3}\b"
+CODE_IN_HREF = r"/cep/([0-9]{5}-[0-9]{3})/"
+A_HREF = r'(?is)<a\s(?:[^>]*?\s)?href\s*=\s*"([^"]*)"'
+A_HREF_TEXT = r'(?is)<a\s(?:[^>]*?\s)?href\s*=\s*"([^"]*)"[^>]*>(.*?)</a>'
+CODE_TABLE = r'(?is)<table\b[^>]*\bid\s*=\s*"ul_list"[^>]*>(.*?)</table>'
+CODE_TBODY = r'(?is)<tbody\b[^>]*\bid\s*=\s*"tbody_results"[^>]*>(.*?)</tbody>'
+TABLE_ROW = r"(?is)<tr\b[^>]*>(.*?)</tr>"
+FIRST_CELL = r"(?is)<td\b[^>]*>(.*?)</td>"
+NON_TEXT_BLOCKS = (r"(?is)<script\b[^>]*>.*?</script>|<style\b[^>]*>.*?</style>"
+                   r"|<template\b[^>]*>.*?</template>|<!--.*?-->|<!doctype[^>]*>")
+ANY_TAG = r"<[^>]*>"
+NETLOC = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)"
+ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", "\u00a0"), ("&amp;", "&")]
 
 
 # ------------------------------------------------------------------ scalar snippets
@@ -64,8 +74,9 @@ def jfield(b, f):
 
 def erro(b):
     e = jfield(b, "erro")
-    return (f"coalesce({e} NOT IN ('false', '', '[]', '{{}}') "
-            f"AND NOT regexp_matches({e}, '^-?0*\\.?0*([eE][-+]?[0-9]+)?$'), false)")
+    kind = f"(CASE WHEN {jt(b)} = 'OBJECT' THEN json_type({b}, '$.erro') END)"
+    return (f"coalesce(CASE WHEN {kind} = 'VARCHAR' THEN {e} <> '' ELSE {e} NOT IN ('false', '', '[]', '{{}}') "
+            f"AND NOT regexp_matches({e}, '^-?0*\\.?0*([eE][-+]?[0-9]+)?$') END, false)")
 
 
 def status(b):

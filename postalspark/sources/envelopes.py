@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postalspark.functions.codes import is_code_length, request_code
+from postalspark.functions.responses import is_json_object
 from postalspark.schemas import ENVELOPE, MESSAGE
 
 
@@ -16,8 +17,9 @@ def explode_envelope(envelopes: DataFrame, col: str = "envelope") -> DataFrame:
     the handler skips them; bodies that are not JSON objects carry no code either.
     """
     keep = [c for c in envelopes.columns if c != col]
-    recs = envelopes.select(*keep, F.explode(F.from_json(F.col(col), ENVELOPE)["Records"]).alias("r"))
-    msg = F.when(F.json_object_keys(F.col("r.body")).isNotNull(), F.from_json(F.col("r.body"), MESSAGE))
+    whole = F.when(is_json_object(col), F.from_json(F.col(col), ENVELOPE))
+    recs = envelopes.select(*keep, F.explode(whole["Records"]).alias("r"))
+    msg = F.when(is_json_object("r.body"), F.from_json(F.col("r.body"), MESSAGE))
     codes = recs.select(*keep, request_code(msg["cep"]).alias("cep"))
     return codes.where(is_code_length("cep"))
 
@@ -29,7 +31,7 @@ def route_events(events: DataFrame, col: str = "event") -> DataFrame:
     list is ``invalid``; text that is not a JSON object is ``malformed``.
     """
     e = F.col(col)
-    keys = F.json_object_keys(e)
+    keys = F.when(is_json_object(e), F.json_object_keys(e))
     rec0_keys = F.json_object_keys(F.get_json_object(e, "$.Records[0]"))
     source = F.get_json_object(e, "$.Records[0].eventSource")
     route = (F.when(keys.isNull(), F.lit("malformed"))
