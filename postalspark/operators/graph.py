@@ -22,7 +22,7 @@ from postalspark.operators.scan import running_total
 from postalspark.session import ensure_checkpoint_dir
 
 # Largest frontier (node count, exact) that is broadcast to the edge partitions.
-FRONTIER_BROADCAST_ROWS = 2_000_000
+FRONTIER_BROADCAST_ROWS = 100_000
 
 
 def reach_pages(links: DataFrame, start: str = "base", max_depth: int | None = None) -> DataFrame:
@@ -33,24 +33,23 @@ def reach_pages(links: DataFrame, start: str = "base", max_depth: int | None = N
     edges = (links.select("src", "dst").where(F.col("src").isNotNull() & F.col("dst").isNotNull())
              .dropDuplicates().repartition(n_parts).checkpoint())
     # the start node is reached at depth 0 even when it has no edges at all
-    visited = spark.range(1).select(F.lit(start).alias("node"), F.lit(0).alias("depth")).checkpoint()
-    frontier, frontier_rows = visited, 1
-    depth = 0
+    visited = frontier = spark.range(1).select(F.lit(start).alias("node"), F.lit(0).alias("depth"))
+    frontier_rows, depth = 1, 0
     while max_depth is None or depth < max_depth:
         depth += 1
         sources = frontier.select(F.col("node").alias("src"))
         if frontier_rows <= FRONTIER_BROADCAST_ROWS:
             sources = F.broadcast(sources)
-        nxt = (edges.join(sources, "src")
-               .select(F.col("dst").alias("node")).dropDuplicates()
-               .join(visited.select("node"), "node", "left_anti")
-               .withColumn("depth", F.lit(depth))
-               .checkpoint())
-        frontier_rows = nxt.count()
+        frontier = (edges.join(sources, "src")
+                    .select(F.col("dst").alias("node")).dropDuplicates()
+                    .join(visited.select("node"), "node", "left_anti")
+                    .withColumn("depth", F.lit(depth))
+                    .checkpoint())
+        frontier_rows = frontier.count()
         if frontier_rows == 0:
             break
-        visited = visited.unionByName(nxt).checkpoint()
-        frontier = nxt
+        # a union of the levels' checkpoints: no level is written twice
+        visited = visited.unionByName(frontier)
     return visited
 
 

@@ -3,8 +3,8 @@
 The lookup answers (the directory) are usually far smaller than the stream of
 codes, but nothing bounds them in general. ``broadcast_if_small`` asks the
 optimizer for the side's estimated size and hints a broadcast only under a
-bound (``postalspark.broadcastMaxBytes``, default 256 MiB); above it the join
-is left to AQE, which picks sort-merge and splits skewed partitions.
+bound (``postalspark.broadcastMaxBytes``, default 32 MiB, far below any driver's heap); above it the join
+has no hint: AQE picks from measured sizes and splits skewed partitions.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_MAX_KEY = "postalspark.broadcastMaxBytes"
-DEFAULT_BROADCAST_MAX = 256 * 1024 * 1024
+DEFAULT_BROADCAST_MAX = 32 * 1024 * 1024
 
 
 def estimated_bytes(df: DataFrame) -> int:

@@ -28,8 +28,20 @@ def _message(template: str, cep, **fixed) -> F.Column:
 
 
 def lookup_table(responses: DataFrame) -> DataFrame:
-    """Parsed answers keyed by ``code``: status plus the response fields."""
-    return parse_responses(responses.select("code", "body"))
+    """Parsed answers keyed by ``code``: status plus the response fields, and ``seq`` (0 where there is none).
+
+    A code may have several answers; the users of this table keep the last by ``seq``, and among
+    equals the greatest by (status, fields), so results never depend on row order.
+    """
+    parsed = parse_responses(responses.select("code", "body", *(["seq"] if "seq" in responses.columns else [])))
+    return parsed if "seq" in responses.columns else parsed.withColumn("seq", F.lit(0).cast("long"))
+
+
+def last_answer(rows: DataFrame, key: str) -> DataFrame:
+    """One row per ``key``: the greatest by (seq, status, fields); partial aggregation, so hot keys are safe."""
+    order = ["seq"] + [c for c in rows.columns if c not in (key, "seq")]
+    picked = rows.groupBy(key).agg(F.max(F.struct(*order)).alias("_r"))
+    return picked.select(key, *[F.col(f"_r.{c}").alias(c) for c in order if c != "seq"])
 
 
 def enrich_codes(codes: DataFrame, responses: DataFrame, distinct: bool = True) -> DataFrame:
@@ -40,11 +52,16 @@ def enrich_codes(codes: DataFrame, responses: DataFrame, distinct: bool = True)
     c = codes.select("cep").where(F.col("cep").isNotNull())
     if distinct:
         c = c.dropDuplicates(["cep"])
-    answers = broadcast_if_small(lookup_table(responses).withColumnRenamed("cep", "resp_cep"))
-    j = c.join(answers, c["cep"] == answers["code"], "left")
+    answers = lookup_table(responses).withColumnRenamed("cep", "resp_cep")
+    if not distinct:
+        answers = last_answer(answers, "code")
+    j = c.join(broadcast_if_small(answers), c["cep"] == answers["code"], "left")
     status = F.coalesce(F.col("status"), F.lit(ABSENT))
-    return j.select("cep", (status == OK).alias("found"), status.alias("status"),
-                    *[F.when(status == OK, F.col(f)).alias(f) for f in ADDRESS_FIELDS[1:]])
+    out = j.select("cep", F.col("seq") if distinct else F.lit(0).alias("seq"), status.alias("status"), *ADDRESS_FIELDS[1:])
+    if distinct:  # rows already lie by code, so this moves none
+        out = last_answer(out, "cep")
+    ok = F.col("status") == OK
+    return out.select("cep", ok.alias("found"), "status", *[F.when(ok, F.col(f)).alias(f) for f in ADDRESS_FIELDS[1:]])
 
 
 def process_codes(codes: DataFrame, responses: DataFrame, now: str) -> DataFrame:
@@ -55,10 +72,9 @@ def process_codes(codes: DataFrame, responses: DataFrame, now: str) -> DataFrame
     c = codes.select("cep").where(F.col("cep").isNotNull()).dropDuplicates(["cep"])
     answers = lookup_table(responses).where(F.col("status") == OK)
     found = answers.join(c.withColumnRenamed("cep", "code"), "code", "left_semi")
-    stored = found.select(*address_columns(F.struct(*[F.col(f) for f in ADDRESS_FIELDS])))
+    stored = found.select("seq", *address_columns(F.struct(*[F.col(f) for f in ADDRESS_FIELDS])))
     ts = F.lit(now).cast("timestamp_ntz")
-    return (stored.dropDuplicates(["cep"])
-                  .withColumn("created_at", ts).withColumn("updated_at", ts))
+    return last_answer(stored, "cep").withColumn("created_at", ts).withColumn("updated_at", ts)
 
 
 def not_found_codes(codes: DataFrame, responses: DataFrame,
@@ -134,7 +150,9 @@ def request_status(requests: DataFrame, responses: DataFrame) -> DataFrame:
     """Request rows -> 400 bad code / 404 not found / 200 with the answer body."""
     from postalspark.functions.codes import is_code_length, request_code
     from postalspark.functions.responses import response_status
-    answers = broadcast_if_small(responses.select("code", "body", response_status("body").alias("status")))
+    seq = F.col("seq") if "seq" in responses.columns else F.lit(0)
+    answers = last_answer(responses.select("code", seq.alias("seq"), response_status("body").alias("status"), "body"), "code")
+    answers = broadcast_if_small(answers)
     r = requests.withColumn("code", request_code("cep"))
     j = r.join(answers, "code", "left")
     bad = ~is_code_length(F.col("cep"))

@@ -12,8 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postalspark.functions.responses import is_json, is_json_object
-from postalspark.operators.scan import key_range, running_total
-from postalspark.session import ensure_checkpoint_dir
+from postalspark.operators.scan import running_total
 from postalspark.schemas import (FAILURE_PAUSE_FACTOR, MAX_BACKOFF_MULTIPLIER, MAX_CONSECUTIVE_ERRORS,
                                  RATE_LIMIT_PER_SECOND)
 
@@ -53,20 +52,15 @@ def process_limit(kept: DataFrame, limit: int | None, seq: str = "seq") -> DataF
     return kept.orderBy(seq).limit(int(limit)) if limit else kept
 
 
-def failure_streaks(kept: DataFrame, seq: str = "seq", consumer: str = "consumer", ok: str = "ok",
-                    bounds=None) -> DataFrame:
+def failure_streaks(kept: DataFrame, seq: str = "seq", consumer: str = "consumer", ok: str = "ok") -> DataFrame:
     """Failures in a row since the last success, per consumer, reset after 3.
 
     Adds ``k`` (failures in the current run, 0 on success), ``streak`` (the counter
     after this message: 1, 2, 3, 1, ...) and ``paused`` (this failure completed a
     run of three). Runs are cut by a running count of successes.
     """
-    bounds = bounds or key_range(kept, seq)
-    ensure_checkpoint_dir(kept.sparkSession)
-    # each scan reads its input twice; a reliable checkpoint between the two levels
-    # keeps the second level from recomputing the first one twice over
-    s = running_total(kept, seq, F.col(ok).cast("long"), "_run", partition_by=[consumer], bounds=bounds).checkpoint()
-    k = running_total(s, seq, (~F.col(ok)).cast("long"), "k", partition_by=[consumer, "_run"], bounds=bounds)
+    s = running_total(kept, seq, F.col(ok).cast("long"), "_run", partition_by=[consumer])
+    k = running_total(s, seq, (~F.col(ok)).cast("long"), "k", partition_by=[consumer, "_run"])
     n = MAX_CONSECUTIVE_ERRORS
     streak = F.when(F.col(ok), F.lit(0)).otherwise(((F.col("k") - 1) % n) + 1)
     paused = ~F.col(ok) & (F.col("k") % n == 0)
@@ -87,13 +81,12 @@ def pacing_schedule(kept: DataFrame, rate_per_second: float = RATE_LIMIT_PER_SEC
     gate before the next request, so a plain failure waits the larger of the two).
     """
     d = base_delay(rate_per_second)
-    bounds = key_range(kept, seq)
-    st = failure_streaks(kept, seq, consumer, ok, bounds)
+    st = failure_streaks(kept, seq, consumer, ok)
     mult = F.least(F.pow(F.lit(2.0), F.floor(F.col("k") / MAX_CONSECUTIVE_ERRORS).cast("double")),
                    F.lit(MAX_BACKOFF_MULTIPLIER))
     pause = F.when(F.col(ok), F.lit(d)).otherwise(F.greatest(F.lit(FAILURE_PAUSE_FACTOR), mult) * F.lit(d))
-    paced = st.withColumn("pause", pause.cast("double")).checkpoint()
-    started = running_total(paced, seq, F.col("pause"), "_until", partition_by=[consumer], bounds=bounds)
+    paced = st.withColumn("pause", pause.cast("double"))
+    started = running_total(paced, seq, F.col("pause"), "_until", partition_by=[consumer])
     return started.withColumn("start", F.col("_until") - F.col("pause")).drop("_until")
 
 
@@ -141,8 +134,18 @@ def workflow_summary(results: DataFrame) -> DataFrame:
                        F.count_distinct(F.when(F.col("found"), F.col("cep"))).alias("total_stored"))
 
 
-def publish_reconcile(published: DataFrame) -> DataFrame:
-    """Valid codes vs messages published; the step succeeds only when they are equal."""
-    return (published.agg(F.count(F.lit(1)).alias("valid"), F.count("value").alias("published"))
-            .withColumn("complete", F.col("valid") == F.col("published"))
+def publish_reconcile(valid: DataFrame, published: DataFrame) -> DataFrame:
+    """Valid codes vs messages on the queue (one row); the step succeeds only when they are equal.
+
+    ``published`` is what the queue holds after the write, not the frame that was written.
+    """
+    one = F.lit(1).alias("_k")
+    counts = valid.agg(F.count(F.lit(1)).alias("valid"), one).join(published.agg(F.count("value").alias("published"), one), "_k").drop("_k")
+    return (counts.withColumn("complete", F.col("valid") == F.col("published"))
             .withColumn("missing", F.col("valid") - F.col("published")))
+
+
+def code_results(results: DataFrame) -> DataFrame:
+    """One row per handled code: whether it was found, and the error text if not."""
+    return results.select("cep", F.col("found").alias("success"),
+                          F.when(~F.col("found"), F.lit("CEP not found")).alias("error"))

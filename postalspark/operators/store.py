@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postalspark.functions.responses import OK, address_columns
-from postalspark.operators.lookup import latest_per_code, lookup_table
+from postalspark.operators.lookup import last_answer, latest_per_code, lookup_table
 from postalspark.schemas import ADDRESS_FIELDS, EXPORT_FIELDS
 
 
@@ -18,8 +18,8 @@ def stored_addresses(responses: DataFrame, now: str) -> DataFrame:
     """
     found = lookup_table(responses).where(F.col("status") == OK)
     ts = F.lit(now).cast("timestamp_ntz")
-    return (found.select(*address_columns(F.struct(*[F.col(f) for f in ADDRESS_FIELDS])))
-            .dropDuplicates(["cep"]).withColumn("created_at", ts).withColumn("updated_at", ts))
+    rows = found.select("seq", *address_columns(F.struct(*[F.col(f) for f in ADDRESS_FIELDS])))
+    return last_answer(rows, "cep").withColumn("created_at", ts).withColumn("updated_at", ts)
 
 
 def address_by_code(addresses: DataFrame, code: str) -> DataFrame:
@@ -71,7 +71,13 @@ def merge_addresses(target: DataFrame, source: DataFrame, now: str) -> DataFrame
     return j.select(*cols, created, updated)
 
 
+def last_rows(source: DataFrame, seq: str = "seq") -> DataFrame:
+    """One row per code: the last by ``seq`` where there is one (W3), else the greatest by its fields."""
+    if seq in source.columns:
+        return latest_per_code(source.select("cep", seq, *ADDRESS_FIELDS[1:]), key="cep", seq=seq).drop(seq)
+    return last_answer(source.select("cep", F.lit(0).alias("seq"), *ADDRESS_FIELDS[1:]), "cep")
+
+
 def upsert_batch(target: DataFrame, source: DataFrame, now: str, seq: str = "seq") -> DataFrame:
     """Many rows at once; repeated keys keep the last by ``seq`` (W3), then K9."""
-    latest = latest_per_code(source.select("cep", seq, *ADDRESS_FIELDS[1:]), key="cep", seq=seq)
-    return merge_addresses(target, latest.drop(seq), now)
+    return merge_addresses(target, last_rows(source, seq), now)

@@ -381,8 +381,13 @@ def oracles() -> dict[str, str]:
     o["A7_workflow_summary"] = W("""SELECT count(*) AS attempted, count(*) FILTER (WHERE found) AS succeeded,
   count(*) FILTER (WHERE NOT found) AS failed, count(DISTINCT CASE WHEN found THEN cep END) AS total_stored FROM rr""",
                                  "raw_codes", "responses", ctes=",\n".join([F1, OKCODES, rows]))
-    o["A8_publish_reconcile"] = W("""SELECT count(*) AS valid, count(*) AS published, true AS complete, CAST(0 AS BIGINT) AS missing
-  FROM f1""", "raw_codes", ctes=F1)
+    o["A6_code_results"] = W("SELECT cep, found AS success, CASE WHEN NOT found THEN 'CEP not found' END AS error FROM rr",
+                             "raw_codes", "responses", ctes=",\n".join([F1, OKCODES, rows]))
+    queue = "queue AS (SELECT '{\"cep\": \"' || cep || '\"}' AS value FROM f1)"
+    o["A8_publish_reconcile"] = W("""SELECT valid, published, valid = published AS complete, valid - published AS missing
+  FROM (SELECT (SELECT count(*) FROM raw_codes WHERE """ + valid("cep") + """) AS valid,
+               (SELECT count(*) FROM queue WHERE json_extract_string(value, '$.cep') IS NOT NULL) AS published)""",
+                                  "raw_codes", ctes=",\n".join([F1, queue]))
     o["A9_distinct_codes"] = W("SELECT DISTINCT cep FROM u1_codes", "code_pages", ctes=U1)
     # ---- windows
     o["W1_number_batches"] = W("SELECT * FROM w1", "raw_codes", ctes=",\n".join([s2, w1]))
@@ -442,19 +447,9 @@ r AS (SELECT cep, final_attempt, max(outcome) FILTER (WHERE attempt = final_atte
 latest AS (SELECT cep, {', '.join(f'arg_max({f}, seq) AS {f}' for f in ADDRESS_FIELDS[1:])} FROM ver GROUP BY cep)"""
     o["K10_upsert_batch"] = W(_merge("addresses", "latest", upd), "responses", "responses_versions",
                               ctes=",\n".join([ADDRESSES, versions]))
-    try:
-        from postalspark.plans.sink_queries import sink_oracles
-        o.update(sink_oracles(o))
-    except ModuleNotFoundError:
-        pass
-    try:
-        from postalspark.plans.stream_queries import stream_oracles
-        o.update(stream_oracles(o))
-    except ModuleNotFoundError:
-        pass
-    try:
-        from postalspark.plans.workflow import workflow_oracles
-        o.update(workflow_oracles(o))
-    except ModuleNotFoundError:
-        pass
+    from postalspark.plans.sink_queries import sink_oracles
+    from postalspark.plans.stream_queries import stream_oracles
+    from postalspark.plans.workflow import workflow_oracles
+    for more in (sink_oracles, stream_oracles, workflow_oracles):
+        o.update(more(o))
     return o

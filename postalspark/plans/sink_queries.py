@@ -113,10 +113,12 @@ def k15(spark, sf):
 
 @query("K16_declare_tables")
 def k16(spark, sf):
-    name = f"ceps_{uuid.uuid4().hex[:10]}"
-    st.declare_tables(spark, name, scratch_dir(spark, "ceps_table"))
+    name, place = f"ceps_{uuid.uuid4().hex[:10]}", scratch_dir(spark, "ceps_table")
+    st.declare_tables(spark, name, place)
     st.load_table(addresses(spark, sf), name)
-    return spark.table(name).where(F.col("uf") == "SP").select(*ADDRESS_FIELDS, "created_at", "updated_at")
+    schema = spark.table(name).schema
+    st.drop_tables(spark, name)  # the name goes; the table's files stay at their place
+    return spark.read.schema(schema).parquet(place).select(*ADDRESS_FIELDS, "created_at", "updated_at")
 
 
 def sink_oracles(o: dict[str, str]) -> dict[str, str]:
@@ -130,9 +132,10 @@ def sink_oracles(o: dict[str, str]) -> dict[str, str]:
         "K5_export_xml": W(export, "responses", ctes=q.ADDRESSES),
         "K6_export_xml_rows": W(export + " WHERE localidade = 'NATION_2'", "responses", ctes=q.ADDRESSES),
         "K8_write_parquet": W(f"SELECT {', '.join(PARQUET_FIELDS)} FROM addresses", "responses", ctes=q.ADDRESSES),
-        "K12_clear_errors": "SELECT " + ", ".join(f"CAST(NULL AS VARCHAR) AS {f}" for f in ERROR_LOG.fieldNames()) + " WHERE false",
-        "K15_purge_backlog": "SELECT CAST(0 AS BIGINT) AS backlog",
-        "K16_declare_tables": W(f"SELECT {fields}, created_at, updated_at FROM addresses WHERE uf = 'SP'",
+        "K12_clear_errors": W("SELECT " + ", ".join(f"CAST(code AS VARCHAR) AS {f}" for f in ERROR_LOG.fieldNames())
+                              + " FROM responses WHERE code IS NULL AND code IS NOT NULL", "responses"),
+        "K15_purge_backlog": W("SELECT count(*) AS backlog FROM messages m WHERE m.seq NOT IN (SELECT seq FROM messages)", "messages"),
+        "K16_declare_tables": W(f"SELECT {fields}, created_at, updated_at FROM addresses",
                                 "responses", ctes=q.ADDRESSES),
     }
     struct = ", ".join(f"'{f}': {f}" for f in EXPORT_FIELDS)

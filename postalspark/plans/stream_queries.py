@@ -21,6 +21,8 @@ from postalspark.streaming import sources as ss
 from postalspark.streaming import streaks as sk
 
 ARRIVAL_FILES = 4
+#: files of an unordered replay, and how many of them a micro-batch takes
+SPREAD_FILES, PER_TRIGGER = 8, 2
 
 
 def _message_files(spark, sf, files=ARRIVAL_FILES):
@@ -30,9 +32,9 @@ def _message_files(spark, sf, files=ARRIVAL_FILES):
 
 @query("S7_stream_messages")
 def s7(spark, sf):
-    src = _message_files(spark, sf)
+    src = ss.write_arrivals(V(spark, sf, "messages"), scratch_dir(spark, "message_files"), "seq", SPREAD_FILES)
     out = scratch_dir(spark, "s7_out")
-    stream = ss.stream_messages(spark, src, max_files_per_trigger=1)
+    stream = ss.stream_messages(spark, src, max_files_per_trigger=PER_TRIGGER)
     se.run_available(stream, lambda b, i: se.write_batch(drop_bad_messages(b), out, i), scratch_dir(spark, "s7_ckpt"))
     return spark.read.parquet(out).drop("batch")
 
@@ -40,7 +42,7 @@ def s7(spark, sf):
 @query("S8_stream_uploaded_csv")
 def s8(spark, sf):
     src = scratch_dir(spark, "upload_files")
-    ss.write_in_order(V(spark, sf, "raw_codes"), src, "row_id", ARRIVAL_FILES, fmt="csv")
+    ss.write_arrivals(V(spark, sf, "raw_codes"), src, "row_id", SPREAD_FILES, fmt="csv")
     responses = V(spark, sf, "responses")
     out = scratch_dir(spark, "s8_out")
 
@@ -49,7 +51,7 @@ def s8(spark, sf):
         found = ol.enrich_codes(valid, responses).select("cep", "found")
         se.write_batch(valid.join(found, "cep", "left"), out, batch_id)
 
-    se.run_available(ss.stream_uploaded_csv(spark, src, max_files_per_trigger=1), handle,
+    se.run_available(ss.stream_uploaded_csv(spark, src, max_files_per_trigger=PER_TRIGGER), handle,
                      scratch_dir(spark, "s8_ckpt"))
     return spark.read.parquet(out).drop("batch")
 
@@ -60,17 +62,17 @@ def _enrich_run(spark, sf, files_first=None):
     root, errors, dead, ckpt = (scratch_dir(spark, n) for n in ("t_table", "t_errors", "t_dead", "t_ckpt"))
     responses = V(spark, sf, "responses")
     if files_first is None:
-        ss.write_in_order(m, src, "seq", ARRIVAL_FILES)
-        table = se.stream_enrich(spark, ss.stream_messages(spark, src, 1), responses, root, errors, dead, ckpt, NOW)
+        ss.write_arrivals(m, src, "seq", SPREAD_FILES)
+        table = se.stream_enrich(spark, ss.stream_messages(spark, src, PER_TRIGGER), responses, root, errors, dead, ckpt, NOW)
         return table, errors, dead
     # T4: first part arrives, the consumer drains it and stops; the rest arrives and a
     # restarted consumer resumes from the checkpoint.
     lo, hi = m.agg(F.min("seq"), F.max("seq")).first()
     cut = lo + (hi - lo) // 2
-    ss.write_in_order(m.where(F.col("seq") <= cut), src, "seq", files_first)
-    se.stream_enrich(spark, ss.stream_messages(spark, src, 1), responses, root, errors, dead, ckpt, NOW)
-    ss.write_in_order(m.where(F.col("seq") > cut), src, "seq", files_first)
-    table = se.stream_enrich(spark, ss.stream_messages(spark, src, 1), responses, root, errors, dead, ckpt, NOW)
+    ss.write_arrivals(m.where(F.col("seq") <= cut), src, "seq", files_first)
+    se.stream_enrich(spark, ss.stream_messages(spark, src, PER_TRIGGER), responses, root, errors, dead, ckpt, NOW)
+    ss.write_arrivals(m.where(F.col("seq") > cut), src, "seq", files_first)
+    table = se.stream_enrich(spark, ss.stream_messages(spark, src, PER_TRIGGER), responses, root, errors, dead, ckpt, NOW)
     return table, errors, dead
 
 
@@ -105,7 +107,7 @@ def t3(spark, sf):
 
 @query("T4_stream_ack")
 def t4(spark, sf):
-    table, _, _ = _enrich_run(spark, sf, files_first=2)
+    table, _, _ = _enrich_run(spark, sf, files_first=SPREAD_FILES // 2)
     return table.read()
 
 

@@ -69,16 +69,18 @@ def full_workflow(spark: SparkSession, links: DataFrame, pages: DataFrame, respo
             return None
     valid = oc.valid_codes(oc.load_and_validate(spark, csv_path))
     published = om.publish_messages(valid.withColumn("seq", F.monotonically_increasing_id()))
-    if published.isEmpty():
-        return None
     published.select("seq", "value").write.mode("overwrite").parquet(f"{work}/queue")
     queue = spark.read.parquet(f"{work}/queue")
+    sent = om.publish_reconcile(valid, queue).first()
+    if not sent["published"] or not sent["complete"]:
+        return None
     msgs = queue.select("seq", F.get_json_object("value", "$.cep").alias("cep"))
     taken = om.process_limit(msgs, cfg.process_limit)
     answers = ol.enrich_codes(taken, responses).select("cep", "found")
     per_message = taken.join(answers, "cep", "left")
     table = AddressTable(spark, f"{work}/ceps")
     table.upsert(ol.process_codes(taken, responses, cfg.now).drop("created_at", "updated_at"), cfg.now)
+    sf_.append_errors(ol.not_found_codes(taken, responses), f"{work}/errors", F.lit(cfg.now).cast("timestamp_ntz"))
     stored = table.read()
     if cfg.export_json:
         sf_.export_json(stored, f"{work}/export_json", cfg.now)
@@ -90,14 +92,23 @@ def full_workflow(spark: SparkSession, links: DataFrame, pages: DataFrame, respo
 
 
 def batch_job(spark: SparkSession, codes: DataFrame, responses: DataFrame, out_path: str,
-              rate_per_second: float = 2.0, now: str = NOW) -> DataFrame:
-    """Codes -> lookups in batches -> stored rows -> Parquet -> per-batch and job totals."""
+              rate_per_second: float = 2.0, now: str = NOW, table: AddressTable | None = None,
+              errors_path: str | None = None) -> DataFrame:
+    """Codes -> lookups in batches -> table -> Parquet of the whole table -> per-batch and job totals.
+
+    ``codes`` needs ``cep``; without ``row_id`` rows count in input order. Hits are upserted into ``table`` (a new one
+    beside the output by default), failures go to the error log, and the Parquet output holds the whole table.
+    """
     cleaned = sc.scan_codes_unvalidated(codes)
+    if "row_id" not in cleaned.columns:
+        cleaned = cleaned.withColumn("row_id", F.monotonically_increasing_id())
     batched = oc.number_batches(cleaned, oc.batch_size_for(rate_per_second))
-    # lookups read the codes before numbering, so the numbering plan runs once
-    answers = ol.enrich_codes(cleaned, responses).select("cep", "found")
-    results = batched.join(answers, "cep", "left").withColumn("found", F.coalesce("found", F.lit(False)))
-    sf_.write_parquet(ol.process_codes(cleaned, responses, now), out_path)
+    answers = ol.last_answer(ol.lookup_table(responses).select("code", "seq", "status"), "code")
+    results = batched.join(answers, batched["cep"] == answers["code"], "left").withColumn("found", F.coalesce(F.col("status") == "ok", F.lit(False)))
+    table = table or AddressTable(spark, f"{out_path}-table")
+    table.upsert(ol.process_codes(cleaned, responses, now).drop("created_at", "updated_at"), now)
+    sf_.append_errors(ol.not_found_codes(cleaned, responses), errors_path or f"{out_path}-errors", F.lit(now).cast("timestamp_ntz"))
+    sf_.write_parquet(table.read(), out_path)
     return om.batch_stats(results)
 
 
@@ -121,7 +132,9 @@ def p0(spark, sf):
 
 @query("P1_full_workflow")
 def p1(spark, sf):
-    cfg = WorkflowConfig(collect=True, max_codes=100, process_limit=None)
+    # every code of the code file (the collecting form is G2 followed by the same steps)
+    path = sf_.write_csv(V(spark, sf, "raw_codes"), "p1_codes")
+    cfg = WorkflowConfig(collect=False, csv_path=path)
     return full_workflow(spark, V(spark, sf, "links"), node_pages(spark, sf), V(spark, sf, "responses"), cfg)
 
 
@@ -139,16 +152,13 @@ def workflow_oracles(o: dict[str, str]) -> dict[str, str]:
     from postalspark.fixtures import with_views as W
     from postalspark.plans import oracles as q
     ok = f"ok AS (SELECT code, json_extract_string(body, '$.uf') AS uf FROM responses WHERE {q.status('body')} = 'ok')"
-    collected = f"""collected AS (SELECT replace(cep, '-', '') AS cep FROM (SELECT DISTINCT cep FROM g_codes
-   WHERE page_id IN (SELECT page_id FROM g_kept)) ORDER BY cep LIMIT 100)"""
-    graph = ",\n".join([q.REACH, q.GRAPH_PAGES, q.page_code_ctes("gpages", "g"), q.PROGRESS, q.OKCODES, collected])
     return {
         "P0_codes_by_state": W("""SELECT ok.uf, count(*) AS codes, count(DISTINCT f1.cep) AS distinct_codes
   FROM f1 JOIN ok ON f1.cep = ok.code GROUP BY ok.uf""", "raw_codes", "responses", ctes=",\n".join([q.F1, ok])),
         "P1_full_workflow": W("""SELECT count(*) AS attempted, count(*) FILTER (WHERE found) AS succeeded,
-  count(*) FILTER (WHERE NOT found) AS failed, count(*) FILTER (WHERE found) AS total_stored
-  FROM (SELECT cep, coalesce(cep IN (SELECT code FROM okc), false) AS found FROM collected)""",
-                              "links", "code_pages", "responses", ctes=graph, recursive=True),
+  count(*) FILTER (WHERE NOT found) AS failed, count(DISTINCT cep) FILTER (WHERE found) AS total_stored
+  FROM (SELECT cep, coalesce(cep IN (SELECT code FROM okc), false) AS found FROM f1)""",
+                              "raw_codes", "responses", ctes=",\n".join([q.F1, q.OKCODES])),
         "P2_batch_job": o["A5_batch_stats"],
         "P3_export_only": W("SELECT count(*) AS json_rows, count(*) AS xml_rows FROM addresses", "responses",
                             ctes=q.ADDRESSES),

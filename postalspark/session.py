@@ -54,7 +54,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not configured:
         app = sc.applicationId
         if app not in _LOCAL_FALLBACK:
-            # Only reached when nothing is configured (tests, the local bench).
+            # A folder of this machine serves tests and the local bench; executors elsewhere can't see it.
+            if not sc.master.startswith("local[") and sc.master != "local":
+                raise RuntimeError(f"set {_CHECKPOINT_KEY} to a folder that all executors share (master is {sc.master})")
             _LOCAL_FALLBACK[app] = tempfile.mkdtemp(prefix="postalspark-ckpt-")
         configured = _LOCAL_FALLBACK[app]
     if sc.getCheckpointDir() is None:
@@ -66,3 +68,9 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint directory."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def remove_path(spark: SparkSession, path: str) -> bool:
+    """Delete a file or folder on its own file system; False when there is none."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True))

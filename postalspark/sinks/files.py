@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from postalspark.functions.codes import dehyphenate
 from postalspark.functions.text import iso_timestamp
 from postalspark.schemas import ADDRESS_FIELDS, ERROR_LOG, ERROR_LOG_FIELDS, PARQUET_FIELDS
-from postalspark.session import scratch_dir
+from postalspark.session import remove_path, scratch_dir
 from postalspark.sources.store import scan_addresses
 
 
@@ -56,6 +56,19 @@ def _observed(rows: DataFrame) -> tuple[DataFrame, Observation]:
     return rows.observe(obs, F.count(F.lit(1)).alias("n")), obs
 
 
+def _page(addresses: DataFrame, limit: int | None, offset: int) -> DataFrame:
+    """A page in code order; the whole table as it lies (a full export has no order)."""
+    return scan_addresses(addresses, limit, offset) if limit or offset else addresses
+
+
+def _nothing(counted: DataFrame, obs: Observation, path: str) -> bool:
+    """Whether the write held no row; its empty folder goes."""
+    if obs.get["n"]:
+        return False
+    remove_path(_spark(counted), path)
+    return True
+
+
 def _metadata(spark: SparkSession, total: int, export_date: str, limit, offset, with_paging: bool) -> DataFrame:
     md = spark.range(1).select(F.lit(export_date).alias("export_date"), F.lit(total).cast("long").alias("total_ceps"))
     if with_paging:
@@ -69,13 +82,12 @@ def export_json(addresses: DataFrame, path: str, export_date: str, limit: int |
 
     NULL fields are written (``ignoreNullFields=false``) and non-ASCII text is kept.
     """
-    rows = export_rows(scan_addresses(addresses, limit, offset))
-    if rows.isEmpty():
-        return False
-    counted, obs = _observed(rows)
+    counted, obs = _observed(export_rows(_page(addresses, limit, offset)))
     counted.write.mode("overwrite").option("ignoreNullFields", False).json(f"{path}/ceps")
+    if _nothing(counted, obs, f"{path}/ceps"):
+        return False
     if include_metadata:
-        (_metadata(_spark(rows), obs.get["n"], export_date, limit, offset, with_paging)
+        (_metadata(_spark(addresses), obs.get["n"], export_date, limit, offset, with_paging)
          .write.mode("overwrite").option("ignoreNullFields", False).json(f"{path}/metadata"))
     return True
 
@@ -92,14 +104,13 @@ def export_xml(addresses: DataFrame, path: str, export_date: str, limit: int | N
     NULL fields are left out; the metadata (limit only if set, offset only if > 0)
     goes to ``path/metadata``.
     """
-    rows = export_rows(scan_addresses(addresses, limit, offset))
-    if rows.isEmpty():
-        return False
-    counted, obs = _observed(rows)
+    counted, obs = _observed(export_rows(_page(addresses, limit, offset)))
     (counted.write.mode("overwrite").format("xml").option("rootTag", root_element_name)
      .option("rowTag", "cep").save(f"{path}/ceps"))
+    if _nothing(counted, obs, f"{path}/ceps"):
+        return False
     if include_metadata:
-        md = _spark(rows).range(1).select(F.lit(export_date).alias("export_date"),
+        md = _spark(addresses).range(1).select(F.lit(export_date).alias("export_date"),
                                           F.lit(obs.get["n"]).cast("long").alias("total_ceps"))
         if with_paging and limit is not None:
             md = md.withColumn("limit", F.lit(int(limit)))

@@ -1,99 +1,157 @@
-"""The address table on plain Parquet: versioned, atomically switched, idempotent.
+"""The address table on plain Parquet: bucketed by code, versioned by numbered commits.
 
-Each commit writes a complete new version folder and then replaces a small
-pointer file (write-then-rename on the shared file system), so readers never
-see a half-written table and the folder being read is never overwritten. The
-pointer also records the last committed stream batch id, which makes a
-replayed micro-batch a no-op (effectively-once upserts).
+Rows live in a fixed number of buckets (hash of the code). A commit writes new folders for the buckets
+it touches, then one small numbered file that names every bucket's current folder. That file
+is created only if absent, and the highest number wins: there is never a moment without a
+current commit, a crash before the file leaves the table as it was, and of two writers that
+race for a number one fails and nothing of the other is lost. Readers never see a half-written
+table, and only touched buckets are written again.
+
+A commit also records the last micro-batch of each stream (by checkpoint location), so a replayed
+batch of that stream is a no-op while a new stream's batches always count.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
-from postalspark.operators.store import merge_addresses, upsert_batch
+from postalspark.operators.store import last_rows, merge_addresses
 from postalspark.schemas import ADDRESS, ADDRESS_DDL
+from postalspark.session import remove_path
+
+COMMITS, DATA = "commits", "data"
+DEFAULT_BUCKETS = 16
+
 
-POINTER = "_CURRENT"
+class CommitConflict(RuntimeError):
+    """Another writer made the commit that this one was about to make; read again and retry."""
 
 
 class AddressTable:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, buckets: int = DEFAULT_BUCKETS):
+        """``buckets`` counts for a new table (size it so that one holds a few GB); an old one keeps its own."""
         self.spark = spark
         self.root = root.rstrip("/")
-        jvm = spark.sparkContext._jvm
-        self._Path = jvm.org.apache.hadoop.fs.Path
-        self._fs = self._Path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-    # -- pointer file -----------------------------------------------------------
-    def _read_pointer(self) -> tuple[str | None, int]:
-        p = self._Path(f"{self.root}/{POINTER}")
-        if not self._fs.exists(p):
-            return None, -1
-        stream = self._fs.open(p)
-        try:
-            reader = self.spark.sparkContext._jvm.java.io.BufferedReader(
-                self.spark.sparkContext._jvm.java.io.InputStreamReader(stream, "UTF-8"))
-            line = reader.readLine() or ""
-        finally:
-            stream.close()
-        version, _, batch = line.partition("\t")
-        return (version or None), int(batch or -1)
-
-    def _write_pointer(self, version: str, batch_id: int) -> None:
-        tmp = self._Path(f"{self.root}/.{POINTER}-{uuid.uuid4().hex}")
-        out = self._fs.create(tmp, True)
+        self._jvm = spark.sparkContext._jvm
+        self._fs = self._path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        self._buckets = buckets
+
+    # -- commit files -----------------------------------------------------------
+    def _path(self, where: str):
+        return self._jvm.org.apache.hadoop.fs.Path(where)
+
+    def commit_numbers(self) -> list[int]:
+        folder = self._path(f"{self.root}/{COMMITS}")
+        if not self._fs.exists(folder):
+            return []
+        names = (f.getPath().getName() for f in self._fs.listStatus(folder))
+        return sorted(int(n) for n in names if n.isdigit())
+
+    def _load(self, number: int) -> dict:
+        return json.loads(self.spark.read.option("wholetext", True).text(f"{self.root}/{COMMITS}/{number:020d}").first().value)
+
+    def state(self) -> dict:
+        """``number, buckets, folders`` (bucket -> folder) and ``batches`` (stream -> last batch) of the current commit."""
+        numbers = self.commit_numbers()
+        if not numbers:
+            return {"number": 0, "buckets": self._buckets, "folders": {}, "batches": {}}
+        return {"number": numbers[-1], **self._load(numbers[-1])}
+
+    def _publish(self, before: dict, folders: dict, stream: str | None, batch_id: int | None) -> int:
+        number = before["number"] + 1
+        batches = dict(before["batches"]) | ({stream: batch_id} if stream is not None else {})
+        text = json.dumps({"buckets": before["buckets"], "folders": folders, "batches": batches})
+        place = f"{self.root}/{COMMITS}/{number:020d}"
+        # written whole under another name, then taken only if the number is still free
+        draft = self._path(f"{self.root}/{COMMITS}/.{number:020d}-{uuid.uuid4().hex}")
+        out = self._fs.create(draft, False)
         try:
-            out.write(bytearray(f"{version}\t{batch_id}\n", "utf-8"))
+            out.write(bytearray(text, "utf-8"))
         finally:
             out.close()
-        dst = self._Path(f"{self.root}/{POINTER}")
-        if self._fs.exists(dst):
-            self._fs.delete(dst, False)
-        if not self._fs.rename(tmp, dst):
-            raise OSError(f"could not switch table pointer under {self.root}")
-
-    # -- reads and commits ------------------------------------------------------
-    def current_version(self) -> str | None:
-        return self._read_pointer()[0]
-
-    def last_batch(self) -> int:
-        return self._read_pointer()[1]
-
-    def read(self) -> DataFrame:
-        version = self.current_version()
-        if version is None:
+        if self._fs.exists(self._path(place)) or not self._fs.rename(draft, self._path(place)):
+            self._fs.delete(draft, False)
+            raise CommitConflict(f"commit {number} of {self.root} exists already")
+        return number
+
+    # -- reads ------------------------------------------------------------------
+    def current_version(self) -> int:
+        """Number of the current commit; 0 before the first."""
+        return self.state()["number"]
+
+    def last_batch(self, stream: str = "") -> int:
+        return self.state()["batches"].get(stream, -1)
+
+    def read(self, version: int | None = None, buckets: list[int] | None = None) -> DataFrame:
+        """The table as of a commit (default: the current one), or only some of its buckets."""
+        state = self.state() if version is None else self._load(version)
+        folders = sorted({f for b, f in state["folders"].items() if buckets is None or int(b) in buckets})
+        if not folders:
             return self.spark.createDataFrame([], ADDRESS)
-        return self.spark.read.schema(ADDRESS).parquet(f"{self.root}/{version}")
-
-    def commit(self, rows: DataFrame, batch_id: int | None = None) -> str:
-        version = f"v-{uuid.uuid4().hex}"
-        # range partitions on (uf, localidade): a dominant state is split over many tasks
-        (rows.select(*ADDRESS.fieldNames()).repartitionByRange("uf", "localidade")
-         .sortWithinPartitions("uf", "localidade", "created_at")
-         .write.mode("errorifexists").parquet(f"{self.root}/{version}"))
-        self._write_pointer(version, self.last_batch() if batch_id is None else batch_id)
-        return version
-
-    def upsert(self, source: DataFrame, now: str, batch_id: int | None = None) -> int:
+        return self.spark.read.schema(ADDRESS).parquet(*[f"{self.root}/{DATA}/{f}" for f in folders])
+
+    # -- commits ----------------------------------------------------------------
+    @staticmethod
+    def _bucket(n: int) -> Column:
+        return F.pmod(F.xxhash64("cep"), F.lit(n)).cast("int")
+
+    def _write(self, rows: DataFrame, n: int) -> dict[str, str]:
+        """Write rows by bucket, each bucket range partitioned on the code (a city that holds most rows spans many
+        tasks); the folder of every bucket that got rows."""
+        run = uuid.uuid4().hex
+        (rows.select(*ADDRESS.fieldNames(), self._bucket(n).alias("b")).repartitionByRange("b", "cep")
+         .sortWithinPartitions("b", "cep").write.partitionBy("b").parquet(f"{self.root}/{DATA}/{run}"))
+        got = self._fs.listStatus(self._path(f"{self.root}/{DATA}/{run}"))
+        names = [f.getPath().getName() for f in got if f.getPath().getName().startswith("b=")]
+        return {name[2:]: f"{run}/{name}" for name in names}
+
+    def commit(self, rows: DataFrame) -> int:
+        """Replace the whole table; returns the commit's number."""
+        before = self.state()
+        return self._publish(before, self._write(rows, before["buckets"]), None, None)
+
+    def upsert(self, source: DataFrame, now: str, batch_id: int | None = None, stream: str = "") -> int:
         """Merge ``source`` (cep + address fields, optional ``seq``) and commit.
 
-        Returns the number of distinct codes written. A ``batch_id`` at or below the
-        last committed one is skipped (a replayed micro-batch).
+        Returns the number of distinct codes written. A micro-batch of ``stream`` (its checkpoint location) at or
+        below the last committed one is skipped. Only the buckets of the incoming codes are read and written.
         """
-        if batch_id is not None and batch_id <= self.last_batch():
+        before = self.state()
+        if batch_id is not None and batch_id <= before["batches"].get(stream, -1):
             return 0
-        target = self.read()
-        if "seq" in source.columns:
-            merged = upsert_batch(target, source, now)
-        else:
-            merged = merge_addresses(target, source.dropDuplicates(["cep"]), now)
-        # the new version goes to a new folder, so reading the current one while
-        # writing is safe; the pointer moves only after the write has finished
-        self.commit(merged, batch_id)
-        return source.select("cep").distinct().count()
+        n = before["buckets"]
+        seen = Observation()
+        latest = last_rows(source).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            counted = latest.withColumn("_b", self._bucket(n)).observe(seen, F.count(F.lit(1)).alias("n"))
+            touched = sorted(r["_b"] for r in counted.groupBy("_b").count().collect())  # at most one row per bucket
+            folders = dict(before["folders"])
+            if touched:
+                folders |= self._write(merge_addresses(self.read(before["number"] or None, touched), latest, now), n)
+            self._publish(before, folders, stream if batch_id is not None else None, batch_id)
+        finally:
+            latest.unpersist()
+        return int(seen.get["n"])
+
+    def remove_old(self, keep_commits: int = 2) -> list[str]:
+        """Delete the folders that none of the last ``keep_commits`` commits names, and older commit files.
+
+        Call it when no reader uses an older commit and no writer is at work (the grace time is the caller's).
+        """
+        numbers = self.commit_numbers()
+        kept, old = numbers[-keep_commits:], numbers[:-keep_commits]
+        live = {f for k in kept for f in self._load(k)["folders"].values()}
+        gone = sorted({f for k in old for f in self._load(k)["folders"].values()} - live)
+        for f in gone:
+            remove_path(self.spark, f"{self.root}/{DATA}/{f}")
+        for k in old:
+            remove_path(self.spark, f"{self.root}/{COMMITS}/{k:020d}")
+        return gone
 
 
 def declare_tables(spark: SparkSession, name: str, location: str, buckets: int | None = None) -> None:
@@ -116,5 +174,5 @@ def load_table(rows: DataFrame, name: str) -> None:
     """Insert rows into a declared table; the uf/localidade/created_at indexes become
     partition pruning on uf and min/max statistics from sorting inside files."""
     cols = [f.name for f in rows.sparkSession.table(name).schema.fields]
-    (rows.select(*cols).repartitionByRange("uf", "localidade").sortWithinPartitions("uf", "localidade", "created_at")
+    (rows.select(*cols).repartitionByRange("uf", "localidade", "cep").sortWithinPartitions("uf", "localidade", "created_at")
      .write.insertInto(name))

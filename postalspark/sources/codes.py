@@ -14,16 +14,18 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def read_codes_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_codes_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Header CSV, every column a string (no inference: leading zeros stay).
 
+    Quotes inside a quoted value are doubled; ``multi_line`` allows line ends in one (files are not split then).
+
     Raises FileNotFoundError for a missing path and ValueError when the file has no
     ``cep`` column or no rows.
     """
     if not path_exists(spark, path):
         raise FileNotFoundError(f"CSV file not found: {path}")
     df = (spark.read.option("header", True).option("inferSchema", False)
-          .option("mode", "PERMISSIVE").csv(path))
+          .option("mode", "PERMISSIVE").option("escape", '"').option("multiLine", multi_line).csv(path))
     if "cep" not in df.columns:
         raise ValueError("CSV file must contain 'cep' column")
     if df.isEmpty():

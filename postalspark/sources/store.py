@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from postalspark.operators.scan import global_row_number
 from postalspark.schemas import ERROR_LOG
 from postalspark.sources.codes import path_exists
 
@@ -12,15 +13,17 @@ from postalspark.sources.codes import path_exists
 def scan_addresses(addresses: DataFrame, limit: int | None = None, offset: int = 0) -> DataFrame:
     """All stored rows ordered by code; 0 or None means no limit.
 
-    Ordered by the key first, so a page repeats from run to run. Spark plans the
-    limited form as a per-partition top-(offset+limit) followed by one merge.
+    Ordered by the key first, so a page repeats from run to run. A limit alone is a per-partition
+    top-n with one merge of ``limit`` rows. With an offset rows are numbered over sampled ranges of the
+    code and the page is filtered by number, so the rows before it are never gathered in a task.
     """
-    out = addresses.orderBy("cep")
     if offset:
-        out = out.offset(int(offset))
-    if limit:
-        out = out.limit(int(limit))
-    return out
+        numbered = global_row_number(addresses, "cep", "_rn").where(F.col("_rn") > int(offset))
+        if limit:
+            numbered = numbered.where(F.col("_rn") <= int(offset) + int(limit))
+        return numbered.drop("_rn").orderBy("cep")
+    out = addresses.orderBy("cep")
+    return out.limit(int(limit)) if limit else out
 
 
 def read_address_table_jdbc(spark: SparkSession, url: str, table: str = "ceps", properties: dict | None = None,

@@ -47,15 +47,21 @@ def write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet") -
 
 
 def enrich_handler(spark: SparkSession, responses: DataFrame, table: AddressTable, errors_path: str,
-                   dead_path: str, now: str) -> Handler:
-    """The per-micro-batch work of the consumer."""
+                   dead_path: str, now: str, stream: str = "", handler: Handler | None = None) -> Handler:
+    """The per-micro-batch work of the consumer.
+
+    ``stream`` names the stream in the table's replay record; ``handler`` is called with the usable messages
+    of each batch before they are acknowledged (what raises there leaves the batch to be replayed).
+    """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
             kept = drop_bad_messages(batch)
             stored = process_codes(kept, responses, now)
-            table.upsert(stored.drop("created_at", "updated_at"), now, batch_id)
+            if handler is not None:
+                handler(kept, batch_id)
+            table.upsert(stored.drop("created_at", "updated_at"), now, batch_id, stream)
             errors = not_found_codes(kept, responses)
             append_errors(errors, f"{errors_path}/batch={batch_id}", F.lit(now).cast("timestamp_ntz"),
                           mode="overwrite")
@@ -67,13 +73,20 @@ def enrich_handler(spark: SparkSession, responses: DataFrame, table: AddressTabl
 
 
 def stream_enrich(spark: SparkSession, messages: DataFrame, responses: DataFrame, table_root: str,
-                  errors_path: str, dead_path: str, checkpoint: str, now: str) -> AddressTable:
+                  errors_path: str, dead_path: str, checkpoint: str, now: str,
+                  handler: Handler | None = None) -> AddressTable:
     """Consume -> look up -> store, until the arrived messages are drained."""
     table = AddressTable(spark, table_root)
-    run_available(messages, enrich_handler(spark, responses, table, errors_path, dead_path, now), checkpoint)
+    work = enrich_handler(spark, responses, table, errors_path, dead_path, now, checkpoint, handler)
+    run_available(messages, work, checkpoint)
     return table
 
 
+def intake_cap(rate_per_second: float, interval_seconds: float) -> int:
+    """Messages a consumer may take per trigger: rate times interval, at least one."""
+    return max(1, int(rate_per_second * interval_seconds))
+
+
 def batch_sizes(spark: SparkSession, stream: DataFrame, out_path: str, checkpoint: str) -> DataFrame:
     """Rows admitted per micro-batch (one row per batch id)."""
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postalspark.operators.codes import mark_valid
+from postalspark.sources.codes import path_exists
 
 # Microsecond text form of timestamps in message files (the default keeps milliseconds).
 TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
@@ -56,19 +57,50 @@ def stream_messages_kafka(spark: SparkSession, bootstrap_servers: str, topic: st
                            F.col("value").cast("string").alias("body"))
 
 
-def stream_uploaded_csv(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Each newly arrived code CSV, validated (C4); other columns kept as text."""
-    r = spark.readStream.schema("row_id string, cep string").option("header", True)
+def stream_uploaded_csv(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
+                        columns: list[str] | None = None) -> DataFrame:
+    """Each newly arrived code CSV, validated (C4); other columns kept as text.
+
+    Columns are bound by name: ``columns`` or, without it, the header of what has arrived already (only
+    ``cep`` when nothing has). A header without ``cep`` raises ValueError, as S1 does; a later file with
+    another header stops the stream instead of shifting its columns (``enforceSchema=false``).
+    """
+    if columns is None:
+        have = path_exists(spark, path)
+        columns = spark.read.option("header", True).csv(path).columns if have else ["cep"]
+    if "cep" not in columns:
+        raise ValueError("CSV file must contain 'cep' column")
+    schema = T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
+    r = spark.readStream.schema(schema).option("header", True).option("enforceSchema", False).option("escape", '"')
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", int(max_files_per_trigger))
     return mark_valid(r.csv(path))
 
 
+def _write_files(df: DataFrame, path: str, fmt: str) -> None:
+    w = df.write.mode("append")
+    if fmt == "csv":
+        w.option("header", True).option("ignoreLeadingWhiteSpace", False) \
+         .option("ignoreTrailingWhiteSpace", False).csv(path)
+    else:
+        w.option("timestampNTZFormat", TS_FORMAT).json(path)
+
+
+def write_arrivals(df: DataFrame, path: str, order: str, files: int, fmt: str = "json") -> str:
+    """Lay a table out as ``files`` files of consecutive ``order`` ranges: one job, a task per file.
+
+    The ranges come from sampled cut points. For consumers to which the order of arrival doesn't matter.
+    """
+    _write_files(df.repartitionByRange(files, order).sortWithinPartitions(order), path, fmt)
+    return path
+
+
 def write_in_order(df: DataFrame, path: str, order: str, files: int, fmt: str = "json") -> str:
     """Lay a table out as ``files`` files of consecutive ``order`` ranges, oldest first.
 
     Used to replay a table as an arrival sequence: the file source picks files in
-    modification order, so each range is written by its own job.
+    modification order, so each range is written by its own job into one file (a replay
+    device for ordered consumers; real arrivals come from outside).
     """
     lo, hi = df.agg(F.min(order), F.max(order)).first()
     if lo is None:
@@ -76,11 +108,5 @@ def write_in_order(df: DataFrame, path: str, order: str, files: int, fmt: str =
     width = (hi - lo) // files + 1
     bucket = F.floor((F.col(order) - F.lit(lo)) / F.lit(width))
     for i in range(files):
-        part = df.where(bucket == i).coalesce(1)
-        w = part.write.mode("append")
-        if fmt == "csv":
-            w.option("header", True).option("ignoreLeadingWhiteSpace", False) \
-             .option("ignoreTrailingWhiteSpace", False).csv(path)
-        else:
-            w.option("timestampNTZFormat", TS_FORMAT).json(path)
+        _write_files(df.where(bucket == i).coalesce(1), path, fmt)
     return path

@@ -65,12 +65,38 @@ def test_scans_match_windows(spark):
     df = spark.createDataFrame(rows, "k long, g int, v long")
     w = Window.partitionBy("g").orderBy("k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     want = {r.k: r.s for r in df.select("k", F.sum("v").over(w).alias("s")).collect()}
-    got = {r.k: r.s for r in running_total(df, "k", F.col("v"), "s", partition_by=["g"], target_buckets=37).collect()}
+    got = {r.k: r.s for r in running_total(df, "k", F.col("v"), "s", partition_by=["g"], ranges=7).collect()}
     assert got == want
-    rn = {r.k: r.rn for r in global_row_number(df, "k", target_buckets=13).collect()}
+    rn = {r.k: r.rn for r in global_row_number(df, "k", ranges=5).collect()}
     assert rn == {k: i + 1 for i, k in enumerate(sorted(r[0] for r in rows))}
 
 
+def test_scan_ranges_follow_the_data(spark):
+    # one far key leaves the other rows spread over all ranges
+    df = spark.range(20_000).union(spark.createDataFrame([(2**62,)], "id long")).withColumn("g", F.lit(1))
+    out = global_row_number(df, "id", "rn", partition_by=["g"], ranges=8)
+    assert out.agg(F.max("rn"), F.count_distinct("rn")).first()[:] == (20_001, 20_001)
+    ranged = df.repartitionByRange(8, "g", "id").groupBy(F.spark_partition_id().alias("b")).count()
+    assert ranged.agg(F.max("count")).first()[0] < 6_000
+
+
+def test_one_consumer_with_a_third_of_the_messages(spark):
+    rnd = random.Random(4)
+    rows = [(i, 1 if i % 3 == 0 else i % 50, rnd.random() < 0.6) for i in range(3000)]
+    got = {r.seq: (r.streak, r.paused) for r in om.failure_streaks(spark.createDataFrame(rows, "seq long, consumer long, ok boolean")).collect()}
+    run = {}
+    for i, c, ok in rows:
+        k = run[c] = 0 if ok else run.get(c, 0) + 1
+        assert got[i] == ((0, False) if ok else ((k - 1) % 3 + 1, k % 3 == 0))
+
+
+def test_text_after_an_object_is_malformed(spark):
+    bodies = ['{"cep": "01310100"} xyz', '{"cep": "01310100"}}', '{"cep": "01310100"}], [', '{"cep": "01310100"}, {"a": 1}']
+    df = spark.createDataFrame(list(enumerate(bodies)), "seq long, body string")
+    assert om.drop_bad_messages(df).count() == 0
+    assert {r.reason for r in om.dead_letters(df).collect()} == {"malformed"}
+
+
 def test_message_intake(spark):
     df = spark.createDataFrame([(1, '{"cep": "01310100"}'), (2, "{bad"), (3, '{"other": 1}'), (4, '{"cep": ""}'),
                                 (5, "[1]"), (6, '{"cep": "01001900"}')], "seq long, body string")
@@ -83,8 +109,10 @@ def test_publish_and_backlog(spark):
     valid = spark.createDataFrame([(1, "01310100"), (2, "01001900")], "seq long, cep string")
     pub = om.publish_messages(valid)
     assert [r.value for r in pub.orderBy("seq").collect()] == ['{"cep": "01310100"}', '{"cep": "01001900"}']
-    r = om.publish_reconcile(pub).first()
-    assert (r.valid, r.published, r.complete) == (2, 2, True)
+    r = om.publish_reconcile(valid, pub).first()
+    assert (r.valid, r.published, r.complete, r.missing) == (2, 2, True, 0)
+    r = om.publish_reconcile(valid, pub.where("seq = 1")).first()  # a message got lost on the way
+    assert (r.valid, r.published, r.complete, r.missing) == (2, 1, False, 1)
     assert om.backlog(pub, pub.where("seq = 1")).first().backlog == 1
 
 

@@ -1,12 +1,14 @@
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from postalspark.functions.text import iso_timestamp, mask_url
 from postalspark.operators import store as st
 from postalspark.schemas import ADDRESS
 from postalspark.session import scratch_dir
-from postalspark.sinks.table import AddressTable, declare_tables, drop_tables, load_table
+from postalspark.sinks.table import DEFAULT_BUCKETS, AddressTable, CommitConflict, declare_tables, drop_tables, load_table
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -61,20 +63,76 @@ def test_split_insert_update(spark):
         {"01310100": "update", "99999999": "insert"}
 
 
+def street(spark, *rows):
+    return src(spark, [(c, l, None, None, "São Paulo", "SP", None, None, None, None) for c, l in rows])
+
+
 def test_versioned_table_commit_and_replay(spark):
-    root = scratch_dir(spark, "table")
-    table = AddressTable(spark, root)
-    assert table.read().count() == 0
-    s1 = src(spark, [("01310100", "A", None, None, "SP city", "SP", None, None, None, None)])
-    assert table.upsert(s1, "2024-01-01 00:00:00", batch_id=0) == 1
-    v1 = table.current_version()
-    s2 = src(spark, [("01310100", "B", None, None, "SP city", "SP", None, None, None, None)])
-    table.upsert(s2, "2024-01-02 00:00:00", batch_id=1)
-    assert table.current_version() != v1
-    assert table.upsert(s2, "2024-01-03 00:00:00", batch_id=1) == 0  # replayed batch: no-op
-    r = table.read().first()
-    assert (r.logradouro, r.created_at, r.updated_at) == ("B", T0, dt.datetime(2024, 1, 2))
-    assert spark.read.parquet(f"{root}/{v1}").first().logradouro == "A"  # old version untouched
+    table = AddressTable(spark, scratch_dir(spark, "table"))
+    assert table.read().count() == 0 and table.current_version() == 0
+    assert table.upsert(street(spark, ("01310100", "A"), ("01310200", "X")), "2024-01-01 00:00:00", 0, "ckpt") == 2
+    s2 = street(spark, ("01310100", "B"))
+    table.upsert(s2, "2024-01-02 00:00:00", 1, "ckpt")
+    assert table.current_version() == 2 and table.last_batch("ckpt") == 1
+    assert table.upsert(s2, "2024-01-03 00:00:00", 1, "ckpt") == 0  # replayed batch: no-op
+    got = {r.cep: (r.logradouro, r.created_at, r.updated_at) for r in table.read().collect()}
+    assert got == {"01310100": ("B", T0, dt.datetime(2024, 1, 2)), "01310200": ("X", T0, T0)}
+    assert {r.cep: r.logradouro for r in table.read(1).collect()}["01310100"] == "A"  # old version untouched
+
+
+def test_a_new_stream_on_an_old_table_loses_nothing(spark):
+    table = AddressTable(spark, scratch_dir(spark, "table"))
+    table.upsert(street(spark, ("01310100", "A")), "2024-01-01 00:00:00", 5, "old")
+    assert table.upsert(street(spark, ("01310200", "B")), "2024-01-02 00:00:00", 0, "new") == 1
+    assert sorted(r.cep for r in table.read().collect()) == ["01310100", "01310200"]
+
+
+def test_crash_before_the_commit_file_leaves_the_table_as_it_was(spark, monkeypatch):
+    table = AddressTable(spark, scratch_dir(spark, "table"))
+    table.upsert(street(spark, ("01310100", "A")), "2024-01-01 00:00:00", 0, "s")
+
+    def crash(*_):
+        raise OSError("lost")
+
+    monkeypatch.setattr(AddressTable, "_publish", crash)
+    try:
+        table.upsert(street(spark, ("01310100", "B")), "2024-01-02 00:00:00", 1, "s")
+    except OSError:
+        pass
+    monkeypatch.undo()
+    assert [r.logradouro for r in table.read().collect()] == ["A"]
+    assert table.upsert(street(spark, ("01310100", "B")), "2024-01-02 00:00:00", 1, "s") == 1  # the replay
+    assert [r.logradouro for r in table.read().collect()] == ["B"]
+
+
+def test_two_writers_of_one_commit(spark):
+    table = AddressTable(spark, scratch_dir(spark, "table"))
+    table.upsert(street(spark, ("01310100", "A")), "2024-01-01 00:00:00")
+    old = table.state()
+    table.upsert(street(spark, ("01310200", "B")), "2024-01-01 00:00:00")
+    with pytest.raises(CommitConflict):
+        table._publish(old, {}, None, None)
+    assert table.read().count() == 2
+
+
+def test_only_touched_buckets_are_written_and_old_folders_go(spark):
+    table = AddressTable(spark, scratch_dir(spark, "table"), buckets=8)
+    table.commit(addr(spark, [(f"{i:08d}", "A") for i in range(200)]))
+    before = table.state()["folders"]
+    table.upsert(street(spark, ("00000007", "B")), "2024-01-02 00:00:00")
+    after = table.state()["folders"]
+    assert len(before) == 8 and sum(before[b] != after[b] for b in before) == 1
+    assert table.read().count() == 200
+    table.upsert(street(spark, ("00000007", "C")), "2024-01-03 00:00:00")
+    assert len(table.remove_old(1)) == 2
+    assert table.read().where("logradouro <> 'A'").first().logradouro == "C" and table.read().count() == 200
+
+
+def test_one_city_is_written_by_many_tasks(spark):
+    table = AddressTable(spark, scratch_dir(spark, "table"))
+    table.commit(addr(spark, [(f"{i:08d}", "A") for i in range(4000)]))
+    files = table.read().select(F.input_file_name().alias("f")).distinct().count()
+    assert files >= DEFAULT_BUCKETS
 
 
 def test_declared_table(spark):

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from postalspark import fixtures as fx
@@ -23,12 +24,12 @@ def test_stream_enrich_equals_batch_and_survives_restart(spark, sf_small):
     se.stream_enrich(spark, ss.stream_messages(spark, src, 1), responses, root, errs, dead, ckpt, NOW)
     ss.write_in_order(m.where(F.col("seq") > cut), src, "seq", 2)
     table = se.stream_enrich(spark, ss.stream_messages(spark, src, 1), responses, root, errs, dead, ckpt, NOW)
-    assert table.last_batch() == 3
+    assert table.last_batch(ckpt) == 3
     got = {r.cep: r.logradouro for r in table.read().collect()}
     assert got == want
     assert spark.read.parquet(dead).count() == om.dead_letters(m).count()
     # a replayed micro-batch changes nothing
-    handler = se.enrich_handler(spark, responses, table, errs, dead, NOW)
+    handler = se.enrich_handler(spark, responses, table, errs, dead, NOW, ckpt)
     version = table.current_version()
     handler(spark.read.schema(ss.MESSAGE_FILE).json(src).limit(5), 3)
     assert table.current_version() == version
@@ -67,3 +68,48 @@ def test_published_lines_stream_back(spark, sf_small):
     se.run_available(stream, lambda b, i: se.write_batch(om.drop_bad_messages(b), out, i), scratch_dir(spark, "lines_ckpt"))
     got = sorted(r.cep for r in spark.read.parquet(out).collect())
     assert got == sorted(r.cep for r in valid.collect())
+
+
+def test_a_batch_that_fails_between_its_writes_is_replayed_whole(spark, sf_small, monkeypatch):
+    m, responses = fx.view(spark, sf_small, "messages"), fx.view(spark, sf_small, "responses")
+    src, root, errs, dead, ckpt = (scratch_dir(spark, n) for n in ("src", "table", "errs", "dead", "ckpt"))
+    ss.write_arrivals(m, src, "seq", 4)
+    write, calls = se.append_errors, []
+
+    def failing(*a, **k):
+        calls.append(1)
+        if len(calls) == 2:
+            raise OSError("lost")
+        return write(*a, **k)
+
+    monkeypatch.setattr(se, "append_errors", failing)
+    seen = []
+    run = lambda: se.stream_enrich(spark, ss.stream_messages(spark, src, 2), responses, root, errs, dead, ckpt, NOW,
+                                   handler=lambda kept, i: seen.append(i))
+    try:
+        run()
+    except Exception as e:
+        assert "lost" in str(e)
+    table = run()
+    want = {r.cep for r in ol.process_codes(om.drop_bad_messages(m), responses, NOW).collect()}
+    assert {r.cep for r in table.read().collect()} == want
+    assert spark.read.parquet(dead).count() == om.dead_letters(m).count()
+    assert seen == [0, 1, 1]
+
+
+def test_intake_cap():
+    assert [se.intake_cap(2.0, 60), se.intake_cap(0.5, 1), se.intake_cap(5, 0.5)] == [120, 1, 2]
+
+
+def test_uploaded_csv_binds_columns_by_name(spark):
+    def upload(text):
+        path = scratch_dir(spark, "upload")
+        spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(path)
+        out = scratch_dir(spark, "upload_out")
+        se.run_available(ss.stream_uploaded_csv(spark, path), lambda b, i: se.write_batch(b, out, i), scratch_dir(spark, "upload_ckpt"))
+        return [(r.cep, r.is_valid) for r in spark.read.parquet(out).orderBy("cep").collect()]
+
+    assert upload("cep\n01310100\nx") == [("01310100", True), ("x", False)]
+    assert upload("name,cep\n\"a, \"\"b\"\"\",01310-100") == [("01310-100", True)]
+    with pytest.raises(ValueError):
+        upload("code\n01310100")
