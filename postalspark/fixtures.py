@@ -85,6 +85,22 @@ SELECT c_custkey AS page_id, 'https://codes.example/pt-br/brasil/sp/sao-paulo/p'
  || '<a href="../pt-br/brasil/sp/sao-paulo/dot' || CAST(c_custkey % 3 AS STRING) || '/">dot</a>'
  || '<a href="/PT-BR/brasil/SP/Sao-Paulo/Up/">up</a><a href="">empty</a>' AS html
  FROM customer JOIN nation ON c_nationkey = n_nationkey""",
+    # a site whose pages link to ten further pages each, with a code in the text
+    "site_pages": """
+SELECT c_custkey AS page_id, 'https://codes.example/pt-br/brasil/sp/sao-paulo/p' || CAST(c_custkey AS STRING) || '/' AS url,
+ '<p>CEP: 0' || substr(CAST(1000000 + c_custkey AS STRING), 2, 4) || '-' || substr(CAST(1000 + c_custkey % 1000 AS STRING), 2, 3) || '</p>'
+ || '<a href="/pt-br/brasil/sp/sao-paulo/p' || CAST(10 * c_custkey + -8 AS STRING) || '/">n</a>'
+ || '<a href="/pt-br/brasil/sp/sao-paulo/p' || CAST(10 * c_custkey + -7 AS STRING) || '/">n</a>'
+ || '<a href="/pt-br/brasil/sp/sao-paulo/p' || CAST(10 * c_custkey + -6 AS STRING) || '/">n</a>'
+ || '<a href="/pt-br/brasil/sp/sao-paulo/p' || CAST(10 * c_custkey + -5 AS STRING) || '/">n</a>'
+ || '<a href="/pt-br/brasil/sp/sao-paulo/p' || CAST(10 * c_custkey + -4 AS STRING) || '/">n</a>'
+ || '<a href="/pt-br/brasil/sp/sao-paulo/p' || CAST(10 * c_custkey + -3 AS STRING) || '/">n</a>'
+ || '<a href="/pt-br/brasil/sp/sao-paulo/p' || CAST(10 * c_custkey + -2 AS STRING) || '/">n</a>'
+ || '<a href="/pt-br/brasil/sp/sao-paulo/p' || CAST(10 * c_custkey + -1 AS STRING) || '/">n</a>'
+ || '<a href="/pt-br/brasil/sp/sao-paulo/p' || CAST(10 * c_custkey + 0 AS STRING) || '/">n</a>'
+ || '<a href="/pt-br/brasil/sp/sao-paulo/p' || CAST(10 * c_custkey + 1 AS STRING) || '/">n</a>'
+ || '<a href="/pt-br/brasil/sp/sao-paulo/p1/">first</a>' AS html
+ FROM customer""",
     # crawl graph: base -> regions -> nations -> suppliers, and a cycle back to base
     "links": """
 SELECT 'base' AS src, 'r' || CAST(r_regionkey AS STRING) AS dst FROM region
@@ -163,7 +179,7 @@ def _closure(names) -> list[str]:
 # Driver tables each view reads.
 TABLES_OF: dict[str, list[str]] = {
     "raw_codes": ["orders"], "directory": ["customer", "nation"], "messages": ["events"],
-    "failures": ["events"], "code_pages": ["customer"], "crawl_pages": ["pages"], "area_pages": ["customer", "nation"],
+    "failures": ["events"], "code_pages": ["customer"], "site_pages": ["customer"], "crawl_pages": ["pages"], "area_pages": ["customer", "nation"],
     "links": ["region", "nation", "supplier"], "db_urls": ["pages"],
 }
 

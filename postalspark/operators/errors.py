@@ -23,6 +23,22 @@ def error_log(failures: DataFrame) -> DataFrame:
                            "error_message", iso_timestamp("ts").alias("timestamp"), ctx.alias("context"))
 
 
+def database_errors(failures: DataFrame, operation: str | None = None) -> DataFrame:
+    """Failed table operations (cep, error_message) as ``database_error`` rows, the operation in the context."""
+    return _typed(failures, "database_error", operation=operation)
+
+
+def validation_errors(failures: DataFrame, validation_rule: str | None = None) -> DataFrame:
+    """Rejected codes (cep, error_message) as ``validation_error`` rows, the broken rule in the context."""
+    return _typed(failures, "validation_error", validation_rule=validation_rule)
+
+
+def _typed(failures: DataFrame, error_type: str, **context) -> DataFrame:
+    keep = [c for c in failures.columns if c not in ("cep", "error_message")]
+    return failures.select(*keep, "cep", F.lit(error_type).alias("error_type"), "error_message",
+                           error_context(**{k: F.lit(v) for k, v in context.items()}).alias("context"))
+
+
 def count_errors(log: DataFrame, cep: str | None = None, error_type: str | None = None) -> DataFrame:
     """A3: number of log rows under the optional code and type filters."""
     from postalspark.sources.store import filter_errors

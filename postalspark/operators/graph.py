@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postalspark.operators.codes import cap_codes
-from postalspark.operators.pages import page_codes
+from postalspark.operators.pages import area_links, page_codes
 from postalspark.operators.scan import running_total
 from postalspark.session import ensure_checkpoint_dir
 
@@ -53,6 +53,18 @@ def reach_pages(links: DataFrame, start: str = "base", max_depth: int | None = N
     return visited
 
 
+def crawl_edges(pages: DataFrame, base_url: str) -> DataFrame:
+    """Edges ``src, dst`` (URLs) of crawled pages (page_id, url, html): each page's accepted links."""
+    links = area_links(pages, base_url).select("page_id", F.col("url").alias("dst"))
+    return links.join(pages.select("page_id", F.col("url").alias("src")), "page_id").select("src", "dst")
+
+
+def crawl(pages: DataFrame, start_url: str) -> DataFrame:
+    """G2 on real pages: (page_id, depth, html) of every page that links lead to from ``start_url``."""
+    reached = reach_pages(crawl_edges(pages, start_url), start_url)
+    return pages.join(reached, pages["url"] == reached["node"]).select("page_id", "depth", "html")
+
+
 def frontier_links(links: DataFrame, visited: DataFrame) -> DataFrame:
     """Distinct link targets of visited pages that are not visited themselves."""
     seen = visited.select(F.col("node").alias("src"))

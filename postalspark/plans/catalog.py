@@ -25,7 +25,7 @@ from postalspark.operators import lookup as ol
 from postalspark.operators import messages as om
 from postalspark.operators import pages as op
 from postalspark.operators import store as os_
-from postalspark.schemas import ADDRESS_FIELDS
+from postalspark.schemas import ADDRESS, ADDRESS_FIELDS, EXPORT_FIELDS
 from postalspark.session import scratch_dir
 from postalspark.sinks.table import AddressTable
 from postalspark.sources import codes as sc
@@ -65,6 +65,23 @@ def addresses(spark, sf) -> DataFrame:
     return os_.stored_addresses(V(spark, sf, "responses"), NOW)
 
 
+def stored(spark, sf) -> DataFrame:
+    """The address table as files: state folders, sorted by city and code inside, so reads prune and skip.
+
+    Written once per application and scale folder below the shared scratch folder.
+    """
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _STORED:
+        path = scratch_dir(spark, "addresses")
+        (addresses(spark, sf).select(*EXPORT_FIELDS).repartitionByRange("uf", "localidade", "cep")
+         .sortWithinPartitions("uf", "localidade", "cep").write.partitionBy("uf").parquet(path))
+        _STORED[key] = path
+    return spark.read.schema(ADDRESS).parquet(_STORED[key]).select(*EXPORT_FIELDS)
+
+
+_STORED: dict[tuple[str, str], str] = {}
+
+
 def node_pages(spark, sf) -> DataFrame:
     """Code pages attached to the supplier nodes of the crawl graph."""
     return V(spark, sf, "code_pages").select("page_id", F.concat(F.lit("s"), F.col("page_id").cast("string")).alias("node"), "html")
@@ -95,7 +112,7 @@ def s4(spark, sf):
 
 @query("S5_scan_addresses")
 def s5(spark, sf):
-    return ss.scan_addresses(addresses(spark, sf))
+    return ss.scan_addresses(stored(spark, sf))
 
 
 @query("S6_scan_error_log")
@@ -192,7 +209,7 @@ def c14(spark, sf):
 
 @query("C15_to_export_row")
 def c15(spark, sf):
-    a = addresses(spark, sf)
+    a = stored(spark, sf)
     return a.select(*ADDRESS_FIELDS, iso_timestamp("created_at").alias("created_at"),
                     iso_timestamp("updated_at").alias("updated_at"))
 
@@ -213,6 +230,13 @@ def c18(spark, sf):
     return a.select("seq", E.error_context(status_code=F.col("status_code"), retry_attempt=F.col("attempt")).alias("context"))
 
 
+@query("C18_validation_errors")
+def c18_validation(spark, sf):
+    bad = oc.mark_valid(V(spark, sf, "raw_codes")).where(~F.col("is_valid"))
+    text = F.concat(F.lit("Invalid CEP: "), F.coalesce("cep", F.lit("")))
+    return oe.validation_errors(bad.select("row_id", "cep", text.alias("error_message")), "eight_digits")
+
+
 @query("C19_retry_backoff")
 def c19(spark, sf):
     a = V(spark, sf, "attempts")
@@ -254,17 +278,17 @@ def f3(spark, sf):
 
 @query("F4_address_by_code")
 def f4(spark, sf):
-    return os_.address_by_code(addresses(spark, sf), POINT_CODE)
+    return os_.address_by_code(stored(spark, sf), POINT_CODE)
 
 
 @query("F5_addresses_by_uf")
 def f5(spark, sf):
-    return os_.addresses_by_uf(addresses(spark, sf), STATE)
+    return os_.addresses_by_uf(stored(spark, sf), STATE)
 
 
 @query("F6_addresses_by_city")
 def f6(spark, sf):
-    return os_.addresses_by_city(addresses(spark, sf), CITY)
+    return os_.addresses_by_city(stored(spark, sf), CITY)
 
 
 @query("F7_errors_filtered")
@@ -329,7 +353,7 @@ def a1(spark, sf):
 
 @query("A2_count_addresses")
 def a2(spark, sf):
-    return os_.count_addresses(addresses(spark, sf))
+    return os_.count_addresses(stored(spark, sf))
 
 
 @query("A3_count_errors")
@@ -444,7 +468,7 @@ def l2(spark, sf):
 
 @query("L3_page_addresses")
 def l3(spark, sf):
-    return ss.scan_addresses(addresses(spark, sf), limit=PAGE_LIMIT, offset=PAGE_OFFSET)
+    return ss.scan_addresses(stored(spark, sf), limit=PAGE_LIMIT, offset=PAGE_OFFSET)
 
 
 @query("L4_process_limit")
@@ -480,6 +504,13 @@ def g1(spark, sf):
     return og.reach_pages(V(spark, sf, "links"))
 
 
+@query("G2_crawl_pages")
+def g2_crawl(spark, sf):
+    """Edges come from the pages' own links; every page is reached from the first."""
+    reached = og.crawl(V(spark, sf, "site_pages"), SITE + "p1/")
+    return reached.select("page_id", F.col("depth").cast("int").alias("depth"))
+
+
 @query("G2_collect_codes")
 def g2(spark, sf):
     return og.collect_codes(V(spark, sf, "links"), node_pages(spark, sf), MAX_CODES)

@@ -314,6 +314,11 @@ def oracles() -> dict[str, str]:
   AND list_contains(json_keys(body), 'uf') END, false) AS is_valid_response FROM responses""", "responses")
     o["C17_classify_error"] = W(f"SELECT seq, cep, {classify('error_message')} AS error_type FROM failures", "failures")
     o["C18_error_context"] = W(f"SELECT seq, {context(status_code='status_code', retry_attempt='attempt')} AS context FROM attempts", "attempts")
+    o["C18_validation_errors"] = W(f"""SELECT row_id, cep, 'validation_error' AS error_type, 'Invalid CEP: ' || coalesce(cep, '') AS error_message,
+  '{{"validation_rule":"eight_digits"}}' AS context FROM raw_codes WHERE NOT {valid('cep')}""", "raw_codes")
+    o["G2_crawl_pages"] = """WITH RECURSIVE reach(page_id, depth) AS (SELECT CAST(1 AS BIGINT), 0
+  UNION ALL SELECT c.c_custkey, depth + 1 FROM reach JOIN customer c ON c.c_custkey > 1 AND (c.c_custkey + 8) // 10 = reach.page_id)
+SELECT page_id, depth FROM reach"""
     o["C19_retry_backoff"] = W(f"SELECT seq, cep, attempt, {backoff('attempt', 'error_message')} AS backoff FROM attempts", "attempts")
     o["C20_is_connection_error"] = W(f"SELECT seq, {conn_err('error_message')} AS is_connection_error FROM failures", "failures")
     head = "split_part(url, '@', 1)"

@@ -65,3 +65,12 @@ def test_summary_as_maps(spark):
     r = oe.error_summary_maps(log(spark)).first()
     assert r.total_errors == 4 and r.unique_ceps_with_errors == 3
     assert r.by_type == {"api_timeout": 1, "api_error": 2, "cep_not_found": 1}
+
+
+def test_typed_error_rows(spark):
+    rows = spark.createDataFrame([("01310100", "connection lost")], "cep string, error_message string")
+    r = oe.database_errors(rows, "save").first()
+    assert (r.error_type, r.context) == ("database_error", '{"operation":"save"}')
+    r = oe.validation_errors(rows, "length").first()
+    assert (r.error_type, r.context) == ("validation_error", '{"validation_rule":"length"}')
+    assert oe.validation_errors(rows).first().context == ""

@@ -174,3 +174,12 @@ def test_bucketed_declared_table(spark):
     assert info.get("Num Buckets") == "4" and "cep" in info.get("Bucket Columns", "")
     assert spark.table(name).count() == 2
     drop_tables(spark, name)
+
+
+def test_reads_of_the_stored_table_reach_the_scan(spark, sf_small):
+    from postalspark.plans.catalog import QUERIES, registered
+    registered()
+    plan = lambda name: QUERIES[name](spark, sf_small)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(uf" in plan("F5_addresses_by_uf")
+    assert "EqualTo(localidade" in plan("F6_addresses_by_city") and "EqualTo(cep" in plan("F4_address_by_code")
+    assert "SinglePartition" not in plan("S5_scan_addresses")
