@@ -35,7 +35,7 @@ from .common import arrow_map, stash
 
 SHINGLE_WORDS, SEED, MAX_BITS = 3, 42, 2
 #: fingerprints the top of the tree is fitted on; fingerprints a shard should have at home; size of a leaf
-SAMPLE, SHARD_ROWS, LEAF = 1 << 18, 16_384, 192
+SAMPLE, SHARD_ROWS, LEAF = 1 << 15, 4_096, 192
 BLOCK_BITS = (5, 3, 1)
 
 
