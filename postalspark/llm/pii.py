@@ -8,7 +8,7 @@ of text and keeps, for every character it puts out, the source stretch that it c
    Greek look-alikes become ASCII;
 2. spelled digits: runs of at least three number words become digits ("plus" before them ``+``);
 3. disguises: ``(at)``, ``[at]``, `` at `` and ``(dot)``, `` dot `` become ``@`` and ``.``; the bare words only where
-   both stand in address position, so that ordinary sentences stay as they are.
+   both stand in address position (or "dot" between four numbers), so that ordinary sentences stay as they are.
 
 The same detectors run on what comes out, and every span found is mapped back to source offsets. A span
 is added only if the transducers changed something in it and no base span of its kind overlaps it.
@@ -107,6 +107,7 @@ _DISGUISED = re.compile(
     rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{{1,64}}(?:(?:(?:{_DOT}|[ \t]dot[ \t])[A-Za-z0-9_%+-]{{1,64}}){{0,4}})"
     rf"(?P<at>{_AT}|@|[ \t]at[ \t])"
     rf"{_LABEL}(?:(?:{_DOT}|[ \t]dot[ \t]|\.){_LABEL}){{1,6}}", re.I)
+_SPOKEN_IP = re.compile(rf"(?<![0-9.])[0-9]{{1,3}}(?:(?:{_DOT}|[ \t]dot[ \t])[0-9]{{1,3}}){{3}}(?![0-9])", re.I)
 _BRACKET_AT, _BRACKET_DOT = re.compile(_AT, re.I), re.compile(_DOT, re.I)
 _BARE_AT, _BARE_DOT = re.compile(r"[ \t]at[ \t]", re.I), re.compile(r"[ \t]dot[ \t]", re.I)
 
@@ -195,7 +196,12 @@ def _disguises(text: str) -> list[tuple[int, int, str]]:
             if a >= last:
                 edits.append((a, b, s))
                 last = b
-    return edits
+    taken = [(a, b) for a, b, _ in edits]
+    for m in _SPOKEN_IP.finditer(text):  # 192 dot 168 dot 0 dot 1
+        for pattern in (_BRACKET_DOT, _BARE_DOT):
+            edits += [(x.start(), x.end(), ".") for x in pattern.finditer(text, m.start(), m.end())
+                      if not any(a < x.end() and x.start() < b for a, b in taken)]
+    return sorted(edits)
 
 
 _NUMBER_HINT = re.compile(r"(?:" + "|".join(_NUMBER) + r")[ \t,.\-]{1,3}(?:" + "|".join(_NUMBER) + ")")
