@@ -44,6 +44,7 @@ def test_base_spans_match_the_plain_patterns():
     ("host １９２.168.0.1 up", "ip", "１９２.168.0.1"),
     ("call plus one five five five one two three four five six seven now", "phone", "plus one five five five one two three four five six seven"),
     ("card four one one one one one one one one one one one one one one one.", "card", "four one one one one one one one one one one one one one one one"),
+    ("ping 10 dot 0 dot 12 dot 255 now", "ip", "10 dot 0 dot 12 dot 255"),
     ("p.q [at] r.example [.] org", "email", "p.q [at] r.example [.] org"),
 ])
 def test_disguises_map_back_to_the_source(text, kind, found):
