@@ -88,8 +88,38 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
+    return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
+
+
+def _url_oracle() -> str:
+    """DuckDB statement of `op10_url_filters`: rules as a CASE, terms as boundary patterns."""
+    import re
+
+    from .url_filter import RULES, SOFT_TERMS, STRICT_TERMS
+
+    def hit(term: str) -> str:
+        return f"regexp_matches(seen, '(^|[^a-z0-9]){re.escape(term)}([^a-z0-9]|$)')"
+
+    fits = []
+    for verdict, rule in sorted(RULES, key=lambda r: -len(r[1])):
+        host, _, path = rule.partition("/")
+        fits.append((f"(host = '{host}' OR ends_with(host, '.{host}')) AND starts_with(path, '/{path}')", rule, verdict))
+    soft = {t: w for t, w in SOFT_TERMS.items() if t not in STRICT_TERMS}
+    n_strict = " + ".join(f"CAST({hit(t)} AS INTEGER)" for t in STRICT_TERMS)
+    n_soft = " + ".join(f"CAST({hit(t)} AS INTEGER)" for t in soft)
+    weight = " + ".join(f"CASE WHEN {hit(t)} THEN {float(w)}::DOUBLE ELSE 0::DOUBLE END" for t, w in soft.items())
+    rule = "CASE " + " ".join(f"WHEN {f} THEN '{r}'" for f, r, _ in fits) + " END"
+    fixed = "CASE " + " ".join(f"WHEN {f} THEN '{v}'" for f, _, v in fits) + " END"
+    return f"""WITH cut AS (SELECT page_id, lower(url_decode(coalesce(url, ''))) AS seen,
+  CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+parts AS (SELECT page_id, seen, lower(regexp_extract(rest, '^[^/?#]*')) AS host,
+  regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM cut),
+counted AS (SELECT page_id, host, path, {rule} AS rule, {fixed} AS fixed, CAST({n_strict} AS INTEGER) AS n_strict,
+  CAST({n_soft} AS INTEGER) AS n_soft, {weight} AS soft_weight FROM parts)
+SELECT page_id, host, path, rule, coalesce(fixed, CASE WHEN n_strict >= 1 OR (n_soft >= 2 AND soft_weight >= 1.5)
+  THEN 'block' ELSE 'allow' END) AS verdict, n_strict, n_soft, soft_weight FROM counted"""
 
 
 def oracles() -> dict[str, str]:
-    return {}
+    """Statements where portable SQL can express the whole result; the others are tested against plain versions."""
+    return {"op10_url_filters": _url_oracle()}
