@@ -32,9 +32,10 @@ SELECT """ + _CODE_OF.format(k="c_custkey") + """ AS code, c_custkey,
  substr('SPRJMGBAPRSCRSPEESGO', 1 + 2 * (c_nationkey % 10), 2) AS uf, CAST(n_nationkey AS STRING) AS ibge,
  c_custkey % 13 = 0 AS erro
  FROM customer JOIN nation ON c_nationkey = n_nationkey""",
-    # raw lookup responses: found, not-found, non-object and malformed bodies
+    # raw lookup responses: found, not-found (also by a string), non-object, malformed bodies, text after the object
     "responses": """
 SELECT code, CASE WHEN erro THEN '{"erro": true}' WHEN c_custkey % 29 = 0 THEN '[1]' WHEN c_custkey % 31 = 0 THEN '{bad'
+ WHEN c_custkey % 37 = 0 THEN '{"erro": "false"}' WHEN c_custkey % 41 = 0 THEN '{"cep":"' || code || '","localidade":"x","uf":"SP"} xyz'
  ELSE '{"cep":"' || substr(code,1,5) || '-' || substr(code,6,3) || '","logradouro":"' || logradouro
   || '","complemento":"","bairro":"' || bairro || '","localidade":"' || localidade || '","uf":"' || uf
   || '","ibge":"' || ibge || '"}' END AS body FROM directory""",
@@ -43,10 +44,11 @@ SELECT code, CASE WHEN erro THEN '{"erro": true}' WHEN c_custkey % 29 = 0 THEN '
 SELECT code, CASE WHEN substr(code, 8, 1) IN ('0','2','4','6','8') THEN 1 ELSE 3 END AS seq, body FROM responses
 UNION ALL
 SELECT code, 2 AS seq, replace(body, '"logradouro":"', '"logradouro":"Updated ') AS body FROM responses""",
-    # queue messages with their lookup outcome; some malformed, some without a code
+    # queue messages with their lookup outcome; some malformed or with text after the object, some without a code
     "messages": """
 SELECT event_id AS seq, ts, user_id AS consumer, event_type <> 'error' AS ok,
  CASE WHEN event_id % 17 = 0 THEN '{bad' WHEN event_id % 19 = 0 THEN '{"other":1}'
+  WHEN event_id % 23 = 0 THEN '{"cep":"' || """ + _CODE_OF.format(k="user_id") + """ || '"} xyz'
  ELSE '{"cep":"' || """ + _CODE_OF.format(k="user_id") + """ || '"}' END AS body FROM events""",
     # error log before classification
     "failures": """
