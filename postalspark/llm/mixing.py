@@ -7,7 +7,7 @@ pass a likelihood-ratio test) a document has, and binned shares of symbols, capi
 Rates. With tokens c_i, posteriors p_id and rates r_i >= 0, the expected tokens of domain d are sum_i c_i r_i p_id. Least squares
 brings their shares to the targets, starting at r = 1. Steps are projected gradients: r_i <- max(0, r_i - p_i . G^-1 g),
 where g is the residual of the shares and G = sum_i c_i p_i p_i^T / sum_i c_i weighs the squares, so that one step would end it were there no
-projection. A step sends one small vector (a number per domain) to the driver and none of the documents: the next rates are
+projection (rates stay between 0, or 1 for documents that must stay, and `MAX_RATE`). A step sends one small vector (a number per domain) to the driver and none of the documents: the next rates are
 an expression of the posteriors. Tokens are counted as words.
 
 Copies. ``copies`` is the rate rounded up or down by a hash of the id, so that its expectation is the rate.
@@ -31,6 +31,8 @@ DOMAINS = ("clean", "junk", "toxic")
 TARGETS = {"clean": 0.95, "junk": 0.03, "toxic": 0.02}
 MAX_LABELLED, MAX_MARKS, LEAST_G2 = 20_000, 1_000, 25.0
 STEPS, CLOSE_ENOUGH = 30, 1e-4
+#: no document is repeated more often
+MAX_RATE = 8.0
 _BREAKS = r"[\x00-@\[-`{-\x7f]+"
 _FLOOR = 1e-3
 
@@ -144,8 +146,14 @@ def _solve(a: list[list[float]], b: list[float]) -> list[float]:
     return [m[i][n] / m[i][i] if m[i][i] else 0.0 for i in range(n)]
 
 
-def fit_rates(soft: DataFrame, targets: dict[str, float] = TARGETS, steps: int = STEPS, close: float = CLOSE_ENOUGH) -> Column:
-    """The rate of a document as an expression of its ``p_<domain>`` columns.
+def least_rate(stay: str | None) -> Column:
+    """1 for documents that most likely belong to the domain ``stay``, else 0."""
+    return F.lit(0.0) if stay is None else F.when(F.col(f"p_{stay}") >= 0.5, F.lit(1.0)).otherwise(F.lit(0.0))
+
+
+def fit_rates(soft: DataFrame, targets: dict[str, float] = TARGETS, steps: int = STEPS, close: float = CLOSE_ENOUGH,
+              stay: str | None = None, most: float = MAX_RATE) -> Column:
+    """The rate of a document, between its `least_rate` and ``most``, as an expression of its ``p_<domain>`` columns.
 
     Rates depend on posteriors alone, so documents with equal posteriors are added up first: as many rows stay as
     there are different combinations of bins.
@@ -156,20 +164,30 @@ def fit_rates(soft: DataFrame, targets: dict[str, float] = TARGETS, steps: int =
     goal = [targets.get(d, 0.0) / sum(targets.values()) for d in DOMAINS]
     gram = soft.agg(F.sum("n_tokens").alias("c"), *[F.sum(F.col("n_tokens") * p[i] * p[j]).alias(f"g{i}_{j}") for i in range(k) for j in range(i, k)]).first()
     tokens = float(gram["c"] or 0)
-    rate = F.lit(1.0)
+    least, moves = least_rate(stay), []
     if not tokens:
-        return rate
+        return F.lit(1.0)
+
+    def now() -> Column:
+        """All steps so far, folded over a constant array, so that more steps make no longer expression."""
+        if not moves:
+            return F.lit(1.0)
+        steps_ = F.array(*[F.array(*[F.lit(float(x)) for x in m]) for m in moves])
+        return F.aggregate(steps_, F.lit(1.0), lambda r, m: F.least(F.lit(most), F.greatest(
+            least, r - sum(p[j] * F.get(m, F.lit(j)) for j in range(k)))))
+
     g = [[gram[f"g{min(i, j)}_{max(i, j)}"] / tokens for j in range(k)] for i in range(k)]
     for _ in range(steps):
-        got = soft.agg(*[F.sum(F.col("n_tokens") * rate * p[j]).alias(f"s{j}") for j in range(k)]).first()
+        rated = soft.withColumn("rate", now())
+        got = rated.agg(*[F.sum(F.col("n_tokens") * F.col("rate") * p[j]).alias(f"s{j}") for j in range(k)]).first()
         off = [got[f"s{j}"] / tokens - goal[j] for j in range(k)]
         if max(map(abs, off)) <= close:
             break
         move = _solve(g, off)
         if max(map(abs, move)) <= close:
             break  # the least squares are reached, the targets are not
-        rate = F.greatest(F.lit(0.0), rate - sum(p[j] * F.lit(move[j]) for j in range(k)))
-    return rate
+        moves.append(move)
+    return now()
 
 
 def copies_of(rate: Column, doc_id: Column, seed: int = 7) -> Column:
@@ -178,16 +196,28 @@ def copies_of(rate: Column, doc_id: Column, seed: int = 7) -> Column:
     return F.floor(rate + u).cast("long")
 
 
-def rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, keep: tuple[str, ...] = ()) -> DataFrame:
+def rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, keep: tuple[str, ...] = (),
+          stay: str | None = None) -> DataFrame:
     """``doc_id, n_tokens, p_<domain>..., rate, copies`` and the columns ``keep`` of every row."""
     soft = stash(posteriors(docs, train(docs, domains_of(labels)), keep), "posteriors")
-    rate = fit_rates(soft, targets)
+    rate = fit_rates(soft, targets, stay=stay)
     return soft.withColumn("rate", rate).withColumn("copies", copies_of(F.col("rate"), F.col("doc_id")))
 
 
-def resample(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS) -> DataFrame:
-    """``docs`` with each row repeated ``copies`` times (none: gone), all columns kept."""
+def resample(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, stay: str | None = "clean") -> DataFrame:
+    """``docs`` with each row repeated ``copies`` times (none: gone), all columns kept; likely ``stay`` rows never go.
+
+    Domains other than ``stay`` are only ever thinned out: where their share is below its target already, the target is
+    lowered to that share, as repeating the few that are left would serve nobody.
+    """
     d = docs.withColumn("__row", F.monotonically_increasing_id())
-    n = rates(d, labels, targets, ("__row",)).where("copies > 0").select("__row", F.col("copies").alias("__copies"))
+    soft = stash(posteriors(d, train(d, domains_of(labels)), ("__row",)), "posteriors")
+    have = soft.agg(F.sum("n_tokens").alias("c"), *[F.sum(F.col("n_tokens") * F.col(f"p_{x}")).alias(x) for x in DOMAINS]).first()
+    goal = {x: targets.get(x, 0.0) / sum(targets.values()) for x in DOMAINS}
+    if stay is not None and have["c"]:
+        goal = {x: min(goal[x], have[x] / have["c"]) for x in DOMAINS if x != stay}
+        goal[stay] = 1 - sum(goal.values())
+    rate = fit_rates(soft, goal, stay=stay)
+    n = soft.select("__row", copies_of(rate, F.col("doc_id")).alias("__copies")).where("__copies > 0")
     each = F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))
     return d.join(n, "__row").withColumn("__copy", each).drop("__row", "__copies", "__copy")
