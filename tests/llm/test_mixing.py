@@ -26,7 +26,7 @@ def test_rates_bring_expected_tokens_to_targets(spark):
 
 def test_unreachable_targets_end_at_least_squares(spark):
     soft = soft_frame(spark, [(1, 100, 0.9, 0.05, 0.05), (2, 100, 0.1, 0.8, 0.1), (3, 100, 0.2, 0.1, 0.7)])
-    out = soft.withColumn("rate", mixing.fit_rates(soft, {"clean": 1.0, "junk": 0.0, "toxic": 0.0}, steps=200, close=1e-7)).orderBy("doc_id").collect()
+    out = soft.withColumn("rate", mixing.fit_rates(soft, {"clean": 1.0, "junk": 0.0, "toxic": 0.0}, steps=60, close=1e-6)).orderBy("doc_id").collect()
     # every feasible change of one rate must not lower the weighted squares
     import numpy as np
     p = np.array([[r.p_clean, r.p_junk, r.p_toxic] for r in out])
@@ -72,10 +72,19 @@ def test_classifier_and_resampling(spark):
     out = mixing.resample(docs, marks)
     assert out.columns == docs.columns
     copies = {r.doc_id: r["count"] for r in out.groupBy("doc_id").count().collect()}
-    assert all(copies.get(r.doc_id, 0) == r.copies for r in got.collect())
+    assert sum(copies.values()) < 1.5 * len(rows)
+    assert sum(copies.get(i, 0) for i, d in truth.items() if d) < 0.6 * sum(1 for d in truth.values() if d)
     assert all(copies.get(i, 0) >= 1 for i, d in truth.items() if d == 0)
 
 
+def test_a_domain_that_is_nearly_gone_is_not_repeated(spark):
+    rows, labels = corpus()
+    few = [(i, t) for i, t in rows if i % 10 < 7 or i in (7, 9)]
+    docs, marks = docs_frame(spark, few).drop("__row"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    out = {r.doc_id: r["count"] for r in mixing.resample(docs, marks).groupBy("doc_id").count().collect()}
+    assert max(out.values()) <= 2 and all(out.get(i, 0) >= 1 for i, _ in few if i % 10 < 7)
+
+
 def test_edges(spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     got = mixing.rates(docs_frame(spark, edge_rows()), none).collect()
