@@ -13,7 +13,8 @@ every pair meets in exactly the shard where one of them is at home.
 
 The top of the tree is fitted on a bounded sample (`SAMPLE` fingerprints) and routes every fingerprint to its
 home shard and to the shards its ball overlaps; each shard goes on with a tree of its own down to small leaves, which
-are compared bit by bit. A shard gives a spanning forest of its links, never all pairs; forests are joined
+are compared bit by bit. That tree may use any bit again, also one of a block on the shard's path, so costs of the two trees
+don't add up: in it a visitor has the whole bound again. A shard gives a spanning forest of its links, never all pairs; forests are joined
 into components by large-star/small-star rounds whose state is written below the shared checkpoint folder.
 
 Defined cases: a text without words (null too) has fingerprint zero, linked like any other; rows with one
@@ -153,9 +154,10 @@ def _components(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def search(x: np.ndarray, budget: np.ndarray, bound: int = MAX_BITS, leaf: int = LEAF) -> tuple[np.ndarray, np.ndarray]:
-    """Spanning forest (pairs of fingerprints) of all links with at least one end at home (``budget`` negative)."""
+    """Spanning forest (pairs of fingerprints) of all links with at least one end at home (``budget`` negative; others visit)."""
     home = x[budget < 0]
     tree = Tree(home, leaf, bound)
+    budget = np.where(budget < 0, -1, bound).astype(np.int8)  # what the top tree left over is spent on bits that this one may use again
     left, right, kept = [], [], 0
     for _, idx, rest in tree.route(x, budget):
         own = idx[rest < 0]

@@ -57,6 +57,34 @@ def test_shards_of_a_sampled_tree_lose_no_link(spark):
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, want.values()))
 
 
+def test_shards_of_a_top_tree_lose_no_link_of_dense_balls():
+    rng = np.random.default_rng(11)
+    bit = lambda n: np.uint64(1) << rng.integers(0, 64, n).astype(np.uint64)
+    centers = rng.integers(0, 2**63, 40, dtype=np.uint64)
+    ball = np.repeat(centers, 250)
+    for _ in range(6):
+        ball = ball ^ bit(len(ball))
+    x = np.unique(np.concatenate([ball, ball[::5] ^ bit(len(ball[::5])) ^ bit(len(ball[::5])), rng.integers(0, 2**63, 2000, dtype=np.uint64)]))
+    top = simhash.Tree(x[:: 4], 300)
+    assert top.leaves > 4
+    shards = {}
+    for leaf, idx, rest in top.route(x, np.full(len(x), -1, np.int8)):
+        shards.setdefault(leaf, []).append((idx, rest))
+    assert sum(sum((r < 0).sum() for _, r in s) > 2 * simhash.LEAF for s in shards.values()) > 4
+    at, a, b = {int(v): i for i, v in enumerate(x)}, [], []
+    for s in shards.values():
+        u, v = simhash.search(x[np.concatenate([i for i, _ in s])], np.concatenate([r for _, r in s]))
+        a += [at[int(p)] for p in u]
+        b += [at[int(p)] for p in v]
+    p, q = [], []
+    for i in range(0, len(x), 1000):
+        r, c = np.nonzero(np.bitwise_count(x[i: i + 1000, None] ^ x[None, :]) <= 2)
+        p.append(r + i)
+        q.append(c)
+    want = simhash._components(len(x), np.concatenate(p), np.concatenate(q))
+    assert (simhash._components(len(x), np.array(a), np.array(b)) == want).all()
+
+
 def test_one_of_each_keeps_the_smallest_id_and_all_columns(spark):
     rows = edge_rows()
     d = docs_frame(spark, rows).drop("__row")
