@@ -5,9 +5,12 @@ hash of the id first; a documented bound) train a naive Bayes model on marks: ho
 pass a likelihood-ratio test) a document has, and binned shares of symbols, capitals and exclamation marks. It predicts each document's posterior over domains.
 
 Rates. With tokens c_i, posteriors p_id and rates r_i >= 0, the expected tokens of domain d are sum_i c_i r_i p_id. Least squares
-brings their shares to the targets, starting at r = 1. Steps are projected gradients: r_i <- max(0, r_i - p_i . G^-1 g),
-where g is the residual of the shares and G = sum_i c_i p_i p_i^T / sum_i c_i weighs the squares, so that one step would end it were there no
-projection (rates stay between 0, or 1 for documents that must stay, and `MAX_RATE`). A step sends one small vector (a number per domain) to the driver and none of the documents: the next rates are
+brings their shares to the targets, starting at r = 1. Steps are gradients, summed up and then projected (lazy projection): r_i = max(0, 1 - p_i . theta),
+theta <- theta + s H^-1 g, where g is the residual of the shares, H = sum_i c_i p_i p_i^T / sum_i c_i over the documents that the projection leaves alone (all of
+them at first, so that one step would end it were there no projection), and s the best of a few lengths. A trace of the distance from r = 1
+(`NEAR_ONE`) keeps theta finite where targets are out of reach. Rates have no upper bound unless the caller gives one, and steps go on until the projected
+gradient vanishes (`CLOSE_ENOUGH`); `reached` tells the shares that rates come to beside the wanted ones. A step sends two small vectors (a few numbers per
+domain) to the driver and none of the documents: the next rates are
 an expression of the posteriors. Tokens are counted as words.
 
 Copies. ``copies`` is the rate rounded up or down by a hash of the id, so that its expectation is the rate.
@@ -30,8 +33,9 @@ from .common import let, stash
 DOMAINS = ("clean", "junk", "toxic")
 TARGETS = {"clean": 0.95, "junk": 0.03, "toxic": 0.02}
 MAX_LABELLED, MAX_MARKS, LEAST_G2 = 20_000, 1_000, 25.0
-STEPS, CLOSE_ENOUGH = 30, 1e-4
-#: no document is repeated more often
+#: largest mean square root of a step (by tokens) at which rates count as settled, and largest miss of a share at which targets count as met
+CLOSE_ENOUGH, NEAR_ONE = 1e-4, 1e-7
+#: for callers who want no document repeated more often
 MAX_RATE = 8.0
 _BREAKS = r"[\x00-@\[-`{-\x7f]+"
 _FLOOR = 1e-3
@@ -151,12 +155,12 @@ def least_rate(stay: str | None) -> Column:
     return F.lit(0.0) if stay is None else F.when(F.col(f"p_{stay}") >= 0.5, F.lit(1.0)).otherwise(F.lit(0.0))
 
 
-def fit_rates(soft: DataFrame, targets: dict[str, float] = TARGETS, steps: int = STEPS, close: float = CLOSE_ENOUGH,
-              stay: str | None = None, most: float = MAX_RATE) -> Column:
-    """The rate of a document, between its `least_rate` and ``most``, as an expression of its ``p_<domain>`` columns.
+def fit_rates(soft: DataFrame, targets: dict[str, float] = TARGETS, steps: int | None = None, close: float = CLOSE_ENOUGH,
+              stay: str | None = None, most: float | None = None) -> Column:
+    """The rate of a document, at least its `least_rate` (and at most ``most``, if given), as an expression of its ``p_<domain>`` columns.
 
     Rates depend on posteriors alone, so documents with equal posteriors are added up first: as many rows stay as
-    there are different combinations of bins.
+    there are different combinations of bins. Steps end when targets are met or the projected gradient vanishes; ``steps`` may end them sooner.
     """
     k = len(DOMAINS)
     soft = stash(soft.groupBy(*[f"p_{d}" for d in DOMAINS]).agg(F.sum("n_tokens").alias("n_tokens")), "mixture")
@@ -168,26 +172,53 @@ def fit_rates(soft: DataFrame, targets: dict[str, float] = TARGETS, steps: int =
     if not tokens:
         return F.lit(1.0)
 
-    def now() -> Column:
-        """All steps so far, folded over a constant array, so that more steps make no longer expression."""
-        if not moves:
-            return F.lit(1.0)
-        steps_ = F.array(*[F.array(*[F.lit(float(x)) for x in m]) for m in moves])
-        return F.aggregate(steps_, F.lit(1.0), lambda r, m: F.least(F.lit(most), F.greatest(
-            least, r - sum(p[j] * F.get(m, F.lit(j)) for j in range(k)))))
+    top = F.lit(float("inf") if most is None else float(most))
+
+    def dot(theta: list[float]) -> Column:
+        return sum(p[j] * F.lit(float(theta[j])) for j in range(k))
+
+    def at(theta: list[float]) -> Column:
+        return F.least(top, F.greatest(least, F.lit(1.0) - dot(theta)))
+
+    def value(theta: list[float], rate: Column) -> Column:
+        return F.sum(F.col("n_tokens") * ((rate - 1) ** 2 / 2 + rate * dot(theta)))
+
+    def held(theta: list[float]) -> float:
+        return sum(goal[j] * theta[j] for j in range(k)) + NEAR_ONE / 2 * sum(theta[i] * g[i][j] * theta[j] for i in range(k) for j in range(k))
 
     g = [[gram[f"g{min(i, j)}_{max(i, j)}"] / tokens for j in range(k)] for i in range(k)]
-    for _ in range(steps):
-        rated = soft.withColumn("rate", now())
-        got = rated.agg(*[F.sum(F.col("n_tokens") * F.col("rate") * p[j]).alias(f"s{j}") for j in range(k)]).first()
+    theta, done = [0.0] * k, 0
+    while True:
+        c, rate = F.col("n_tokens"), F.col("rate")
+        free = F.when((rate > least) & (rate < top), c).otherwise(0)
+        got = soft.withColumn("rate", at(theta)).agg(
+            value(theta, rate).alias("v"), *[F.sum(c * rate * p[j]).alias(f"s{j}") for j in range(k)],
+            *[F.sum(free * p[i] * p[j]).alias(f"f{i}_{j}") for i in range(k) for j in range(i, k)]).first()
         off = [got[f"s{j}"] / tokens - goal[j] for j in range(k)]
-        if max(map(abs, off)) <= close:
+        if max(map(abs, off)) <= close or steps is not None and done >= steps:
             break
-        move = _solve(g, off)
-        if max(map(abs, move)) <= close:
+        rise = [off[i] - NEAR_ONE * sum(g[i][j] * theta[j] for j in range(k)) for i in range(k)]
+        metric = [[got[f"f{min(i, j)}_{max(i, j)}"] / tokens + NEAR_ONE * g[i][j] for j in range(k)] for i in range(k)]
+        move, plain = _solve(metric, rise), _solve(g, off)
+        tries = [[theta[j] + move[j] / 4 ** n for j in range(k)] for n in range(14)]
+        gone = F.least(top, F.greatest(least, F.col("rate") - dot(plain))) - F.col("rate")
+        seen = soft.withColumn("rate", at(theta)).agg(F.sum(F.col("n_tokens") * gone ** 2).alias("gone"), *[value(x, at(x)).alias(f"v{n}") for n, x in enumerate(tries)]).first()
+        if math.sqrt(seen["gone"] / tokens) <= close:
             break  # the least squares are reached, the targets are not
-        moves.append(move)
-    return now()
+        best = max(range(len(tries)), key=lambda n: seen[f"v{n}"] / tokens - held(tries[n]))
+        if seen[f"v{best}"] / tokens - held(tries[best]) <= got["v"] / tokens - held(theta):
+            break  # nothing rises any more in double precision
+        theta, done = tries[best], done + 1
+    return at(theta)
+
+
+def reached(rated: DataFrame, targets: dict[str, float] = TARGETS, times: str = "rate") -> DataFrame:
+    """``domain, wanted, reached``: target and share of the expected tokens after mixing, by the column ``times`` (``rate`` or ``copies``)."""
+    each = F.col("n_tokens") * F.col(times)
+    got = rated.agg(F.sum(each).alias("c"), *[F.sum(each * F.col(f"p_{d}")).alias(d) for d in DOMAINS])
+    rows = F.array(*[F.struct(F.lit(d).alias("domain"), F.lit(targets.get(d, 0.0) / sum(targets.values())).alias("wanted"),
+                              F.try_divide(F.col(d), F.col("c")).alias("reached")) for d in DOMAINS])
+    return got.select(F.explode(rows).alias("r")).select("r.*")
 
 
 def copies_of(rate: Column, doc_id: Column, seed: int = 7) -> Column:
@@ -204,20 +235,22 @@ def rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGET
     return soft.withColumn("rate", rate).withColumn("copies", copies_of(F.col("rate"), F.col("doc_id")))
 
 
-def resample(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, stay: str | None = "clean") -> DataFrame:
-    """``docs`` with each row repeated ``copies`` times (none: gone), all columns kept; likely ``stay`` rows never go.
+def resample(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, stay: str | None = "clean", most: float | None = None) -> DataFrame:
+    """``docs`` with each row repeated ``copies`` times (none: gone), all columns kept.
 
-    Domains other than ``stay`` are only ever thinned out: where their share is below its target already, the target is
-    lowered to that share, as repeating the few that are left would serve nobody.
+    With ``stay=None`` the targets are solved for as given, whatever the shares of ``docs`` are. With ``stay``, likely rows of that
+    domain never go and the others are only thinned out: where their share is below its target already, the
+    target is lowered to that share. ``most`` bounds the rates; targets may then be missed.
     """
     d = docs.withColumn("__row", F.monotonically_increasing_id())
     soft = stash(posteriors(d, train(d, domains_of(labels)), ("__row",)), "posteriors")
-    have = soft.agg(F.sum("n_tokens").alias("c"), *[F.sum(F.col("n_tokens") * F.col(f"p_{x}")).alias(x) for x in DOMAINS]).first()
     goal = {x: targets.get(x, 0.0) / sum(targets.values()) for x in DOMAINS}
-    if stay is not None and have["c"]:
-        goal = {x: min(goal[x], have[x] / have["c"]) for x in DOMAINS if x != stay}
-        goal[stay] = 1 - sum(goal.values())
-    rate = fit_rates(soft, goal, stay=stay)
+    if stay is not None:
+        have = soft.agg(F.sum("n_tokens").alias("c"), *[F.sum(F.col("n_tokens") * F.col(f"p_{x}")).alias(x) for x in DOMAINS]).first()
+        if have["c"]:
+            goal = {x: min(goal[x], have[x] / have["c"]) for x in DOMAINS if x != stay}
+            goal[stay] = 1 - sum(goal.values())
+    rate = fit_rates(soft, goal, stay=stay, most=most)
     n = soft.select("__row", copies_of(rate, F.col("doc_id")).alias("__copies")).where("__copies > 0")
     each = F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))
     return d.join(n, "__row").withColumn("__copy", each).drop("__row", "__copies", "__copy")

@@ -45,6 +45,34 @@ def test_unreachable_targets_end_at_least_squares(spark):
             assert loss(other) >= loss(best) - 1e-6
 
 
+def test_production_defaults_reach_targets_far_from_the_shares(spark):
+    rows = [(i, 50, *((0.998, 0.001, 0.001) if i % 500 else (0.001, 0.998, 0.001))) for i in range(1000)] + [(1000, 60, 0.001, 0.001, 0.998)]
+    soft = soft_frame(spark, rows)
+    out = soft.withColumn("rate", mixing.fit_rates(soft))
+    assert shares(out) == pytest.approx([0.95, 0.03, 0.02], abs=2e-4)
+    told = {r.domain: (r.wanted, r.reached) for r in mixing.reached(out).collect()}
+    assert set(told) == set(mixing.DOMAINS)
+    assert all(wanted == pytest.approx(mixing.TARGETS[d]) and got == pytest.approx(wanted, abs=3e-4) for d, (wanted, got) in told.items())
+    bound = soft.withColumn("rate", mixing.fit_rates(soft, most=mixing.MAX_RATE))
+    assert bound.agg(F.max("rate")).first()[0] == mixing.MAX_RATE
+    assert {r.domain: r.reached for r in mixing.reached(bound).collect()}["junk"] < 0.02
+
+
+def test_production_defaults_end_where_the_projected_gradient_vanishes(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    p = rng.dirichlet([6, 1, 1], 300) * 0.9 + 1 / 30  # every document is a little toxic, so the targets are out of reach
+    c = rng.integers(20, 90, 300)
+    soft = soft_frame(spark, [(i, int(c[i]), *map(float, p[i])) for i in range(300)])
+    out = soft.withColumn("rate", mixing.fit_rates(soft)).orderBy("doc_id").collect()
+    r, q = np.array([x.rate for x in out]), np.array([[x.p_clean, x.p_junk, x.p_toxic] for x in out])
+    off = (c * r) @ q / c.sum() - np.array([0.95, 0.03, 0.02])
+    assert np.abs(off).max() > 1e-3 and r.min() >= 0
+    step = np.maximum(0, r - q @ np.linalg.solve((q * c[:, None]).T @ q / c.sum(), off)) - r
+    assert np.sqrt((c * step ** 2).sum() / c.sum()) <= 2e-4
+
+
 def corpus():
     rows, labels = [], []
     for i in range(400):
