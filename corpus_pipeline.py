@@ -31,8 +31,8 @@ def mask_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows repeated or dropped by their fitted rate."""
-    return mixing.resample(docs, table(spark, sf_dir, "labels"))
+    """Rows repeated or dropped by their fitted rate, so that tokens come to the stated `mixing.TARGETS`."""
+    return mixing.resample(docs, table(spark, sf_dir, "labels"), stay=None)
 
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

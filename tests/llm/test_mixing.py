@@ -73,6 +73,20 @@ def test_production_defaults_end_where_the_projected_gradient_vanishes(spark):
     assert np.sqrt((c * step ** 2).sum() / c.sum()) <= 2e-4
 
 
+def test_the_stage_mixes_scarce_domains_to_the_stated_targets(spark, tmp_path):
+    import corpus_pipeline
+
+    kinds = ["junk"] * 6 + ["toxic"] * 6 + ["clean"] * 1500
+    rows = [(i, " ".join({"junk": f"w{(i * 31 + j * 17) % 500}%%%", "toxic": "grumbus" if j % 3 else f"w{j}"}.get(kind, f"w{(i * 31 + j * 17) % 500}") for j in range(40)))
+            for i, kind in enumerate(kinds)]
+    spark.createDataFrame([(i, int(k != "junk"), int(k == "toxic")) for i, k in enumerate(kinds)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    out = corpus_pipeline.mix_sources(spark, docs_frame(spark, rows).drop("__row"), str(tmp_path))
+    n = {k: 0 for k in mixing.DOMAINS}
+    for r in out.select("doc_id").collect():
+        n[kinds[r.doc_id]] += 1
+    assert [n[k] / sum(n.values()) for k in mixing.DOMAINS] == pytest.approx([0.95, 0.03, 0.02], abs=0.006)
+
+
 def corpus():
     rows, labels = [], []
     for i in range(400):
