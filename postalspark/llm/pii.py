@@ -6,9 +6,11 @@ of text and keeps, for every character it puts out, the source stretch that it c
 
 1. homoglyphs: wide, mathematical and other compatibility forms, digits of other scripts, Cyrillic and
    Greek look-alikes become ASCII;
-2. spelled digits: runs of at least three number words become digits ("plus" before them ``+``);
+2. spelled digits: runs of at least three number words become digits ("plus" before them ``+``), shorter runs too
+   where digits, a plus or dots (also hidden ones) stand beside them;
 3. disguises: ``(at)``, ``[at]``, `` at `` and ``(dot)``, `` dot `` become ``@`` and ``.``; the bare words only where
-   both stand in address position (or "dot" between four numbers), so that ordinary sentences stay as they are.
+   both stand in address position (a known top domain, or a local part that looks like an address), bare "at"
+   before an ordinary domain only after such a local part, and dots of any kind between four numbers, so that ordinary sentences stay as they are.
 
 The same detectors run on what comes out, and every span found is mapped back to source offsets. A span
 is added only if the transducers changed something in it and no base span of its kind overlaps it.
@@ -94,12 +96,18 @@ LOOKALIKES = {
 _NUMBER = {"zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6",
            "seven": "7", "eight": "8", "nine": "9"}
 _NUMBER_WORD = "(?:" + "|".join(_NUMBER) + ")"
-#: fixed values: last labels that make bare "at" and "dot" an address
-TOP_DOMAINS = frozenset("com org net edu gov mil int info biz io ai dev app co eu uk de fr es it nl be ch at pl pt se no dk fi ie "
-                        "us ca au nz jp cn in br mx ru ua example test".split())
+#: fixed values: last labels that make bare "at" and "dot" an address: generic ones and all country codes but those that are common English words
+TOP_DOMAINS = frozenset("com org net edu gov mil int info biz io ai dev app co example test name pro mobi jobs travel museum aero coop asia cat tel eu uk "
+                        "online site shop store tech xyz cloud blog email club agency "
+                        "ac ad ae af ag al ao aq ar at au aw ax az ba bb bd be bf bg bh bi bj bm bn bo br bs bt bw bz ca cc cd cf cg ch ci ck "
+                        "cl cm cn cr cu cv cw cx cy cz de dj dk dm dz ec ee eg er es et fi fj fk fm fo fr ga gb gd ge gf gg gh gi gl gm gn gp gq gr "
+                        "gs gt gu gw gy hk hm hn hr ht hu id ie il im in iq ir it je jm jo jp ke kg kh ki km kn kp kr kw ky kz la lb lc li lk lr ls "
+                        "lt lu lv ly ma mc md mg mh mk ml mm mn mo mp mq mr ms mt mu mv mw mx mz na nc ne nf ng ni nl no np nr nu nz om pa pe pf "
+                        "pg ph pk pl pm pn pr ps pt pw py qa re ro rs ru rw sa sb sc sd se sg sh si sk sl sm sn sr ss st su sv sx sy sz tc td tf tg "
+                        "th tj tk tl tm tn tr tt tv tw tz ua ug us uy uz va vc ve vg vi vn vu wf ws ye yt za zm zw".split())
 _GAP = r"[ \t,.\-]{1,3}"
 _SPELLED = re.compile(rf"\b(?:plus{_GAP})?(?:{_NUMBER_WORD}{_GAP}){{2,}}{_NUMBER_WORD}\b", re.I)
-_WORD = re.compile(r"[a-z]+", re.I)
+_WORD = re.compile(r"[a-z]+|[0-9+]", re.I)
 _LABEL = r"[A-Za-z0-9-]+"
 _AT = r"[ \t]*[\[({<][ \t]*(?:at|@)[ \t]*[\])}>][ \t]*"
 _DOT = r"[ \t]*[\[({<][ \t]*(?:dot|\.)[ \t]*[\])}>][ \t]*"
@@ -107,7 +115,13 @@ _DISGUISED = re.compile(
     rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{{1,64}}(?:(?:(?:{_DOT}|[ \t]dot[ \t])[A-Za-z0-9_%+-]{{1,64}}){{0,4}})"
     rf"(?P<at>{_AT}|@|[ \t]at[ \t])"
     rf"{_LABEL}(?:(?:{_DOT}|[ \t]dot[ \t]|\.){_LABEL}){{1,6}}", re.I)
-_SPOKEN_IP = re.compile(rf"(?<![0-9.])[0-9]{{1,3}}(?:(?:{_DOT}|[ \t]dot[ \t])[0-9]{{1,3}}){{3}}(?![0-9])", re.I)
+_SPOKEN_IP = re.compile(rf"(?<![0-9.])[0-9]{{1,3}}(?:(?:{_DOT}|[ \t]dot[ \t]|\.)[0-9]{{1,3}}){{3}}(?![0-9])", re.I)
+#: parts of a phone or an address by numbers in which words and digits may be mixed
+_ONE = rf"(?:{_NUMBER_WORD}\b|[0-9]+)"
+_MIXED_PHONE = re.compile(rf"(?:\bplus[ \t,.\-]{{1,3}}|\+[ \t]?){_ONE}(?:[ \t,.()\-]{{1,3}}{_ONE}){{0,14}}(?![A-Za-z0-9])", re.I)
+_PART = rf"{_ONE}(?:[ \t\-]{{1,3}}{_ONE}){{0,2}}"
+_MIXED_IP = re.compile(rf"(?<![A-Za-z0-9.]){_PART}(?:(?:{_DOT}|[ \t]dot[ \t]|[ \t]?\.[ \t]?){_PART}){{3}}(?![A-Za-z0-9])", re.I)
+_NAMED = re.compile(rf"\b(?:plus|{_NUMBER_WORD})\b", re.I)
 _BRACKET_AT, _BRACKET_DOT = re.compile(_AT, re.I), re.compile(_DOT, re.I)
 _BARE_AT, _BARE_DOT = re.compile(r"[ \t]at[ \t]", re.I), re.compile(r"[ \t]dot[ \t]", re.I)
 
@@ -174,8 +188,32 @@ def _homoglyphs(text: str) -> list[tuple[int, int, str]]:
 
 
 def _spelled(text: str) -> list[tuple[int, int, str]]:
-    return [(m.start(), m.end(), "".join("+" if w.lower() == "plus" else _NUMBER[w.lower()] for w in _WORD.findall(m[0])))
-            for m in _SPELLED.finditer(text)]
+    def digits(words: str) -> str:
+        return "".join("+" if w.lower() == "plus" else _NUMBER.get(w.lower(), w) for w in _WORD.findall(words))
+
+    edits = []
+
+    def take(begin: int, end: int) -> None:
+        i = bisect_right(edits, (begin, len(text) + 1, ""))
+        if not (i and edits[i - 1][1] > begin) and not (i < len(edits) and edits[i][0] < end):
+            edits.insert(i, (begin, end, digits(text[begin:end])))
+
+    for m in _MIXED_IP.finditer(text):  # 192 dot one six eight dot zero dot one
+        if _NAMED.search(m[0]):
+            for part in re.finditer(_PART, m[0], re.I):
+                if not part[0].isdigit():
+                    take(m.start() + part.start(), m.start() + part.end())
+    for m in _MIXED_PHONE.finditer(text):  # plus four nine 30 1234 5678
+        if _NAMED.search(m[0]) and re.search("[0-9]", m[0]) and 10 <= len(digits(m[0])) - 1 <= 15:
+            take(m.start(), m.end())
+    for m in _SPELLED.finditer(text):
+        take(m.start(), m.end())
+    return edits
+
+
+def _looks_like_local(part: str) -> bool:
+    """Whether bare words before "at" look like the local part of an address: a digit, or a dot, plus, underscore or percent sign inside."""
+    return bool(re.search(r"[0-9]|[A-Za-z0-9][._+%][A-Za-z0-9]", part)) and bool(re.search("[A-Za-z]", part))
 
 
 def _disguises(text: str) -> list[tuple[int, int, str]]:
@@ -184,9 +222,11 @@ def _disguises(text: str) -> list[tuple[int, int, str]]:
         inside, begin, end = m[0], m.start(), m.end()
         bare = m["at"].strip().lower() == "at"
         hidden_dot = _BRACKET_DOT.search(inside) or _BARE_DOT.search(text, m.end("at") - 1, end)
-        if bare and not hidden_dot:
+        local, host = text[begin: m.start("at")], text[m.end("at"): end]
+        if bare and not hidden_dot and not (_looks_like_local(local) and host[-1:].isalpha()):
             continue  # "meet at example.com" is no address
-        if bare and not _BRACKET_DOT.search(inside) and re.split(r"[ \t.]", inside)[-1].lower() not in TOP_DOMAINS:
+        if (bare and hidden_dot and not _BRACKET_DOT.search(inside) and re.split(r"[ \t.]", inside)[-1].lower() not in TOP_DOMAINS
+                and not _looks_like_local(local)):
             continue  # nor is "look at a dot on paper"
         found = [(x.start(), x.end(), "@") for x in [re.compile(re.escape(m["at"])).search(text, m.start("at"))]]
         for pattern in (_BRACKET_DOT, _BARE_DOT):
@@ -213,10 +253,10 @@ def deobfuscate(text: str) -> Mapped:
     if not text.isascii():
         m.rewrite(_homoglyphs(m.text))
     low = m.text.lower()
-    if len(low) != len(m.text) or _NUMBER_HINT.search(low):
+    if len(low) != len(m.text) or _NUMBER_HINT.search(low) or _NAMED.search(low) and re.search(r"[0-9]|dot|\+|plus|\.", low):
         m.rewrite(_spelled(m.text))
         low = m.text.lower()
-    if "dot" in low or "at" in low and re.search(r"[\[({<][ \t]*(?:at|@)[ \t]*[\])}>]", low) or re.search(r"[\[({<][ \t]*\.[ \t]*[\])}>]", low):
+    if "dot" in low or "at" in low and re.search(r"[\[({<][ \t]*(?:at|@)[ \t]*[\])}>]|[ \t]at[ \t]", low) or re.search(r"[\[({<][ \t]*\.[ \t]*[\])}>]", low):
         m.rewrite(_disguises(m.text))
     return m
 

@@ -53,6 +53,29 @@ def test_disguises_map_back_to_the_source(text, kind, found):
     assert pii.mask_text(text) == text.replace(found, f"[{kind.upper()}]")
 
 
+@pytest.mark.parametrize("text,kind,found", [
+    ("ping 192 dot one six eight dot zero dot one now", "ip", "192 dot one six eight dot zero dot one"),
+    ("ping one nine two dot one six eight dot 0 dot one two now", "ip", "one nine two dot one six eight dot 0 dot one two"),
+    ("host 192.168 dot 0 dot 1 up", "ip", "192.168 dot 0 dot 1"),
+    ("host 10 [.] 0.0 (dot) 7 up", "ip", "10 [.] 0.0 (dot) 7"),
+    ("call plus four nine 30 1234 5678 now", "phone", "plus four nine 30 1234 5678"),
+    ("call +49 three zero 1234 5678 now", "phone", "+49 three zero 1234 5678"),
+    ("write jane.doe42 at example.com now", "email", "jane.doe42 at example.com"),
+    ("write jane at mail dot gr now", "email", "jane at mail dot gr"),
+    ("write jane at firma dot ro now", "email", "jane at firma dot ro"),
+    ("write jane_d at firma dot gr now", "email", "jane_d at firma dot gr"),
+])
+def test_mixed_disguises(text, kind, found):
+    base, added = pii.find_spans(text)
+    assert [(k, text[a:b]) for k, a, b in added] == [(kind, found)]
+    assert pii.mask_text(text) == text.replace(found, f"[{kind.upper()}]")
+
+
+@pytest.mark.parametrize("text", ["one at 10.5 or two at 3.5", "version 2 at 1.4.2 has one dot two", "plus one more for 2019", "we met at three dot four points", "one two dot three"])
+def test_numbers_in_sentences_stay(text):
+    assert pii.find_spans(text) == ([], [])
+
+
 @pytest.mark.parametrize("text", ["meet at example.com today", "two three words at a dot on the map", "one two", "Привет мир как дела", "α β γ", "at dot at dot", "", None,
                                   "the cat sat at noon. Dot said so."])
 def test_clean_texts_stay(text):
