@@ -199,7 +199,10 @@ def fit_rates(soft: DataFrame, targets: dict[str, float] = TARGETS, steps: int |
             break
         rise = [off[i] - NEAR_ONE * sum(g[i][j] * theta[j] for j in range(k)) for i in range(k)]
         metric = [[got[f"f{min(i, j)}_{max(i, j)}"] / tokens + NEAR_ONE * g[i][j] for j in range(k)] for i in range(k)]
-        move, plain = _solve(metric, rise), _solve(g, off)
+        # in units in which every domain weighs alike, or the little that _solve adds would outweigh scarce domains
+        unit = [math.sqrt(g[j][j]) or 1.0 for j in range(k)]
+        move = _solve([[metric[i][j] / unit[i] / unit[j] for j in range(k)] for i in range(k)], [rise[j] / unit[j] for j in range(k)])
+        move, plain = [move[j] / unit[j] for j in range(k)], _solve(g, off)
         tries = [[theta[j] + move[j] / 4 ** n for j in range(k)] for n in range(14)]
         gone = F.least(top, F.greatest(least, F.col("rate") - dot(plain))) - F.col("rate")
         seen = soft.withColumn("rate", at(theta)).agg(F.sum(F.col("n_tokens") * gone ** 2).alias("gone"), *[value(x, at(x)).alias(f"v{n}") for n, x in enumerate(tries)]).first()
