@@ -87,6 +87,23 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .negatives import mine
+    vec_id = F.col("vec_id")
+    shifted = F.when(vec_id % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine(table(spark, sf_dir, "embeddings"), vec_id % 100 == 0, shifted, scale=256)
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .whitening import whiten
+    return whiten(table(spark, sf_dir, "embeddings"), k=32, scale=64, offset=1_000_000)
+
+
+def op13_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .topk import top_k
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10, scale=1024)
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 
@@ -120,6 +137,33 @@ SELECT page_id, host, path, rule, coalesce(fixed, CASE WHEN n_strict >= 1 OR (n_
   THEN 'block' ELSE 'allow' END) AS verdict, n_strict, n_soft, soft_weight FROM counted"""
 
 
+def _vectors_sql(scale: int, columns: str) -> str:
+    return f"""v AS (SELECT {columns}, list_transform(embedding, c -> floor({scale} * CAST(c AS DOUBLE))) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, c -> c IS NULL OR NOT isfinite(CAST(c AS DOUBLE)))) = 0)"""
+
+
+def _negatives_oracle() -> str:
+    """DuckDB statement of `op11_hard_negatives`: all scores of all anchors."""
+    label = "CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS INTEGER) AS label"
+    return f"""WITH {_vectors_sql(256, f"vec_id, {label}")},
+s AS (SELECT a.vec_id AS anchor_id, a.label AS own, c.vec_id, c.label, CAST(list_dot_product(a.x, c.x) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.vec_id <> c.vec_id WHERE a.vec_id % 100 = 0 AND a.label IS NOT NULL AND c.label IS NOT NULL),
+p AS (SELECT anchor_id, own, vec_id AS positive_id, score AS positive_score FROM s WHERE label = own
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank,
+  s.vec_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND s.label <> p.own AND 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score
+QUALIFY rank <= 10"""
+
+
+def _top_k_oracle() -> str:
+    """DuckDB statement of `op13_exact_top_k`: all scores of all queries."""
+    return f"""WITH {_vectors_sql(1024, "vec_id")}
+SELECT q.vec_id AS query_id, CAST(row_number() OVER (PARTITION BY q.vec_id ORDER BY list_dot_product(q.x, c.x) DESC, c.vec_id) AS INTEGER) AS rank,
+  c.vec_id, CAST(list_dot_product(q.x, c.x) AS BIGINT) AS score
+FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0 QUALIFY rank <= 10"""
+
+
 def oracles() -> dict[str, str]:
     """Statements where portable SQL can express the whole result; the others are tested against plain versions."""
-    return {"op10_url_filters": _url_oracle()}
+    return {"op10_url_filters": _url_oracle(), "op11_hard_negatives": _negatives_oracle(), "op13_exact_top_k": _top_k_oracle()}
