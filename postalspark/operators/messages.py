@@ -1,8 +1,8 @@
 """Queue-message operators in batch form: intake, limits, streaks, pacing, counts.
 
 Consumer state (failure streaks, pause multiplier, start times) is a function
-of the ordered messages of one consumer, so it is computed with skew-safe
-bucketed scans (``operators.scan``) rather than a per-consumer window: a
+of the ordered messages of one consumer, so it is computed as an ordered fold
+over ranges (``operators.pacing``) rather than a per-consumer window: a
 consumer that owns a third of all messages is still split over many tasks.
 """
 
@@ -12,9 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postalspark.functions.responses import is_json, is_json_object
-from postalspark.operators.scan import running_total
-from postalspark.schemas import (FAILURE_PAUSE_FACTOR, MAX_BACKOFF_MULTIPLIER, MAX_CONSECUTIVE_ERRORS,
-                                 RATE_LIMIT_PER_SECOND)
+from postalspark.operators.pacing import paced
+from postalspark.schemas import MAX_CONSECUTIVE_ERRORS, RATE_LIMIT_PER_SECOND
 
 # JSON values of ``cep`` that count as "no code".
 _EMPTY_CODE = ["", "0", "false", "[]", "{}"]
@@ -57,14 +56,15 @@ def failure_streaks(kept: DataFrame, seq: str = "seq", consumer: str = "consumer
 
     Adds ``k`` (failures in the current run, 0 on success), ``streak`` (the counter
     after this message: 1, 2, 3, 1, ...) and ``paused`` (this failure completed a
-    run of three). Runs are cut by a running count of successes.
+    run of three).
     """
-    s = running_total(kept, seq, F.col(ok).cast("long"), "_run", partition_by=[consumer])
-    k = running_total(s, seq, (~F.col(ok)).cast("long"), "k", partition_by=[consumer, "_run"])
+    return _streaks(paced(kept, base_delay(), seq, consumer, ok), ok).drop("pause", "start")
+
+
+def _streaks(rows: DataFrame, ok: str) -> DataFrame:
     n = MAX_CONSECUTIVE_ERRORS
-    streak = F.when(F.col(ok), F.lit(0)).otherwise(((F.col("k") - 1) % n) + 1)
-    paused = ~F.col(ok) & (F.col("k") % n == 0)
-    return k.withColumn("streak", streak.cast("int")).withColumn("paused", paused).drop("_run")
+    streak = F.when(F.col("k") == 0, F.lit(0)).otherwise(((F.col("k") - 1) % n) + 1)
+    return rows.withColumn("streak", streak.cast("int")).withColumn("paused", (F.col("k") > 0) & (F.col("k") % n == 0))
 
 
 def base_delay(rate_per_second: float = RATE_LIMIT_PER_SECOND) -> float:
@@ -79,15 +79,9 @@ def pacing_schedule(kept: DataFrame, rate_per_second: float = RATE_LIMIT_PER_SEC
     success -> d; failure -> max(1.5, m)*d where m = min(2^floor(k/3), 10) is the
     pause multiplier that lasts until the next success (it is applied to the rate
     gate before the next request, so a plain failure waits the larger of the two).
+    A message without an outcome counts as failed.
     """
-    d = base_delay(rate_per_second)
-    st = failure_streaks(kept, seq, consumer, ok)
-    mult = F.least(F.pow(F.lit(2.0), F.floor(F.col("k") / MAX_CONSECUTIVE_ERRORS).cast("double")),
-                   F.lit(MAX_BACKOFF_MULTIPLIER))
-    pause = F.when(F.col(ok), F.lit(d)).otherwise(F.greatest(F.lit(FAILURE_PAUSE_FACTOR), mult) * F.lit(d))
-    paced = st.withColumn("pause", pause.cast("double"))
-    started = running_total(paced, seq, F.col("pause"), "_until", partition_by=[consumer])
-    return started.withColumn("start", F.col("_until") - F.col("pause")).drop("_until")
+    return _streaks(paced(kept, base_delay(rate_per_second), seq, consumer, ok), ok)
 
 
 def publish_messages(valid: DataFrame) -> DataFrame:

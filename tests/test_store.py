@@ -8,7 +8,8 @@ from postalspark.functions.text import iso_timestamp, mask_url
 from postalspark.operators import store as st
 from postalspark.schemas import ADDRESS
 from postalspark.session import scratch_dir
-from postalspark.sinks.table import DEFAULT_BUCKETS, AddressTable, CommitConflict, declare_tables, drop_tables, load_table
+from postalspark.sinks.commits import CommitConflict
+from postalspark.sinks.table import AddressTable, declare_tables, drop_tables, load_table
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -73,7 +74,7 @@ def test_versioned_table_commit_and_replay(spark):
     assert table.upsert(street(spark, ("01310100", "A"), ("01310200", "X")), "2024-01-01 00:00:00", 0, "ckpt") == 2
     s2 = street(spark, ("01310100", "B"))
     table.upsert(s2, "2024-01-02 00:00:00", 1, "ckpt")
-    assert table.current_version() == 2 and table.last_batch("ckpt") == 1
+    assert table.current_version() == 2 and table.progress("ckpt").batch == 1
     assert table.upsert(s2, "2024-01-03 00:00:00", 1, "ckpt") == 0  # replayed batch: no-op
     got = {r.cep: (r.logradouro, r.created_at, r.updated_at) for r in table.read().collect()}
     assert got == {"01310100": ("B", T0, dt.datetime(2024, 1, 2)), "01310200": ("X", T0, T0)}
@@ -105,34 +106,117 @@ def test_crash_before_the_commit_file_leaves_the_table_as_it_was(spark, monkeypa
     assert [r.logradouro for r in table.read().collect()] == ["B"]
 
 
-def test_two_writers_of_one_commit(spark):
+def test_a_number_is_taken_once(spark):
     table = AddressTable(spark, scratch_dir(spark, "table"))
     table.upsert(street(spark, ("01310100", "A")), "2024-01-01 00:00:00")
     old = table.state()
     table.upsert(street(spark, ("01310200", "B")), "2024-01-01 00:00:00")
     with pytest.raises(CommitConflict):
-        table._publish(old, {}, None, None)
-    assert table.read().count() == 2
+        table._publish(old, [])
+    assert table.read().count() == 2 and not [f for f in table._commits.fs.listStatus(table._commits.path(table._commits.where))
+                                              if f.getPath().getName().startswith(".0")]
 
 
-def test_only_touched_buckets_are_written_and_old_folders_go(spark):
-    table = AddressTable(spark, scratch_dir(spark, "table"), buckets=8)
-    table.commit(addr(spark, [(f"{i:08d}", "A") for i in range(200)]))
-    before = table.state()["folders"]
+def leafy(spark, n=200, leaf_rows=25):
+    table = AddressTable(spark, scratch_dir(spark, "table"), leaf_rows=leaf_rows)
+    table.commit(addr(spark, [(f"{i:08d}", "A") for i in range(n)]))
+    return table
+
+
+def test_only_files_with_incoming_codes_are_written_and_old_files_go(spark):
+    table = leafy(spark)
+    before = table.state().leaves
     table.upsert(street(spark, ("00000007", "B")), "2024-01-02 00:00:00")
-    after = table.state()["folders"]
-    assert len(before) == 8 and sum(before[b] != after[b] for b in before) == 1
-    assert table.read().count() == 200
+    after = table.state().leaves
+    assert len(before) >= 8 and len({f.path for f in before} - {f.path for f in after}) == 1
+    assert table.read().count() == table.count() == 200
     table.upsert(street(spark, ("00000007", "C")), "2024-01-03 00:00:00")
     assert len(table.remove_old(1)) == 2
     assert table.read().where("logradouro <> 'A'").first().logradouro == "C" and table.read().count() == 200
 
 
-def test_one_city_is_written_by_many_tasks(spark):
+def test_leaves_stay_disjoint_sorted_and_bounded(spark):
+    import random
+    rnd, table, want = random.Random(5), AddressTable(spark, scratch_dir(spark, "table"), leaf_rows=20), {}
+    for step in range(5):
+        rows = {f"{rnd.choice([rnd.randrange(100), rnd.randrange(10**8)]):08d}": f"s{step}" for _ in range(60)}
+        want |= rows
+        table.upsert(street(spark, *rows.items()), "2024-01-01 00:00:00")
+        leaves = table.state().leaves
+        assert all(f.low <= f.high and f.rows <= 20 for f in leaves)
+        assert all(a.high < b.low for a, b in zip(leaves, leaves[1:], strict=False))
+        assert {r.cep: r.logradouro for r in table.read().collect()} == want
+
+
+def files_of(df):
+    return df.inputFiles()
+
+
+def test_a_point_read_opens_one_file(spark):
+    table = leafy(spark)
+    got = table.lookup("00000-042")
+    assert [r.cep for r in got.collect()] == ["00000042"] and len(files_of(got)) == 1
+    assert table.lookup("99999999").count() == 0 and table.lookup("").count() == 0
+
+
+def test_a_page_opens_only_its_files_and_numbers_nothing(spark):
+    table = leafy(spark)
+    for limit, offset in ((10, 0), (30, 17), (1, 199), (None, 190), (0, 5), (500, 150), (10, 200), (10, 10**6)):
+        got = table.page(limit, offset)
+        end = offset + limit if limit else 200
+        assert [r.cep for r in got.collect()] == [f"{i:08d}" for i in range(200)][offset:end]
+        if 0 < len(range(offset, min(end, 200))) <= 30:
+            assert len(files_of(got)) <= 3
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "Window" not in plan and "Checkpoint" not in plan and "SinglePartition" not in plan
+
+
+def racing(monkeypatch, table, others):
+    """Let other writers commit just before this one's first tries."""
+    publish, left = AddressTable._publish, list(others)
+
+    def late(self, *a, **k):
+        if self is table and left:
+            left.pop(0)()
+        return publish(self, *a, **k)
+
+    monkeypatch.setattr(AddressTable, "_publish", late)
+
+
+@pytest.mark.parametrize("mine,theirs", [("00000007", "00000190"), ("00000007", "00000008"), ("00000007", "00000007"), ("00000007", "x new")])
+def test_two_writers_both_end_in_the_table(spark, monkeypatch, mine, theirs):
+    table = leafy(spark)
+    other = AddressTable(spark, table.root, leaf_rows=25)
+    racing(monkeypatch, table, [lambda: other.upsert(street(spark, (theirs, "theirs")), "2024-01-02 00:00:00")])
+    merges = []
+    merge = AddressTable._merge
+    monkeypatch.setattr(AddressTable, "_merge", lambda self, state, rows, now: merges.append((self is table, rows.count())) or merge(self, state, rows, now))
+    assert table.upsert(street(spark, (mine, "mine"), ("00000100", "mine")), "2024-01-03 00:00:00") == 2
+    got = {r.cep: r.logradouro for r in table.read().where("logradouro <> 'A'").collect()}
+    assert got == {theirs: "theirs"} | {mine: "mine", "00000100": "mine"}
+    assert table.count() == table.read().count() == 200 + (theirs == "x new")
+    # what the other one did not replace is not merged again
+    assert [n for own, n in merges if own] == [2, 1 if theirs in ("00000007", "00000008") else 0]
+
+
+def test_first_writers_race_and_a_replaced_table(spark, monkeypatch):
+    root = scratch_dir(spark, "table")
+    table, other = AddressTable(spark, root), AddressTable(spark, root)
+    racing(monkeypatch, table, [lambda: other.upsert(street(spark, ("5", "five")), "2024-01-02 00:00:00"),
+                                lambda: other.commit(addr(spark, [("7", "seven")]))])
+    table.upsert(street(spark, ("1", "one"), ("9", "nine")), "2024-01-03 00:00:00")
+    assert {r.cep: r.logradouro for r in table.read().collect()} == {"1": "one", "7": "seven", "9": "nine"}
+
+
+def test_attached_rows_show_with_their_commit_only(spark):
     table = AddressTable(spark, scratch_dir(spark, "table"))
-    table.commit(addr(spark, [(f"{i:08d}", "A") for i in range(4000)]))
-    files = table.read().select(F.input_file_name().alias("f")).distinct().count()
-    assert files >= DEFAULT_BUCKETS
+    for i in range(4):
+        name = table.attach(spark.createDataFrame([(i,)], "n int"))
+        assert table.attached("errors", "n int").count() == i
+        table.upsert(street(spark, (f"{i}", "A")), "2024-01-01 00:00:00", i, "s", attached={"errors": name})
+    assert sorted(r.n for r in table.attached("errors", "n int").collect()) == [0, 1, 2, 3]
+    table.remove_old(1)
+    assert sorted(r.n for r in table.attached("errors", "n int").collect()) == [0, 1, 2, 3] and table.progress("s").batch == 3
 
 
 def test_declared_table(spark):
