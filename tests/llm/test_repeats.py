@@ -36,9 +36,13 @@ def test_edges_repeated_ids_and_null_ids(spark):
 
 
 def test_all_texts_in_one_group(spark):
-    text = "".join(random.Random(1).choice("abcdefgh ") for _ in range(1000))
+    rng = random.Random(1)
+    text = "".join(rng.choice("abcdefgh ") for _ in range(1000))
     got = removed(spark, [(i, text) for i in range(300)], 100)
     assert [g[3] for g in got] == [0] + [1000] * 299
+    # one letter only: the first text repeats itself but for its first byte
+    got = removed(spark, [(i, "a" * 1000) for i in range(300)], 100)
+    assert [g[3] for g in got] == [999] + [1000] * 299
 
 
 def test_empty_table(spark):
