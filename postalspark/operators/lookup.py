@@ -77,15 +77,13 @@ def process_codes(codes: DataFrame, responses: DataFrame, now: str) -> DataFrame
     return last_answer(stored, "cep").withColumn("created_at", ts).withColumn("updated_at", ts)
 
 
-def not_found_codes(codes: DataFrame, responses: DataFrame,
-                    service_url: str = DEFAULT_SERVICE_URL, attempts: int = RETRY_ATTEMPTS) -> DataFrame:
-    """One error row per distinct code whose lookup gives no address.
+def failure_rows(failed: DataFrame, service_url: str = DEFAULT_SERVICE_URL, attempts: int = RETRY_ATTEMPTS) -> DataFrame:
+    """Error rows of lookups that gave no address (``cep``, ``status``).
 
     not found (``erro``) -> cep_not_found, status 200; not an object -> api_error;
     malformed JSON -> retried, then api_error; no answer (HTTP 404) -> retried, then
     cep_not_found with status 404.
     """
-    enriched = enrich_codes(codes, responses).where(~F.col("found"))
     s, cep = F.col("status"), F.col("cep")
     message = (F.when(s == NOT_FOUND, _message(MSG_NOT_FOUND, cep))
                .when(s == NOT_OBJECT, _message(MSG_NOT_OBJECT, cep))
@@ -93,8 +91,14 @@ def not_found_codes(codes: DataFrame, responses: DataFrame,
                .otherwise(_message(MSG_HTTP_404, cep, url=service_url.rstrip("/"))))
     status_code = F.when(s == NOT_FOUND, F.lit(200)).when(s == ABSENT, F.lit(404))
     retry = F.when(s.isin(MALFORMED, ABSENT), F.lit(attempts))
-    return enriched.select("cep", classify_error(message).alias("error_type"), message.alias("error_message"),
-                           error_context(status_code=status_code, retry_attempt=retry).alias("context"))
+    return failed.select("cep", classify_error(message).alias("error_type"), message.alias("error_message"),
+                         error_context(status_code=status_code, retry_attempt=retry).alias("context"))
+
+
+def not_found_codes(codes: DataFrame, responses: DataFrame,
+                    service_url: str = DEFAULT_SERVICE_URL, attempts: int = RETRY_ATTEMPTS) -> DataFrame:
+    """One error row per distinct code whose lookup gives no address (see `failure_rows`)."""
+    return failure_rows(enrich_codes(codes, responses).where(~F.col("found")), service_url, attempts)
 
 
 def latest_per_code(rows: DataFrame, key: str = "code", seq: str = "seq") -> DataFrame:

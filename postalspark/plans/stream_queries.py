@@ -1,8 +1,7 @@
 """Registered streaming queries: replay driver tables as arrivals, drain, read back.
 
-Each query lays a table out as files in arrival order, runs the stream with
-``availableNow`` and returns what its sink holds, so the stream result can be
-compared with the batch form of the same operator.
+Each query stores a table as arrivals (a queue, or files), drains the stream and returns what its sink
+holds, so the stream result can be compared with the batch form of the same operator.
 """
 
 from __future__ import annotations
@@ -17,17 +16,24 @@ from postalspark.plans.catalog import NOW, V, query
 from postalspark.schemas import ADDRESS_FIELDS
 from postalspark.session import scratch_dir
 from postalspark.streaming import enrich as se
+from postalspark.streaming import queue as ss_queue
 from postalspark.streaming import sources as ss
 from postalspark.streaming import streaks as sk
 
-ARRIVAL_FILES = 4
 #: files of an unordered replay, and how many of them a micro-batch takes
 SPREAD_FILES, PER_TRIGGER = 8, 2
+#: Messages a second and seconds between triggers; T1/T3-T5 take larger batches
+INTAKE_RATE, INTAKE_SECONDS = 50.0, 60.0
+WORK_RATE = 500.0
+#: T1 with a limit: usable messages of the first run
+STREAM_LIMIT = 4_100
 
 
-def _message_files(spark, sf, files=ARRIVAL_FILES):
-    path = scratch_dir(spark, "message_files")
-    return ss.write_in_order(V(spark, sf, "messages"), path, "seq", files)
+def _queue(spark, *arrivals):
+    root = scratch_dir(spark, "queue")
+    for messages in arrivals:
+        ss_queue.append_messages(messages, root)
+    return root
 
 
 @query("S7_stream_messages")
@@ -56,65 +62,64 @@ def s8(spark, sf):
     return spark.read.parquet(out).drop("batch")
 
 
-def _enrich_run(spark, sf, files_first=None):
-    src = scratch_dir(spark, "t_messages")
-    m = V(spark, sf, "messages")
-    root, errors, dead, ckpt = (scratch_dir(spark, n) for n in ("t_table", "t_errors", "t_dead", "t_ckpt"))
-    responses = V(spark, sf, "responses")
-    if files_first is None:
-        ss.write_arrivals(m, src, "seq", SPREAD_FILES)
-        table = se.stream_enrich(spark, ss.stream_messages(spark, src, PER_TRIGGER), responses, root, errors, dead, ckpt, NOW)
-        return table, errors, dead
+def _work(spark, root):
+    return ss_queue.stream_queue(spark, root, se.intake_cap(WORK_RATE, INTAKE_SECONDS))
+
+
+def _enrich_run(spark, sf, restart=False):
+    m, responses = V(spark, sf, "messages"), V(spark, sf, "responses")
+    place, ckpt = scratch_dir(spark, "t_table"), scratch_dir(spark, "t_ckpt")
+    if not restart:
+        return se.stream_enrich(spark, _work(spark, _queue(spark, m)), responses, place, ckpt, NOW)
     # T4: first part arrives, the consumer drains it and stops; the rest arrives and a
     # restarted consumer resumes from the checkpoint.
     lo, hi = m.agg(F.min("seq"), F.max("seq")).first()
     cut = lo + (hi - lo) // 2
-    ss.write_arrivals(m.where(F.col("seq") <= cut), src, "seq", files_first)
-    se.stream_enrich(spark, ss.stream_messages(spark, src, PER_TRIGGER), responses, root, errors, dead, ckpt, NOW)
-    ss.write_arrivals(m.where(F.col("seq") > cut), src, "seq", files_first)
-    table = se.stream_enrich(spark, ss.stream_messages(spark, src, PER_TRIGGER), responses, root, errors, dead, ckpt, NOW)
-    return table, errors, dead
+    root = _queue(spark, m.where(F.col("seq") <= cut))
+    se.stream_enrich(spark, _work(spark, root), responses, place, ckpt, NOW)
+    ss_queue.append_messages(m.where(F.col("seq") > cut), root)
+    return se.stream_enrich(spark, _work(spark, root), responses, place, ckpt, NOW)
 
 
 @query("T1_stream_enrich")
 def t1(spark, sf):
-    table, _, _ = _enrich_run(spark, sf)
-    return table.read()
+    return _enrich_run(spark, sf).read()
+
+
+@query("T1_stream_limit")
+def t1_limit(spark, sf):
+    """A run whose limit falls inside a micro-batch, then a run without one: which run handled each usable message."""
+    responses = V(spark, sf, "responses")
+    root = _queue(spark, V(spark, sf, "messages"))
+    place, ckpt, out = (scratch_dir(spark, n) for n in ("t_table", "t_ckpt", "t_handled"))
+    for run, limit in ((1, STREAM_LIMIT), (2, None)):
+        se.stream_enrich(spark, _work(spark, root), responses, place, ckpt, NOW, limit=limit,
+                         handler=lambda kept, i, run=run: se.write_batch(kept.select("seq"), f"{out}/run={run}", i))
+    return spark.read.parquet(out).select("seq", F.col("run").cast("int").alias("run"))
 
 
 @query("T2_stream_rate_cap")
 def t2(spark, sf):
-    src = _message_files(spark, sf)
-    stream = ss.stream_messages(spark, src, max_files_per_trigger=1)
-    out = se.batch_sizes(spark, stream, scratch_dir(spark, "t2_out"), scratch_dir(spark, "t2_ckpt"))
-    return out.select(F.col("batch_id").cast("long").alias("batch_id"), "rows")
+    root = _queue(spark, V(spark, sf, "messages"))
+    stream = ss_queue.stream_queue(spark, root, se.intake_cap(INTAKE_RATE, INTAKE_SECONDS))
+    return se.batch_sizes(spark, stream, scratch_dir(spark, "t2_out"), scratch_dir(spark, "t2_ckpt"))
 
 
 @query("T3_stream_streaks")
 def t3(spark, sf):
-    kept = drop_bad_messages(V(spark, sf, "messages")).select("seq", "consumer", "ok")
-    src = scratch_dir(spark, "t3_in")
-    ss.write_in_order(kept, src, "seq", ARRIVAL_FILES)
-    schema = "seq long, consumer long, ok boolean"
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(src)
-    out = scratch_dir(spark, "t3_out")
-    q = (sk.stream_streaks(stream).writeStream.format("parquet").option("path", out)
-         .option("checkpointLocation", scratch_dir(spark, "t3_ckpt")).outputMode("append")
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.read.parquet(out)
+    stream = drop_bad_messages(_work(spark, _queue(spark, V(spark, sf, "messages"))))
+    return sk.stream_streaks(stream, *(scratch_dir(spark, n) for n in ("t3_out", "t3_state", "t3_ckpt")))
 
 
 @query("T4_stream_ack")
 def t4(spark, sf):
-    table, _, _ = _enrich_run(spark, sf, files_first=SPREAD_FILES // 2)
-    return table.read()
+    return _enrich_run(spark, sf, restart=True).read()
 
 
 @query("T5_dead_letters")
 def t5(spark, sf):
-    _, _, dead = _enrich_run(spark, sf)
-    return spark.read.parquet(dead).select("seq", "consumer", "ok", "body", "reason")
+    dead = se.dead_rows(_enrich_run(spark, sf), V(spark, sf, "messages"))
+    return dead.select("seq", "consumer", "ok", "body", "reason")
 
 
 def stream_oracles(o: dict[str, str]) -> dict[str, str]:
@@ -122,16 +127,17 @@ def stream_oracles(o: dict[str, str]) -> dict[str, str]:
     fields = ", ".join(ADDRESS_FIELDS)
     stored = W(f"""SELECT {fields}, created_at, updated_at FROM addresses
   WHERE cep IN (SELECT cep FROM kept)""", "responses", "messages", ctes=",\n".join([q.ADDRESSES, q.KEPT]))
-    bucket = ("floor((seq - (SELECT min(seq) FROM messages)) / "
-              f"(((SELECT max(seq) FROM messages) - (SELECT min(seq) FROM messages)) // {ARRIVAL_FILES} + 1))")
+    cap = se.intake_cap(INTAKE_RATE, INTAKE_SECONDS)
     return {
         "S7_stream_messages": o["F8_drop_bad_messages"],
         "S8_stream_uploaded_csv": W(f"""SELECT CAST(row_id AS VARCHAR) AS row_id, cep,
   coalesce(cep IN (SELECT code FROM okc), false) AS found FROM f1""", "raw_codes", "responses",
                                     ctes=",\n".join([q.F1, q.OKCODES])),
         "T1_stream_enrich": stored,
-        "T2_stream_rate_cap": W(f"SELECT CAST({bucket} AS BIGINT) AS batch_id, count(*) AS rows FROM messages GROUP BY 1",
-                                "messages"),
+        "T1_stream_limit": W(f"""SELECT seq, CAST(CASE WHEN row_number() OVER (ORDER BY seq) <= {STREAM_LIMIT} THEN 1 ELSE 2 END AS INTEGER) AS run
+  FROM kept""", "messages", ctes=q.KEPT),
+        "T2_stream_rate_cap": W(f"""SELECT CAST((rn - 1) // {cap} AS BIGINT) AS batch_id, count(*) AS rows, min(seq) AS first_seq, max(seq) AS last_seq
+  FROM (SELECT seq, row_number() OVER (ORDER BY seq) AS rn FROM messages) GROUP BY 1""", "messages"),
         "T3_stream_streaks": o["W5_pacing_schedule"],
         "T4_stream_ack": stored,
         "T5_dead_letters": W("""SELECT seq, consumer, ok, body, CASE WHEN json_valid(body) THEN 'not_an_object'

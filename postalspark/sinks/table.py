@@ -24,6 +24,7 @@ from dataclasses import dataclass, field
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from postalspark.operators.store import last_rows, merge_addresses
 from postalspark.schemas import ADDRESS, ADDRESS_DDL
@@ -243,7 +244,7 @@ class AddressTable:
         rows.write.parquet(f"{self.root}/{ATTACHED}/{name}")
         return name
 
-    def attached(self, kind: str, schema: str) -> DataFrame:
+    def attached(self, kind: str, schema: str | StructType) -> DataFrame:
         """All rows of a kind ("errors", "dead") that commits name."""
         rolled = max(self._rollups.numbers(), default=0)
         names = json.loads(self._rollups.text(rolled)).get(kind, []) if rolled else []

@@ -1,8 +1,7 @@
 """Streaming sources: queue messages (S7) and uploaded code files.
 
-Both are Structured Streaming file sources here (a Kafka topic plugs in the
-same way through ``readStream.format("kafka")``); intake per micro-batch is
-capped with ``maxFilesPerTrigger`` (T2).
+Structured Streaming file sources, and a Kafka topic through ``readStream.format("kafka")``; files per
+micro-batch are capped with ``maxFilesPerTrigger``, rows by the stored queue (``streaming.queue``, T2).
 """
 
 from __future__ import annotations
@@ -93,20 +92,3 @@ def write_arrivals(df: DataFrame, path: str, order: str, files: int, fmt: str =
     """
     _write_files(df.repartitionByRange(files, order).sortWithinPartitions(order), path, fmt)
     return path
-
-
-def write_in_order(df: DataFrame, path: str, order: str, files: int, fmt: str = "json") -> str:
-    """Lay a table out as ``files`` files of consecutive ``order`` ranges, oldest first.
-
-    Used to replay a table as an arrival sequence: the file source picks files in
-    modification order, so each range is written by its own job into one file (a replay
-    device for ordered consumers; real arrivals come from outside).
-    """
-    lo, hi = df.agg(F.min(order), F.max(order)).first()
-    if lo is None:
-        return path
-    width = (hi - lo) // files + 1
-    bucket = F.floor((F.col(order) - F.lit(lo)) / F.lit(width))
-    for i in range(files):
-        _write_files(df.where(bucket == i).coalesce(1), path, fmt)
-    return path

@@ -1,76 +1,56 @@
-"""Failure streaks and pacing as per-consumer streaming state.
+"""Failure streaks and pacing carried over micro-batches, per consumer.
 
-The state of a consumer (failures in the current run, start time of its next
-message) survives micro-batches in the state store. Each micro-batch's rows of
-one consumer are sorted by sequence first, since batch order inside a group is
-not guaranteed. Only this operator runs Python per group, and a group is one
-consumer's share of one capped micro-batch.
+A micro-batch is folded as in ``operators.pacing``: its rows are range partitioned by (consumer, seq), each range folds
+its own rows, and the state that comes in per consumer (failures in the current run, start of its next message) is one
+more element in front of the consumer's ranges. No group is gathered: a consumer's messages spread over as many
+tasks as they fill. State is a table of one row per consumer, written per batch beside the batch's output and read by the next one,
+so a replayed batch starts from the same state and replaces what it wrote.
 """
 
 from __future__ import annotations
 
-import math
-
-import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql import types as T
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from postalspark.operators.messages import base_delay
-from postalspark.schemas import FAILURE_PAUSE_FACTOR, MAX_BACKOFF_MULTIPLIER, MAX_CONSECUTIVE_ERRORS
-
-OUTPUT = T.StructType([
-    T.StructField("seq", T.LongType()),
-    T.StructField("consumer", T.LongType()),
-    T.StructField("ok", T.BooleanType()),
-    T.StructField("k", T.LongType()),
-    T.StructField("pause", T.DoubleType()),
-    T.StructField("start", T.DoubleType()),
-])
+from postalspark.operators.pacing import Pauses, carry, fold_ranges, settle
+from postalspark.session import remove_path
+from postalspark.sinks.commits import Folder
+from postalspark.streaming.enrich import Handler, run_available, write_batch
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_STATE = "consumer long, k long, clock double"
 
 
-def _processor(delay: float):
-    from pyspark.sql.streaming import StatefulProcessor
+def _states(spark: SparkSession, root: str) -> list[int]:
+    """Batches whose state is written whole."""
+    folder = Folder(spark, root)
+    if not folder.fs.exists(folder.path(root)):
+        return []
+    names = [f.getPath().getName() for f in folder.fs.listStatus(folder.path(root))]
+    ids = [int(n[6:]) for n in names if n.startswith("batch=") and n[6:].isdigit()]
+    return sorted(i for i in ids if folder.fs.exists(folder.path(f"{root}/batch={i}/_SUCCESS")))
 
-    class StreakProcessor(StatefulProcessor):
-        def init(self, handle) -> None:
-            self.state = handle.getValueState("consumer_state", "k long, clock double")
 
-        def handleInputRows(self, key, rows, timerValues):
-            frame = pd.concat(list(rows), ignore_index=True).sort_values("seq", kind="stable")
-            k, clock = (0, 0.0)
-            if self.state.exists():
-                k, clock = self.state.get()
-            ks, pauses, starts = [], [], []
-            for ok in frame["ok"].tolist():
-                if ok:
-                    k = 0
-                    pause = delay
-                else:
-                    k += 1
-                    mult = min(math.pow(2.0, k // MAX_CONSECUTIVE_ERRORS), MAX_BACKOFF_MULTIPLIER)
-                    pause = max(FAILURE_PAUSE_FACTOR, mult) * delay
-                ks.append(k)
-                pauses.append(pause)
-                starts.append(clock)
-                clock += pause
-            self.state.update((k, clock))
-            yield pd.DataFrame({"seq": frame["seq"].astype("int64"), "consumer": frame["consumer"].astype("int64"),
-                                "ok": frame["ok"].astype(bool), "k": pd.Series(ks, dtype="int64"),
-                                "pause": pd.Series(pauses, dtype="float64"),
-                                "start": pd.Series(starts, dtype="float64")})
+def streak_handler(spark: SparkSession, out: str, state_root: str, rate_per_second: float = 1.0) -> Handler:
+    """Per micro-batch: k, pause and start of each message to ``out/batch=N``, the consumers' next state to ``state_root``."""
+    pauses = Pauses(base_delay(rate_per_second))
 
-        def close(self) -> None:
-            pass
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        known = [i for i in _states(spark, state_root) if i < batch_id]
+        before = spark.read.schema(_STATE).parquet(f"{state_root}/batch={known[-1]}") if known else spark.createDataFrame([], _STATE)
+        folded = fold_ranges(batch.select("seq", "consumer", "ok"), pauses, "seq", "consumer", "ok")
+        came, went = carry(folded, pauses, "seq", "consumer", before)
+        write_batch(settle(folded, came, pauses, "consumer", "ok", few=False), out, batch_id)
+        silent = before.alias("b").join(went.alias("w"), F.col("b.consumer").eqNullSafe(F.col("w.consumer")), "left_anti")
+        write_batch(silent.unionByName(went), state_root, batch_id)
+        for old in known[:-1]:
+            remove_path(spark, f"{state_root}/batch={old}")
 
-    return StreakProcessor()
+    return handle
 
 
-def stream_streaks(kept: DataFrame, rate_per_second: float = 1.0) -> DataFrame:
-    """(seq, consumer, ok) stream -> k, pause and start per message (equals W5)."""
+def stream_streaks(kept: DataFrame, out: str, state_root: str, checkpoint: str, rate_per_second: float = 1.0) -> DataFrame:
+    """A (seq, consumer, ok) stream in sequence order -> k, pause and start per message (equals W5), until drained."""
     spark = kept.sparkSession
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    return (kept.select("seq", "consumer", "ok").groupBy("consumer")
-            .transformWithStateInPandas(statefulProcessor=_processor(base_delay(rate_per_second)),
-                                        outputStructType=OUTPUT, outputMode="Append", timeMode="None"))
+    run_available(kept, streak_handler(spark, out, state_root, rate_per_second), checkpoint)
+    return spark.read.parquet(out).select("seq", "consumer", "ok", "k", "pause", "start")

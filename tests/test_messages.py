@@ -1,10 +1,12 @@
 import math
 import random
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from postalspark.operators import messages as om
+from postalspark.operators.pacing import paced
 from postalspark.operators.scan import global_row_number, running_total
 
 
@@ -45,6 +47,43 @@ def test_pacing_matches_sequential_consumer(spark):
             assert math.isclose(got[s][0], start) and math.isclose(got[s][1], gap), (consumer, s)
 
 
+@pytest.mark.parametrize("batch,ranges", [(1, 3), (7, 9), (10_000, 5)])
+def test_the_fold_equals_the_walk_over_any_cut(spark, batch, ranges):
+    rnd = random.Random(batch)
+    rows = [(i, rnd.choice([1, 1, 1, 2, 3, None, 4 + i // 300]), rnd.choice([True, False, False, False, None] if i % 900 > 500 else [True, False])) for i in range(2400)]
+    df = spark.createDataFrame(rows, "seq long, consumer long, ok boolean")
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(size)
+    spark.conf.set(size, str(batch))
+    try:
+        got = {r.seq: (r.start, r.pause, r.k) for r in paced(df, 2.0, ranges=ranges).collect()}
+    finally:
+        spark.conf.set(size, before)
+    assert len(got) == len(rows)
+    for consumer in {r[1] for r in rows}:
+        mine = [r for r in rows if r[1] == consumer]
+        k = 0
+        for (s, _, ok), (start, gap) in zip(mine, simulate([bool(r[2]) for r in mine], 2.0), strict=True):
+            k = 0 if ok else k + 1
+            assert got[s] == (start, gap, k), (consumer, s)
+
+
+def test_pauses_of_a_run_add_up(spark):
+    from postalspark.operators.pacing import Pauses
+    import numpy as np
+    p = Pauses(1.0)
+    got = [r for r in spark.range(60).select("id", p.pause_of(F.col("id")).alias("one"), p.paused(F.col("id")).alias("all")).orderBy("id").collect()]
+    ones = p.pause(np.arange(60))
+    assert [r.one for r in got] == ones.tolist() and [r["all"] for r in got] == [float(ones[1:i + 1].sum()) for i in range(60)]
+
+
+def test_one_range_shuffle_and_one_checkpoint(spark):
+    df = spark.range(5000).select(F.col("id").alias("seq"), (F.col("id") % 7).alias("consumer"), (F.col("id") % 3 == 0).alias("ok"))
+    plan = om.pacing_schedule(df)._jdf.queryExecution().executedPlan().toString()
+    # rows are read from the checkpoint and joined with the broadcast states: no shuffle of rows is left
+    assert plan.count("ExistingRDD") >= 1 and "SortMergeJoin" not in plan and plan.count("rangepartitioning") == 0
+
+
 def test_streaks(spark):
     oks = [False, False, False, False, True, False, False, False, False, False, False]
     df = spark.createDataFrame([(i, 1, ok) for i, ok in enumerate(oks)], "seq long, consumer long, ok boolean")

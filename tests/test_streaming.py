@@ -4,58 +4,221 @@ from pyspark.sql import functions as F
 from postalspark import fixtures as fx
 from postalspark.operators import lookup as ol
 from postalspark.operators import messages as om
+from postalspark.operators.pacing import Pauses, fold_ranges
 from postalspark.session import scratch_dir
 from postalspark.streaming import enrich as se
+from postalspark.streaming import queue as sq
 from postalspark.streaming import sources as ss
 from postalspark.streaming import streaks as sk
 
 NOW = "2024-01-01 00:00:00"
 
 
-def test_stream_enrich_equals_batch_and_survives_restart(spark, sf_small):
-    m = fx.view(spark, sf_small, "messages")
-    responses = fx.view(spark, sf_small, "responses")
-    want = {r.cep: r.logradouro for r in ol.process_codes(om.drop_bad_messages(m), responses, NOW).collect()}
+def enriched(spark, root, responses, place, ckpt, cap=0, **more):
+    return se.stream_enrich(spark, sq.stream_queue(spark, root, cap), responses, place, ckpt, NOW, **more)
+
+
+def places(spark):
+    return scratch_dir(spark, "queue"), scratch_dir(spark, "table"), scratch_dir(spark, "ckpt")
+
 
-    src, root, errs, dead, ckpt = (scratch_dir(spark, n) for n in ("src", "table", "errs", "dead", "ckpt"))
+def outcome(spark, table, m):
+    return ({r.cep: r.logradouro for r in table.read().collect()}, sorted(r.cep for r in se.error_rows(table).collect()),
+            sorted(r.seq for r in se.dead_rows(table, m).collect()))
+
+
+def wanted(m, responses):
+    kept = om.drop_bad_messages(m)
+    return ({r.cep: r.logradouro for r in ol.process_codes(kept, responses, NOW).collect()}, sorted(r.seq for r in om.dead_letters(m).collect()))
+
+
+def test_stream_enrich_equals_batch_and_survives_restart(spark, sf_small):
+    m, responses = fx.view(spark, sf_small, "messages"), fx.view(spark, sf_small, "responses")
+    root, place, ckpt = places(spark)
     lo, hi = m.agg(F.min("seq"), F.max("seq")).first()
     cut = (lo + hi) // 2
-    ss.write_in_order(m.where(F.col("seq") <= cut), src, "seq", 2)
-    se.stream_enrich(spark, ss.stream_messages(spark, src, 1), responses, root, errs, dead, ckpt, NOW)
-    ss.write_in_order(m.where(F.col("seq") > cut), src, "seq", 2)
-    table = se.stream_enrich(spark, ss.stream_messages(spark, src, 1), responses, root, errs, dead, ckpt, NOW)
-    assert table.last_batch(ckpt) == 3
-    got = {r.cep: r.logradouro for r in table.read().collect()}
-    assert got == want
-    assert spark.read.parquet(dead).count() == om.dead_letters(m).count()
+    sq.append_messages(m.where(F.col("seq") <= cut), root)
+    enriched(spark, root, responses, place, ckpt, 300)
+    sq.append_messages(m.where(F.col("seq") > cut), root)
+    table = enriched(spark, root, responses, place, ckpt, 300)
+    stored, dead = wanted(m, responses)
+    got = outcome(spark, table, m)
+    assert got[0] == stored and got[2] == dead
+    assert set(got[1]) == {r.cep for r in ol.not_found_codes(om.drop_bad_messages(m), responses).collect()}
+    assert table.progress(ckpt).handled == om.drop_bad_messages(m).count()
     # a replayed micro-batch changes nothing
-    handler = se.enrich_handler(spark, responses, table, errs, dead, NOW, ckpt)
-    version = table.current_version()
-    handler(spark.read.schema(ss.MESSAGE_FILE).json(src).limit(5), 3)
+    version, last = table.current_version(), table.progress(ckpt).batch
+    se.enrich_handler(spark, se.answer_table(responses), table, NOW, ckpt)(m.limit(5), last)
     assert table.current_version() == version
 
 
-def test_stream_streaks_equal_batch(spark, sf_small):
-    kept = om.drop_bad_messages(fx.view(spark, sf_small, "messages")).select("seq", "consumer", "ok")
-    want = {r.seq: (r.k, r.pause, r.start) for r in om.pacing_schedule(kept).collect()}
-    src = scratch_dir(spark, "streak_src")
-    ss.write_in_order(kept, src, "seq", 3)
-    stream = spark.readStream.schema("seq long, consumer long, ok boolean").option("maxFilesPerTrigger", 1).json(src)
-    out = scratch_dir(spark, "streak_out")
-    q = (sk.stream_streaks(stream).writeStream.format("parquet").option("path", out)
-         .option("checkpointLocation", scratch_dir(spark, "streak_ckpt")).trigger(availableNow=True).start())
-    q.awaitTermination()
-    got = {r.seq: (r.k, r.pause, r.start) for r in spark.read.parquet(out).collect()}
-    assert got == want
-
-
-def test_rate_cap_one_file_per_batch(spark, sf_small):
-    src = scratch_dir(spark, "cap_src")
+def test_error_rows_equal_the_batch_ones(spark, sf_small):
+    m, responses = fx.view(spark, sf_small, "messages"), fx.view(spark, sf_small, "responses")
+    root, place, ckpt = places(spark)
+    sq.append_messages(m, root)
+    got = se.error_rows(enriched(spark, root, responses, place, ckpt))
+    want = ol.not_found_codes(om.drop_bad_messages(m), responses)
+    cols = ["cep", "error_type", "error_message", "context"]
+    assert sorted(map(str, got.select(*cols).collect())) == sorted(map(str, want.select(*cols).collect()))
+    assert {r.timestamp for r in got.collect()} <= {"2024-01-01T00:00:00"}
+
+
+@pytest.mark.parametrize("limit", [1, 137, 400])
+def test_limit_inside_a_batch_stops_exactly_and_the_next_run_goes_on(spark, sf_small, limit):
+    m, responses = fx.view(spark, sf_small, "messages"), fx.view(spark, sf_small, "responses")
+    order = [r.seq for r in om.drop_bad_messages(m).orderBy("seq").collect()]
+    root, place, ckpt = places(spark)
+    sq.append_messages(m, root)
+    handled = []
+
+    def note(kept, i):
+        handled.append([r.seq for r in kept.collect()])
+
+    for run in (1, 2):
+        table = enriched(spark, root, responses, place, ckpt, 250, limit=limit, handler=note)
+        assert table.progress(ckpt).handled == run * limit
+        assert sorted(s for batch in handled for s in batch) == order[:run * limit]
+        # dead letters up to the stop point went, the later ones wait
+        stop = order[run * limit - 1]
+        done = [r.seq for r in se.dead_rows(table, m).collect()]
+        first = [r.seq for r in om.dead_letters(m).where(F.col("seq") < stop).collect()]
+        assert set(first) <= set(done) and len(done) == len(set(done))
+    table = enriched(spark, root, responses, place, ckpt, 250, handler=note)
+    assert sorted(s for batch in handled for s in batch) == order
+    stored, dead = wanted(m, responses)
+    got = outcome(spark, table, m)
+    assert got[0] == stored and got[2] == dead
+
+
+def test_limit_of_nothing_or_more_than_there_is(spark, sf_small):
+    m, responses = fx.view(spark, sf_small, "messages"), fx.view(spark, sf_small, "responses")
+    n = om.drop_bad_messages(m).count()
+    for limit in (0, None, n, n + 5):
+        root, place, ckpt = places(spark)
+        sq.append_messages(m, root)
+        assert enriched(spark, root, responses, place, ckpt, 400, limit=limit).progress(ckpt).handled == n
+
+
+@pytest.mark.parametrize("lost_at", ["first write", "second write", "merge", "commit", "after commit"])
+def test_a_crash_shows_all_of_a_batch_or_none(spark, sf_small, monkeypatch, lost_at):
+    from postalspark.sinks.table import AddressTable
+    m, responses = fx.view(spark, sf_small, "messages"), fx.view(spark, sf_small, "responses")
+    root, place, ckpt = places(spark)
+    sq.append_messages(m, root)
+    name = {"first write": "attach", "second write": "attach", "merge": "_merge", "commit": "_publish", "after commit": "_publish"}[lost_at]
+    nth = {"first write": 3, "second write": 4}.get(lost_at, 2)      # in the second micro-batch
+    real, calls = getattr(AddressTable, name), []
+
+    def failing(self, *a, **k):
+        calls.append(1)
+        if len(calls) == nth:
+            if lost_at == "after commit":
+                real(self, *a, **k)
+            raise OSError("lost")
+        return real(self, *a, **k)
+
+    monkeypatch.setattr(AddressTable, name, failing)
+    with pytest.raises(Exception, match="lost"):
+        enriched(spark, root, responses, place, ckpt, 400)
+    monkeypatch.undo()
+    # what a reader sees now: whole batches of the table, the errors and the dead letters
+    table = AddressTable(spark, place)
+    seen = table.progress(ckpt).batch
+    assert seen == (1 if lost_at == "after commit" else 0)
+    part = m.orderBy("seq").limit(400 * (seen + 1))
+    stored, dead = wanted(part, responses)
+    got = outcome(spark, table, m)
+    assert got[0] == stored and got[2] == dead
+    table = enriched(spark, root, responses, place, ckpt, 400)
+    stored, dead = wanted(m, responses)
+    got = outcome(spark, table, m)
+    assert got[0] == stored and got[2] == dead
+
+
+def test_rows_are_admitted_by_position_whatever_files_hold(spark, sf_small):
+    m = fx.view(spark, sf_small, "messages")
+    n = m.count()
+    root, _, ckpt = places(spark)
+    out = scratch_dir(spark, "cap_out")
+    lo, hi = m.agg(F.min("seq"), F.max("seq")).first()
+    first = m.where(F.col("seq") <= lo + (hi - lo) // 3)
+    sq.append_messages(first, root)
+    a = first.count()
+    assert [r.rows for r in se.batch_sizes(spark, sq.stream_queue(spark, root, 97), out, ckpt).orderBy("batch_id").collect()] == [97] * (a // 97) + [a % 97] * (a % 97 > 0)
+    before = -(-a // 97)
+    for part in (m.where(F.col("seq").between(lo + (hi - lo) // 3 + 1, lo + (hi - lo) // 2)), m.where(F.col("seq") > lo + (hi - lo) // 2)):
+        assert sq.append_messages(part, root) <= n
+    # a restarted consumer goes on where it was, over the ends of files and arrivals
+    got = se.batch_sizes(spark, sq.stream_queue(spark, root, 97), out, ckpt).orderBy("batch_id").collect()
+    assert [r.rows for r in got[before:]] == [97] * ((n - a) // 97) + [(n - a) % 97] * ((n - a) % 97 > 0)
+    assert all(x.last_seq < y.first_seq for x, y in zip(got, got[1:], strict=False)) and sum(r.rows for r in got) == n
+    rows = spark.read.format("parquet").load(f"{root}/data/*").count()
+    assert rows == n
+
+
+def test_an_empty_queue_and_an_empty_arrival(spark, sf_small):
+    m = fx.view(spark, sf_small, "messages")
+    root, place, ckpt = places(spark)
+    responses = fx.view(spark, sf_small, "responses")
+    assert enriched(spark, root, responses, place, ckpt).read().count() == 0
+    assert sq.append_messages(m.limit(0), root) == 0
+    assert enriched(spark, root, responses, place, ckpt).read().count() == 0
+
+
+def test_two_arrivals_at_once_keep_all_rows(spark, monkeypatch):
+    rows = lambda a, b: spark.range(a, b).select(F.col("id").alias("seq"), F.lit(None).cast("timestamp_ntz").alias("ts"), F.lit(1).cast("long").alias("consumer"),
+                                                 F.lit(True).alias("ok"), F.lit("{}").alias("body"))
+    root, put, raced = scratch_dir(spark, "queue"), sq.Folder.put, []
+
+    def late(self, number, text):
+        if not raced:
+            raced.append(1)
+            sq.append_messages(rows(0, 30), root)
+        return put(self, number, text)
+
+    monkeypatch.setattr(sq.Folder, "put", late)
+    assert sq.append_messages(rows(30, 50), root) == 50
+    monkeypatch.undo()
+    got = se.batch_sizes(spark, sq.stream_queue(spark, root, 20), scratch_dir(spark, "o"), scratch_dir(spark, "c")).orderBy("batch_id").collect()
+    assert [(r.rows, r.first_seq, r.last_seq) for r in got] == [(20, 0, 19), (20, 20, 39), (10, 40, 49)]
+
+
+def streaked(spark, root, out, state, ckpt, cap):
+    stream = om.drop_bad_messages(sq.stream_queue(spark, root, cap))
+    return {r.seq: (r.k, r.pause, r.start) for r in sk.stream_streaks(stream, out, state, ckpt).collect()}
+
+
+def test_stream_streaks_equal_batch_over_batches_restarts_and_replays(spark, sf_small):
     m = fx.view(spark, sf_small, "messages")
-    ss.write_in_order(m, src, "seq", 3)
-    sizes = se.batch_sizes(spark, ss.stream_messages(spark, src, 1), scratch_dir(spark, "cap_out"),
-                           scratch_dir(spark, "cap_ckpt")).collect()
-    assert len(sizes) == 3 and sum(r.rows for r in sizes) == m.count()
+    kept = om.drop_bad_messages(m).select("seq", "consumer", "ok")
+    want = {r.seq: (r.k, r.pause, r.start) for r in om.pacing_schedule(kept).collect()}
+    root, state, ckpt = places(spark)
+    out = scratch_dir(spark, "streaks")
+    lo, hi = m.agg(F.min("seq"), F.max("seq")).first()
+    sq.append_messages(m.where(F.col("seq") <= (lo + hi) // 2), root)
+    streaked(spark, root, out, state, ckpt, 180)
+    sq.append_messages(m.where(F.col("seq") > (lo + hi) // 2), root)
+    assert streaked(spark, root, out, state, ckpt, 180) == want
+    last = max(sk._states(spark, state))
+    batch = spark.read.parquet(f"{out}/batch={last}").select("seq", "consumer", "ok")
+    sk.streak_handler(spark, out, state)(batch, last)       # the last batch once more
+    assert {r.seq: (r.k, r.pause, r.start) for r in spark.read.parquet(out).collect()} == want
+    assert len(sk._states(spark, state)) <= 2
+
+
+def test_streaks_of_one_hot_consumer_are_spread_over_tasks(spark):
+    body = F.concat(F.lit('{"cep":"'), F.lpad(F.col("id").cast("string"), 8, "0"), F.lit('"}'))
+    consumer = F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") % 40).cast("long")
+    m = spark.range(12_000).select(F.col("id").alias("seq"), F.lit(None).cast("timestamp_ntz").alias("ts"), consumer.alias("consumer"),
+                                   (F.xxhash64("id") % 10 < 3).alias("ok"), body.alias("body"))
+    root, state, ckpt = places(spark)
+    sq.append_messages(m, root)
+    got = streaked(spark, root, scratch_dir(spark, "streaks"), state, ckpt, 5_000)
+    kept = om.drop_bad_messages(m).select("seq", "consumer", "ok")
+    assert got == {r.seq: (r.k, r.pause, r.start) for r in om.pacing_schedule(kept).collect()}
+    folded = fold_ranges(kept, Pauses(1.0), "seq", "consumer", "ok", ranges=8)
+    sizes = folded.groupBy("_b").agg(F.count("*").alias("n"), F.count_if(F.col("consumer") == 1).alias("hot")).collect()
+    assert len(sizes) == 8 and max(r.n for r in sizes) < 3_000 and sum(r.hot > 0 for r in sizes) >= 3
 
 
 def test_published_lines_stream_back(spark, sf_small):
@@ -70,33 +233,6 @@ def test_published_lines_stream_back(spark, sf_small):
     assert got == sorted(r.cep for r in valid.collect())
 
 
-def test_a_batch_that_fails_between_its_writes_is_replayed_whole(spark, sf_small, monkeypatch):
-    m, responses = fx.view(spark, sf_small, "messages"), fx.view(spark, sf_small, "responses")
-    src, root, errs, dead, ckpt = (scratch_dir(spark, n) for n in ("src", "table", "errs", "dead", "ckpt"))
-    ss.write_arrivals(m, src, "seq", 4)
-    write, calls = se.append_errors, []
-
-    def failing(*a, **k):
-        calls.append(1)
-        if len(calls) == 2:
-            raise OSError("lost")
-        return write(*a, **k)
-
-    monkeypatch.setattr(se, "append_errors", failing)
-    seen = []
-    run = lambda: se.stream_enrich(spark, ss.stream_messages(spark, src, 2), responses, root, errs, dead, ckpt, NOW,
-                                   handler=lambda kept, i: seen.append(i))
-    try:
-        run()
-    except Exception as e:
-        assert "lost" in str(e)
-    table = run()
-    want = {r.cep for r in ol.process_codes(om.drop_bad_messages(m), responses, NOW).collect()}
-    assert {r.cep for r in table.read().collect()} == want
-    assert spark.read.parquet(dead).count() == om.dead_letters(m).count()
-    assert seen == [0, 1, 1]
-
-
 def test_intake_cap():
     assert [se.intake_cap(2.0, 60), se.intake_cap(0.5, 1), se.intake_cap(5, 0.5)] == [120, 1, 2]
 
