@@ -242,13 +242,18 @@ reached AS (SELECT node, min(depth) AS depth FROM reach GROUP BY node)"""
 
 GRAPH_PAGES = """gpages AS (SELECT p.page_id, r.depth, p.html FROM code_pages p JOIN reached r ON 's' || CAST(p.page_id AS VARCHAR) = r.node)"""
 
-PROGRESS = f"""g_first AS (SELECT cep, min({{'d': g.depth, 'p': g.page_id}}) AS f FROM g_codes c JOIN gpages g USING (page_id) GROUP BY cep),
+def progress(kept: str, most: int) -> str:
+    """Pages up to the one that reaches ``most`` codes, as the CTE ``kept``."""
+    return f"""g_first AS (SELECT cep, min({{'d': g.depth, 'p': g.page_id}}) AS f FROM g_codes c JOIN gpages g USING (page_id) GROUP BY cep),
 g_new AS (SELECT f.d AS depth, f.p AS page_id, count(*) AS new_codes FROM g_first GROUP BY f.d, f.p),
 g_pp AS (SELECT g.page_id, g.depth, CAST(coalesce(n.new_codes, 0) AS BIGINT) AS new_codes FROM gpages g
    LEFT JOIN g_new n ON n.page_id = g.page_id AND n.depth = g.depth),
 g_tot AS (SELECT page_id, depth, new_codes, CAST(sum(new_codes) OVER (ORDER BY depth, page_id
    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS running_total FROM g_pp),
-g_kept AS (SELECT * FROM g_tot WHERE running_total - new_codes < {MAX_CODES})"""
+{kept} AS (SELECT * FROM g_tot WHERE running_total - new_codes < {most})"""
+
+
+PROGRESS = progress("g_kept", MAX_CODES)
 
 ENRICH = f"""c AS (SELECT DISTINCT cep FROM f1 WHERE cep IS NOT NULL),
 j1 AS (SELECT c.cep, coalesce(p.status, 'absent') = 'ok' AS found, coalesce(p.status, 'absent') AS status,

@@ -17,6 +17,7 @@ from postalspark.operators import lookup as ol
 from postalspark.operators import messages as om
 from postalspark.operators.joins import broadcast_if_small
 from postalspark.plans.catalog import NOW, V, addresses, node_pages, query
+from postalspark.schemas import DEFAULT_MAX_CODES
 from postalspark.session import scratch_dir
 from postalspark.sinks import files as sf_
 from postalspark.sinks.table import AddressTable
@@ -132,12 +133,19 @@ def p0(spark, sf):
 
 @query("P1_full_workflow")
 def p1(spark, sf):
-    # every code of the code file (the collecting form is G2 followed by the same steps)
+    # every code of the code file
     path = sf_.write_csv(V(spark, sf, "raw_codes"), "p1_codes")
     cfg = WorkflowConfig(collect=False, csv_path=path)
     return full_workflow(spark, V(spark, sf, "links"), node_pages(spark, sf), V(spark, sf, "responses"), cfg)
 
 
+@query("P1_collecting_workflow")
+def p1_collecting(spark, sf):
+    """The form that collects its codes from the crawled pages first (G2, up to the default target)."""
+    cfg = WorkflowConfig(collect=True, max_codes=DEFAULT_MAX_CODES)
+    return full_workflow(spark, V(spark, sf, "links"), node_pages(spark, sf), V(spark, sf, "responses"), cfg)
+
+
 @query("P2_batch_job")
 def p2(spark, sf):
     return batch_job(spark, V(spark, sf, "raw_codes"), V(spark, sf, "responses"), scratch_dir(spark, "p2_parquet"))
@@ -159,6 +167,13 @@ def workflow_oracles(o: dict[str, str]) -> dict[str, str]:
   count(*) FILTER (WHERE NOT found) AS failed, count(DISTINCT cep) FILTER (WHERE found) AS total_stored
   FROM (SELECT cep, coalesce(cep IN (SELECT code FROM okc), false) AS found FROM f1)""",
                               "raw_codes", "responses", ctes=",\n".join([q.F1, q.OKCODES])),
+        "P1_collecting_workflow": W(f"""SELECT count(*) AS attempted, count(*) FILTER (WHERE found) AS succeeded,
+  count(*) FILTER (WHERE NOT found) AS failed, count(DISTINCT cep) FILTER (WHERE found) AS total_stored
+  FROM (SELECT replace(cep, '-', '') AS cep, coalesce(replace(cep, '-', '') IN (SELECT code FROM okc), false) AS found
+   FROM (SELECT cep FROM (SELECT DISTINCT cep FROM g_codes WHERE page_id IN (SELECT page_id FROM g_all)) ORDER BY cep LIMIT {DEFAULT_MAX_CODES}))""",
+                                    "links", "code_pages", "responses", recursive=True,
+                                    ctes=",\n".join([q.REACH, q.GRAPH_PAGES, q.page_code_ctes("gpages", "g"),
+                                                     q.progress("g_all", DEFAULT_MAX_CODES), q.OKCODES])),
         "P2_batch_job": o["A5_batch_stats"],
         "P3_export_only": W("SELECT count(*) AS json_rows, count(*) AS xml_rows FROM addresses", "responses",
                             ctes=q.ADDRESSES),

@@ -305,7 +305,34 @@ def drop_tables(spark: SparkSession, name: str) -> None:
 
 def load_table(rows: DataFrame, name: str) -> None:
     """Insert rows into a declared table; the uf/localidade/created_at indexes become
-    partition pruning on uf and min/max statistics from sorting inside files."""
+    partition pruning on uf and min/max statistics from sorting inside files (files of a bucketed table are sorted by code)."""
     cols = [f.name for f in rows.sparkSession.table(name).schema.fields]
     (rows.select(*cols).repartitionByRange("uf", "localidade", "cep").sortWithinPartitions("uf", "localidade", "created_at")
      .write.insertInto(name))
+
+
+def merge_into_declared(spark: SparkSession, name: str, source: DataFrame, now: str) -> str:
+    """Merge ``source`` (as `AddressTable.upsert` takes it) into a declared, bucketed table; the place of the old files.
+
+    The target is read by its stored buckets, so only the source moves: it is dealt by the same hash into as
+    many parts. The merged rows go into a new table of the same declaration, bucket by bucket as they lie, and
+    the names are swapped (two catalog steps; a swap that was cut off between them is finished first). Readers that began on the
+    old files keep them: their place is returned, for the caller to remove.
+    """
+    old, new = f"{name}__old", f"{name}__new"
+    if not spark.catalog.tableExists(name) and spark.catalog.tableExists(new):
+        spark.sql(f"ALTER TABLE {new} RENAME TO {name}")
+    for left in (old, new):
+        drop_tables(spark, left)
+    info = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect() if r.col_name}
+    buckets, place = int(info.get("Num Buckets") or 0), info["Location"]
+    if not buckets:
+        raise ValueError(f"{name} is not declared with buckets")
+    latest = last_rows(source).repartition(buckets, "cep")
+    merged = merge_addresses(spark.table(name), latest, now)
+    declare_tables(spark, new, f"{place.rsplit('--', 1)[0]}--{uuid.uuid4().hex[:12]}", buckets)
+    merged.select(*spark.table(new).columns).write.insertInto(new)
+    spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
+    spark.sql(f"ALTER TABLE {new} RENAME TO {name}")
+    drop_tables(spark, old)
+    return place

@@ -9,7 +9,7 @@ from postalspark.operators import store as st
 from postalspark.schemas import ADDRESS
 from postalspark.session import scratch_dir
 from postalspark.sinks.commits import CommitConflict
-from postalspark.sinks.table import AddressTable, declare_tables, drop_tables, load_table
+from postalspark.sinks.table import AddressTable, declare_tables, drop_tables, load_table, merge_into_declared
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -267,3 +267,41 @@ def test_reads_of_the_stored_table_reach_the_scan(spark, sf_small):
     assert "PartitionFilters: [isnotnull(uf" in plan("F5_addresses_by_uf")
     assert "EqualTo(localidade" in plan("F6_addresses_by_city") and "EqualTo(cep" in plan("F4_address_by_code")
     assert "SinglePartition" not in plan("S5_scan_addresses")
+
+
+def test_merge_into_the_declared_bucketed_table(spark):
+    name = "ceps_merge_test"
+    drop_tables(spark, name)
+    declare_tables(spark, name, scratch_dir(spark, "ddl_m"), buckets=4)
+    load_table(addr(spark, [(f"{i:08d}", "A") for i in range(100)]), name)
+    # the target's side of the join is read by its buckets: the only exchanges are the source's
+    merged = st.merge_addresses(spark.table(name), st.last_rows(street(spark, ("00000007", "B"))).repartition(4, "cep"), "2024-01-02 00:00:00")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = merged.select("cep")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    target = next(part for part in plan.split("+- ") if "FileScan" in part)
+    assert "Bucketed: true" in target
+    join = plan[plan.index("Join"):]
+    lines = [x for x in join.splitlines() if "FileScan" in x or "Exchange" in x]
+    scan = next(x for x in lines if "FileScan" in x)
+    above = [x for x in lines if "Exchange" in x and x.index("Exchange") < scan.index("FileScan") and lines.index(x) < lines.index(scan)]
+    assert not above, plan
+    places = {merge_into_declared(spark, name, street(spark, ("00000007", "B"), ("99999999", "new")), "2024-01-02 00:00:00"),
+              merge_into_declared(spark, name, street(spark, ("00000007", "C"), ("00000007", "B")), "2024-01-03 00:00:00")}
+    got = {r.cep: (r.logradouro, r.created_at, r.updated_at) for r in spark.table(name).collect()}
+    assert len(places) == 2 and len(got) == 101
+    assert got["00000007"] == ("C", T0, dt.datetime(2024, 1, 3)) and got["00000001"] == ("A", T0, T0)
+    assert got["99999999"] == ("new", dt.datetime(2024, 1, 2), dt.datetime(2024, 1, 2))
+    info = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect()}
+    assert info["Num Buckets"] == "4"
+    # a swap that was cut off after its first step
+    spark.sql(f"ALTER TABLE {name} RENAME TO {name}__new")
+    merge_into_declared(spark, name, street(spark, ("00000001", "D")), "2024-01-04 00:00:00")
+    assert spark.table(name).count() == 101 and spark.table(name).where("cep = '00000001'").first().logradouro == "D"
+    drop_tables(spark, name)
+    declare_tables(spark, name, scratch_dir(spark, "ddl_n"))
+    with pytest.raises(ValueError, match="buckets"):
+        merge_into_declared(spark, name, street(spark, ("1", "A")), "2024-01-02 00:00:00")
+    drop_tables(spark, name)
