@@ -19,6 +19,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh(name: str, taken: list[str]) -> str:
+    """``name``, with underscores in front until no column has it (names are compared as Spark does, without case)."""
+    have = {c.lower() for c in taken}
+    while name.lower() in have:
+        name = "_" + name
+    return name
+
+
 def stash(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` below the shared checkpoint folder and read it back: lineage ends at files every executor sees."""
     path = scratch_dir(df.sparkSession, name)

@@ -14,7 +14,9 @@ every pair meets in exactly the shard where one of them is at home.
 The top of the tree is fitted on a bounded sample (`SAMPLE` fingerprints) and routes every fingerprint to its
 home shard and to the shards its ball overlaps; each shard goes on with a tree of its own down to small leaves, which
 are compared bit by bit. That tree may use any bit again, also one of a block on the shard's path, so costs of the two trees
-don't add up: in it a visitor has the whole bound again. A shard gives a spanning forest of its links, never all pairs; forests are joined
+don't add up: in it a visitor has the whole bound again. Where the tree leaves a shard large (more fingerprints than the
+sample can part, or a ball that no block parts), its rows are dealt to several tasks by the bits that two linked
+fingerprints must share: of bound + 3 blocks some three are alike, so linked ones meet under one of the masks at least, and are compared there. A shard gives a spanning forest of its links, never all pairs; forests are joined
 into components by large-star/small-star rounds whose state is written below the shared checkpoint folder.
 
 Defined cases: a text without words (null too) has fingerprint zero, linked like any other; rows with one
@@ -24,6 +26,7 @@ empty table gives none; extra columns are ignored.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,11 +35,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, stash
+from .common import arrow_map, fresh, stash
 
 SHINGLE_WORDS, SEED, MAX_BITS = 3, 42, 2
 #: fingerprints the top of the tree is fitted on; fingerprints a shard should have at home; size of a leaf
 SAMPLE, SHARD_ROWS, LEAF = 1 << 15, 4_096, 192
+#: shards beyond this many times `SHARD_ROWS` are dealt again; leaves beyond `DENSE` are compared by agreeing blocks
+LARGE, DENSE = 4, 2_048
 BLOCK_BITS = (5, 3, 1)
 
 
@@ -153,6 +158,53 @@ def _components(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return label
 
 
+def block_masks(bound: int) -> list[np.uint64]:
+    """Masks of which any two fingerprints within ``bound`` bits agree on at least one: of bound + 3 blocks of bits some 3 are alike."""
+    blocks = np.array_split(np.arange(64), bound + 3)
+    return [np.uint64(sum(1 << int(b) for part in three for b in part)) for three in itertools.combinations(blocks, 3)]
+
+
+def _alike_pairs(x: np.ndarray, mask: np.uint64, bound: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs within ``bound`` bits among fingerprints that agree under ``mask``: neighbours 1, 2, ... places on in sorted order."""
+    key = x & mask
+    order = np.argsort(key, kind="stable")
+    key, at = key[order], np.arange(len(x) - 1)
+    for step in itertools.count(1):
+        at = at[at + step < len(x)]
+        at = at[key[at] == key[at + step]]
+        if not len(at):
+            return
+        near = at[np.bitwise_count(x[order[at]] ^ x[order[at + step]]) <= bound]
+        if len(near):
+            yield order[near], order[near + step]
+
+
+def _leaf_pairs(x: np.ndarray, own: np.ndarray, idx: np.ndarray, bound: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Linked pairs of a leaf with an end in ``own``; large leaves, which no block of bits parts, by agreeing blocks."""
+    if len(own) * len(idx) > DENSE ** 2:
+        for mask in block_masks(bound):
+            for p, q in _alike_pairs(x[idx], mask, bound):
+                yield idx[p], idx[q]
+        return
+    for i in range(0, len(own), 256):
+        row = own[i: i + 256]
+        for j in range(0, len(idx), 16_384):
+            col = idx[j: j + 16_384]
+            p, q = np.nonzero(np.bitwise_count(x[row][:, None] ^ x[col][None, :]) <= bound)
+            p, q = row[p], col[q]
+            real = p != q
+            yield p[real], q[real]
+
+
+def alike(x: np.ndarray, mask: np.uint64, bound: int = MAX_BITS) -> tuple[np.ndarray, np.ndarray]:
+    """Spanning forest of the links among fingerprints that agree under ``mask``."""
+    label = np.arange(len(x))
+    for p, q in _alike_pairs(x, mask, bound):
+        label = label[_components(len(x), label[p], label[q])] if len(p) else label
+    at = np.flatnonzero(label != np.arange(len(x)))
+    return x[label[at]], x[at]
+
+
 def search(x: np.ndarray, budget: np.ndarray, bound: int = MAX_BITS, leaf: int = LEAF) -> tuple[np.ndarray, np.ndarray]:
     """Spanning forest (pairs of fingerprints) of all links with at least one end at home (``budget`` negative; others visit)."""
     home = x[budget < 0]
@@ -160,21 +212,14 @@ def search(x: np.ndarray, budget: np.ndarray, bound: int = MAX_BITS, leaf: int =
     budget = np.where(budget < 0, -1, bound).astype(np.int8)  # what the top tree left over is spent on bits that this one may use again
     left, right, kept = [], [], 0
     for _, idx, rest in tree.route(x, budget):
-        own = idx[rest < 0]
-        for i in range(0, len(own), 256):
-            row = own[i: i + 256]
-            for j in range(0, len(idx), 16_384):
-                col = idx[j: j + 16_384]
-                p, q = np.nonzero(np.bitwise_count(x[row][:, None] ^ x[col][None, :]) <= bound)
-                p, q = row[p], col[q]
-                real = p != q
-                left.append(p[real])
-                right.append(q[real])
-                kept += len(left[-1])
-                if kept > 2_000_000:  # many links in a dense ball: a forest says as much
-                    label = _components(len(x), np.concatenate(left), np.concatenate(right))
-                    at = np.flatnonzero(label != np.arange(len(x)))
-                    left, right, kept = [label[at]], [at], 0
+        for p, q in _leaf_pairs(x, idx[rest < 0], idx, bound):
+            left.append(p)
+            right.append(q)
+            kept += len(p)
+            if kept > 2_000_000:  # many links in a dense ball: a forest says as much
+                label = _components(len(x), np.concatenate(left), np.concatenate(right))
+                at = np.flatnonzero(label != np.arange(len(x)))
+                left, right, kept = [label[at]], [at], 0
     if not left:
         return x[:0], x[:0]
     label = _components(len(x), np.concatenate(left), np.concatenate(right))
@@ -198,8 +243,24 @@ def forest(fps: DataFrame, bound: int = MAX_BITS, sample_rows: int = SAMPLE, sha
         u, v = search(shard["fp"].to_numpy(np.int64).view(np.uint64), shard["budget"].to_numpy(np.int8), bound)
         return pd.DataFrame({"u": u.view(np.int64), "v": v.view(np.int64)})
 
-    routed = fps.select("fp").mapInPandas(route, "shard int, fp long, budget int")
-    return routed.groupBy("shard").applyInPandas(links, "u long, v long")
+    masks = block_masks(bound)
+
+    def agreeing(part: pd.DataFrame) -> pd.DataFrame:
+        u, v = alike(part["fp"].to_numpy(np.int64).view(np.uint64), masks[int(part["block"].iloc[0])], bound)
+        return pd.DataFrame({"u": u.view(np.int64), "v": v.view(np.int64)})
+
+    routed = stash(fps.select("fp").mapInPandas(route, "shard int, fp long, budget int"), "routed")
+    # shards that the sample's tree left large (very many fingerprints, or a ball that no block parts): a row per shard
+    large = {r["shard"]: r["count"] for r in routed.groupBy("shard").count().where(F.col("count") > LARGE * shard_rows).collect()}
+    if not large:
+        return routed.groupBy("shard").applyInPandas(links, "u long, v long")
+    # their rows go, once per mask, to parts by the bits under the mask: linked ones meet in one part at least
+    parts = F.element_at(F.create_map(*[F.lit(n) for s, c in large.items() for n in (s, -(-c // shard_rows))]), F.col("shard"))
+    under = F.array(*[F.struct(F.lit(i).alias("block"), F.col("fp").bitwiseAND(F.lit(int(m.astype(np.int64)))).alias("key")) for i, m in enumerate(masks)])
+    dealt = routed.where(F.col("shard").isin(*large)).select("shard", "fp", parts.alias("parts"), F.explode(under).alias("u"))
+    dealt = dealt.select("shard", "fp", "u.block", F.pmod(F.xxhash64("u.key"), F.col("parts")).alias("part"))
+    return (routed.where(~F.col("shard").isin(*large)).groupBy("shard").applyInPandas(links, "u long, v long")
+            .union(dealt.groupBy("shard", "block", "part").applyInPandas(agreeing, "u long, v long")))
 
 
 def connected(edges: DataFrame) -> DataFrame:
@@ -241,7 +302,8 @@ def near_duplicates(docs: DataFrame, bound: int = MAX_BITS, words: int = SHINGLE
 
 def one_of_each(docs: DataFrame, bound: int = MAX_BITS, words: int = SHINGLE_WORDS) -> DataFrame:
     """``docs`` without all but one row of each component: the one with the smallest id (first read among equals)."""
-    d = docs.withColumn("__row", F.monotonically_increasing_id())
-    got = near_duplicates(d, bound, words, ("__row",))
-    first = got.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__row")).alias("m"))
-    return d.join(first.select(F.col("m.__row").alias("__row")), "__row", "left_semi").drop("__row")
+    row = fresh("row", docs.columns)
+    d = stash(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")    # numbered once, for the verdict and for what is kept
+    got = near_duplicates(d, bound, words, (row,))
+    first = got.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", row)).alias("m"))
+    return d.join(first.select(F.col(f"m.{row}").alias(row)), row, "left_semi").drop(row)

@@ -87,7 +87,7 @@ def test_shards_of_a_top_tree_lose_no_link_of_dense_balls():
 
 def test_one_of_each_keeps_the_smallest_id_and_all_columns(spark):
     rows = edge_rows()
-    d = docs_frame(spark, rows).drop("__row")
+    d = docs_frame(spark, rows)
     out = simhash.one_of_each(d)
     assert out.columns == d.columns
     fps, comp = components(rows, plain_simhash)
@@ -99,3 +99,54 @@ def test_one_of_each_keeps_the_smallest_id_and_all_columns(spark):
 
 def test_empty_table(spark):
     assert simhash.near_duplicates(docs_frame(spark, [])).count() == 0
+
+
+def ball(n, seed=7):
+    """Fingerprints three bits from one centre, and a few far ones."""
+    import itertools
+    rng = np.random.default_rng(seed)
+    centre = np.uint64(0x0F0F123456789ABC)
+    three = np.array(list(itertools.combinations(range(64), 3)))[rng.permutation(41664)[:n]]
+    flips = np.bitwise_or.reduce(np.uint64(1) << three.astype(np.uint64), axis=1)
+    return np.unique(np.concatenate([centre ^ flips, rng.integers(0, 2 ** 63, 50).astype(np.uint64)]))
+
+
+def roots_of(x, u, v):
+    place = {int(f): i for i, f in enumerate(x)}
+    return simhash._components(len(x), np.array([place[int(a)] for a in u], int), np.array([place[int(b)] for b in v], int))
+
+
+def test_linked_fingerprints_agree_under_a_mask():
+    rng = np.random.default_rng(1)
+    masks = simhash.block_masks(2)
+    assert len(masks) == 10
+    for _ in range(500):
+        a = np.uint64(rng.integers(0, 2 ** 63))
+        b = a
+        for bit in rng.integers(0, 64, 2):
+            b = b ^ (np.uint64(1) << np.uint64(bit))
+        assert any(a & m == b & m for m in masks)
+
+
+def test_a_dense_ball_in_one_shard_is_exact_and_quick():
+    import time
+    x = ball(4_000)
+    u, v = simhash.search(x, np.full(len(x), -1, np.int8))
+    p, q = np.nonzero(np.bitwise_count(x[:, None] ^ x[None, :]) <= 2)
+    assert (roots_of(x, u, v) == simhash._components(len(x), p, q)).all()
+    big = ball(30_000)
+    t = time.time()
+    simhash.search(big, np.full(len(big), -1, np.int8))
+    assert time.time() - t < 20
+
+
+def test_large_shards_are_dealt_to_several_tasks(spark):
+    x = ball(5_000)
+    df = spark.createDataFrame([(int(f),) for f in x.view(np.int64)], "fp long")
+    got = simhash.forest(df, sample_rows=64, shard_rows=200)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FlatMapGroupsInPandas") == 2
+    links = got.toPandas()
+    p, q = np.nonzero(np.bitwise_count(x[:, None] ^ x[None, :]) <= 2)
+    mine = roots_of(x, links.u.to_numpy(np.int64).view(np.uint64), links.v.to_numpy(np.int64).view(np.uint64))
+    assert (mine == simhash._components(len(x), p, q)).all()
