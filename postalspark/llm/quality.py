@@ -163,7 +163,6 @@ def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang", keep: tuple
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, stratum: str = "lang", **control) -> DataFrame:
-    """The rows of ``docs`` that pass, with all their columns."""
-    d = docs.withColumn("__row", F.monotonically_increasing_id())
-    verdicts = judge(d, labels, stratum, ("__row",), **control)
-    return d.join(verdicts.where("kept").select("__row"), "__row", "left_semi").drop("__row")
+    """The rows of ``docs`` that pass, with all their columns; rows travel with their verdict, so nothing is joined back."""
+    d = docs.select("doc_id", "text", F.col(stratum).alias("lang"), F.struct("*").alias("whole"))
+    return judge(d, labels, "lang", ("whole",), **control).where("kept").select("whole.*")

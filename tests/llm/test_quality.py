@@ -48,7 +48,7 @@ def test_binomial_tail_is_exact(spark, n, k, p):
 def test_empty_table_and_kept_columns(spark):
     marks = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert quality.judge(docs_frame(spark, []), marks).count() == 0
-    d = docs_frame(spark, edge_rows()).drop("__row")
+    d = docs_frame(spark, edge_rows())
     out = quality.keep_good(d, marks)
     assert out.columns == d.columns
     assert out.count() == sum(not quality_counts(t)[5] for _, t in edge_rows())
