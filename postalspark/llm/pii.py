@@ -24,7 +24,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -94,7 +94,12 @@ LOOKALIKES = {
     "․": ".", "。": ".", "‐": "-", "‑": "-", "‒": "-", "–": "-", "−": "-",
 }
 _NUMBER = {"zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6",
-           "seven": "7", "eight": "8", "nine": "9"}
+           "seven": "7", "eight": "8", "nine": "9",
+           "null": "0", "eins": "1", "zwei": "2", "drei": "3", "vier": "4", "fünf": "5", "sechs": "6", "sieben": "7", "acht": "8", "neun": "9",
+           "cero": "0", "uno": "1", "dos": "2", "tres": "3", "cuatro": "4", "cinco": "5", "seis": "6", "siete": "7", "ocho": "8", "nueve": "9",
+           "zéro": "0", "un": "1", "deux": "2", "trois": "3", "quatre": "4", "cinq": "5", "sept": "7", "huit": "8", "neuf": "9"}
+#: fixed values: "at" and "dot" in the four languages; an English "at" is also a common word, the others are not
+_AT_NAMES, _DOT_NAMES = "arroba|arobase|klammeraffe", "dot|punto|punkt|point"
 _NUMBER_WORD = "(?:" + "|".join(_NUMBER) + ")"
 #: fixed values: last labels that make bare "at" and "dot" an address: generic ones and all country codes but those that are common English words
 TOP_DOMAINS = frozenset("com org net edu gov mil int info biz io ai dev app co example test name pro mobi jobs travel museum aero coop asia cat tel eu uk "
@@ -107,23 +112,27 @@ TOP_DOMAINS = frozenset("com org net edu gov mil int info biz io ai dev app co e
                         "th tj tk tl tm tn tr tt tv tw tz ua ug us uy uz va vc ve vg vi vn vu wf ws ye yt za zm zw".split())
 _GAP = r"[ \t,.\-]{1,3}"
 _SPELLED = re.compile(rf"\b(?:plus{_GAP})?(?:{_NUMBER_WORD}{_GAP}){{2,}}{_NUMBER_WORD}\b", re.I)
-_WORD = re.compile(r"[a-z]+|[0-9+]", re.I)
+_WORD = re.compile(r"[a-zéü]+|[0-9+]", re.I)
 _LABEL = r"[A-Za-z0-9-]+"
-_AT = r"[ \t]*[\[({<][ \t]*(?:at|@)[ \t]*[\])}>][ \t]*"
-_DOT = r"[ \t]*[\[({<][ \t]*(?:dot|\.)[ \t]*[\])}>][ \t]*"
+_AT = rf"[ \t]*[\[({{<][ \t]*(?:at|{_AT_NAMES}|@)[ \t]*[\])}}>][ \t]*"
+_DOT = rf"[ \t]*[\[({{<][ \t]*(?:{_DOT_NAMES}|\.)[ \t]*[\])}}>][ \t]*"
+_SAID_DOT = rf"[ \t](?:{_DOT_NAMES})[ \t]"
+#: an address has at most 64 characters before the at (so 32 pieces) and 127 labels after it (RFC 5321, RFC 1035)
 _DISGUISED = re.compile(
-    rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{{1,64}}(?:(?:(?:{_DOT}|[ \t]dot[ \t])[A-Za-z0-9_%+-]{{1,64}}){{0,4}})"
-    rf"(?P<at>{_AT}|@|[ \t]at[ \t])"
-    rf"{_LABEL}(?:(?:{_DOT}|[ \t]dot[ \t]|\.){_LABEL}){{1,6}}", re.I)
-_SPOKEN_IP = re.compile(rf"(?<![0-9.])[0-9]{{1,3}}(?:(?:{_DOT}|[ \t]dot[ \t]|\.)[0-9]{{1,3}}){{3}}(?![0-9])", re.I)
+    rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{{1,64}}(?:(?:(?:{_DOT}|{_SAID_DOT})[A-Za-z0-9_%+-]{{1,64}}){{0,31}})"
+    rf"(?P<at>{_AT}|@|[ \t](?:at|{_AT_NAMES})[ \t])"
+    rf"{_LABEL}(?:(?:{_DOT}|{_SAID_DOT}|\.){_LABEL}){{1,126}}", re.I)
+_SPOKEN_IP = re.compile(rf"(?<![0-9.])[0-9]{{1,3}}(?:(?:{_DOT}|{_SAID_DOT}|\.)[0-9]{{1,3}}){{3}}(?![0-9])", re.I)
 #: parts of a phone or an address by numbers in which words and digits may be mixed
 _ONE = rf"(?:{_NUMBER_WORD}\b|[0-9]+)"
 _MIXED_PHONE = re.compile(rf"(?:\bplus[ \t,.\-]{{1,3}}|\+[ \t]?){_ONE}(?:[ \t,.()\-]{{1,3}}{_ONE}){{0,14}}(?![A-Za-z0-9])", re.I)
 _PART = rf"{_ONE}(?:[ \t\-]{{1,3}}{_ONE}){{0,2}}"
-_MIXED_IP = re.compile(rf"(?<![A-Za-z0-9.]){_PART}(?:(?:{_DOT}|[ \t]dot[ \t]|[ \t]?\.[ \t]?){_PART}){{3}}(?![A-Za-z0-9])", re.I)
+_MIXED_IP = re.compile(rf"(?<![A-Za-z0-9.]){_PART}(?:(?:{_DOT}|{_SAID_DOT}|[ \t]?\.[ \t]?){_PART}){{3}}(?![A-Za-z0-9])", re.I)
+#: a card number in words and digits mixed, piece by piece
+_MIXED_CARD = re.compile(rf"(?<![A-Za-z0-9+]){_ONE}(?:[ \t\-]{{1,3}}{_ONE}){{3,18}}(?![A-Za-z0-9])", re.I)
 _NAMED = re.compile(rf"\b(?:plus|{_NUMBER_WORD})\b", re.I)
 _BRACKET_AT, _BRACKET_DOT = re.compile(_AT, re.I), re.compile(_DOT, re.I)
-_BARE_AT, _BARE_DOT = re.compile(r"[ \t]at[ \t]", re.I), re.compile(r"[ \t]dot[ \t]", re.I)
+_BARE_DOT = re.compile(_SAID_DOT, re.I)
 
 
 class Mapped:
@@ -206,11 +215,20 @@ def _spelled(text: str) -> list[tuple[int, int, str]]:
     for m in _MIXED_PHONE.finditer(text):  # plus four nine 30 1234 5678
         if _NAMED.search(m[0]) and re.search("[0-9]", m[0]) and 10 <= len(digits(m[0])) - 1 <= 15:
             take(m.start(), m.end())
+    for m in _MIXED_CARD.finditer(text):  # four one one one 1111 1111 1111 1111
+        if _NAMED.search(m[0]) and re.search("[0-9]", m[0]) and 14 <= len(digits(m[0])) <= 19 and _luhn(digits(m[0])):
+            take(m.start(), m.end())
     for m in _SPELLED.finditer(text):
         take(m.start(), m.end())
     return edits
 
 
+def _overlaps(taken: list[tuple[int, int]], a: int, b: int) -> bool:
+    """Whether [a, b) meets one of ascending stretches that don't overlap: only the last that begins before b can."""
+    at = bisect_left(taken, (b, -1))
+    return at > 0 and taken[at - 1][1] > a
+
+
 def _looks_like_local(part: str) -> bool:
     """Whether bare words before "at" look like the local part of an address: a digit, or a dot, plus, underscore or percent sign inside."""
     return bool(re.search(r"[0-9]|[A-Za-z0-9][._+%][A-Za-z0-9]", part)) and bool(re.search("[A-Za-z]", part))
@@ -223,8 +241,8 @@ def _disguises(text: str) -> list[tuple[int, int, str]]:
         bare = m["at"].strip().lower() == "at"
         hidden_dot = _BRACKET_DOT.search(inside) or _BARE_DOT.search(text, m.end("at") - 1, end)
         local, host = text[begin: m.start("at")], text[m.end("at"): end]
-        if bare and not hidden_dot and not (_looks_like_local(local) and host[-1:].isalpha()):
-            continue  # "meet at example.com" is no address
+        if bare and not hidden_dot and not (_looks_like_local(local) and host.rsplit(".", 1)[-1].lower() in TOP_DOMAINS):
+            continue  # "meet at example.com" is no address, nor is "bob42 at noon.Then"
         if (bare and hidden_dot and not _BRACKET_DOT.search(inside) and re.split(r"[ \t.]", inside)[-1].lower() not in TOP_DOMAINS
                 and not _looks_like_local(local)):
             continue  # nor is "look at a dot on paper"
@@ -236,17 +254,19 @@ def _disguises(text: str) -> list[tuple[int, int, str]]:
             if a >= last:
                 edits.append((a, b, s))
                 last = b
-    taken = [(a, b) for a, b, _ in edits]
+    taken = [(a, b) for a, b, _ in edits]  # ascending, without overlaps
     for m in _SPOKEN_IP.finditer(text):  # 192 dot 168 dot 0 dot 1
         for pattern in (_BRACKET_DOT, _BARE_DOT):
-            edits += [(x.start(), x.end(), ".") for x in pattern.finditer(text, m.start(), m.end())
-                      if not any(a < x.end() and x.start() < b for a, b in taken)]
+            edits += [(x.start(), x.end(), ".") for x in pattern.finditer(text, m.start(), m.end()) if not _overlaps(taken, x.start(), x.end())]
     return sorted(edits)
 
 
 _NUMBER_HINT = re.compile(r"(?:" + "|".join(_NUMBER) + r")[ \t,.\-]{1,3}(?:" + "|".join(_NUMBER) + ")")
 
 
+_DISGUISE_HINT = re.compile(rf"(?:{_DOT_NAMES}|{_AT_NAMES})|[\[({{<][ \t]*(?:at|@|\.)[ \t]*[\])}}>]|[ \t]at[ \t]")
+
+
 def deobfuscate(text: str) -> Mapped:
     """The text after all three transducers, with the way back to the source."""
     m = Mapped(text)
@@ -256,7 +276,7 @@ def deobfuscate(text: str) -> Mapped:
     if len(low) != len(m.text) or _NUMBER_HINT.search(low) or _NAMED.search(low) and re.search(r"[0-9]|dot|\+|plus|\.", low):
         m.rewrite(_spelled(m.text))
         low = m.text.lower()
-    if "dot" in low or "at" in low and re.search(r"[\[({<][ \t]*(?:at|@)[ \t]*[\])}>]|[ \t]at[ \t]", low) or re.search(r"[\[({<][ \t]*\.[ \t]*[\])}>]", low):
+    if _DISGUISE_HINT.search(low):
         m.rewrite(_disguises(m.text))
     return m
 
@@ -275,7 +295,7 @@ def find_spans(text: str | None) -> tuple[list[Span], list[Span]]:
         cards = [(a, b) for k, a, b in found if k == "card"]
         # ten to fifteen number words in a row are dialled, unless they are a card number
         found += [("phone", m.start(), m.end()) for m in _LONG_RUN.finditer(plain.text)
-                  if not any(a < m.end() and m.start() < b for a, b in cards)
+                  if not _overlaps(cards, m.start(), m.end())
                   and _SPELLED.fullmatch(text[slice(*plain.source(m.start(), m.end())[:2])])]
         taken: dict[str, list[tuple[int, int]]] = {k: sorted((a, b) for x, a, b in base if x == k) for k in KINDS}
         for kind, a, b in found:

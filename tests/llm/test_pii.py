@@ -97,3 +97,26 @@ def test_query_and_mask_over_edge_rows(spark, sf_small):
         assert r.base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
         assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(sum(k == x for x, _, _ in base) for k in KINDS)
         assert set(joined.split(",")) <= set(r.spans.split(","))
+
+
+@pytest.mark.parametrize("text,kind", [
+    ("jane dot doe arroba mail punto es", "email"), ("j.doe42 (arobase) mail [point] fr", "email"), ("max klammeraffe firma punkt de", "email"),
+    ("null eins zwei drei vier fünf sechs sieben acht neun", "phone"), ("cero uno dos tres cuatro cinco seis siete ocho nueve", "phone"),
+    ("zéro un deux trois quatre cinq six sept huit neuf", "phone"), ("four one one one 1111 1111 1111", "card"),
+    (" dot ".join("abcdefgh") + " at " + " dot ".join(["mail"] * 9) + " dot org", "email")])
+def test_disguises_in_four_languages_and_long_ones(text, kind):
+    found = pii.find_spans("see " + text + ", please")[1]
+    assert [(k, a, b) for k, a, b in found] == [(kind, 4, 4 + len(text))]
+
+
+@pytest.mark.parametrize("text", ["Ask bob42 at noon.Then go", "file_a at foo.bar x", "the point at issue is a point in time", "un deux trois", "uno de los dos puntos"])
+def test_prose_is_left_alone(text):
+    assert pii.find_spans(text) == ([], [])
+
+
+@pytest.mark.parametrize("unit", ["192 dot 168 dot 0 dot 1 and a at b dot com, ", "four one one one 1111 1111 1111 x ", "a dot a dot a dot ", "one two three four five six seven eight nine zero, "])
+def test_a_megabyte_takes_linear_time(unit):
+    import time
+    t = time.time()
+    pii.find_spans(unit * (1_000_000 // len(unit)))
+    assert time.time() - t < 20
