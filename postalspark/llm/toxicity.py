@@ -24,6 +24,7 @@ each; an empty table gives none; extra columns are ignored. Whole texts are read
 from __future__ import annotations
 
 import math
+from bisect import bisect_left
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -121,7 +122,8 @@ class Reader:
             elif c == REPORT:
                 reported = True
             elif c in (INSULT, THREAT):
-                aimed = any(abs(p - q) <= TARGET_REACH for q in targets)
+                near = bisect_left(targets, p - TARGET_REACH)       # the first target not too far before
+                aimed = near < len(targets) and targets[near] <= p + TARGET_REACH
                 if c == THREAT and not aimed:
                     continue
                 total += w * (AIMED if aimed and c == INSULT else 1.0) * (NEGATED if p - negated_at <= NEGATION_REACH else 1.0) * (REPORTED if reported else 1.0)

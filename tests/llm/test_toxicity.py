@@ -45,13 +45,25 @@ def test_learned_words_and_stems_score_held_out_rows(spark):
     assert len(got) > 100 and sum(r.predicted == truth[r.doc_id] for r in got) / len(got) > 0.98
 
 
-def test_whole_table_held_out_accuracy(spark):
-    sf = "/root/testdata/sf0.01"
+def test_held_out_recall_precision_and_order(spark):
+    sf = "/root/testdata/sf0.1"
     got = queries.op5_toxicity(spark, sf)
+    assert got.count() == 10_000
     marks = spark.read.parquet(f"{sf}/labels.parquet")
-    r = got.join(marks, "doc_id").where("held_out").select(F.avg(F.expr("predicted = toxic").cast("int"))).first()[0]
-    assert r > 0.88
-    assert got.count() == 1000
+    rows = got.join(marks, "doc_id").where("held_out").select("score", "predicted", "toxic").collect()
+    hits = sum(r.predicted and r.toxic for r in rows)
+    assert hits >= 0.85 * sum(r.toxic for r in rows) and hits >= 0.9 * sum(r.predicted for r in rows)
+    yes, no = [r.score for r in rows if r.toxic], [r.score for r in rows if not r.toxic]
+    auc = sum((a > b) + (a == b) / 2 for a in yes for b in no) / len(yes) / len(no)
+    assert auc > 0.9
+
+
+def test_long_clauses_take_linear_time():
+    import time
+    reader, t = toxicity.Reader(toxicity.Grammar()), time.time()
+    reader.score("you " * 100_000 + "idiot " * 100_000)
+    reader.score("idiot you " * 100_000)
+    assert time.time() - t < 10
 
 
 def test_edges(spark):
