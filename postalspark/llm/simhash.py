@@ -40,7 +40,7 @@ from .common import arrow_map, fresh, stash
 SHINGLE_WORDS, SEED, MAX_BITS = 3, 42, 2
 #: fingerprints the top of the tree is fitted on; fingerprints a shard should have at home; size of a leaf
 SAMPLE, SHARD_ROWS, LEAF = 1 << 15, 4_096, 192
-#: shards beyond this many times `SHARD_ROWS` are dealt again; leaves beyond `DENSE` are compared by agreeing blocks
+#: shards with more than this many times `SHARD_ROWS` fingerprints at home are dealt again; leaves beyond `DENSE` are compared by agreeing blocks
 LARGE, DENSE = 4, 2_048
 BLOCK_BITS = (5, 3, 1)
 
@@ -249,9 +249,10 @@ def forest(fps: DataFrame, bound: int = MAX_BITS, sample_rows: int = SAMPLE, sha
         u, v = alike(part["fp"].to_numpy(np.int64).view(np.uint64), masks[int(part["block"].iloc[0])], bound)
         return pd.DataFrame({"u": u.view(np.int64), "v": v.view(np.int64)})
 
-    routed = stash(fps.select("fp").mapInPandas(route, "shard int, fp long, budget int"), "routed")
-    # shards that the sample's tree left large (very many fingerprints, or a ball that no block parts): a row per shard
-    large = {r["shard"]: r["count"] for r in routed.groupBy("shard").count().where(F.col("count") > LARGE * shard_rows).collect()}
+    routed = fps.select("fp").mapInPandas(route, "shard int, fp long, budget int")
+    # shards with very many fingerprints at home (more than the sample can part, or a ball that no block parts): a row per shard
+    homes = routed.where("budget < 0").groupBy("shard").count()
+    large = {r["shard"]: r["count"] for r in homes.where(F.col("count") > LARGE * shard_rows).collect()}
     if not large:
         return routed.groupBy("shard").applyInPandas(links, "u long, v long")
     # their rows go, once per mask, to parts by the bits under the mask: linked ones meet in one part at least
