@@ -8,12 +8,13 @@ The first part chooses each scarcer domain's words (a likelihood-ratio test); th
 and repeated words. So the words, their weights and the calibration come from different rows, and posteriors vary from document to document.
 
 Rates. With tokens c_i, posteriors p_id and rates r_i >= 0, domain d's expected share is S_d = sum_i c_i r_i p_id / sum_i c_i. Rates start at
-sum_d p_id t_d / s_d (target over present share, as the posterior weighs them) and take projected-gradient steps for the least squares of
-S - t in the metric of H = sum_i c_i p_i p_i^T / sum_i c_i: r_i = min(`MOST` r0_i, max(`LEAST` r0_i, r_i - p_i . H^-1 (S - t))). In that metric a step of
-length 1 never overshoots and, were there no projection, would end it. At most `STEPS` steps are taken; they end sooner when targets are met
-or when a step moves no rate (`CLOSE_ENOUGH`). Rates are nonnegative and stay near their start, because blurred posteriors make far ones meet the targets by
-artefacts (whole groups of clean documents dropped, short odd ones repeated); none exceeds `MOST` times the largest target / share. `reached` tells the shares that
-rates come to beside the wanted ones. A step sends a few sums to the driver and none of the documents.
+r0_i = sum_d p_id t_d / s_d (target over present share, as the posterior weighs them) and take accelerated projected-gradient steps for the
+least squares sum_d (S_d - t_d)^2 / t_d: from y, a little beyond the last two rates, r_i = min(`MOST` r0_i, max(`LEAST` r0_i,
+y_i - sum_d p_id (S_d(y) - t_d) / (t_d L))), with L the largest eigenvalue of sum_i c_i p_i p_i^T / sum_i c_i between the
+square roots of 1 / t_d (gradients are taken per token). At most `STEPS` steps are taken; they end sooner when targets are met or when a step moves
+no rate (`CLOSE_ENOUGH`). Rates are nonnegative and stay near their start, because blurred posteriors make far ones meet the targets by
+artefacts (whole groups of clean documents dropped, short odd ones repeated); none exceeds `MOST` times the largest target / share. `reached`
+tells the shares that rates come to beside the wanted ones. A step sends a few sums to the driver and none of the documents.
 
 Copies. ``copies`` is the rate rounded up or down by a hash of the id, so that its expectation is the rate.
 
@@ -128,6 +129,19 @@ def _solve(a: list[list[float]], b: list[float]) -> list[float]:
     return [m[i][n] / m[i][i] if m[i][i] else 0.0 for i in range(n)]
 
 
+def _largest_eigenvalue(a: list[list[float]], rounds: int = 200) -> float:
+    """Of a small positive semidefinite matrix with nonnegative elements, by power iteration."""
+    x = [1.0] * len(a)
+    top = 0.0
+    for _ in range(rounds):
+        y = [sum(v * z for v, z in zip(row, x, strict=True)) for row in a]
+        top = math.sqrt(sum(z * z for z in y))
+        if not top:
+            return 0.0
+        x = [z / top for z in y]
+    return top
+
+
 def _calibrate(rows: DataFrame, model: Model, newton: int = NEWTON) -> None:
     """Fit the logistic weights to ``rows`` (features and ``domain``) by Newton steps; the intercepts have no ridge."""
     rows = stash(rows, "calibration")
@@ -218,30 +232,38 @@ def fit_rates(soft: DataFrame, targets: dict[str, float] = TARGETS, steps: int =
         return F.lit(1.0)
     start = sum((p[j] * F.lit(goal[j] * tokens / have[f"s{j}"] if have[f"s{j}"] else 0.0) for j in range(1, k)),
                 p[0] * F.lit(goal[0] * tokens / have["s0"] if have["s0"] else 0.0))
-    h = [[have[f"g{min(i, j)}_{max(i, j)}"] / tokens for j in range(k)] for i in range(k)]
-    # in units in which every domain weighs alike, so that scarce domains are not lost in the solution
-    unit = [math.sqrt(h[j][j]) or 1.0 for j in range(k)]
-    scaled = [[h[i][j] / unit[i] / unit[j] for j in range(k)] for i in range(k)]
-    moves: list[list[float]] = []
-
-    def after(some: list[list[float]]) -> Column:
-        """Rates after these steps, folded in order."""
-        if not some:
-            return start
-        taken = F.array(*[F.struct(*[F.lit(float(m[j])).alias(f"m{j}") for j in range(k)]) for m in some])
-        return let(start, lambda r0: F.aggregate(taken, r0, lambda r, m: F.least(
-            r0 * most, F.greatest(r0 * LEAST, r - sum((p[j] * m[f"m{j}"] for j in range(1, k)), p[0] * m["m0"])))))
-
-    for _ in range(steps + 1):
-        rated = soft.select("n_tokens", *[f"p_{d}" for d in DOMAINS], after(moves).alias("rate"), after(moves[:-1]).alias("before"))
-        got = rated.agg(*[F.sum(c * F.col("rate") * p[j]).alias(f"s{j}") for j in range(k)],
-                        F.sum(c * (F.col("rate") - F.col("before")) ** 2).alias("moved")).first()
-        off = [got[f"s{j}"] / tokens - goal[j] for j in range(k)]
-        if max(map(abs, off)) <= close or len(moves) == steps or moves and math.sqrt(got["moved"] / tokens) <= close / 10:
+    # least squares in which a domain weighs as one over its target (a domain that is not wanted weighs as the scarcest)
+    weight = [1.0 / max(g, min((x for x in goal if x > 0), default=1.0)) for g in goal]
+    h = [[have[f"g{min(i, j)}_{max(i, j)}"] / tokens * math.sqrt(weight[i] * weight[j]) for j in range(k)] for i in range(k)]
+    length = _largest_eigenvalue(h) or 1.0
+    moves: list[tuple[list[float], float]] = []     # (step, how far beyond it the next one starts)
+
+    def after(some: list[tuple[list[float], float]]) -> Column:
+        """Struct of the rates ``r`` after these steps, the rates ``q`` before the last, and the point ``y`` of the next step."""
+        def of(r0: Column) -> Column:
+            first = F.struct(r0.alias("r"), r0.alias("q"), r0.alias("y"))
+            if not some:
+                return first
+            taken = F.array(*[F.struct(*[F.lit(float(m[j])).alias(f"m{j}") for j in range(k)], F.lit(float(beyond)).alias("b")) for m, beyond in some])
+
+            def step(at: Column, m: Column) -> Column:
+                moved = at["y"] - sum((p[j] * m[f"m{j}"] for j in range(1, k)), p[0] * m["m0"])
+                return let(F.least(r0 * most, F.greatest(r0 * LEAST, moved)),
+                           lambda r: F.struct(r.alias("r"), at["r"].alias("q"), (r + m["b"] * (r - at["r"])).alias("y")))
+
+            return F.aggregate(taken, first, step)
+
+        return let(start, of)
+
+    for n in range(steps + 1):
+        rated = soft.select("n_tokens", *[f"p_{d}" for d in DOMAINS], after(moves).alias("at"))
+        got = rated.agg(*[F.sum(c * F.col(f"at.{x}") * p[j]).alias(f"{x}{j}") for x in "ry" for j in range(k)],
+                        F.sum(c * (F.col("at.r") - F.col("at.q")) ** 2).alias("moved")).first()
+        off = [got[f"r{j}"] / tokens - goal[j] for j in range(k)]
+        if max(map(abs, off)) <= close or n == steps or n and math.sqrt(got["moved"] / tokens) <= close / 10:
             break
-        move = _solve(scaled, [off[j] / unit[j] for j in range(k)])
-        moves.append([move[j] / unit[j] for j in range(k)])
-    return after(moves)
+        moves.append(([weight[j] * (got[f"y{j}"] / tokens - goal[j]) / length for j in range(k)], n / (n + 3)))
+    return after(moves)["r"]
 
 
 def reached(rated: DataFrame, targets: dict[str, float] = TARGETS, times: str = "rate") -> DataFrame:
