@@ -138,8 +138,8 @@ SELECT page_id, host, path, rule, coalesce(fixed, CASE WHEN n_strict >= 1 OR (n_
 
 
 def _vectors_sql(scale: int, columns: str) -> str:
-    return f"""v AS (SELECT {columns}, list_transform(embedding, c -> floor({scale} * CAST(c AS DOUBLE))) AS x FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, c -> c IS NULL OR NOT isfinite(CAST(c AS DOUBLE)))) = 0)"""
+    return f"""v AS (SELECT {columns}, list_transform(embedding, lambda c: floor({scale} * CAST(c AS DOUBLE))) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(CAST(c AS DOUBLE)))) = 0)"""
 
 
 def _negatives_oracle() -> str:
