@@ -78,6 +78,7 @@ class Tree:
 
     def __init__(self, sample: np.ndarray, leaf: int, bound: int = MAX_BITS):
         self.bound, self.leaves = bound, 0
+        self.sizes: list[int] = []      # of the sample, by leaf
         # nodes: (mask, vantage, radius, right visits left?, left child, right child)
         self.root = self._grow(sample, leaf, np.ones(64, bool))
 
@@ -85,6 +86,7 @@ class Tree:
         split = self._split(x, free) if len(x) > leaf else None
         if split is None:
             self.leaves += 1
+            self.sizes.append(len(x))
             return self.leaves - 1
         mask, vantage, radius, rightward = split
         left = np.bitwise_count((x ^ vantage) & mask) <= radius
@@ -250,9 +252,9 @@ def forest(fps: DataFrame, bound: int = MAX_BITS, sample_rows: int = SAMPLE, sha
         return pd.DataFrame({"u": u.view(np.int64), "v": v.view(np.int64)})
 
     routed = fps.select("fp").mapInPandas(route, "shard int, fp long, budget int")
-    # shards with very many fingerprints at home (more than the sample can part, or a ball that no block parts): a row per shard
-    homes = routed.where("budget < 0").groupBy("shard").count()
-    large = {r["shard"]: r["count"] for r in homes.where(F.col("count") > LARGE * shard_rows).collect()}
+    # shards that by the sample have very many fingerprints at home (more than it can part, or a ball that no block parts)
+    likely = {leaf: round(n * total / max(1, len(sample))) for leaf, n in enumerate(tree.sizes)}
+    large = {leaf: n for leaf, n in likely.items() if n > LARGE * shard_rows}
     if not large:
         return routed.groupBy("shard").applyInPandas(links, "u long, v long")
     # their rows go, once per mask, to parts by the bits under the mask: linked ones meet in one part at least
