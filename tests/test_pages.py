@@ -215,3 +215,45 @@ def test_reach_pages_with_a_hub(spark):
     links = spark.createDataFrame(edges, "src string, dst string")
     got = {r.node: r.depth for r in og.reach_pages(links).collect()}
     assert got["hub"] == 1 and got["p499"] == 2 and got["q6"] == 3 and len(got) == 1 + 1 + 500 + 7
+
+
+def levels(edges, start):
+    """Plain breadth-first depths."""
+    out, now, depth = {start: 0}, {start}, 0
+    while now:
+        depth += 1
+        now = {b for a, b in edges if a in now and b not in out}
+        out |= dict.fromkeys(now, depth)
+    return out
+
+
+def test_reach_pages_of_a_chain_of_two_thousand_levels(spark):
+    edges = [("base", "n0")] + [(f"n{i}", f"n{i + 1}") for i in range(1999)]
+    edges += [("n700", "side"), ("side", "n1500"), ("n3", "base"), ("n9", "n9"), ("r1", "r2"), ("r2", "r1"), ("r2", "r3"), ("lost", "n50")]
+    reached = og.reach_pages(spark.createDataFrame(edges, "src string, dst string"))
+    plan = reached._jdf.queryExecution().toString()
+    got = {r.node: r.depth for r in reached.collect()}
+    assert got == levels(edges, "base") and got["n1999"] == 1202 and "r3" not in got
+    assert plan.count("Scan ExistingRDD") < 60
+
+
+def test_reach_pages_against_plain_search(spark):
+    import random
+    rng = random.Random(11)
+    for n, m in ((12, 14), (40, 60), (60, 50), (30, 200)):
+        names = ["base"] + [f"p{i}" for i in range(n)]
+        edges = [(rng.choice(names), rng.choice(names)) for _ in range(m)] + [("base", "p0"), (None, "p1"), ("p1", None)]
+        links = spark.createDataFrame(edges, "src string, dst string")
+        want = levels([e for e in edges if None not in e], "base")
+        assert {r.node: r.depth for r in og.reach_pages(links).collect()} == want
+        few = {r.node: r.depth for r in og.reach_pages(links, max_depth=2).collect()}
+        assert few == {k: d for k, d in want.items() if d <= 2}
+    assert [tuple(r) for r in og.reach_pages(spark.createDataFrame([], "src string, dst string")).collect()] == [("base", 0)]
+
+
+def test_reach_pages_of_a_ladder(spark):
+    edges = [("base", "a0"), ("base", "b0")]
+    edges += [("base", "s"), ("s", "t"), ("t", "x"), ("base", "x"), ("x", "y")]  # x is below its root on a long and a short way
+    edges += [(f"{x}{i}", f"{y}{i + 1}") for i in range(9) for x in "ab" for y in "ab"]
+    links = spark.createDataFrame(edges, "src string, dst string")
+    assert {r.node: r.depth for r in og.reach_pages(links).collect()} == levels(edges, "base")
