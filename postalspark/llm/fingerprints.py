@@ -93,38 +93,75 @@ def sketch_documents(docs: DataFrame, k: int = K, words: int = SHINGLE_WORDS) ->
     return arrow_map(d, rows, "doc_id long, fingerprint string, n_shingles double")
 
 
-def with_next(docs: DataFrame) -> DataFrame:
-    """Rows ``bucket, tail, doc_id, h, text`` in which each row's next document follows it in its bucket.
+class Ranges:
+    """Ranges of the order (doc_id with nulls first, hash of the text), as even as ``doc_id`` and the hash let them be.
 
-    ``doc_id`` is cut into as many ranges as there are shuffle partitions (cut points from approximate
-    quantiles of that one column). The first document of each range goes to the range before as well
-    (``tail`` true), the very first one to the last range, so no range needs another's rows and each
-    text is shuffled once. The driver holds two numbers per range.
+    ``cuts`` are quantiles of ``doc_id``, repeated where one id holds several of them: such an id, and the null one, is cut
+    further by the hash, which is spread evenly, so that an id on a third of all rows gets a third of the ranges.
     """
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
-    cuts = np.unique(np.array(ids.approxQuantile("doc_id", [i / n for i in range(1, n)], 1 / (4 * n)), np.int64))
+
+    def __init__(self, cuts: list[int], null_ranges: int):
+        self.ids, self.times = np.unique(np.array(cuts, np.int64), return_counts=True)
+        self.before = np.concatenate([[0], np.cumsum(self.times)]).astype(np.int64)
+        self.null_ranges = null_ranges
+        self.count = null_ranges + int(self.before[-1]) + 1
+
+    def of(self, ids: pd.Series, hashes: pd.Series) -> np.ndarray:
+        missing = ids.isna().to_numpy()
+        known = ids.fillna(0).to_numpy(np.int64)
+        at = np.searchsorted(self.ids, known, "right")
+        out = self.before[at]
+        # the top 32 bits of the hash, as a share of all of them
+        share = (hashes.to_numpy(np.int64) >> 32) + (1 << 31)
+        if len(self.ids):
+            cut = np.maximum(at - 1, 0)
+            equal = (at > 0) & (self.ids[cut] == known)
+            out = np.where(equal, self.before[cut] + 1 + (share * self.times[cut] >> 32), out)
+        out = out + self.null_ranges
+        return np.where(missing, share * max(self.null_ranges, 1) >> 32, out).astype(np.int32)
+
+
+def ranges_of(ids: DataFrame) -> Ranges:
+    """As many ranges of ``ids`` (one column doc_id) as there are shuffle partitions; the driver holds a number per range."""
+    n = int(ids.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sizes = ids.agg(F.count("*").alias("rows"), F.count("doc_id").alias("known")).first()
+    missing = sizes["rows"] - sizes["known"]
+    nulls = 0 if not missing else max(1, round(n * missing / sizes["rows"]))
+    parts = max(1, n - nulls)
+    probs = [i / parts for i in range(1, parts)]
+    cuts = ids.approxQuantile("doc_id", probs, 1 / (4 * n)) if probs and sizes["known"] else []
+    return Ranges(cuts, nulls)
+
+
+def with_next(docs: DataFrame) -> tuple[DataFrame, int]:
+    """Rows ``bucket, tail, doc_id, h, text`` in which each row's next document follows it in its bucket, and the number of buckets.
+
+    The first document of each range also goes to the range before (``tail`` true), the very first one to the last range, so no
+    range needs another's rows and each text is shuffled once.
+    """
+    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    ranges = ranges_of(d.select("doc_id"))
 
     @F.pandas_udf("int")
-    def range_of(ids: pd.Series) -> pd.Series:
-        return pd.Series(np.where(ids.isna(), 0, np.searchsorted(cuts, ids.fillna(0).to_numpy(np.int64), "right")))
+    def range_of(ids: pd.Series, hashes: pd.Series) -> pd.Series:
+        return pd.Series(ranges.of(ids, hashes))
 
+    hashed = d.withColumn("h", F.xxhash64("text")).withColumn("at", range_of("doc_id", "h"))
     # struct order puts a null id before all others, as the sort does
-    lead = F.min(F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id"))
-    first = {r["b"]: r["a"]["doc_id"] for r in ids.groupBy(range_of("doc_id").alias("b")).agg(lead.alias("a")).collect()}
+    lead = F.min(F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "h"))
+    first = {r["at"]: (r["a"]["doc_id"], r["a"]["h"]) for r in hashed.groupBy("at").agg(lead.alias("a")).collect()}
     used = sorted(first)
     before = dict(zip(used, used[-1:] + used[:-1], strict=True))
 
     @F.pandas_udf("array<int>")
-    def places(ids: pd.Series, at: pd.Series) -> pd.Series:
+    def places(ids: pd.Series, hashes: pd.Series, at: pd.Series) -> pd.Series:
         known = ids.astype("Int64")
-        return pd.Series([[2 * b, 2 * before[b] + 1] if (first[b] is None if i is pd.NA else i == first[b]) else [2 * b]
-                          for i, b in zip(known, at, strict=True)])
+        return pd.Series([[2 * b, 2 * before[b] + 1] if first[b] == (None if i is pd.NA else i, h) else [2 * b]
+                          for i, h, b in zip(known, hashes, at, strict=True)])
 
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    d = d.withColumn("at", range_of("doc_id"))
-    return d.select(F.explode(places("doc_id", "at")).alias("place"), "doc_id", F.xxhash64("text").alias("h"), "text").select(
+    rows = hashed.select(F.explode(places("doc_id", "h", "at")).alias("place"), "doc_id", "h", "text").select(
         F.shiftright("place", 1).alias("bucket"), (F.col("place") % 2 == 1).alias("tail"), "doc_id", "h", "text")
+    return rows, ranges.count
 
 
 def compare_with_next(docs: DataFrame, k: int = K, words: int = SHINGLE_WORDS) -> DataFrame:
@@ -134,8 +171,8 @@ def compare_with_next(docs: DataFrame, k: int = K, words: int = SHINGLE_WORDS) -
     as many code points, or all, of the next document. Returns ``doc_id, n_chars, edited_sha256,
     fingerprint, edited_fingerprint, near_edited, near_next, n_shingles, held_by_next`` (containment).
     """
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = (with_next(docs).repartition(n, "bucket")
+    rows, n = with_next(docs)
+    rows = (rows.repartitionById(n, F.col("bucket"))
             .sortWithinPartitions("bucket", "tail", F.col("doc_id").asc_nulls_first(), "h"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,7 +183,7 @@ def compare_with_next(docs: DataFrame, k: int = K, words: int = SHINGLE_WORDS) -
             for bucket, tail, doc_id, text in zip(*(b.column(c).to_pylist() for c in ("bucket", "tail", "doc_id", "text")), strict=True):
                 if bucket == closed:
                     continue
-                own = sketch(text, k, words)
+                own = last[3] if last is not None and last[2] == text else sketch(text, k, words)
                 if last is not None:
                     _, i, t, s = last
                     half = len(t) // 2

@@ -29,20 +29,68 @@ SHINGLE, LEAST = 5, 0.8
 PASSAGE, WINDOW, STRIDE = 8, 16, 8
 MISS = 1e-6
 
-#: fixed values: public license notices
+#: fixed values: public license notices and openings or clauses of license texts. Notices that differ in a version number are
+#: cut so that the number's shingles are over a fifth of theirs: a text with another version stays below `LEAST`.
 TEMPLATES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("MIT", "Released under the MIT License."),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
             "documentation files, to deal in the Software without restriction"),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
-                "License as published by the Free Software Foundation"),
+    ("GPL-3.0", "under the terms of the GNU General Public License as published by the Free Software Foundation, "
+                "either version 3 of the License"),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-4.0", "Licensed under a Creative Commons Attribution 4.0 International License."),
     ("BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
             "following conditions are met"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("Apache-2.0", "you may not use this file except in compliance with the License. You may obtain a copy of the License at"),
+    ("Apache-2.0", "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed "
+                   "on an AS IS BASIS"),
+    ("MIT", "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software"),
+    ("GPL-2.0", "under the terms of the GNU General Public License as published by the Free Software Foundation; "
+                "either version 2 of the License"),
+    ("LGPL-2.1", "under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; "
+                 "either version 2.1 of the License"),
+    ("LGPL-3.0", "under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, "
+                 "either version 3 of the License"),
+    ("LGPL-3.0", "incorporates the terms and conditions of version 3 of the GNU General Public License, supplemented by the "
+                 "additional permissions listed below"),
+    ("AGPL-3.0", "under the terms of the GNU Affero General Public License as published by the Free Software Foundation, "
+                 "either version 3 of the License"),
+    ("AGPL-3.0", "Licensed under the GNU Affero General Public License, version 3."),
+    ("BSD-3-Clause", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+                     "products derived from this software without specific prior written permission"),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
+            "provided that the above copyright notice and this permission notice appear in all copies"),
+    ("PostgreSQL", "Permission to use, copy, modify, and distribute this software and its documentation for any purpose, without fee, "
+                   "and without a written agreement is hereby granted"),
+    ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work"),
+    ("CC0-1.0", "This work is dedicated to the public domain under CC0 1.0 Universal."),
+    ("CC-BY-4.0", "Licensed under CC BY 4.0."),
+    ("CC-BY-3.0", "Licensed under a Creative Commons Attribution 3.0 Unported License."),
+    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
+    ("CC-BY-SA-4.0", "Licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("CC-BY-SA-3.0", "Licensed under a Creative Commons Attribution-ShareAlike 3.0 Unported License."),
+    ("CC-BY-ND-4.0", "Licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
+    ("CC-BY-NC-4.0", "Licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    ("CC-BY-NC-SA-4.0", "Licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License."),
+    ("CC-BY-NC-ND-4.0", "Licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License."),
+    ("EPL-1.0", "the terms of the Eclipse Public License v1.0"),
+    ("EPL-2.0", "under the terms of the Eclipse Public License 2.0"),
+    ("MPL-1.1", "are subject to the Mozilla Public License Version 1.1"),
+    ("CDDL-1.0", "The contents of this file are subject to the terms of the Common Development and Distribution License"),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    ("Zlib", "In no event will the authors be held liable for any damages arising from the use of this software"),
+    ("Artistic-2.0", "You are permitted to use the Standard Version and create and use Modified Versions for any purpose without restriction"),
+    ("EUPL-1.2", "Licensed under the EUPL, Version 1.2"),
+    ("OFL-1.1", "This Font Software is licensed under the SIL Open Font License, Version 1.1."),
+    ("GFDL", "Permission is granted to copy, distribute and/or modify this document under the terms of the GNU Free Documentation License"),
+    ("ODbL", "This database is made available under the Open Database License"),
+    ("MS-PL", "This license governs use of the accompanying software. If you use the software, you accept this license."),
+    ("All-Rights-Reserved", "All rights reserved. No part of this publication may be reproduced, distributed, or transmitted in any "
+                            "form or by any means"),
 )
 _BREAKS = r"[\x00-/:-@\[-`{-\x7f]+"
 

@@ -36,6 +36,12 @@ def test_finds_exactly_the_contained_templates(spark):
     assert got == want and 500 in got and 501 not in got
 
 
+def test_each_notice_is_taken_for_its_own_license_only():
+    assert len(licenses.TEMPLATES) >= 30
+    for name, t in licenses.TEMPLATES:
+        assert plain("Some words before. " + t + " And some after it.").keys() == {name}, t
+
+
 def test_whole_table(spark):
     sf = "/root/testdata/sf0.01"
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
