@@ -1,11 +1,17 @@
 """Toxicity: a weighted finite-state grammar over clauses, with weights learned from labelled rows.
 
-Words are read once, left to right, by a chain of small transducers:
+A prefix automaton gives each word its class and weight (the longest learned prefix or whole word wins). Over the classes of a
+clause's words run five small weighted transducers, each written down on its own and composed once into `CLAUSE`:
 
-* a prefix automaton gives each word its class and weight: the longest learned prefix or whole word wins;
-* the clause transducer walks a clause's tagged words (insult, threat, target, negation, reported speech) with one
-  state per concern and puts out weighted matches: an insult counts more when it is aimed at a target and
-  less under negation or inside reported speech; a threat counts only with a target.
+* `INSULT_MACHINE` and `THREAT_MACHINE` pass the words of their classes on (learned entries, a class of their own, with the insults);
+  their weights add up, since a word is one or the other;
+* `TARGET_MACHINE` counts down the words since a target: an insult near one weighs more, a threat without one nothing;
+* `NEGATION_MACHINE` counts down the words since a negation, `REPORT_MACHINE` remembers reported speech; both make matches lighter.
+  The weights of these three multiply.
+
+A target may also follow its insult. `AHEAD` reads the clause from its end and marks the words that a target follows soon; with that mark
+as part of each symbol the composed machine reads the clause from its start (the two together are a bimachine), so a clause takes
+two steps a word.
 
 A document's features are its strongest clause, the sum over clauses (on a log scale) and the share of
 clauses matched; a logistic function, fitted on other labelled rows than the word weights, turns
@@ -24,9 +30,8 @@ each; an empty table gives none; extra columns are ignored. Whole texts are read
 from __future__ import annotations
 
 import math
-from bisect import bisect_left
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -54,7 +59,66 @@ NEGATED, REPORTED, AIMED = 0.25, 0.5, 1.5
 SEED_WEIGHT, THREAT_WEIGHT = 3.0, 4.0
 
 _WORDS = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?|[.!?;\n]")
-INSULT, THREAT, TARGET, NEGATION, REPORT = range(1, 6)
+#: classes of words; a symbol is twice the class, plus one where a target follows soon
+OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, LEARNED = range(7)
+_CLASSES = range(7)
+
+
+class Transducer:
+    """A weighted finite-state transducer: ``arcs[state][symbol]`` is (next state, weight), state 0 is the start."""
+
+    def __init__(self, start, step: Callable):
+        """All states that ``step(state, class, ahead) -> (state, weight)`` leads to from ``start``, numbered."""
+        number, self.arcs, names = {start: 0}, [], [start]
+        for name in names:  # grows as states are found
+            row = []
+            for c in _CLASSES:
+                for ahead in (False, True):
+                    to, weight = step(name, c, ahead)
+                    if to not in number:
+                        number[to] = len(names)
+                        names.append(to)
+                    row.append((number[to], weight))
+            self.arcs.append(tuple(row))
+
+    def with_other(self, other: Transducer, weigh: Callable[[float, float], float]) -> Transducer:
+        """Both machines side by side on the same words; ``weigh`` joins their weights."""
+        def step(state: tuple[int, int], c: int, ahead: bool):
+            (p, x), (q, y) = self.arcs[state[0]][2 * c + ahead], other.arcs[state[1]][2 * c + ahead]
+            return (p, q), weigh(x, y)
+
+        return Transducer((0, 0), step)
+
+    def __add__(self, other: Transducer) -> Transducer:
+        return self.with_other(other, lambda x, y: x + y)
+
+    def __mul__(self, other: Transducer) -> Transducer:
+        return self.with_other(other, lambda x, y: x * y)
+
+    def idle(self, state: int, n: int) -> int:
+        """The state after ``n`` words of no class; it settles within the longest reach."""
+        for _ in range(min(n, max(TARGET_REACH, NEGATION_REACH))):
+            state = self.arcs[state][2 * OTHER][0]
+        return state
+
+
+def _down(left: int, seen: bool, reach: int) -> int:
+    return reach if seen else max(0, left - 1)
+
+
+def _aimed(c: int, aimed: bool) -> float:
+    if c == THREAT:
+        return float(aimed)
+    return AIMED if aimed and c in (INSULT, LEARNED) else 1.0
+
+
+INSULT_MACHINE = Transducer(0, lambda s, c, ahead: (0, float(c in (INSULT, LEARNED))))
+THREAT_MACHINE = Transducer(0, lambda s, c, ahead: (0, float(c == THREAT)))
+TARGET_MACHINE = Transducer(0, lambda s, c, ahead: (_down(s, c == TARGET, TARGET_REACH), _aimed(c, s > 0 or ahead)))
+NEGATION_MACHINE = Transducer(0, lambda s, c, ahead: (_down(s, c == NEGATION, NEGATION_REACH), NEGATED if s else 1.0))
+REPORT_MACHINE = Transducer(0, lambda s, c, ahead: (int(s or c == REPORT), REPORTED if s else 1.0))
+CLAUSE = (INSULT_MACHINE + THREAT_MACHINE) * TARGET_MACHINE * NEGATION_MACHINE * REPORT_MACHINE
+AHEAD = Transducer(0, lambda s, c, ahead: (_down(s, c == TARGET, TARGET_REACH), float(s > 0)))
 
 
 @dataclass
@@ -72,7 +136,7 @@ class Reader:
         self.grammar = grammar
         self.closed = ({w: (INSULT, SEED_WEIGHT) for w in INSULTS} | {w: (THREAT, THREAT_WEIGHT) for w in THREATS}
                        | {w: (TARGET, 0.0) for w in TARGETS} | {w: (NEGATION, 0.0) for w in NEGATIONS} | {w: (REPORT, 0.0) for w in REPORTS})
-        self.closed |= {w: (INSULT, max(x, SEED_WEIGHT if w in INSULTS else 0.0)) for w, x in grammar.words.items()
+        self.closed |= {w: (INSULT, max(x, SEED_WEIGHT)) if w in self.closed else (LEARNED, x) for w, x in grammar.words.items()
                         if w not in self.closed or self.closed[w][0] == INSULT}
         self.seen: dict[str, tuple[int, float] | None] = {}
 
@@ -82,7 +146,7 @@ class Reader:
             for n in sorted(PREFIX_LETTERS, reverse=True):
                 w = self.grammar.prefixes.get(word[:n]) if len(word) >= n else None
                 if w is not None:
-                    return INSULT, w
+                    return LEARNED, w
         return got
 
     def clauses(self, text: str | None) -> tuple[int, list[float]]:
@@ -114,19 +178,15 @@ class Reader:
     @staticmethod
     def match(tags: list[tuple[int, int, float]]) -> float:
         """Weight of a clause's matches. ``tags``: (position, class, weight) of its tagged words, in order."""
-        targets = [p for p, c, _ in tags if c == TARGET]
-        total, negated_at, reported = 0.0, -99, False
-        for p, c, w in tags:
-            if c == NEGATION:
-                negated_at = p
-            elif c == REPORT:
-                reported = True
-            elif c in (INSULT, THREAT):
-                near = bisect_left(targets, p - TARGET_REACH)       # the first target not too far before
-                aimed = near < len(targets) and targets[near] <= p + TARGET_REACH
-                if c == THREAT and not aimed:
-                    continue
-                total += w * (AIMED if aimed and c == INSULT else 1.0) * (NEGATED if p - negated_at <= NEGATION_REACH else 1.0) * (REPORTED if reported else 1.0)
+        ahead, state, then = [0] * len(tags), 0, tags[-1][0] + 1
+        for k in range(len(tags) - 1, -1, -1):
+            p, c, _ = tags[k]
+            state, mark = AHEAD.arcs[AHEAD.idle(state, then - p - 1)][2 * c]
+            ahead[k], then = int(mark), p
+        total, state, then = 0.0, 0, -1
+        for (p, c, w), soon in zip(tags, ahead, strict=True):
+            state, weight = CLAUSE.arcs[CLAUSE.idle(state, p - then - 1)][2 * c + soon]
+            total, then = total + w * weight, p
         return total
 
     def features(self, text: str | None) -> tuple[float, float, float]:

@@ -19,6 +19,34 @@ def test_clause_grammar():
     assert r.score("you idiot, you moron. trash!") > 0.3 > r.score("a fine day")
 
 
+def plain_weight(tags):
+    """Weight of a clause by searching all its words for each match."""
+    t, total = toxicity, 0.0
+    for p, c, w in tags:
+        aimed = any(k == t.TARGET and abs(p - q) <= t.TARGET_REACH for q, k, _ in tags)
+        if c in (t.INSULT, t.LEARNED):
+            w *= t.AIMED if aimed else 1
+        elif c != t.THREAT or not aimed:
+            continue
+        w *= t.NEGATED if any(k == t.NEGATION and 0 < p - q <= t.NEGATION_REACH for q, k, _ in tags) else 1
+        total += w * (t.REPORTED if any(k == t.REPORT and q < p for q, k, _ in tags) else 1)
+    return total
+
+
+def test_composed_transducers_against_a_plain_search():
+    rng = random.Random(8)
+    for _ in range(20_000):
+        at, tags = 0, []
+        for _ in range(rng.randrange(1, 9)):
+            tags.append((at, rng.randrange(1, 7), rng.choice((1.0, 2.5, 3.0))))
+            at += rng.choice((1, 1, 1, 2, 3, 4, 5, 6, 9))
+        assert abs(toxicity.Reader.match(tags) - plain_weight(tags)) < 1e-9, tags
+    # states of the product that a clause can reach: one word is not both target and negation, so of the 5 x 4 pairs of
+    # countdowns the three that began at one word are never met; reported speech or not
+    assert len(toxicity.CLAUSE.arcs) == (5 * 4 - 3) * 2
+    assert [len(m.arcs) for m in (toxicity.INSULT_MACHINE, toxicity.THREAT_MACHINE, toxicity.TARGET_MACHINE, toxicity.NEGATION_MACHINE, toxicity.REPORT_MACHINE)] == [1, 1, 5, 4, 2]
+
+
 def rows_with_insults(n=600, seed=3):
     rng = random.Random(seed)
     clean = [f"wort{i}" for i in range(800)]
