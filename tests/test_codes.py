@@ -12,28 +12,41 @@ def one_col(spark, values, name="cep"):
     return spark.createDataFrame([(i, v) for i, v in enumerate(values)], f"row_id long, {name} string")
 
 
-def test_extract_codes_from_text(spark):
-    df = spark.createDataFrame([("CEP: 01310-100",), ("CEP: 01310100",),
-                                ("CEPs: 01310-100, 01311-200, 01312-300",), ("x 123456789 y",)], "t string")
-    got = [r[0] for r in df.select(C.extract_codes("t")).collect()]
-    assert got == [["01310-100"], ["01310-100"], ["01310-100", "01311-200", "01312-300"], []]
+def numbered(n):
+    """The n-th code of a series of eight digits that starts with 0."""
+    return f"{(n * 7_654_321 + 2_468_135) % 10_000_000:08d}"
 
 
-@pytest.mark.parametrize("code,ok", [("01310-100", True), ("01001-900", True), ("01234-567", True),
-                                     ("12345-678", False), ("10001-220", False), ("10101-009", False),
-                                     ("01310-10", False), ("01310100", False), ("abcde-fgh", False), ("", False)])
-def test_regional_validity(spark, code, ok):
-    df = spark.createDataFrame([(code,)], "c string")
-    assert df.select(C.is_valid_regional("c")).first()[0] is ok
+def hyphened(digits):
+    return digits[:5] + "-" + digits[5:]
 
 
-def test_mark_valid_cases(spark):
-    good = ["01001900", "01310-100", " 01001900 ", "20040020", "30130100", "40020100", "10001220"]
-    bad = ["0100190", "010019001", "abc12345", "", None]
+def test_extract_codes_from_text(spark):
+    a, b, c = (numbered(n) for n in range(3))
+    texts = {f"ends with {hyphened(a)}": [a], f"{a} begins": [a], f"<{hyphened(a)}>;{b}/{hyphened(c)}.{a}": [a, b, c, a],
+             f"nine {a}1, glued x{b}, split {c[:4]}-{c[4:]}": [], "": []}
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = [r.c for r in df.select("i", C.extract_codes("t").alias("c")).orderBy("i").collect()]
+    assert got == [[hyphened(x) for x in want] for want in texts.values()]
+
+
+def test_regional_validity_by_first_digit_and_hyphen_place(spark):
+    digits = numbered(4)[1:]
+    cases = {hyphened(f"{d}{digits}"): d == 0 for d in range(10)}
+    whole = "0" + digits
+    cases |= {whole[:k] + "-" + whole[k:]: k == 5 for k in range(9)}
+    cases |= {whole: False, hyphened(whole)[:-1]: False, hyphened(whole) + "0": False, hyphened(whole)[:-1] + "o": False, " " + hyphened(whole): False}
+    df = spark.createDataFrame(list(cases), "string")
+    assert {r.value: r.ok for r in df.select("value", C.is_valid_regional("value").alias("ok")).collect()} == cases
+
+
+def test_mark_valid_by_digit_count_and_region(spark):
+    digits = numbered(6)
+    good = [str(d) + digits[1:] for d in range(10)] + [hyphened(digits), f"\t{digits}\n", digits[:2] + " " + digits[2:]]
+    bad = [digits[:k] for k in range(8)] + [digits + "0", digits[:7] + "x", None]
     df = oc.mark_valid(one_col(spark, good + bad))
     got = {r.row_id: r.is_valid for r in df.collect()}
-    assert [got[i] for i in range(len(good))] == [True] * len(good)
-    assert [got[len(good) + i] for i in range(len(bad))] == [False] * len(bad)
+    assert [got[i] for i in range(len(good + bad))] == [True] * len(good) + [False] * len(bad)
     assert dict(df.dtypes)["is_valid"] == "boolean"
 
 
@@ -44,16 +57,17 @@ def test_clean_strips_unicode_whitespace_but_keeps_inner_tabs(spark):
 
 
 def test_valid_and_invalid_lists_are_cleaned(spark):
-    df = one_col(spark, ["01310-100", " 01001900 ", "0100190", None])
-    assert sorted(r.cep for r in oc.valid_codes(df).collect()) == ["01001900", "01310100"]
+    a, b = numbered(8), numbered(9)
+    df = one_col(spark, [hyphened(a), f" {b} ", a[1:], None])
+    assert sorted(r.cep for r in oc.valid_codes(df).collect()) == sorted([a, b])
     inv = oc.invalid_codes(df).orderBy("row_id").collect()
-    assert [r.cep for r in inv] == ["0100190", None]
+    assert [r.cep for r in inv] == [a[1:], None]
 
 
 def test_code_stats(spark):
-    df = one_col(spark, ["01001900", "01001901", "01001902", "0100190"])
+    df = one_col(spark, [numbered(n) for n in range(6)] + [numbered(6)[:k] for k in (3, 7)])
     r = oc.code_stats(df).first()
-    assert (r.total, r.valid, r.invalid) == (4, 3, 1)
+    assert (r.total, r.valid, r.invalid) == (8, 6, 2)
 
 
 def test_code_length_check_is_length_only(spark):
@@ -99,16 +113,18 @@ def test_csv_reader_checks(spark):
     no_cep = write_csv(spark.createDataFrame([("1", "a")], "code string, name string"), "nc")
     with pytest.raises(ValueError):
         read_codes_csv(spark, no_cep)
-    ok = write_csv(spark.createDataFrame([("01001900",), ("01001901",), ("01001902",)], "cep string"), "ok")
+    codes = sorted(numbered(n) for n in range(20))
+    ok = write_csv(spark.createDataFrame([(c,) for c in codes], "cep string"), "ok")
     df = read_codes_csv(spark, ok)
-    assert sorted(r.cep for r in df.collect()) == ["01001900", "01001901", "01001902"]
+    assert sorted(r.cep for r in df.collect()) == codes
     assert dict(df.dtypes)["cep"] == "string"
 
 
 def test_cap_and_sort(spark):
-    df = spark.createDataFrame([("01312-300",), ("01310-100",), ("01311-200",), ("01310-100",)], "cep string")
-    assert [r.cep for r in oc.cap_codes(df, 2).collect()] == ["01310-100", "01311-200"]
-    assert [r.cep for r in oc.sort_codes(df).collect()] == ["01310-100", "01311-200", "01312-300"]
+    codes = [hyphened(numbered(n)) for n in (5, 2, 7, 2, 0)]
+    df = spark.createDataFrame([(c,) for c in codes], "cep string")
+    assert [r.cep for r in oc.cap_codes(df, 2).collect()] == sorted(set(codes))[:2]
+    assert [r.cep for r in oc.sort_codes(df).collect()] == sorted(set(codes))
     assert F is not None
 
 
