@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
+import struct
+from fractions import Fraction
 
 import pandas as pd
 import xxhash
@@ -89,3 +92,45 @@ def components(rows, fingerprint, bits=2):
 def frame(df, *order) -> pd.DataFrame:
     out = df.toPandas()
     return out.sort_values(list(order or out.columns[:1])).reset_index(drop=True)
+
+
+def quality_features(text):
+    """Shares that the quality rules look at, by name."""
+    t = text or ""
+    n_words, chars, symbols, lines, covered, _ = quality_counts(t)
+    return {"symbols": symbols / max(chars, 1), "lines": lines / max(n_words, 1), "repeats": covered / max(n_words, 1), "upper": len(re.findall("[A-Z]", t)) / max(chars, 1),
+            "bangs": t.count("!") / max(chars, 1), "marked": len(re.findall(r"[#*$%&|<>!][\x20\x09-\x0D]", t)) / max(n_words, 1)}
+
+
+def at_most(k, n, p):
+    """Exact P(X <= k) of a binomial(n, p)."""
+    p = Fraction(str(p))
+    return float(sum(math.comb(n, i) * p ** i * (1 - p) ** (n - i) for i in range(k + 1)))
+
+
+def quality_cutoffs(rows, labels, max_risk, error, levels):
+    """stratum -> (rung, n, k, cutoffs by feature) of the certified level that parts good from bad best; rows: (doc_id, text, stratum)."""
+    good = {}
+    for i, q in labels:
+        if i is not None and q is not None:
+            good[i] = min(q, good.get(i, q))
+    strata = {}
+    for i, t, s in rows:
+        if i in good and not quality_counts(t)[5]:
+            held = xxhash.xxh64_intdigest(struct.pack("<q", i), 42) % 2 == 1
+            strata.setdefault(s, []).append((held, good[i], quality_features(t)))
+    ladder = {}
+    for s, docs in strata.items():
+        mine = [f for held, q, f in docs if not held and q == 1]
+        for rung, level in enumerate(levels if mine else ()):
+            ladder[s, rung] = {name: sorted(f[name] for f in mine)[max(math.ceil((1.0 - level) * len(mine)), 1) - 1] for name in mine[0]}
+    best = {}
+    for (s, rung), cut in ladder.items():
+        hit = {(held, q): [any(f[name] > c for name, c in cut.items()) for h, g, f in strata[s] if (h, g) == (held, q)] for held in (0, 1) for q in (0, 1)}
+        n, k = len(hit[1, 1]), sum(hit[1, 1])
+        if not hit[0, 0] or (at_most(k, n, max_risk) if n else 1.0) > error / len(ladder):
+            continue
+        gain = sum(hit[0, 0]) / len(hit[0, 0]) - sum(hit[0, 1]) / len(hit[0, 1])
+        if gain > 0 and (s not in best or (round(gain, 6), -rung) > best[s][0]):
+            best[s] = (round(gain, 6), -rung), (rung, n, k, cut)
+    return {s: b for s, (_, b) in best.items()}

@@ -1,10 +1,11 @@
 import math
+import random
 
 import pytest
 
-from postalspark.llm import quality
+from postalspark.llm import quality, queries
 
-from .plain import docs_frame, edge_rows, quality_counts
+from .plain import docs_frame, edge_rows, quality_counts, quality_cutoffs, quality_features
 
 
 def judged(spark, rows, labels, **k):
@@ -52,3 +53,49 @@ def test_empty_table_and_kept_columns(spark):
     out = quality.keep_good(d, marks)
     assert out.columns == d.columns
     assert out.count() == sum(not quality_counts(t)[5] for _, t in edge_rows())
+
+
+def noisy_corpus(seed, times):
+    """Three languages (one without name) whose good and bad documents overlap in all features, with labels for most; some say both."""
+    rng = random.Random(seed)
+    rows, labels = [], []
+    for s, (lang, n) in enumerate([("en", 1600), ("de", 1100), (None, 300)]):
+        for j in range(n * times):
+            i, bad = 10_000 * s + j, rng.random() < 0.25
+            w = [f"w{rng.randrange(5000)}" for _ in range(rng.randrange(45, 90))]
+            for _ in range(rng.choice([0, 0, 1, 2]) + (rng.randrange(9) if bad else 0)):
+                k = rng.randrange(len(w))
+                w[k] = rng.choice([w[k] + "%", w[k].upper(), w[k] + "!", "\nsame line\n", w[k] + "#$", "x y z x y z"])
+            rows.append((i, " ".join(w), lang))
+            if rng.random() < 0.9:
+                labels.append((i, int(not bad), 0))
+            if rng.random() < 0.02:
+                labels.append((i, 0, 0))
+    return rows + rows[:5] + [(None, "no id " * 60, "en")], labels + [(None, 1, 0), (7, None, 0)]
+
+
+@pytest.mark.parametrize("seed,times,max_risk,error,levels", [(1, 3, 0.02, 0.05, quality.LEVELS), (2, 1, 0.05, 0.05, (0.0, 0.002, 0.005, 0.01, 0.02)), (3, 1, 0.3, 0.1, (0.0, 0.05, 0.1, 0.2))])
+def test_cutoffs_and_verdicts_match_a_plain_selection(spark, seed, times, max_risk, error, levels):
+    rows, labels = noisy_corpus(seed, times)
+    control = {"max_risk": max_risk, "error": error, "levels": levels}
+    want = quality_cutoffs(rows, [x[:2] for x in labels], **control)
+    assert want
+    got = judged(spark, rows, labels, **control)
+
+    def verdict(t, lang):
+        f, cut = quality_features(t), want[lang][3] if lang in want else {}
+        return not quality_counts(t)[5] and not any(f[name] > c for name, c in cut.items())
+
+    assert sorted((str(r.doc_id), r.kept) for r in got) == sorted((str(i), verdict(t, lang)) for i, t, lang in rows)
+    assert any(not r.kept and not r.base_failed for r in got)
+
+
+def test_whole_table_against_a_plain_selection(spark):
+    sf = "/root/testdata/sf0.01"
+    rows = [(r.doc_id, r.text, r.lang) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    labels = [(r.doc_id, r.quality) for r in spark.read.parquet(f"{sf}/labels.parquet").collect()]
+    want = quality_cutoffs(rows, labels, quality.MAX_RISK, quality.ERROR, quality.LEVELS)
+    got = {r.doc_id: r.kept for r in queries.op2_quality_rules(spark, sf).collect()}
+    for i, t, lang in rows:
+        cut = want[lang][3] if lang in want else {}
+        assert got[i] == (not quality_counts(t)[5] and not any(quality_features(t)[name] > c for name, c in cut.items()))
