@@ -3,7 +3,9 @@
 Messages lie in Parquet files in the order of arrival. Each arrival is one numbered file (put if absent) that lists its data files with
 their row counts, so a message's position is the rows before it, whatever the files hold. The stream source
 plans batches by position: at most ``cap`` rows are admitted per trigger, from the middle of one file to the middle of
-another if need be. Offsets are the query's own checkpointed offsets; a replayed batch reads the same positions.
+another if need be. A stream that only works off what is stored may grow its batches: with ``growth`` a batch also takes as many rows
+as that share of the rows before it, so a backlog is drained in as many batches as its logarithm, and a sink that rewrites
+files with each batch rewrites a bounded multiple of what it holds. Offsets are the query's own checkpointed offsets; a replayed batch reads the same positions.
 
 Executors read the files through pyarrow's file systems (local or mounted folders, hdfs, s3, gs, abfs).
 """
@@ -27,6 +29,8 @@ from postalspark.streaming.sources import MESSAGE_FILE
 ARRIVALS, DATA = "arrivals", "data"
 #: most rows that one task of a micro-batch reads
 SLICE_ROWS = 100_000
+#: bytes of a row group, the least that a task decodes: a small slice must not read a large file's rows
+GROUP_BYTES = 1 << 20
 
 
 def append_messages(messages: DataFrame, root: str, order: str = "seq", tries: int = 20) -> int:
@@ -38,7 +42,7 @@ def append_messages(messages: DataFrame, root: str, order: str = "seq", tries: i
     spark, root = messages.sparkSession, root.rstrip("/")
     run = uuid.uuid4().hex
     place = f"{root}/{DATA}/{run}"
-    messages.repartitionByRange(order).sortWithinPartitions(order).write.parquet(place)
+    messages.repartitionByRange(order).sortWithinPartitions(order).write.option("parquet.block.size", GROUP_BYTES).parquet(place)
     sizes = (spark.read.schema(messages.select(order).schema).parquet(place)
              .groupBy(F.col("_metadata.file_name").alias("name")).agg(F.count("*").alias("n")).collect())   # a row per file
     files = [[f"{run}/{r['name']}", r["n"]] for r in sorted(sizes, key=lambda r: r["name"])]
@@ -71,8 +75,8 @@ class Slice(InputPartition):
 
 
 class QueueReader(DataSourceStreamReader):
-    def __init__(self, root: str, cap: int, schema: StructType):
-        self.root, self.cap, self.schema = root.rstrip("/"), cap, schema
+    def __init__(self, root: str, cap: int, schema: StructType, growth: float = 0.0):
+        self.root, self.cap, self.schema, self.growth = root.rstrip("/"), cap, schema, growth
         self.seen = 0                       # where the last planned batch ended
         self.arrivals: dict[str, dict] = {}
 
@@ -91,7 +95,8 @@ class QueueReader(DataSourceStreamReader):
     def latestOffset(self) -> dict:  # noqa: N802 - Spark's name
         known = self._known()
         end = known[-1]["end"] if known else 0
-        return {"row": max(self.seen, min(self.seen + self.cap, end) if self.cap else end)}
+        most = max(self.cap, int(self.seen * self.growth)) if self.cap else end
+        return {"row": max(self.seen, min(self.seen + most, end))}
 
     def partitions(self, start: dict, end: dict) -> list[Slice]:
         # also called with (last, last) when a query restarts
@@ -118,6 +123,8 @@ class QueueReader(DataSourceStreamReader):
                 if at < partition.stop and at + n > partition.start:
                     place = at
                     for batch in file.iter_batches(row_groups=[group], columns=wanted.names):
+                        if place >= partition.stop:
+                            break
                         first, last = max(partition.start - place, 0), min(partition.stop - place, len(batch))
                         if first < last:
                             part = batch.slice(first, last - first).select(wanted.names)
@@ -127,7 +134,7 @@ class QueueReader(DataSourceStreamReader):
 
 
 class QueueSource(DataSource):
-    """``readStream.format("message_queue")`` with options ``root`` and ``cap`` (rows per trigger; 0: all that arrived)."""
+    """``readStream.format("message_queue")`` with options ``root``, ``cap`` (rows per trigger; 0: all that arrived) and ``growth``."""
 
     @classmethod
     def name(cls) -> str:
@@ -137,10 +144,14 @@ class QueueSource(DataSource):
         return MESSAGE_FILE
 
     def streamReader(self, schema: StructType) -> QueueReader:  # noqa: N802 - Spark's name
-        return QueueReader(self.options["root"], int(self.options.get("cap", 0)), schema)
+        return QueueReader(self.options["root"], int(self.options.get("cap", 0)), schema, float(self.options.get("growth", 0)))
 
 
-def stream_queue(spark: SparkSession, root: str, cap: int = 0, schema: StructType = MESSAGE_FILE) -> DataFrame:
-    """The stored queue as a stream that admits at most ``cap`` rows per trigger (0: no cap), in queue order."""
+def stream_queue(spark: SparkSession, root: str, cap: int = 0, schema: StructType = MESSAGE_FILE, growth: float = 0.0) -> DataFrame:
+    """The stored queue as a stream that admits at most ``cap`` rows per trigger (0: no cap), in queue order.
+
+    With ``growth`` above zero a trigger may also take that share of the rows before it, if this is more than ``cap``.
+    """
     spark.dataSource.register(QueueSource)
-    return spark.readStream.format("message_queue").schema(schema).option("root", root).option("cap", int(cap)).load()
+    return (spark.readStream.format("message_queue").schema(schema).option("root", root)
+            .option("cap", int(cap)).option("growth", float(growth)).load())

@@ -156,6 +156,32 @@ def test_rows_are_admitted_by_position_whatever_files_hold(spark, sf_small):
     assert rows == n
 
 
+def test_batches_of_a_backlog_grow_with_what_lies_before_them(spark):
+    rows = lambda a, b: spark.range(a, b).select(F.col("id").alias("seq"), F.lit(None).cast("timestamp_ntz").alias("ts"), F.lit(1).cast("long").alias("consumer"),
+                                                 F.lit(True).alias("ok"), F.lit("{}").alias("body"))
+    root, out, ckpt = (scratch_dir(spark, n) for n in ("queue", "o", "c"))
+    sizes = lambda: [(r.rows, r.first_seq) for r in
+                     se.batch_sizes(spark, sq.stream_queue(spark, root, 50, growth=1.0), out, ckpt).orderBy("batch_id").collect()]
+    sq.append_messages(rows(0, 1000), root)
+    first = [(50, 0), (50, 50), (100, 100), (200, 200), (400, 400), (200, 800)]
+    assert sizes() == first
+    sq.append_messages(rows(1000, 2500), root)      # a restarted consumer grows on from its offset
+    assert sizes() == [*first, (1000, 1000), (500, 2000)]
+
+
+def test_a_slice_decodes_only_row_groups_near_it(spark):
+    import pyarrow.parquet as pq
+    root = scratch_dir(spark, "queue")
+    m = spark.range(300_000).repartition(1).select(F.col("id").alias("seq"), F.lit(None).cast("timestamp_ntz").alias("ts"), F.col("id").alias("consumer"),
+                                                   F.lit(True).alias("ok"), F.sha2(F.col("id").cast("string"), 256).alias("body"))
+    sq.append_messages(m, root)
+    reader = sq.QueueReader(root, 3_000, m.schema)
+    (part,) = reader.partitions({"row": 150_000}, {"row": 153_000})
+    with pq.ParquetFile(f"{root}/data/{part.path}") as file:
+        assert max(file.metadata.row_group(g).num_rows for g in range(file.num_row_groups)) < 40_000
+    assert [x for b in reader.read(part) for x in b.column(0).to_pylist()] == list(range(150_000, 153_000))
+
+
 def test_an_empty_queue_and_an_empty_arrival(spark, sf_small):
     m = fx.view(spark, sf_small, "messages")
     root, place, ckpt = places(spark)
