@@ -31,7 +31,7 @@ from postalspark.session import ensure_checkpoint_dir
 FRONTIER_BROADCAST_ROWS = 100_000
 
 
-def reach_pages(links: DataFrame, start: str = "base", max_depth: int | None = None) -> DataFrame:
+def reach_pages(links: DataFrame, start: str | int = "base", max_depth: int | None = None) -> DataFrame:
     """G1: every node reachable from ``start`` with its breadth-first depth (start = 0)."""
     spark = links.sparkSession
     ensure_checkpoint_dir(spark)
@@ -82,9 +82,9 @@ def _small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= FRONTIER_BROADCAST_ROWS else df
 
 
-def _root_depths(links: DataFrame, start: str, max_depth: int | None) -> DataFrame:
+def _root_depths(links: DataFrame, start: str | int, max_depth: int | None) -> DataFrame:
     """``node, depth`` of ``start`` and all roots that ``links`` (src, dst, hops) lead to, each with its least depth."""
-    frontier = links.sparkSession.range(1).select(F.lit(start).alias("node"), F.lit(0).cast("long").alias("depth"))
+    frontier = links.sparkSession.range(1).select(F.lit(start).cast(links.schema["src"].dataType).alias("node"), F.lit(0).cast("long").alias("depth"))
     rows, parts = 1, [(frontier, 1)]
     while rows:
         came = (links.join(_small(frontier.withColumnRenamed("node", "src"), rows), "src")
@@ -117,9 +117,22 @@ def crawl_edges(pages: DataFrame, base_url: str) -> DataFrame:
 
 
 def crawl(pages: DataFrame, start_url: str) -> DataFrame:
-    """G2 on real pages: (page_id, depth, html) of every page that links lead to from ``start_url``."""
-    reached = reach_pages(crawl_edges(pages, start_url), start_url)
-    return pages.join(reached, pages["url"] == reached["node"]).select("page_id", "depth", "html")
+    """G2 on real pages: (page_id, depth, html) of every page that links lead to from ``start_url``.
+
+    The search runs on numbers given to the pages' URLs: a link to a URL of no page leads nowhere, so it goes before the search.
+    """
+    ensure_checkpoint_dir(pages.sparkSession)
+    # stored once: the numbers must stay as they are
+    nodes = (pages.where(F.col("url").isNotNull()).select("url").dropDuplicates()
+             .withColumn("node", F.monotonically_increasing_id()).checkpoint())
+    start = nodes.where(F.col("url") == F.lit(start_url)).first()
+    if start is None:
+        return pages.select("page_id", F.lit(0).alias("depth"), "html").limit(0)
+    sources = pages.select("page_id", "url").join(nodes, "url").select("page_id", F.col("node").alias("src"))
+    edges = (area_links(pages, start_url).join(nodes, "url").select("page_id", F.col("node").alias("dst"))
+             .join(sources, "page_id").select("src", "dst"))
+    reached = reach_pages(edges, start["node"]).join(nodes, "node").select("url", "depth")
+    return pages.join(reached, "url").select("page_id", "depth", "html")
 
 
 def frontier_links(links: DataFrame, visited: DataFrame) -> DataFrame:

@@ -237,6 +237,21 @@ def test_reach_pages_of_a_chain_of_two_thousand_levels(spark):
     assert plan.count("Scan ExistingRDD") < 60
 
 
+def test_crawl_searches_pages_only_and_by_number(spark, monkeypatch):
+    site, seen = "https://x.example/pt-br/sao-paulo/", []
+    page = lambda *to: "".join(f'<a href="/pt-br/sao-paulo/{t}/">n</a>' for t in to)
+    rows = [(1, f"{site}a/", page("b", "c", "nowhere")), (2, f"{site}b/", page("a", "d")), (3, f"{site}c/", page("gone")),
+            (4, f"{site}d/", page("d")), (5, f"{site}d/", page("e")), (6, f"{site}e/", ""), (7, None, page("a")),
+            (8, f"{site}far/", page("a")), (None, f"{site}c/", page("far"))]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    reach = og.reach_pages
+    monkeypatch.setattr(og, "reach_pages", lambda links, *a: seen.append(links) or reach(links, *a))
+    got = sorted((r.page_id or 0, r.depth) for r in og.crawl(pages, f"{site}a/").collect())
+    assert got == [(0, 1), (1, 0), (2, 1), (3, 1), (4, 2), (5, 2), (6, 3)]
+    assert [t for _, t in seen[0].dtypes] == ["bigint", "bigint"] and seen[0].count() == 7
+    assert og.crawl(pages, f"{site}none/").collect() == []
+
+
 def test_reach_pages_against_plain_search(spark):
     import random
     rng = random.Random(11)
