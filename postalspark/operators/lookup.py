@@ -16,6 +16,7 @@ from postalspark.functions.responses import MALFORMED, NOT_FOUND, NOT_OBJECT, OK
 from postalspark.operators.joins import broadcast_if_small
 from postalspark.schemas import (ADDRESS_FIELDS, DEFAULT_SERVICE_URL, MSG_HTTP_404, MSG_MALFORMED, MSG_NOT_FOUND,
                                  MSG_NOT_OBJECT, RETRY_ATTEMPTS)
+from postalspark.session import scratch_dir
 from postalspark.sources.responses import parse_responses
 
 ABSENT = "absent"
@@ -31,12 +32,22 @@ def lookup_table(responses: DataFrame) -> DataFrame:
     """Parsed answers keyed by ``code``: status plus the response fields, and ``seq`` (0 where there is none).
 
     A code may have several answers; the users of this table keep the last by ``seq``, and among
-    equals the greatest by (status, fields), so results never depend on row order.
+    equals the greatest by (status, fields), so results never depend on row order. A table that has been parsed
+    already is taken as it is (see `parsed_answers`).
     """
+    if "status" in responses.columns and "body" not in responses.columns:
+        return responses
     parsed = parse_responses(responses.select("code", "body", *(["seq"] if "seq" in responses.columns else [])))
     return parsed if "seq" in responses.columns else parsed.withColumn("seq", F.lit(0).cast("long"))
 
 
+def parsed_answers(responses: DataFrame) -> DataFrame:
+    """`lookup_table`, stored: for jobs that look up more than once, which would read and parse every body each time."""
+    path = scratch_dir(responses.sparkSession, "parsed")
+    lookup_table(responses).write.parquet(path)
+    return responses.sparkSession.read.parquet(path)
+
+
 def last_answer(rows: DataFrame, key: str) -> DataFrame:
     """One row per ``key``: the greatest by (seq, status, fields); partial aggregation, so hot keys are safe."""
     order = ["seq"] + [c for c in rows.columns if c not in (key, "seq")]

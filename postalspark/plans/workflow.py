@@ -75,6 +75,7 @@ def full_workflow(spark: SparkSession, links: DataFrame, pages: DataFrame, respo
     sent = om.publish_reconcile(valid, queue).first()
     if not sent["published"] or not sent["complete"]:
         return None
+    responses = ol.parsed_answers(responses)
     msgs = queue.select("seq", F.get_json_object("value", "$.cep").alias("cep"))
     taken = om.process_limit(msgs, cfg.process_limit)
     answers = ol.enrich_codes(taken, responses).select("cep", "found")

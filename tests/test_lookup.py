@@ -20,6 +20,14 @@ def test_parse_statuses(spark):
     assert (first.cep, first.localidade, first.complemento) == ("01310-100", "São Paulo", "")
 
 
+def test_parsed_answers_give_what_the_bodies_give(spark):
+    resp = responses(spark, FOUND, '{"erro": true}', "[1]", "{bad", FOUND.replace("Paulista", "Nova"))
+    codes = spark.createDataFrame([(f"{i:08d}",) for i in (0, 1, 2, 3, 4, 4, 9)], "cep string")
+    stored = ol.parsed_answers(resp)
+    for look in (lambda r: ol.enrich_codes(codes, r), lambda r: ol.process_codes(codes, r, "2024-01-01 00:00:00"), lambda r: ol.not_found_codes(codes, r)):
+        assert sorted(map(str, look(stored).collect())) == sorted(map(str, look(resp).collect()))
+
+
 def test_response_check(spark):
     df = responses(spark, FOUND, '{"erro": true}', '{"cep": "01310-100"}', "[]", None)
     got = [r[0] for r in df.orderBy("code").select(is_valid_response("body")).collect()]
