@@ -15,8 +15,11 @@ The top of the tree is fitted on a bounded sample (`SAMPLE` fingerprints) and ro
 home shard and to the shards its ball overlaps; each shard goes on with a tree of its own down to small leaves, which
 are compared bit by bit. That tree may use any bit again, also one of a block on the shard's path, so costs of the two trees
 don't add up: in it a visitor has the whole bound again. Where the tree leaves a shard large (more fingerprints than the
-sample can part, or a ball that no block parts), its rows are dealt to several tasks by the bits that two linked
-fingerprints must share: of bound + 3 blocks some three are alike, so linked ones meet under one of the masks at least, and are compared there. A shard gives a spanning forest of its links, never all pairs; forests are joined
+sample can part, or a ball that no block parts), all that come to one are dealt to several tasks by the bits that two linked
+fingerprints must share: of bound + 3 blocks some three are alike, so linked ones meet under one of the masks at least, and are compared there.
+A ball overlaps the more shards the more there are, so the tree's visits outgrow the fingerprints; masks give a fixed
+number of rows each. Where by the sample the tree would give more, all fingerprints are dealt by masks. Either way a fingerprint
+makes some twenty rows at most, whatever the table's size. A shard or part gives a spanning forest of its links, never all pairs; forests are joined
 into components by large-star/small-star rounds whose state is written below the shared checkpoint folder.
 
 Defined cases: a text without words (null too) has fingerprint zero, linked like any other; rows with one
@@ -42,6 +45,10 @@ SHINGLE_WORDS, SEED, MAX_BITS = 3, 42, 2
 SAMPLE, SHARD_ROWS, LEAF = 1 << 15, 4_096, 192
 #: shards with more than this many times `SHARD_ROWS` fingerprints at home are dealt again; leaves beyond `DENSE` are compared by agreeing blocks
 LARGE, DENSE = 4, 2_048
+#: among more fingerprints than this that agree under a mask, changes of the other bits may be looked up
+MANY = 512
+#: not a shard: fingerprints that are dealt by masks
+DEALT = -1
 BLOCK_BITS = (5, 3, 1)
 
 
@@ -166,17 +173,40 @@ def block_masks(bound: int) -> list[np.uint64]:
     return [np.uint64(sum(1 << int(b) for part in three for b in part)) for three in itertools.combinations(blocks, 3)]
 
 
+def _flips(mask: np.uint64, bound: int) -> list[np.uint64]:
+    """All changes of at most ``bound`` bits outside ``mask``, none included."""
+    free = [1 << int(b) for b in np.flatnonzero(~_bits(mask))]
+    return [np.uint64(sum(some)) for n in range(bound + 1) for some in itertools.combinations(free, n)]
+
+
 def _alike_pairs(x: np.ndarray, mask: np.uint64, bound: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Index pairs within ``bound`` bits among fingerprints that agree under ``mask``: neighbours 1, 2, ... places on in sorted order."""
+    """Links (index pairs) within ``bound`` bits that connect fingerprints agreeing under ``mask``: neighbours 1, 2, ... places on in sorted order.
+
+    Where more fingerprints agree than there are changes of their other bits, the changed ones are looked up instead: work per
+    fingerprint is bounded by the number of changes, not by how many agree.
+    """
     key = x & mask
-    order = np.argsort(key, kind="stable")
-    key, at = key[order], np.arange(len(x) - 1)
+    order = np.lexsort((x, key))
+    key, whole = key[order], x[order]
+    begins = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(x) else np.zeros(0, int)
+    sizes = np.diff(np.r_[begins, len(x)])
+    flips = _flips(mask, bound) if len(sizes) and sizes.max() > MANY else []
+    many = sizes > max(MANY, 2 * len(flips))
+    for a, n in zip(begins[many].tolist(), sizes[many].tolist(), strict=True):
+        group = whole[a: a + n]
+        for flip in flips:
+            other = group ^ flip
+            at = np.minimum(np.searchsorted(group, other), n - 1)
+            hit = np.flatnonzero((group[at] == other) & (at < np.arange(n)))
+            if len(hit):
+                yield order[a + at[hit]], order[a + hit]
+    at = np.flatnonzero(~np.repeat(many, sizes))
     for step in itertools.count(1):
         at = at[at + step < len(x)]
         at = at[key[at] == key[at + step]]
         if not len(at):
             return
-        near = at[np.bitwise_count(x[order[at]] ^ x[order[at + step]]) <= bound]
+        near = at[np.bitwise_count(whole[at] ^ whole[at + step]) <= bound]
         if len(near):
             yield order[near], order[near + step]
 
@@ -234,36 +264,58 @@ def forest(fps: DataFrame, bound: int = MAX_BITS, sample_rows: int = SAMPLE, sha
     total = fps.count()
     sample = fps.orderBy(F.xxhash64("fp"), "fp").limit(sample_rows).toPandas()["fp"].to_numpy(np.int64).view(np.uint64)
     tree = Tree(sample, max(16, int(len(sample) * shard_rows / max(1, total))), bound)
+    masks = block_masks(bound)
+    # shards that by the sample have very many fingerprints at home (more than it can part, or a ball that no block parts)
+    likely = {leaf: round(n * total / max(1, len(sample))) for leaf, n in enumerate(tree.sizes)}
+    large = {leaf for leaf, n in likely.items() if n > LARGE * shard_rows}
+    dealt, visits = _met(tree, sample, large)
 
     def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             x = b["fp"].to_numpy(np.int64).view(np.uint64)
+            met = np.zeros(len(x), bool)
             for leaf, idx, rest in tree.route(x, np.full(len(x), -1, np.int8)):
-                yield pd.DataFrame({"shard": np.int32(leaf), "fp": x[idx].view(np.int64), "budget": rest.astype(np.int32)})
+                if leaf in large:
+                    met[idx] = True
+                else:
+                    yield pd.DataFrame({"shard": np.int32(leaf), "fp": x[idx].view(np.int64), "budget": rest.astype(np.int32)})
+            if met.any():
+                yield pd.DataFrame({"shard": np.int32(DEALT), "fp": x[met].view(np.int64), "budget": np.int32(-1)})
 
     def links(shard: pd.DataFrame) -> pd.DataFrame:
         u, v = search(shard["fp"].to_numpy(np.int64).view(np.uint64), shard["budget"].to_numpy(np.int8), bound)
         return pd.DataFrame({"u": u.view(np.int64), "v": v.view(np.int64)})
 
-    masks = block_masks(bound)
-
     def agreeing(part: pd.DataFrame) -> pd.DataFrame:
         u, v = alike(part["fp"].to_numpy(np.int64).view(np.uint64), masks[int(part["block"].iloc[0])], bound)
         return pd.DataFrame({"u": u.view(np.int64), "v": v.view(np.int64)})
 
+    def deal(some: DataFrame, rows: int) -> DataFrame:
+        # a row per mask, in parts by the bits under the mask: linked ones meet in one part at least
+        under = F.array(*[F.struct(F.lit(i).alias("block"), F.col("fp").bitwiseAND(F.lit(int(m.astype(np.int64)))).alias("key")) for i, m in enumerate(masks)])
+        each = some.select("fp", F.explode(under).alias("u"))
+        each = each.select("fp", "u.block", F.pmod(F.xxhash64("u.key"), F.lit(max(1, -(-rows // shard_rows)))).alias("part"))
+        return each.groupBy("block", "part").applyInPandas(agreeing, "u long, v long")
+
+    if visits > len(masks) * len(sample):
+        return deal(fps.select("fp"), total)
     routed = fps.select("fp").mapInPandas(route, "shard int, fp long, budget int")
-    # shards that by the sample have very many fingerprints at home (more than it can part, or a ball that no block parts)
-    likely = {leaf: round(n * total / max(1, len(sample))) for leaf, n in enumerate(tree.sizes)}
-    large = {leaf: n for leaf, n in likely.items() if n > LARGE * shard_rows}
     if not large:
         return routed.groupBy("shard").applyInPandas(links, "u long, v long")
-    # their rows go, once per mask, to parts by the bits under the mask: linked ones meet in one part at least
-    parts = F.element_at(F.create_map(*[F.lit(n) for s, c in large.items() for n in (s, -(-c // shard_rows))]), F.col("shard"))
-    under = F.array(*[F.struct(F.lit(i).alias("block"), F.col("fp").bitwiseAND(F.lit(int(m.astype(np.int64)))).alias("key")) for i, m in enumerate(masks)])
-    dealt = routed.where(F.col("shard").isin(*large)).select("shard", "fp", parts.alias("parts"), F.explode(under).alias("u"))
-    dealt = dealt.select("shard", "fp", "u.block", F.pmod(F.xxhash64("u.key"), F.col("parts")).alias("part"))
-    return (routed.where(~F.col("shard").isin(*large)).groupBy("shard").applyInPandas(links, "u long, v long")
-            .union(dealt.groupBy("shard", "block", "part").applyInPandas(agreeing, "u long, v long")))
+    routed = stash(routed, "routed")    # read by both ways
+    return (routed.where(F.col("shard") != DEALT).groupBy("shard").applyInPandas(links, "u long, v long")
+            .union(deal(routed.where(F.col("shard") == DEALT), round(dealt * total / len(sample)))))
+
+
+def _met(tree: Tree, x: np.ndarray, large: set[int]) -> tuple[int, int]:
+    """How many of ``x`` come to a shard in ``large``, and how many rows of them all come to the others."""
+    met, visits = np.zeros(len(x), bool), 0
+    for leaf, idx, _ in tree.route(x, np.full(len(x), -1, np.int8)):
+        if leaf in large:
+            met[idx] = True
+        else:
+            visits += len(idx)
+    return int(met.sum()), visits
 
 
 def connected(edges: DataFrame) -> DataFrame:

@@ -150,3 +150,34 @@ def test_large_shards_are_dealt_to_several_tasks(spark):
     p, q = np.nonzero(np.bitwise_count(x[:, None] ^ x[None, :]) <= 2)
     mine = roots_of(x, links.u.to_numpy(np.int64).view(np.uint64), links.v.to_numpy(np.int64).view(np.uint64))
     assert (mine == simhash._components(len(x), p, q)).all()
+
+
+def test_rows_per_fingerprint_do_not_grow_with_the_number_of_shards(spark):
+    """A tree of many shards sends a fingerprint to ever more of them; masks give ten rows, whatever the table's size."""
+    rng = np.random.default_rng(5)
+    x = rng.integers(0, 2 ** 63, 6000, dtype=np.uint64)
+    x = np.unique(np.concatenate([x, x[:900] ^ np.uint64(9), x[:300] ^ np.uint64(1 << 50)]))
+    tree = simhash.Tree(x, 16)
+    assert simhash._met(tree, x, set())[1] > 10 * len(x)
+    df = spark.createDataFrame([(int(f),) for f in x.view(np.int64)], "fp long")
+    got = simhash.forest(df, sample_rows=len(x), shard_rows=16)
+    assert "MapInPandas" not in got._jdf.queryExecution().executedPlan().toString()
+    links = got.toPandas()
+    p, q = np.nonzero(np.bitwise_count(x[:, None] ^ x[None, :]) <= 2)
+    mine = roots_of(x, links.u.to_numpy(np.int64).view(np.uint64), links.v.to_numpy(np.int64).view(np.uint64))
+    assert (mine == simhash._components(len(x), p, q)).all()
+
+
+def test_many_that_agree_under_a_mask_are_looked_up():
+    rng = np.random.default_rng(6)
+    mask = simhash.block_masks(2)[0]
+    free = [b for b in range(64) if not (int(mask) >> b) & 1]
+    low = rng.integers(0, 2 ** len(free), 4_000)
+    low = np.concatenate([low, low[:800] ^ 3, low[:200] ^ 5])
+    x = np.bitwise_or.reduce([((low >> i) & 1).astype(np.uint64) << np.uint64(b) for i, b in enumerate(free)], axis=0)
+    x = np.unique(np.concatenate([x, x[:50] ^ mask, rng.integers(0, 2 ** 63, 300, dtype=np.uint64)]))
+    pairs = list(simhash._alike_pairs(x, mask, 2))
+    assert len(pairs) < 800
+    near = [(int(a), int(b)) for p, q in pairs for a, b in zip(p, q)]
+    p, q = np.nonzero((np.bitwise_count(x[:, None] ^ x[None, :]) <= 2) & ((x & mask)[:, None] == (x & mask)[None, :]))
+    assert {(min(e), max(e)) for e in near} == {(a, b) for a, b in zip(p.tolist(), q.tolist()) if a < b}
