@@ -118,15 +118,16 @@ def enrich_handler(spark: SparkSession, answers: DataFrame, table: AddressTable,
 
 
 def stream_enrich(spark: SparkSession, messages: DataFrame, responses: DataFrame, table_root: str, checkpoint: str, now: str,
-                  handler: Handler | None = None, limit: int | None = None) -> AddressTable:
+                  handler: Handler | None = None, limit: int | None = None, answers: DataFrame | None = None) -> AddressTable:
     """Consume -> look up -> store, until the arrived messages are drained or ``limit`` usable ones are handled.
 
-    Dropped and dead-lettered messages do not count (L4). A run that its limit ended leaves the rest of the messages
+    ``answers``: the `answer_table` of ``responses`` where there is one, so that the runs of a job parse the bodies once. Dropped and dead-lettered messages do not count (L4). A run that its limit ended leaves the rest of the messages
     unacknowledged; the next run on the same checkpoint goes on with the very next message.
     """
     table = AddressTable(spark, table_root)
     before = table.progress(checkpoint).handled
-    work = enrich_handler(spark, answer_table(responses), table, now, checkpoint, handler, limit, before)
+    answers = answer_table(responses) if answers is None else answers
+    work = enrich_handler(spark, answers, table, now, checkpoint, handler, limit, before)
     try:
         run_available(messages, work, checkpoint)
     except StreamingQueryException as error:

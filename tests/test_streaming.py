@@ -232,6 +232,15 @@ def test_stream_streaks_equal_batch_over_batches_restarts_and_replays(spark, sf_
     assert len(sk._states(spark, state)) <= 2
 
 
+@pytest.mark.parametrize("name", ["T1_stream_limit", "T4_stream_ack"])
+def test_two_runs_of_a_job_parse_the_answers_once(spark, sf_small, monkeypatch, name):
+    from postalspark.plans import stream_queries as q
+    made, table = [], se.answer_table
+    monkeypatch.setattr(se, "answer_table", lambda responses: made.append(1) or table(responses))
+    assert {"T1_stream_limit": q.t1_limit, "T4_stream_ack": q.t4}[name](spark, sf_small).count() > 0
+    assert len(made) == 1
+
+
 def test_streaks_of_one_hot_consumer_are_spread_over_tasks(spark):
     body = F.concat(F.lit('{"cep":"'), F.lpad(F.col("id").cast("string"), 8, "0"), F.lit('"}'))
     consumer = F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") % 40).cast("long")
