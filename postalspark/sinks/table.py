@@ -303,12 +303,23 @@ def drop_tables(spark: SparkSession, name: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
+def _declared(spark: SparkSession, name: str) -> dict[str, str]:
+    return {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect() if r.col_name}
+
+
 def load_table(rows: DataFrame, name: str) -> None:
     """Insert rows into a declared table; the uf/localidade/created_at indexes become
-    partition pruning on uf and min/max statistics from sorting inside files (files of a bucketed table are sorted by code)."""
-    cols = [f.name for f in rows.sparkSession.table(name).schema.fields]
-    (rows.select(*cols).repartitionByRange("uf", "localidade", "cep").sortWithinPartitions("uf", "localidade", "created_at")
-     .write.insertInto(name))
+    partition pruning on uf and min/max statistics from sorting inside files (files of a bucketed table are sorted by code).
+
+    Rows of a bucketed table are dealt by bucket, so a task writes one bucket's file per uf; dealt otherwise, every task would write a
+    file for each bucket, tasks times buckets in all.
+    """
+    spark = rows.sparkSession
+    cols = [f.name for f in spark.table(name).schema.fields]
+    buckets = int(_declared(spark, name).get("Num Buckets") or 0)
+    dealt = (rows.select(*cols).repartition(buckets, "cep") if buckets else
+             rows.select(*cols).repartitionByRange("uf", "localidade", "cep").sortWithinPartitions("uf", "localidade", "created_at"))
+    dealt.write.insertInto(name)
 
 
 def merge_into_declared(spark: SparkSession, name: str, source: DataFrame, now: str) -> str:
@@ -324,7 +335,7 @@ def merge_into_declared(spark: SparkSession, name: str, source: DataFrame, now:
         spark.sql(f"ALTER TABLE {new} RENAME TO {name}")
     for left in (old, new):
         drop_tables(spark, left)
-    info = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect() if r.col_name}
+    info = _declared(spark, name)
     buckets, place = int(info.get("Num Buckets") or 0), info["Location"]
     if not buckets:
         raise ValueError(f"{name} is not declared with buckets")

@@ -269,6 +269,23 @@ def test_reads_of_the_stored_table_reach_the_scan(spark, sf_small):
     assert "SinglePartition" not in plan("S5_scan_addresses")
 
 
+def test_a_bucketed_load_writes_a_file_per_bucket_not_per_task(spark):
+    import uuid
+    name, place = f"ceps_{uuid.uuid4().hex[:8]}", scratch_dir(spark, "ddl_f")
+    declare_tables(spark, name, place, buckets=4)
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    had = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        load_table(addr(spark, [(f"{i:08d}", "A") for i in range(400)]), name)
+    finally:
+        spark.conf.set(key, had)
+    stored = spark.table(name)
+    assert stored.count() == 400
+    assert len(stored.inputFiles()) <= 4 * stored.select("uf").distinct().count()
+    drop_tables(spark, name)
+
+
 def test_merge_into_the_declared_bucketed_table(spark):
     name = "ceps_merge_test"
     drop_tables(spark, name)
