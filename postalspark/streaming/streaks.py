@@ -2,19 +2,19 @@
 
 A micro-batch is folded as in ``operators.pacing``: its rows are range partitioned by (consumer, seq), each range folds
 its own rows, and the state that comes in per consumer (failures in the current run, start of its next message) is one
-more element in front of the consumer's ranges. No group is gathered: a consumer's messages spread over as many
-tasks as they fill. State is a table of one row per consumer, written per batch beside the batch's output and read by the next one,
+more row in front of the consumer's. No group is gathered: a consumer's messages spread over as many
+tasks as they fill. The batch is read from its source once and its three columns are stored, as the range partitioning reads them twice. State is a
+table of one row per consumer, written per batch beside the batch's output and read by the next one,
 so a replayed batch starts from the same state and replaces what it wrote.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from postalspark.operators.messages import base_delay
 from postalspark.operators.pacing import Pauses, carry, fold_ranges, settle
-from postalspark.session import remove_path
+from postalspark.session import remove_path, scratch_dir
 from postalspark.sinks.commits import Folder
 from postalspark.streaming.enrich import Handler, run_available, write_batch
 
@@ -38,11 +38,16 @@ def streak_handler(spark: SparkSession, out: str, state_root: str, rate_per_seco
     def handle(batch: DataFrame, batch_id: int) -> None:
         known = [i for i in _states(spark, state_root) if i < batch_id]
         before = spark.read.schema(_STATE).parquet(f"{state_root}/batch={known[-1]}") if known else spark.createDataFrame([], _STATE)
-        folded = fold_ranges(batch.select("seq", "consumer", "ok"), pauses, "seq", "consumer", "ok")
-        came, went = carry(folded, pauses, "seq", "consumer", before)
-        write_batch(settle(folded, came, pauses, "consumer", "ok", few=False), out, batch_id)
-        silent = before.alias("b").join(went.alias("w"), F.col("b.consumer").eqNullSafe(F.col("w.consumer")), "left_anti")
-        write_batch(silent.unionByName(went), state_root, batch_id)
+        rows, work = batch.select("seq", "consumer", "ok"), scratch_dir(spark, "streak_batch")
+        try:
+            rows.write.parquet(f"{work}/rows")
+            rows = spark.read.schema(rows.schema).parquet(f"{work}/rows")
+            folded = fold_ranges(rows, pauses, "seq", "consumer", "ok", state=before, store=f"{work}/folded")
+            came, went = carry(folded, pauses, "consumer")
+            write_batch(settle(folded, came, pauses, "consumer", "ok"), out, batch_id)
+            write_batch(went, state_root, batch_id)      # silent consumers too: their state is a row of the fold
+        finally:
+            remove_path(spark, work)
         for old in known[:-1]:
             remove_path(spark, f"{state_root}/batch={old}")
 

@@ -232,6 +232,49 @@ def test_stream_streaks_equal_batch_over_batches_restarts_and_replays(spark, sf_
     assert len(sk._states(spark, state)) <= 2
 
 
+def test_a_batch_of_streaks_reads_its_messages_once_and_joins_no_states(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("boolean")
+    def usable(seq):
+        read.add(1)
+        return True
+
+    out, state = scratch_dir(spark, "streaks"), scratch_dir(spark, "state")
+    m = spark.range(4_000).select(F.col("id").alias("seq"), (F.col("id") % 700).alias("consumer"), (F.xxhash64("id") % 10 < 3).alias("ok"))
+    handle = sk.streak_handler(spark, out, state)
+    handle(m.where("seq < 2500").where(usable("seq")), 0)
+    handle(m.where("seq >= 2500 AND consumer < 600").where(usable("seq")), 1)
+    assert read.value == 2_500 + m.where("seq >= 2500 AND consumer < 600").count()
+    assert spark.read.parquet(f"{state}/batch=1").agg(F.count("*"), F.count_distinct("consumer")).first()[:] == (700, 700)
+    kept = m.where("seq < 2500 OR consumer < 600")
+    assert {r.seq: (r.k, r.pause, r.start) for r in spark.read.parquet(out).collect()} == \
+        {r.seq: (r.k, r.pause, r.start) for r in om.pacing_schedule(kept).collect()}
+
+
+@pytest.mark.parametrize("batch,ranges", [(1, 5), (7, 11), (10_000, 3)])
+def test_states_of_consumers_are_rows_of_the_fold(spark, batch, ranges):
+    from postalspark.operators.pacing import carry, paced, settle
+    rows = [(i, None if i % 11 == 0 else 1 if i % 3 else i % 40, i % 7 < 2 if i % 500 < 250 else i % 13 == 0) for i in range(1_500)]
+    df = spark.createDataFrame(rows, "seq long, consumer long, ok boolean")
+    want = {r.seq: (r.k, r.pause, r.start) for r in paced(df, 1.0).collect()}
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, pauses = spark.conf.get(size), Pauses(1.0)
+    state, got = spark.createDataFrame([], "consumer long, k long, clock double"), {}
+    spark.conf.set(size, str(batch))
+    try:
+        for lo, hi in ((0, 1), (1, 400), (400, 410), (410, 1_500)):
+            folded = fold_ranges(df.where(F.col("seq").between(lo, hi - 1)), pauses, "seq", "consumer", "ok", ranges, state, scratch_dir(spark, "fold"))
+            came, state = carry(folded, pauses, "consumer")
+            out = settle(folded, came, pauses, "consumer", "ok")
+            assert "SortMergeJoin" not in out._jdf.queryExecution().executedPlan().toString()
+            assert came.count() <= ranges and out.columns == ["seq", "consumer", "ok", "k", "pause", "start"]
+            got |= {r.seq: (r.k, r.pause, r.start) for r in out.collect()}
+    finally:
+        spark.conf.set(size, before)
+    assert got == want
+
+
 @pytest.mark.parametrize("name", ["T1_stream_limit", "T4_stream_ack"])
 def test_two_runs_of_a_job_parse_the_answers_once(spark, sf_small, monkeypatch, name):
     from postalspark.plans import stream_queries as q
