@@ -153,11 +153,14 @@ def intake_cap(rate_per_second: float, interval_seconds: float) -> int:
 
 
 def batch_sizes(spark: SparkSession, stream: DataFrame, out_path: str, checkpoint: str) -> DataFrame:
-    """Rows admitted per micro-batch and their least and greatest sequence (one row per batch id)."""
+    """Rows admitted per micro-batch and their least and greatest sequence (one row per batch id).
+
+    A trigger only stores its rows' numbers, in one stage; they are summed up by batch when the sizes are read.
+    """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        sizes = batch.agg(F.count(F.lit(1)).alias("rows"), F.min("seq").alias("first_seq"), F.max("seq").alias("last_seq"))
-        write_batch(sizes.withColumn("batch_id", F.lit(batch_id).cast("long")), out_path, batch_id)
+        write_batch(batch.select("seq"), out_path, batch_id)
 
     run_available(stream, handle, checkpoint)
-    return spark.read.parquet(out_path).select("batch_id", "rows", "first_seq", "last_seq")
+    return (spark.read.parquet(out_path).groupBy(F.col("batch").cast("long").alias("batch_id"))
+            .agg(F.count(F.lit(1)).alias("rows"), F.min("seq").alias("first_seq"), F.max("seq").alias("last_seq")))

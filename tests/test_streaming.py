@@ -156,6 +156,26 @@ def test_rows_are_admitted_by_position_whatever_files_hold(spark, sf_small):
     assert rows == n
 
 
+def test_a_trigger_of_the_rate_cap_is_one_stage(spark, sf_small, monkeypatch):
+    # what a trigger costs comes again for every `cap` rows of a backlog
+    m, ran = fx.view(spark, sf_small, "messages"), []
+    parts, tracker = [m.where(F.col("seq") % 2 == i) for i in (0, 1)], spark.sparkContext.statusTracker()
+
+    def triggers(stream, handle, checkpoint):
+        for i, part in enumerate(parts):
+            spark.sparkContext.setJobGroup(f"cap-{i}", "a trigger")
+            handle(part, i)
+            ran.append(sum(len(tracker.getJobInfo(j).stageIds) for j in tracker.getJobIdsForGroup(f"cap-{i}")))
+
+    monkeypatch.setattr(se, "run_available", triggers)
+    try:
+        sizes = se.batch_sizes(spark, None, scratch_dir(spark, "cap_out"), scratch_dir(spark, "ckpt"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert ran == [1, 1]
+    assert sorted(map(tuple, sizes.collect())) == [(i, *p.agg(F.count("*"), F.min("seq"), F.max("seq")).first()) for i, p in enumerate(parts)]
+
+
 def test_batches_of_a_backlog_grow_with_what_lies_before_them(spark):
     rows = lambda a, b: spark.range(a, b).select(F.col("id").alias("seq"), F.lit(None).cast("timestamp_ntz").alias("ts"), F.lit(1).cast("long").alias("consumer"),
                                                  F.lit(True).alias("ok"), F.lit("{}").alias("body"))
