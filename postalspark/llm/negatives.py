@@ -3,10 +3,10 @@
 Anchors are ordered by their nearest pivot, cut into blocks of at most `TREE` and joined within a block by a minimum
 spanning tree (Prim, Euclidean edges). Against a shard of rows, the root's scores are computed; a child's score
 lies within edge length times the row's norm of its parent's score (Cauchy-Schwarz), and such intervals add up along
-the tree where the parent itself was not rescored. Only rows whose interval overlaps a window are rescored by
+the tree where the parent itself was not rescored. A child whose edge is as long as the child itself is scored like a root. Only rows whose interval overlaps a window are rescored by
 integer products: for positives the window above the lowest score that is sure of a place, for negatives each
 positive's own score window, above the scores that are sure of a place in it. Edges pay where anchors lie close
-together; for anchors spread evenly in many dimensions intervals are wide and most rows are rescored.
+together; anchors spread evenly in many dimensions are scored against most rows or all.
 
 Defined cases: rows whose label or vector is null, or that hold a null, NaN or infinite component, take no part;
 shorter vectors are padded by zeros; a null id is no anchor, keeps its label and comes last among ties; rows that
@@ -95,20 +95,22 @@ class _Walk:
     def visit(self, tree: pa.Table, xs: np.ndarray):
         """Yield (index in tree, low, high) in tree order; the visitor narrows low and high in place by `rescore`."""
         parents, edges = tree["parent"].to_numpy(), tree["edge"].to_numpy()
+        sizes = np.sqrt((xs.astype(np.float64) ** 2).sum(axis=1))
         children = np.bincount(parents[parents >= 0], minlength=len(parents))
         known: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for i, (parent, edge) in enumerate(zip(parents, edges, strict=True)):
-            if parent < 0:
+            if parent < 0 or edge >= sizes[i]:      # over such an edge the parent's intervals say less than the norms alone
                 low = (self.exact @ xs[i].astype(self.number)).astype(np.float64)
                 high = low.copy()
             else:
                 slack = edge * self.norm
                 low, high = known[parent][0] - slack, known[parent][1] + slack
+            if parent >= 0:
                 children[parent] -= 1
                 if not children[parent]:
                     del known[parent]
             if self.number is np.int64:     # scores that a double rounds
-                blur = self.norm * (math.sqrt(float((xs[i].astype(np.float64) ** 2).sum())) * 2.0 ** -48)
+                blur = self.norm * (sizes[i] * 2.0 ** -48)
                 low, high = low - blur, high + blur
             yield i, low, high
             if children[i]:
