@@ -9,10 +9,12 @@ one commit per batch give effectively-once results.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import json
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import StreamingQueryException
 
@@ -24,12 +26,16 @@ from postalspark.operators.messages import dead_letters, drop_bad_messages, proc
 from postalspark.schemas import ADDRESS_FIELDS, ERROR_LOG_FIELDS
 from postalspark.session import scratch_dir
 from postalspark.sinks.table import AddressTable, Progress
+from postalspark.streaming.queue import _store
 
 Handler = Callable[[DataFrame, int], None]
 
 ERRORS, DEAD = "errors", "dead"
 ERROR_ROWS = ", ".join(f"{f} string" for f in ERROR_LOG_FIELDS)
 
+#: a local checkpoint folder without checksum files (other file systems are not concerned)
+PLAIN_LOGS = ("fs.AbstractFileSystem.file.impl", "org.apache.hadoop.fs.local.RawLocalFs")
+
 
 class LimitReached(Exception):
     """The limit fell into this micro-batch: it stays open in the checkpoint and goes on with the next run."""
@@ -152,15 +158,42 @@ def intake_cap(rate_per_second: float, interval_seconds: float) -> int:
     return max(1, int(rate_per_second * interval_seconds))
 
 
+@contextmanager
+def plain_logs(spark: SparkSession) -> Iterator[None]:
+    """Streams run here keep their logs as single files where the checkpoint is a local folder.
+
+    Without its native library Hadoop starts a process to set the rights of each local file and again for its checksum: a
+    trigger's two logs cost more than its rows. They are still written aside and renamed.
+    """
+    key, plain = PLAIN_LOGS
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, plain)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def batch_sizes(spark: SparkSession, stream: DataFrame, out_path: str, checkpoint: str) -> DataFrame:
     """Rows admitted per micro-batch and their least and greatest sequence (one row per batch id).
 
-    A trigger only stores its rows' numbers, in one stage; they are summed up by batch when the sizes are read.
+    A trigger reads its rows in one stage, which counts them on the way, and stores the sizes as one small file; a replay
+    replaces it.
     """
+    store, place = _store(out_path)
+    store.create_dir(place)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch.select("seq"), out_path, batch_id)
-
-    run_available(stream, handle, checkpoint)
-    return (spark.read.parquet(out_path).groupBy(F.col("batch").cast("long").alias("batch_id"))
-            .agg(F.count(F.lit(1)).alias("rows"), F.min("seq").alias("first_seq"), F.max("seq").alias("last_seq")))
+        seen = Observation()
+        batch.select("seq").observe(seen, F.count(F.lit(1)).alias("rows"), F.min("seq").alias("first_seq"), F.max("seq").alias("last_seq")) \
+            .write.format("noop").mode("overwrite").save()
+        if seen.get["rows"]:
+            with store.open_output_stream(f"{place}/{batch_id}.json") as file:
+                file.write(json.dumps({"batch_id": batch_id, **seen.get}).encode())
+
+    with plain_logs(spark):
+        run_available(stream, handle, checkpoint)
+    return spark.read.schema("batch_id long, rows long, first_seq long, last_seq long").json(out_path)

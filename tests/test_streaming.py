@@ -176,6 +176,47 @@ def test_a_trigger_of_the_rate_cap_is_one_stage(spark, sf_small, monkeypatch):
     assert sorted(map(tuple, sizes.collect())) == [(i, *p.agg(F.count("*"), F.min("seq"), F.max("seq")).first()) for i, p in enumerate(parts)]
 
 
+def test_a_trigger_of_the_rate_cap_stores_one_file_and_plain_logs(spark, sf_small):
+    # a local file costs a process or two where Hadoop's native library is missing: more than a trigger's rows do
+    import os
+    m = fx.view(spark, sf_small, "messages")
+    root, out, ckpt = (scratch_dir(spark, n) for n in ("queue", "cap_out", "ckpt"))
+    n, key = sq.append_messages(m, root), se.PLAIN_LOGS[0]
+    assert spark.conf.get(key, None) is None
+    sizes = se.batch_sizes(spark, sq.stream_queue(spark, root, 400), out, ckpt)
+    assert spark.conf.get(key, None) is None
+    full = -(-n // 400)
+    assert sorted(os.listdir(out)) == sorted(f"{i}.json" for i in range(full))
+    for log in ("offsets", "commits"):
+        assert sorted(os.listdir(f"{ckpt}/{log}")) == sorted(map(str, range(full)))
+    want = sorted(r.seq for r in m.select("seq").collect())
+    assert [(r.rows, r.first_seq, r.last_seq) for r in sizes.orderBy("batch_id").collect()] == [
+        (len(w), w[0], w[-1]) for w in (want[i:i + 400] for i in range(0, n, 400))]
+
+
+def test_a_replayed_trigger_of_the_rate_cap_replaces_its_sizes(spark, sf_small, monkeypatch):
+    m = fx.view(spark, sf_small, "messages")
+
+    def triggers(stream, handle, checkpoint):
+        for batch in (m.where("seq < 50"), m.where("seq < 90").repartition(5), m.where("seq < 0")):
+            handle(batch, 0)
+
+    monkeypatch.setattr(se, "run_available", triggers)
+    got = se.batch_sizes(spark, None, scratch_dir(spark, "cap_out"), scratch_dir(spark, "ckpt"))
+    assert list(map(tuple, got.collect())) == [(0, *m.where("seq < 90").agg(F.count("*"), F.min("seq"), F.max("seq")).first())]
+
+
+def test_rate_cap_of_an_empty_queue_has_no_batches(spark):
+    root, out, ckpt = (scratch_dir(spark, n) for n in ("queue", "cap_out", "ckpt"))
+    assert se.batch_sizes(spark, sq.stream_queue(spark, root, 400), out, ckpt).collect() == []
+
+
+def test_a_reader_goes_to_its_tasks_in_more_than_one_segment(spark):
+    # a shorter one stalls each micro-batch for 40 ms (delayed acknowledgement)
+    from pyspark.cloudpickle import dumps
+    assert len(dumps(sq.QueueReader("/none", 3_000, sq.MESSAGE_FILE))) > 65_536
+
+
 def test_batches_of_a_backlog_grow_with_what_lies_before_them(spark):
     rows = lambda a, b: spark.range(a, b).select(F.col("id").alias("seq"), F.lit(None).cast("timestamp_ntz").alias("ts"), F.lit(1).cast("long").alias("consumer"),
                                                  F.lit(True).alias("ok"), F.lit("{}").alias("body"))
